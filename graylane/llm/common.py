@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of whole texts stay small, so that a worker's memory does not follow the row count."""
+def prepare_python(spark: SparkSession) -> None:
+    """Arrow batches of whole texts stay small, so that a worker's memory does not follow the row count; workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (home, env.get("PYTHONPATH", "")) if x)
 
 
 def crc_mod(doc_id: str, k: int):
@@ -49,6 +54,32 @@ def crc_mod(doc_id: str, k: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % k
 
 
+def run_edges(t: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of rows with equal keys."""
+    change = np.zeros(max(0, len(t) - 1), bool)
+    for k in keys:
+        values = t.column(k).to_numpy()
+        change |= values[1:] != values[:-1]
+    at = np.flatnonzero(change) + 1
+    return np.r_[0, at], np.r_[at, len(t)]
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole runs from batches sorted by keys: a run that may go on in the next batch waits for it."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([rest, t]) if rest is not None else t
+        if len(t):
+            cut = int(run_edges(t, keys)[0][-1])
+            if cut:
+                yield t.slice(0, cut)
+            t = t.slice(cut)
+        rest = t
+    if rest is not None and len(rest):
+        yield rest
+
+
 # ---- text as flat arrays -------------------------------------------------------------------------------------------
 
 _M = np.random.Generator(np.random.PCG64(20250101))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graylane.llm import registry_native
+from graylane.llm import registry_arrow, registry_native
 
-QUERIES = {**registry_native.QUERIES}
-ORACLES = {**registry_native.ORACLES}
+QUERIES = registry_native.QUERIES | registry_arrow.QUERIES
+ORACLES = registry_native.ORACLES | registry_arrow.ORACLES
