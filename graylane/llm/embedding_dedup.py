@@ -32,8 +32,9 @@ PROJECTIONS, TABLES, WIDTH, PART = 16, 32, 2.0, 1024
 
 @functools.cache
 def directions(dim: int, projections: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.Generator(np.random.PCG64(dim))
-    return rng.standard_normal((dim, projections * tables)), rng.uniform(0, WIDTH, projections * tables)
+    """Directions and shifts; those of the first tables don't depend on how many tables there are."""
+    a, b = np.random.Generator(np.random.PCG64(dim)), np.random.Generator(np.random.PCG64([dim, 1]))
+    return a.standard_normal((projections * tables, dim)).T, b.uniform(0, WIDTH, projections * tables)
 
 
 def bucket_keys(x: np.ndarray, projections: int, tables: int) -> np.ndarray:
