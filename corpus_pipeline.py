@@ -1,7 +1,70 @@
-"""To come: the stages of the corpus pipeline."""
+"""The corpus pipeline: toxicity, near duplicates, decontamination, mixing, token ids.
 
+STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from graylane.llm import decontaminate, jaccard_join, mixing, token_output, toxicity
+from graylane.llm.common import table, written
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keep_where(docs: DataFrame, decisions: DataFrame, condition) -> DataFrame:
+    """The rows of docs whose doc_id has a decision under the condition."""
+    return docs.join(decisions.filter(condition).select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labels, doesn't predict toxic."""
+    known = toxicity.fit(table(spark, sf_dir, "labels").selectExpr("doc_id", "toxic as label"), docs)
+    rejected = toxicity.scored(docs, known).filter("predicted = 1").select("doc_id").distinct()
+    return docs.join(written(rejected, "toxic-ids"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id."""
+    groups = jaccard_join.jaccard_components(docs)
+    return keep_where(docs, groups, F.col("doc_id") == F.col("component_id"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which the benchmark's windows hold less than a twentieth of the words."""
+    return keep_where(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), ~F.col("contaminated"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; the copies are rows with the same doc_id."""
+    copies = mixing.mix(docs).filter("copies > 0").select("doc_id", "copies")
+    repeated = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*COLUMNS)
+
+
+def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as token ids in shards, read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_output.read_tokens(token_output.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token ids", write_ids),
+]
+
+#: Classifiers, rounding by hashes and tokenizers are beyond SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

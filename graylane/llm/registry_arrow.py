@@ -5,10 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graylane.llm import embedding_dedup, jaccard_join, token_output
+from graylane.llm import embedding_dedup, jaccard_join, language, quality, token_output, toxicity
 from graylane.llm.common import table
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for quality."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    return language.predict_language(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents linked at a shingle similarity of 0.8."""
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
@@ -19,12 +29,17 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(token_output.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for toxicity."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings linked at a cosine of 0.95."""
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op5_jaccard_join": op5_jaccard_join, "op7_token_output": op7_token_output, "op8_embedding_dedup": op8_embedding_dedup}
+QUERIES = {"op2_quality": op2_quality, "op3_language": op3_language, "op10_toxicity": op10_toxicity, "op5_jaccard_join": op5_jaccard_join, "op7_token_output": op7_token_output, "op8_embedding_dedup": op8_embedding_dedup}
 
 _PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
