@@ -31,16 +31,74 @@ from pyspark.sql import functions as F
 
 from graylane.llm import common as C
 
-SHARD_IDS, ROUNDS, PAIRS_A_ROUND, LEAST_GAIN = 1_000_000, 12, 512, 0.01
+SHARD_IDS, ROUNDS, PAIRS_A_ROUND, LEAST_GAIN = 1_000_000, 6, 2048, 0.02
 _HASH_BITS = 20
 
 
-@functools.cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+class Encoder:
+    """The tokenizer, with the ids of words met before.
+
+    The tokenizer's pattern begins a new piece at each single space between two other characters, and pieces are encoded
+    one by one; so a text cut there has the ids of its parts. Texts with other white space next to a space, and
+    tokenizers for which a probe shows another rule, are encoded whole. At most MEMO parts are kept.
+    """
+
+    MEMO = 1_000_000
+    PROBES = ("ab cd", "It's a   b, c\n d.", "é1 (x) y", "one two three")
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.t = Tokenizer.from_file(path)
+        self.base = self.t.get_vocab_size(with_added_tokens=True)
+        self.spaced = np.array([(self.t.id_to_token(i) or "").startswith(chr(0x120)) for i in range(self.base)])
+        self.memo: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        self.cuts = True
+        self.cuts = all(self.encode([x])[0] == self.whole([x])[0] for x in self.PROBES)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, parts: set[str], memo: dict[str, bytes], lead: str) -> None:
+        new = [p for p in parts.difference(memo) if p and not p[0].isspace() and not p[-1].isspace()]
+        if not new:
+            return
+        if lead:  # one text of all parts: each begins with the only token that starts with its space
+            ids = np.frombuffer(self.whole([lead + lead.join(new)])[0], "<u4")
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) == len(new):
+                raw, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
+                memo.update(zip(new, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+                return
+        memo.update(zip(new, self.whole([lead + p for p in new]), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        if not self.cuts:
+            return self.whole(texts)
+        for memo in (self.memo, self.heads):
+            if len(memo) > self.MEMO:
+                memo.clear()
+        parts = [x.split(" ") for x in texts]
+        self.learn(set().union(*[p[1:] for p in parts]), self.memo, " ")
+        self.learn({p[0] for p in parts if len(p[0]) < 200}, self.heads, "")
+        out: list[bytes | None] = []
+        for p in parts:
+            try:
+                out.append(self.heads[p[0]] + b"".join(map(self.memo.__getitem__, p[1:])))
+            except KeyError:
+                out.append(None)
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
+            out[i] = x
+        return out
+
 
-    return Tokenizer.from_file(path)
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,14 +204,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
         return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = _tokenizer(tokenizer)
-        base = max(t.get_vocab_size(with_added_tokens=True), end_id + 1)
+        t = _encoder(tokenizer)
+        base, end = max(t.base, end_id + 1), np.array([end_id], "<u4").tobytes()
         k, size, doc_ids, ids = 0, 0, [], []
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for i in range(0, len(texts), 64):
-                for name, e in zip(names[i : i + 64], t.encode_batch_fast([x or "" for x in texts[i : i + 64]], add_special_tokens=False), strict=True):
-                    own = np.array([*e.ids, end_id], np.uint32)
+                for name, raw in zip(names[i : i + 64], t.encode([x or "" for x in texts[i : i + 64]]), strict=True):
+                    own = np.frombuffer(raw + end, "<u4")
                     doc_ids.append(name)
                     ids.append(own)
                     size += len(own)
