@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from graylane import storage
+from graylane.operators.sets import multiset_diff
 
 
 def latest_capture(occurrences: DataFrame, runs: DataFrame, keys: Sequence[str], run: str, stored: str, state: Column) -> DataFrame:
@@ -60,7 +61,7 @@ def check_capture(df: DataFrame, envelope: str, fields: Sequence[str], key: str,
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Both have the same rows as often."""
-    return a.exceptAll(b).unionByName(b.exceptAll(a)).limit(1).count() == 0
+    return multiset_diff(a, b, a.columns).limit(1).count() == 0
 
 
 def publish(outputs: dict[str, DataFrame], fence: Callable[[], DataFrame], base: str) -> dict[str, str]:
