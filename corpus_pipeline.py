@@ -16,34 +16,37 @@ from graylane.llm.common import table, written
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def keep_where(docs: DataFrame, decisions: DataFrame, condition) -> DataFrame:
-    """The rows of docs whose doc_id has a decision under the condition."""
-    return docs.join(decisions.filter(condition).select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+def drop_where(docs: DataFrame, decisions: DataFrame, condition) -> DataFrame:
+    """docs without the ids that have a decision under the condition; a row without an id can't be decided on and stays."""
+    gone = written(decisions.filter(condition).select("doc_id").distinct(), "dropped-ids")
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels, doesn't predict toxic."""
     known = toxicity.fit(table(spark, sf_dir, "labels").selectExpr("doc_id", "toxic as label"), docs)
-    rejected = toxicity.scored(docs, known).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(written(rejected, "toxic-ids"), "doc_id", "left_anti").select(*COLUMNS)
+    return drop_where(docs, toxicity.scored(docs, known), F.col("predicted") == 1)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    groups = jaccard_join.jaccard_components(docs)
-    return keep_where(docs, groups, F.col("doc_id") == F.col("component_id"))
+    """Of each group of near duplicates the document with the smallest id; of rows with one id and text one."""
+    kept = drop_where(docs, jaccard_join.jaccard_components(docs), F.col("doc_id") != F.col("component_id"))
+    twice = written(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
+    if not twice.limit(1).count():
+        return kept
+    return kept.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(kept.join(twice, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which the benchmark's windows hold less than a twentieth of the words."""
-    return keep_where(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), ~F.col("contaminated"))
+    return drop_where(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), F.col("contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; the copies are rows with the same doc_id."""
-    copies = mixing.mix(docs).filter("copies > 0").select("doc_id", "copies")
-    repeated = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*COLUMNS)
+    """Each document as often as the mix takes it; the copies are rows with the same doc_id. Rows that share an id share its copies evenly."""
+    by_id = mixing.mix(docs).groupBy("doc_id").agg(F.expr("cast(sum(copies) div count(*) as int)").alias("copies")).filter("copies > 0")
+    taken = docs.join(by_id.withColumnRenamed("doc_id", "taken_id"), F.col("doc_id").eqNullSafe(F.col("taken_id")))
+    return taken.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
