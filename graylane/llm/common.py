@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,6 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graylane.storage import shared_dir, written
+
+__all__ = ["shared_dir", "written"]
+
 #: Bytes of text that the array helpers hold at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
 #: Rows of an Arrow batch sent to a Python worker.
@@ -23,23 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, set here only where it is unset (as in tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{os.path.join(tempfile.gettempdir(), 'graylane-checkpoints')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df written as a table in the shared folder and read again: the lineage ends there, on storage that outlives executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def prepare_python(spark: SparkSession) -> None:
     """Arrow batches of whole texts stay small, so that a worker's memory does not follow the row count; workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
@@ -125,8 +110,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def pieces(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, UTF-8 bytes, offsets of the rows in them) of a string column; null counts as empty."""
+def pieces(column: pa.Array | pa.ChunkedArray, most: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, UTF-8 bytes, offsets of the rows in them) of a string column, at most so many bytes or one row at a time; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
     n = len(column)
@@ -139,7 +124,7 @@ def pieces(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nd
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None and at[-1] else np.zeros(0, np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + PIECE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
         yield i, j, data[at[i] : at[j]], at[i : j + 1] - at[i]
         i = j
 
