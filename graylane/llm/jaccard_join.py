@@ -10,11 +10,13 @@ of the smaller coordinates of two points (or of two boxes around points) is neve
    share none of the first n - ceil(0.8 n) + 1 coordinates of one of them, the summed minima over what is left stay below
    the overlap that 0.8 asks for; so each class goes down to the cells of those coordinates only, and no link is lost.
    A frequent shingle's cell is split by class.
-3. Stars: in each cell every class is paired with the cell's first one. Pairs within the bound are verified on the sets
-   and give first components, which keeps groups of many near copies from being compared all with all.
-4. In the cells that hold more than one component, an R-tree over the points (boxes of coordinate minima and maxima,
+3. Seeds: in each cell every class is paired with the cell's first one; at most two such pairs of each class are
+   verified on the sets, if within the bound. They give first components, which keeps groups of many near copies from
+   being compared all with all.
+4. In the cells that hold more than one component (one cell of those with the same classes), an R-tree over the points (boxes of coordinate minima and maxima,
    packed by size) is joined with itself: pairs of boxes, then of points, whose bound is too small are left; the
-   surviving pairs of different components are verified. With that every pair of different components was considered.
+   surviving pairs of different components are verified, a share of them first, so that most components of a large
+   group have met before the rest. With that every pair of different components was considered.
 
 Which shingles count as frequent changes only the work, never the result; at most FREQUENT_MOST of them are kept.
 
@@ -38,13 +40,18 @@ from graylane.llm.graph import components
 #: Words of a shingle; links from NEED[0] / NEED[1] of the summed sizes (J >= 0.8: overlap >= 4/9 of |A| + |B|).
 WORDS, NEED = 5, (4, 9)
 GROUPS = 64
-#: Frequent: in at least this many documents of a block of about BLOCK_SHINGLES shingles.
-BLOCK_COUNT, BLOCK_SHINGLES, FREQUENT_MOST = 3, 2_000_000, 200_000
+#: Seen: in at least BLOCK_COUNT documents of a block of about BLOCK_SHINGLES shingles, so a shingle of d documents shows
+#: once d is a few times the root of the number of blocks. Frequent: seen in FREQUENT_LEAST at least, in all blocks.
+BLOCK_COUNT, BLOCK_SHINGLES, FREQUENT_LEAST, FREQUENT_MOST = 2, 6_000_000, 4, 500_000
+#: Of the pairs that the tree leaves, one in so many is verified first; only pairs of components that are still apart follow.
+SHARES = (16, 1)
+#: A class in up to so many open cells carries their list, so that a pair counts only in the first cell that both have.
+KNOWN_CELLS = 64
 #: Classes of one part of a frequent shingle's cell.
 PART = 2048
 #: Up to this many ids (16 MB) go to all executors to pick texts; beyond, texts and ids are joined by a shuffle.
 SEND_IDS = 2_000_000
-_STEP, _ALL = np.uint64(0x9E3779B97F4A7C15), 2**64 - 1
+_STEP, _ALL, _NO_CELL = np.uint64(0x9E3779B97F4A7C15), 2**64 - 1, np.int64(-(2**63))
 
 
 def shingle_sets(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -217,8 +224,8 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, leaf: int = 16) -> tuple[np.nd
     return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _cell_pairs(rows: DataFrame) -> DataFrame:
-    """(u, v) of different components within each (cell, x, y) of rows sorted by it; side is 0 or 1 where x and y are different parts."""
+def _cell_pairs(rows: DataFrame, share: int) -> DataFrame:
+    """(u, v) of different components within each (cell, x, y) of rows sorted by it, one in share of them; side is 0 or 1 where x and y are different parts."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def pairs(t: pa.Table) -> pa.RecordBatch | None:
@@ -243,13 +250,36 @@ def _cell_pairs(rows: DataFrame) -> DataFrame:
             return None
         a, b = np.concatenate(a), np.concatenate(b)
         keep = (col["root"][a] != col["root"][b]) & ((col["x"][a] == col["y"][a]) | (col["side"][a] != col["side"][b]))
-        u, v = col["cls"][a[keep]], col["cls"][b[keep]]
-        return pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], schema=schema)
+        a, b = a[keep], b[keep]
+        lists = t.column("mine").to_pylist()
+        cells_ = np.full((len(lists), KNOWN_CELLS), _NO_CELL)
+        for i in np.unique(np.concatenate([a, b])):
+            if lists[i]:
+                cells_[i, : len(lists[i])] = lists[i]
+        new = np.ones(len(a), bool)
+        for k in range(0, len(a), 1024):
+            x, y = cells_[a[k : k + 1024]][:, :, None], cells_[b[k : k + 1024]][:, None, :]
+            new[k : k + 1024] = ~((x == y) & (x != _NO_CELL) & (x < col["cell"][a[k : k + 1024], None, None])).any((1, 2))
+        u, v = col["cls"][a[new]], col["cls"][b[new]]
+        u, v = np.minimum(u, v), np.maximum(u, v)
+        now = C.mixed(u.view(np.uint64) ^ C.mixed(v.view(np.uint64))) % np.uint64(share) == 0
+        return pa.record_batch([pa.array(u[now]), pa.array(v[now])], schema=schema)
+
+    def once(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).group_by(["u", "v"]).aggregate([]).combine_chunks()
+        return pa.record_batch([t.column(c).combine_chunks() for c in ("u", "v")], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for t in C.whole_runs(batches, ["cell", "x", "y"]):
             if (out := pairs(t)) is not None:
-                yield out
+                held.append(out)
+                size += out.num_rows
+            if size > 500_000:  # a pair meets in many cells
+                yield once(held)
+                held, size = [], 0
+        if held:
+            yield once(held)
 
     return rows.mapInArrow(run, "u long, v long")
 
@@ -262,14 +292,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     spark = pairs.sparkSession
     names = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls"))).distinct()
     ids = C.written(classes.join(names, "cls").select("cls", "rep"), "jaccard-picked")
-    picked = ids.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.join(F.broadcast(picked) if ids.count() <= SEND_IDS else picked, "doc_id", "left_semi").select("text")
+    sent = F.broadcast if ids.count() <= SEND_IDS else lambda df: df
+    texts = docs.join(sent(ids.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi").select("text")
     schema = pa.schema([("cls", pa.int64()), ("members", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int | None] = {None}
         for batch in batches:
             for _, sets in shingle_sets(batch.column("text")):
-                sets = [s for s in sets if len(s)]
+                sets = [s for s in sets if (name := class_of(s)) not in known and not known.add(name)]
                 yield pa.record_batch([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,12 +315,45 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     # only classes in question come along; a repeated id brings other texts too, which the join by class leaves out
-    sets = texts.mapInArrow(build, "cls long, members binary").join(ids.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
-    sets = C.written(sets, "jaccard-sets")
+    sets = C.written(texts.mapInArrow(build, "cls long, members binary").join(sent(ids.select("cls")), "cls", "left_semi"), "jaccard-sets")
     both = pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
     return both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long")
 
 
+def _placed(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """groups with the component of each class."""
+    return groups.select("cell", "part", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+
+def _open_cells(placed: DataFrame) -> DataFrame:
+    """(cell, parts) of the cells with several components, one of those that hold the same classes.
+
+    Cells with the same members give the same pairs; members are compared by their number and three sums of hashes.
+    """
+    sums = [F.sum(F.shiftrightunsigned(F.xxhash64("cls", F.lit(k)), 32)).alias(f"s{k}") for k in range(3)]
+    cells_ = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("part").alias("parts"), F.count(F.lit(1)).alias("m"), *sums).filter("lo != hi")
+    return cells_.groupBy("m", "s0", "s1", "s2").agg(F.min(F.struct("cell", "parts")).alias("c")).select("c.cell", "c.parts")
+
+
+def _seeds(pairs: DataFrame, sized: DataFrame) -> DataFrame:
+    """Of the pairs (u, v), repeated once for each cell, at most two for each v within the bound: with the smallest u and with the most cells."""
+    counted = pairs.filter("u != v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("k"))
+    picked = counted.groupBy("v").agg(F.min("u").alias("a"), F.max_by("u", F.struct("k", "u")).alias("b"))
+    picked = picked.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("u"), "v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    near = picked.join(sized.select(F.col("cls").alias("u"), F.col("n").alias("n_u"), F.col("point").alias("p_u")), "u").join(sized.select(F.col("cls").alias("v"), F.col("n").alias("n_v"), F.col("point").alias("p_v")), "v")
+
+    def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("p_u", "p_v"))
+            n_u, n_v = (batch.column(c).to_numpy() for c in ("n_u", "n_v"))
+            yield batch.select(["u", "v"]).filter(pa.array(bound_ok(point_bound(p, q, n_u, n_v), n_u, n_v)))
+
+    ratio = (F.col("n_u") * 5 >= F.col("n_v") * 4) & (F.col("n_v") * 5 >= F.col("n_u") * 4)
+    return C.written(near.filter(ratio).select("u", "v", "n_u", "n_v", "p_u", "p_v").mapInArrow(within_bound, "u long, v long"), "jaccard-seeds")
+
+
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: doc_id, n, cls; classes: cls, rep, n; links: u, v between classes, enough to connect all that link)."""
     spark = docs.sparkSession
@@ -297,7 +361,7 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marks = C.written(signed(docs), "jaccard-signed")
     rows = marks.filter("n is not null").select("doc_id", "n", "cls", "point")
-    often = marks.filter("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
+    often = marks.filter("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT_LEAST)
     often = often.orderBy(F.desc("seen"), "shingle").limit(FREQUENT_MOST).toPandas()
     frequent, seen = often["shingle"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64)
     order = np.argsort(frequent)
@@ -311,32 +375,21 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     split = groups.filter("part >= 0").select("cell", "pivot").distinct()
     heads = split.join(split.groupBy("cell").agg(F.min("pivot").alias("head")), "cell").select(F.col("head").alias("u"), F.col("pivot").alias("v"))
-    stars = groups.select(F.col("pivot").alias("u"), F.col("cls").alias("v")).unionByName(heads).filter("u != v").distinct()
     sized = classes.select("cls", "n", "point")
-    near = stars.join(sized.select(F.col("cls").alias("u"), F.col("n").alias("n_u"), F.col("point").alias("p_u")), "u").join(sized.select(F.col("cls").alias("v"), F.col("n").alias("n_v"), F.col("point").alias("p_v")), "v")
-
-    def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("p_u", "p_v"))
-            n_u, n_v = (batch.column(c).to_numpy() for c in ("n_u", "n_v"))
-            yield batch.select(["u", "v"]).filter(pa.array(bound_ok(point_bound(p, q, n_u, n_v), n_u, n_v)))
-
-    ratio = (F.col("n_u") * 5 >= F.col("n_v") * 4) & (F.col("n_v") * 5 >= F.col("n_u") * 4)
-    near = C.written(near.filter(ratio).select("u", "v", "n_u", "n_v", "p_u", "p_v").mapInArrow(within_bound, "u long, v long"), "jaccard-stars")
-    first = C.written(verified(near, classes, docs), "jaccard-links")
-
-    roots = components(first)
-    placed = groups.select("cell", "part", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("part").alias("parts")).filter("lo != hi")
-    open_rows = placed.join(mixed, "cell").join(sized, "cls")
-    other = F.when(F.col("parts") > 0, F.sequence(F.lit(0), F.col("parts"))).otherwise(F.array(F.col("part")))
-    open_rows = open_rows.select("cell", "part", F.explode(other).alias("with"), "cls", "root", "n", "point")
-    open_rows = open_rows.select("cell", F.least("part", "with").alias("x"), F.greatest("part", "with").alias("y"), "cls", "root", F.when(F.col("part") > F.col("with"), 1).otherwise(0).alias("side"), "n", "point")
-    open_rows = open_rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
-    rest = C.written(_cell_pairs(open_rows).distinct(), "jaccard-pairs")
-    links = first.unionByName(C.written(verified(rest, classes, docs), "jaccard-links"))
+    seeds = _seeds(groups.select(F.col("pivot").alias("u"), F.col("cls").alias("v")).unionByName(heads), sized)
+    links = C.written(verified(seeds, classes, docs), "jaccard-links")
+
+    for share in SHARES:
+        placed = C.written(_placed(groups, components(links)), "jaccard-placed")
+        open_rows = placed.join(_open_cells(placed), "cell")
+        mine = open_rows.groupBy("cls").agg(F.collect_set("cell").alias("mine")).filter(F.size("mine") <= KNOWN_CELLS)
+        open_rows = open_rows.join(sized, "cls").join(mine, "cls", "left")
+        other = F.when(F.col("parts") > 0, F.sequence(F.lit(0), F.col("parts"))).otherwise(F.array(F.col("part")))
+        open_rows = open_rows.select("cell", "part", F.explode(other).alias("with"), "cls", "root", "n", "point", "mine")
+        open_rows = open_rows.select("cell", F.least("part", "with").alias("x"), F.greatest("part", "with").alias("y"), "cls", "root", F.when(F.col("part") > F.col("with"), 1).otherwise(0).alias("side"), "n", "point", "mine")
+        open_rows = open_rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
+        pairs = C.written(_cell_pairs(open_rows, share).distinct(), "jaccard-pairs")
+        links = C.written(links.unionByName(verified(pairs, classes, docs)), "jaccard-links")
     return rows.select("doc_id", "n", "cls"), classes.select("cls", "rep", "n"), links
 
 
