@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graylane.llm import common as C
-from graylane.llm.training import bounded_sample, row_sums, score_texts, sparse_counts
+from graylane.llm.training import bounded_sample, product, score_texts, sparse_counts
 
 WORDS, SHAPES = 1 << 15, 1 << 14
-PER_LABEL, LATENT, NEIGHBOURS, ITERATIONS = 2000, 64, 25, 3
+PER_LABEL, LATENT, NEIGHBOURS, ITERATIONS = 1500, 64, 25, 3
 #: Kinds of bytes: letters a, capitals A, digits 9; every other character stands for itself.
 KIND = np.arange(256, dtype=np.uint8)
 KIND[ord("a") : ord("z") + 1] = ord("a")
@@ -80,12 +80,11 @@ class NearestVotes:
         rng = np.random.Generator(np.random.PCG64(seed))
         q = rng.standard_normal((width, min(LATENT, rows))).astype(np.float32)
         for _ in range(ITERATIONS):
-            y = row_sums(q[term] * value[:, None], doc, rows)
+            y = product(doc, term, value, q, rows)
             y, _ = np.linalg.qr(y)
-            q = row_sums(y[t_doc] * t_value[:, None], t_term, width)
-            q, _ = np.linalg.qr(q)
-        q = q.astype(np.float32)
-        known = cls.unit(row_sums(q[term] * value[:, None], doc, rows))
+            q = product(t_term, t_doc, t_value, y, width)
+            q = np.linalg.qr(q)[0].astype(np.float32)
+        known = cls.unit(product(doc, term, value, q, rows))
         of = labels.mean()
         weight = np.where(labels == 1, share / of, (1 - share) / (1 - of))
         return cls(idf, q, known.astype(np.float32), labels, weight, share)
@@ -97,7 +96,7 @@ class NearestVotes:
             keep = self.idf[term] > 0
             doc, term, n = doc[keep], term[keep], n[keep]
             value = self.weighted(doc, term, n, rows, self.idf)
-            x = self.unit(row_sums(self.v[term] * value[:, None], doc, rows))
+            x = self.unit(product(doc, term, value, self.v, rows))
             some = np.flatnonzero((x * x).sum(1) > 0.5)
             for s in range(0, len(some), 256):
                 at = some[s : s + 256]

@@ -58,3 +58,13 @@ def row_sums(values: np.ndarray, doc: np.ndarray, rows: int) -> np.ndarray:
         at = np.r_[0, np.flatnonzero(np.diff(doc)) + 1]
         out[doc[at]] = np.add.reduceat(values, at, axis=0)
     return out
+
+
+def product(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, dense: np.ndarray, n: int, step: int = 100_000) -> np.ndarray:
+    """The sparse matrix (rows in order, cols, values) of n rows times dense, a bounded number of entries at once."""
+    out = np.zeros((n, dense.shape[1]), np.float32)
+    for k in range(0, len(rows), step):
+        r = rows[k : k + step]
+        at = np.r_[0, np.flatnonzero(np.diff(r)) + 1]
+        out[r[at]] += np.add.reduceat(dense[cols[k : k + step]] * values[k : k + step, None], at, axis=0)
+    return out
