@@ -33,7 +33,7 @@ def con(sf):
 def test_query(spark, sf, con, name):
     got = catalog.QUERIES[name](spark, sf)
     rows = sorted((tuple(plain(v) for v in r) for r in got.select(*sorted(got.columns)).collect()), key=repr)
-    assert rows
+    assert rows or name == "ambiguous_winners"  # no ties in the smallest table
     if name in catalog.ORACLES:
         want = con.sql(catalog.ORACLES[name])
         assert sorted(want.columns) == sorted(got.columns)
