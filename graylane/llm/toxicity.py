@@ -24,12 +24,13 @@ from graylane.llm.training import bounded_sample, row_sums, score_texts, sparse_
 
 BUCKETS, DIM, GRAMS = 1 << 18, 8, (3, 4, 5)
 #: ASIDE of the sample is not trained on: it sets the scale and the intercept of the logit.
-PER_LABEL, EPOCHS, BATCH, RATE, ASIDE = 2500, 10, 64, 0.5, 0.2
+#: At least UPDATES steps are made, however small the sample.
+PER_LABEL, EPOCHS, UPDATES, BATCH, RATE, ASIDE, FIT_PIECE = 1500, 10, 400, 64, 0.5, 0.2, 1 << 17
 
 
-def subwords(column: pa.Array):
+def subwords(column: pa.Array, piece: int = C.PIECE_BYTES):
     """(first row, rows, document of each feature, its bucket) for pieces of texts."""
-    for i, j, text, at in C.pieces(column):
+    for i, j, text, at in C.pieces(column, piece):
         n = np.diff(at)
         doc = np.repeat(np.arange(j - i), n)
         padded = np.full(len(text) + j - i + 1, 0x20, np.uint8)  # a space before, between and after the texts
@@ -84,42 +85,48 @@ class SubwordSoftmax:
     @classmethod
     def fit(cls, texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> SubwordSoftmax:
         """share: the share of label 1 among all labelled rows, whatever it is in the sample."""
-        docs, feats, counts = [], [], []
-        for first, _, d, f in subwords(pa.array(texts, pa.string())):
-            d, f, n = sparse_counts(d + first, f, BUCKETS)
-            docs.append(d.astype(np.int32))
-            feats.append(f.astype(np.int32))
-            counts.append(n.astype(np.float32))
-        doc, feat, n = np.concatenate(docs), np.concatenate(feats), np.concatenate(counts)
-        # features of a few texts alone would learn these texts by heart
-        often = np.bincount(feat, minlength=BUCKETS) >= max(2, len(texts) // 600)
-        total = np.bincount(doc, n, len(texts))
-        keep = often[feat]
-        doc, feat, value = doc[keep], feat[keep], (n / np.maximum(total[doc], 1))[keep].astype(np.float32)
-        edges = np.searchsorted(doc, np.arange(len(texts) + 1))
         rng = np.random.Generator(np.random.PCG64(seed))
-        aside = rng.random(len(texts)) < ASIDE
+        order = rng.permutation(len(texts))
+        aside, train = order[: int(ASIDE * len(order))], order[int(ASIDE * len(order)) :]
+        # this runs on the driver: the features of each batch of texts in narrow types, never all in one array
+        batches, df = [], np.zeros(BUCKETS, np.int64)
+        for k in range(0, len(train), BATCH):
+            rows, own, feats, counts = train[k : k + BATCH], [], [], []
+            for first, _, d, f in subwords(pa.array([texts[i] for i in rows], pa.string()), FIT_PIECE):
+                d, f, n = sparse_counts(d, f, BUCKETS)
+                own.append((d + first).astype(np.uint8))
+                feats.append(f.astype(np.int32))
+                counts.append(np.minimum(n, 255).astype(np.uint8))
+            if feats:
+                batches.append((rows, np.concatenate(own), np.concatenate(feats), np.concatenate(counts)))
+                df += np.bincount(batches[-1][2], minlength=BUCKETS)
+        # features of a few texts alone would learn these texts by heart
+        often = df >= max(2, len(texts) // 600)
+        for k, (rows, own, f, n) in enumerate(batches):
+            keep = often[f]
+            batches[k] = (rows, own[keep], f[keep], n[keep], np.bincount(own, n, len(rows)).astype(np.float32))
         e = rng.normal(0, 0.02 / DIM, (BUCKETS, DIM)).astype(np.float32)
         w, b = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
         w[:, 1], w[:, 0] = 0.5, -0.5
         g_e, g_w, g_b = np.full((BUCKETS, 1), 1e-8, np.float32), np.full_like(w, 1e-3), np.full_like(b, 1e-3)
         y = np.eye(2, dtype=np.float32)[labels]
-        for epoch in range(EPOCHS):
-            rate = RATE * (1 - epoch / EPOCHS)
-            order = rng.permutation(np.flatnonzero(~aside))
-            for k in range(0, len(order), BATCH):
-                rows = order[k : k + BATCH]
-                lengths = edges[rows + 1] - edges[rows]
-                at = np.repeat(edges[rows] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
-                own, f, v = np.repeat(np.arange(len(rows)), lengths), feat[at], value[at]
+        epochs = max(EPOCHS, UPDATES * BATCH // max(1, len(texts)))
+        for epoch in range(epochs):
+            rate = RATE * (1 - epoch / epochs)
+            for k in rng.permutation(len(batches)):
+                rows, own, f, n, total = batches[k]
+                if not len(f):
+                    continue
+                v = n / np.maximum(total, 1)[own]
                 h = row_sums(e[f] * v[:, None], own, len(rows))
                 z = h @ w + b
                 p = np.exp(z - z.max(1, keepdims=True))
                 d = p / p.sum(1, keepdims=True) - y[rows]
                 back = d @ w.T
-                f_u, inverse = np.unique(f, return_inverse=True)
-                order_f = np.argsort(inverse, kind="stable")
-                grad = row_sums((back[own] * v[:, None])[order_f], inverse[order_f], len(f_u))
+                by = np.argsort(f, kind="stable")
+                grad_of, at = f[by], np.r_[True, np.diff(f[by]) != 0]
+                f_u = grad_of[at]
+                grad = np.add.reduceat((back[own] * v[:, None])[by], np.flatnonzero(at), axis=0)
                 g_e[f_u] += (grad * grad).mean(1, keepdims=True)
                 e[f_u] -= rate * grad / np.sqrt(g_e[f_u])
                 gw, gb = h.T @ d / len(rows), d.mean(0)
@@ -128,14 +135,15 @@ class SubwordSoftmax:
                 w -= 0.1 * rate * gw / np.sqrt(g_w)
                 b -= 0.1 * rate * gb / np.sqrt(g_b)
         seen = np.zeros(BUCKETS, bool)
-        seen[feat] = True
+        for _, _, f, _, _ in batches:
+            seen[f] = True
         weight = np.where(seen, e @ (w[:, 1] - w[:, 0]), 0.0).astype(np.float32)
         model = cls(weight, 0.0, 1.0)
-        held = [t for t, a in zip(texts, aside, strict=True) if a]
-        z = model.mean_weights(pa.array(held, pa.string()))
+        z = model.mean_weights(pa.array([texts[i] for i in aside], pa.string()))
         y = labels[aside]
-        prior = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-        model.scale, model.bias = platt(z, y, prior) if 0 < y.mean() < 1 else (1.0, float(np.log(share / (1 - share))))
+        of = y.mean() if len(y) else 0.5
+        prior = np.where(y == 1, share / max(of, 1e-9), (1 - share) / max(1 - of, 1e-9))
+        model.scale, model.bias = platt(z, y, prior) if len(y) and 0 < y.mean() < 1 else (1.0, float(np.log(share / (1 - share))))
         return model
 
     def mean_weights(self, column: pa.Array) -> np.ndarray:
