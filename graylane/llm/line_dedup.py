@@ -7,6 +7,13 @@ suffix in the suffix array. Suffixes with one rank are an interval of that array
 first suffix (in the order of documents and lines) stays; the run that starts at any later one is deleted. Neighbouring
 and overlapping runs merge into the maximal ones.
 
+With min_words a run also qualifies by its words (runs of characters other than white space), one line of more than
+min_words being enough; min_lines=None leaves the words alone to decide, so short or empty lines don't qualify by their
+number. The shortest qualifying run from each line on and the shortest one up to each line are looked up: together they
+cover each maximal repeated run, as its last lines may be too short for a run of their own. A run of n lines, k <= n < 2 k,
+is named by the ranks of its first and its last k lines; doubling goes on while a longer run is left whose first lines
+are shared.
+
 A line is named by two 64-bit hashes, so a line's text moves only once, when the texts are put together again.
 
 Defined cases: a null text has no lines and stays null; an empty text has one empty line; documents are ordered by
@@ -16,11 +23,15 @@ document into the next; an empty table gives an empty result; further columns ar
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graylane.llm.common import written
 
+WORD = r"[^\x20\x09-\x0D]+"
+
 
 def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows with rank, the order of their keys among the distinct keys, the first place (doc_id, h, rid, line) with these keys, and many (more than one)."""
@@ -29,13 +40,50 @@ def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(names, keys)
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(lines of all documents: rid, doc_id, h, line, text; starts of later copies: rid, line)."""
+def shortest_runs(lines: DataFrame, min_lines: int | None, min_words: int) -> DataFrame:
+    """(rid, line, n) of the shortest qualifying run from each line (rid, line, words) on and up to each line."""
+    whole = Window.partitionBy("rid")
+    on = whole.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("upto", F.sum("words").over(on)).withColumn("all", F.sum("words").over(whole)).withColumn("lines", F.count(F.lit(1)).over(whole).cast("int"))
+    lines = lines.withColumn("before", F.col("upto") - F.col("words")).withColumn("after", F.col("all") - F.col("upto"))
+    reach = lambda c: F.count(F.lit(1)).over(whole.orderBy(c).rangeBetween(Window.unboundedPreceding, min_words)).cast("int")
+    lines = lines.withColumn("end", F.when(F.col("all") - F.col("before") > min_words, reach("before"))).withColumn("start", F.when(F.col("all") - F.col("after") > min_words, F.col("lines") - reach("after")))
+    if min_lines is not None:
+        flat = F.when(F.col("line") + min_lines <= F.col("lines"), F.col("line") + min_lines)
+        lines = lines.withColumn("end", F.least("end", flat)).withColumn("start", F.greatest("start", F.when(F.col("line") + 1 >= min_lines, F.col("line") + 1 - min_lines)))
+    runs = F.array(F.struct("line", (F.col("end") - F.col("line")).alias("n")), F.struct(F.col("start").alias("line"), (F.col("line") + 1 - F.col("start")).alias("n")))
+    return lines.select("rid", F.explode(runs).alias("run")).select("rid", "run.*").filter("n is not null").distinct()
+
+
+def word_runs(lines: DataFrame, now: DataFrame, min_lines: int | None, min_words: int) -> DataFrame:
+    """(rid, line, n) of the later copies of runs of min_lines lines or more than min_words words; now: the lines with their ranks."""
+    now = written(now.filter("many").select("rid", "place.line", "place", "rank"), "lines-shared")
+    runs = shortest_runs(lines, min_lines, min_words)
+    k, later = 1, []
+    while True:
+        runs = written(runs.join(now, ["rid", "line"]).select("rid", "line", "n", "place", F.col("rank").alias("a")), "lines-runs")
+        last = now.select("rid", F.col("line").alias("there"), F.col("rank").alias("b"))
+        ready = runs.filter(F.col("n") < 2 * k).withColumn("there", F.col("line") + F.col("n") - k).join(last, ["rid", "there"])
+        same = ready.groupBy("n", "a", "b").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
+        later.append(ready.join(same, ["n", "a", "b"]).filter(F.col("first") < F.col("place")).select("rid", "line", "n"))
+        runs = runs.filter(F.col("n") >= 2 * k).select("rid", "line", "n")
+        if runs.isEmpty():
+            return functools.reduce(DataFrame.unionByName, later)
+        pair = now.join(last.withColumn("line", F.col("there") - k).drop("there"), ["rid", "line"])
+        now = ranked(pair.select("rid", "place", F.col("rank").alias("a"), "b"), ["a", "b"])
+        now = written(now.filter("many").select("rid", "place.line", "place", "rank"), "lines-shared")
+        k *= 2
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int | None = 2, min_words: int | None = 50) -> tuple[DataFrame, DataFrame]:
+    """(texts of all documents: rid, doc_id, h, text; later copies of runs: rid, line, n)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("rid"))
     texts = written(texts, "lines-texts")
     lines = texts.select("rid", "doc_id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
     at = lines.select("rid", F.struct("doc_id", "h", "rid", "line").alias("place"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"))
     now = ranked(at, ["a", "b"]).select("rid", "place", "rank", "first", "many")
+    if min_words is not None:
+        return texts, word_runs(lines.select("rid", "line", F.regexp_count("text", F.lit(WORD)).alias("words")), now, min_lines, min_words)
     k = 1
     while k < min_lines:
         # only suffixes whose first k lines occur elsewhere can repeat further; the rest leave
@@ -45,14 +93,14 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pair = pair.filter(F.col("many") & (F.col("there") == F.col("place.line") + step))
         now = ranked(pair.select("rid", "place", F.col("rank").alias("a"), F.col("next").alias("b")), ["a", "b"]).select("rid", "place", "rank", "first", "many")
         k += step
-    return texts, now.filter("many").filter(F.col("first") < F.col("place")).select("rid", F.col("place.line").alias("line"))
+    return texts, now.filter("many").filter(F.col("first") < F.col("place")).select("rid", F.col("place.line").alias("line"), F.lit(min_lines).alias("n"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int | None = 2, min_words: int | None = 50) -> DataFrame:
     """For each row of docs: doc_id, text (without later copies; null only if it was null), n_lines, n_deleted, n_runs (maximal deleted runs)."""
-    texts, later = repeated_runs(docs, id_col, text_col, min_lines)
-    gone = later.groupBy("rid").agg(F.array_sort(F.collect_set("line")).alias("starts"))
-    gone = gone.withColumn("gone", F.array_sort(F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + min_lines - 1))))))
+    texts, later = repeated_runs(docs, id_col, text_col, min_lines, min_words)
+    gone = later.groupBy("rid").agg(F.collect_set(F.struct("line", "n")).alias("runs"))
+    gone = gone.withColumn("gone", F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["line"], r["line"] + r["n"] - 1))))))
     gone = gone.select(F.col("rid").alias("r"), "gone")
     parts = F.split("text", "\n", -1)
     flags = F.expr(f"aggregate(gone, struct(-2 as last, 0 as runs), (a, g) -> named_struct('last', g, 'runs', a.runs + if(g = a.last + 1, 0, 1))).runs")

@@ -40,11 +40,17 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines of all documents; later copies of runs of at least 2 lines go."""
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_words=None)
     return out.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op4_decontaminate": op4_decontaminate, "op6_chat": op6_chat, "op9_line_dedup": op9_line_dedup}
+def op9_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of all documents; later copies of runs of over 50 words go, however many lines they have."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_lines=None)
+    return out.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+QUERIES = {"op1_mix": op1_mix, "op4_decontaminate": op4_decontaminate, "op6_chat": op6_chat, "op9_line_dedup": op9_line_dedup, "op9_word_runs": op9_word_runs}
 
 _PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_PLAIN}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -100,5 +106,19 @@ r AS (SELECT rid, count(*) AS n, count(*) FILTER (WHERE p IS NULL OR p < line -
 k AS (SELECT rid, string_agg(t, chr(10) ORDER BY line) AS text FROM l WHERE (rid, line) NOT IN (SELECT (rid, line) FROM g) GROUP BY rid)
 SELECT d.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_deleted, coalesce(runs, 0) AS n_runs, sha256(coalesce(k.text, '')) AS text_sha256
 FROM d LEFT JOIN r USING (rid) LEFT JOIN k USING (rid)
+""",
+    "op9_word_runs": """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS rid, doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+l AS (SELECT rid, unnest(range(1, len(parts) + 1)) AS line, unnest(parts) AS t FROM d WHERE text IS NOT NULL),
+c AS (SELECT rid, line, sum(n) OVER (PARTITION BY rid ORDER BY line) AS upto, sum(n) OVER (PARTITION BY rid ORDER BY line) - n AS before
+      FROM (SELECT rid, line, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n FROM l)),
+s AS (SELECT c.rid, c.line AS s, min(e.line) AS e FROM c JOIN c e ON c.rid = e.rid AND e.line >= c.line AND e.upto - c.before > 50 GROUP BY 1, 2
+      UNION SELECT c.rid, max(b.line), c.line FROM c JOIN c b ON c.rid = b.rid AND b.line <= c.line AND c.upto - b.before > 50 GROUP BY 1, c.line),
+f AS (SELECT rid, s, e, row_number() OVER (PARTITION BY parts[s:e] ORDER BY rid, s) AS k FROM s JOIN d USING (rid)),
+g AS (SELECT DISTINCT rid, unnest(range(s, e + 1)) AS line FROM f WHERE k > 1),
+r AS (SELECT rid, count(*) AS n, count(*) FILTER (WHERE p IS NULL OR p < line - 1) AS runs FROM (SELECT rid, line, lag(line) OVER (PARTITION BY rid ORDER BY line) AS p FROM g) GROUP BY rid),
+k AS (SELECT rid, string_agg(t, chr(10) ORDER BY line) AS text FROM l WHERE (rid, line) NOT IN (SELECT (rid, line) FROM g) GROUP BY rid)
+SELECT d.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_deleted, coalesce(runs, 0) AS n_runs, sha256(coalesce(k.text, '')) AS text_sha256
+FROM d LEFT JOIN r USING (rid) LEFT JOIN k USING (rid)
 """,
 }

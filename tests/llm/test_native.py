@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import duckdb
@@ -150,6 +151,34 @@ def test_line_runs_against_brute_force(spark, k):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def brute_word_runs(texts, min_lines, min_words):
+    """As brute_lines, over all runs of any length that qualify by lines or words."""
+    seen, gone = set(), [set() for _ in texts]
+    for i, t in enumerate(texts):
+        lines = t.split("\n") if t is not None else []
+        for s in range(len(lines)):
+            for e in range(s + 1, len(lines) + 1):
+                run = tuple(lines[s:e])
+                if (min_lines is not None and e - s >= min_lines) or sum(len(x.split()) for x in run) > min_words:
+                    if run in seen:
+                        gone[i] |= set(range(s, e))
+                    seen.add(run)
+    return ["\n".join(x for j, x in enumerate(t.split("\n")) if j not in g) if t is not None else None for t, g in zip(texts, gone, strict=True)], [len(g) for g in gone]
+
+
+@pytest.mark.parametrize(("min_lines", "min_words"), [(None, 50), (2, 50), (None, 4), (3, 6)])
+def test_runs_by_words_against_brute_force(spark, min_lines, min_words):
+    long, short = "word " * 51, ["a b", "c", "", "d e f"]
+    texts = [long, "x\n" + long, long + "\nend", "y\n" + long + "\nend", "p\nq", "p\nq", "\n\n", "\n\n", None, "", "\n".join(short * 12), "z\n" + "\n".join(short * 12) + "\nc", "word " * 50, "word " * 50]
+    rng = random.Random(min_words)
+    texts += ["\n".join(rng.choice(short) for _ in range(rng.randrange(1, 40))) for _ in range(12)]
+    df = docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]).selectExpr(*EXTRA, "4 as line", "5 as words")
+    got = sorted(line_dedup.dedup_lines(df, min_lines=min_lines, min_words=min_words).collect(), key=lambda r: r.doc_id)
+    want, gone = brute_word_runs(texts, min_lines, min_words)
+    assert gone[1] == 1 and [r.text for r in got] == want and [r.n_deleted for r in got] == gone
+    assert line_dedup.dedup_lines(df.limit(0), min_lines=min_lines, min_words=min_words).count() == 0
+
+
 def test_line_runs_null_and_repeated_ids(spark):
     got = line_dedup.dedup_lines(docs_of(spark, [(None, "a\nb", "e", "s", 0), (1, "a\nb", "e", "s", 0), (1, "a\nb", "e", "s", 0)])).collect()
     assert sorted((str(r.doc_id), r.n_deleted) for r in got) == [("1", 2), ("1", 2), ("None", 0)]
