@@ -114,6 +114,12 @@ def canonical_list(t):
     return t("documents").select("doc_id", S.canonical_list(F.split(F.substring("text", 1, 200), " ")).alias("words"))
 
 
+@query("""SELECT doc_id, array_to_string(list_sort(list_filter(list_transform(string_split(text, ' '), lambda x: trim(x, ' ')), lambda x: x != '')), ',') AS words FROM documents""")
+def canonical_list_whole(t):
+    """canonical_list reads the first 200 characters; here the whole text."""
+    return t("documents").select("doc_id", S.canonical_list(F.split("text", " ")).alias("words"))
+
+
 @query("""SELECT conv_id, regexp_replace(string_agg(role, ', ' ORDER BY turn, role), '[\\[\\]"]', '', 'g') AS roles FROM conversations GROUP BY conv_id""")
 def join_array(t):
     by = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("r"))

@@ -29,6 +29,14 @@ def last_wins(t):
     return W.latest_per_key(w, ["doc_id", "word"], [F.desc("pos")]).select("doc_id", "word", "pos")
 
 
+@query("""WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word, unnest(range(len(string_split(text, ' ')))) AS pos FROM documents)
+SELECT doc_id, word, CAST(max(pos) AS INTEGER) AS pos FROM w GROUP BY 1, 2""")
+def last_wins_whole(t):
+    """Of a repeated word of the whole text, the last place."""
+    w = t("documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    return W.latest_per_key(w, ["doc_id", "word"], [F.desc("pos")]).select("doc_id", "word", "pos")
+
+
 @query("""SELECT o_custkey, count(*) AS kept FROM (SELECT *, max(o_orderdate) FILTER (o_orderstatus = 'F') OVER (PARTITION BY o_custkey) AS m FROM orders) WHERE m IS NULL OR o_orderdate >= m GROUP BY 1""")
 def drop_superseded(t):
     kept = W.drop_superseded(t("orders"), ["o_custkey"], F.col("o_orderdate"), F.col("o_orderstatus") == "F")

@@ -109,3 +109,12 @@ def test_row_diff_kinds(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "x")], "k int, v string")
     b = spark.createDataFrame([(1, "a"), (2, "c"), (3, "n"), (5, "y")], "k int, v string")
     assert {(r.k, r.kind) for r in Q.row_diff(a, b, "k", ["v"]).collect()} == {(2, "VALUE"), (3, "NULLABILITY"), (4, "MISSING"), (5, "EXTRA")}
+
+
+def test_whole_texts_are_read(spark, tmp_path):
+    from graylane import catalog
+
+    text = " ".join(["b"] * 400 + ["a", "b", "c"])
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog.QUERIES["canonical_list_whole"](spark, str(tmp_path)).collect()[0].words == ",".join(sorted(text.split(" ")))
+    assert {r.word: r.pos for r in catalog.QUERIES["last_wins_whole"](spark, str(tmp_path)).collect()} == {"a": 400, "b": 401, "c": 402}
