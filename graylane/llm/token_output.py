@@ -2,8 +2,8 @@
 
 Texts are dealt out in ascending order of doc_id, tokenized in each task and gathered into shards of about SHARD_IDS ids
 (whole documents). Within a shard the most frequent pairs of neighbouring symbols become new symbols, round after round
-(a batch of pairs each round, never across the end of a document), until a round saves less than LEAST_GAIN. A shard is
-one row of the written table:
+(a batch of pairs each round, never across the end of a document), until no pair is frequent enough to pay for its rule.
+A shard is one row of the written table:
 
 - part, shard: its place in the order of all ids; n_ids, n_docs
 - doc_ids (int64), lengths (uint32 ids of each document), symbols (uint32 symbols of each document)
@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 
 from graylane.llm import common as C
 
-SHARD_IDS, ROUNDS, PAIRS_A_ROUND, LEAST_GAIN = 1_000_000, 6, 2048, 0.02
-_HASH_BITS = 20
+SHARD_IDS, PAIRS_A_ROUND, LEAST_PAIRS = 1_000_000, 2048, 4
 
 
 class Encoder:
@@ -102,51 +101,65 @@ def _encoder(path: str) -> Encoder:
 
 
 def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, mask of documents' ends, rules): ids with frequent pairs replaced; last marks the end of each document."""
+    """(symbols, mask of documents' ends, rules): ids with frequent pairs replaced; last marks the end of each document.
+
+    A rule takes three words (its pair and its span), so a pair pays from LEAST_PAIRS places on. Rounds go on until no
+    pair has so many. A round takes the PAIRS_A_ROUND most frequent pairs, or a quarter of those that pay if these are
+    more. Where symbols would outgrow uint16 the rest is tried as well, and what takes fewer bytes is kept.
+    """
     seq, last, rules = ids.astype(np.uint32), last.copy(), []
-    bits = np.uint32(32 - _HASH_BITS)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        a, b = seq[:-1], seq[1:]
-        slot = (a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77)) >> bits
-        slot[last[:-1]] = 0  # slot 0 is left out
-        counts = np.bincount(slot, minlength=1 << _HASH_BITS)
-        counts[0] = 0
-        room = min(PAIRS_A_ROUND, max(0, 65536 - base - len(rules)) if base <= 60_000 else PAIRS_A_ROUND)
-        top = np.argpartition(counts, -room)[-room:] if room else np.zeros(0, np.int64)
-        top = top[counts[top] >= 4]
-        if not len(top):
+    narrow, room = None, PAIRS_A_ROUND
+    while len(seq) > 1:
+        key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        ok = ~last[:-1]
+        # in a row of one symbol every other place counts
+        ok &= ~((seq[:-1] == seq[1:]) & (run_places(key, ok) % 2 == 1))
+        pairs, counts = np.unique(key[ok], return_counts=True)
+        pairs, counts = pairs[counts >= LEAST_PAIRS], counts[counts >= LEAST_PAIRS]
+        if not len(pairs):
             break
-        # the pair of a slot is that of its last place; other pairs of the slot stay
-        place = np.full(1 << _HASH_BITS, -1, np.int64)
-        chosen = np.zeros(1 << _HASH_BITS, bool)
-        chosen[top] = True
-        at = np.flatnonzero(chosen[slot])
-        place[slot[at]] = at
-        own = place[slot[at]]
-        at = at[(a[at] == a[own]) & (b[at] == b[own])]
+        most = min(len(pairs), max(room, len(pairs) // 4) if room >= PAIRS_A_ROUND else room)
+        if narrow is None and base <= 65536:
+            if not 65536 - base - len(rules):
+                narrow = seq, last, len(rules)
+            else:
+                most = min(most, 65536 - base - len(rules))
+        chosen = np.sort(pairs[np.argpartition(counts, -most)[-most:]])
+        slot = np.minimum(np.searchsorted(chosen, key), most - 1)
+        at = np.flatnonzero(ok & (chosen[slot] == key))
         # of overlapping places every other one, from the left
         first = np.r_[True, np.diff(at) != 1]
         start = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
         at = at[(np.arange(len(at)) - start) % 2 == 0]
-        n = np.bincount(slot[at], minlength=1 << _HASH_BITS)
-        used = top[n[top] >= 4]
-        number = np.full(1 << _HASH_BITS, -1, np.int64)
+        n = np.bincount(slot[at], minlength=most)
+        used = np.flatnonzero(n >= LEAST_PAIRS)
+        if not len(used):  # the pairs took each other's places; the most frequent one alone has all of its own
+            room = max(1, most // 8)
+            continue
+        room = PAIRS_A_ROUND
+        number = np.full(most, -1, np.int64)
         number[used] = base + len(rules) + np.arange(len(used))
         new = number[slot[at]]
         at, new = at[new >= 0], new[new >= 0]
-        if len(at) < LEAST_GAIN * len(seq):
-            break
-        rules += [(int(seq[place[s]]), int(seq[place[s] + 1])) for s in used]
+        rules += [(int(k >> np.uint64(32)), int(k & np.uint64(0xFFFFFFFF))) for k in chosen[used]]
+        seq, last = seq.copy(), last.copy()
         seq[at] = new
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last = seq[keep], last[keep]
+    if narrow is not None and 2 * len(narrow[0]) + 12 * narrow[2] <= 4 * len(seq) + 12 * len(rules):
+        seq, last, rules = narrow[0], narrow[1], rules[: narrow[2]]
     return seq, last, np.array(rules, np.uint32).reshape(-1, 2)
 
 
+def run_places(key: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """The place of each pair in its row of equal pairs that follow each other; what isn't ok ends a row."""
+    first = np.r_[True, (key[1:] != key[:-1]) | ~ok[:-1]]
+    i = np.arange(len(key))
+    return i - np.maximum.accumulate(np.where(first, i, 0))
+
+
 def spans_of(rules: np.ndarray, base: int) -> np.ndarray:
     """The number of ids of each rule."""
     spans = np.zeros(len(rules), np.uint32)

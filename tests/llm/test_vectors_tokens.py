@@ -115,3 +115,20 @@ def test_grammar_round_trip(seed):
     assert (back == ids).all()
     if seed < 3:
         assert len(seq) + 2 * len(rules) < 0.7 * len(ids)
+
+
+def test_grammar_goes_on_while_pairs_pay():
+    rng = np.random.default_rng(7)
+    block = rng.integers(0, 50_000, 4096)
+    ids = np.tile(block, 64).astype(np.uint32)
+    last = np.zeros(len(ids), bool)
+    last[4095::4096] = True
+    seq, ends, rules = token_output.repair(ids, last, 50_257)
+    assert len(seq) == 64 and ends.all()  # each copy is one symbol
+    assert (token_output.expand(seq, 50_257, rules, token_output.spans_of(rules, 50_257)) == ids).all()
+    ids, last = rng.zipf(1.3, 50_000).clip(0, 50_000).astype(np.uint32), rng.random(50_000) < 0.01
+    last[-1] = True
+    seq, ends, rules = token_output.repair(ids, last, 50_257)
+    pairs = [(x, y) for x, y, e in zip(seq[:-1].tolist(), seq[1:].tolist(), ends[:-1].tolist(), strict=True) if not e and x != y]
+    assert np.unique(np.array(pairs), axis=0, return_counts=True)[1].max() < 4
+    assert (token_output.expand(seq, 50_257, rules, token_output.spans_of(rules, 50_257)) == ids).all()
