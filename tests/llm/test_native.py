@@ -47,6 +47,37 @@ def test_mix_targets_and_copies(spark, sf):
     assert sorted((r.doc_id, r.copies) for r in rows) == sorted((r.doc_id, r.copies) for r in again)
 
 
+@pytest.mark.parametrize(("sizes", "want"), [
+    ({"b": 69, "s": 138}, {"b": 69, "s": 138}),  # tied caps over weights
+    ({"a": 50, "b": 50, "c": 50, "d": 50}, None),  # places 1 and 4 weigh the same
+    ({"a": 100}, {"a": 100}),
+    ({None: 10, "a": 300}, None),
+    ({"a": 1, "b": 1, "c": 1000, "d": 2, None: 5}, None),
+    ({"a": 0, "b": 7}, {"a": 0, "b": 7}),
+])
+def test_mix_targets_by_hand(spark, sizes, want):
+    rows, i = [], 0
+    for s, n in sizes.items():
+        rows += [(i := i + 1, "w " * k, "en", s, 0) for k in ([7] * (n // 7) + [n % 7])]
+    got = mixing.mix(docs_of(spark, rows)).collect()
+    want = want or water_fill(sizes, (1, 2, 3), 3)
+    assert {r.source: round(r.target, 6) for r in got} == {s: round(float(x), 6) for s, x in want.items()}
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in sizes}
+    assert all(abs(taken[s] - want[s]) <= 4 for s in sizes) and len(got) == len(rows)
+
+
+def test_mix_rows_that_are_alike(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CELLS", 3)
+    rows = [(None, "x y", "en", "a", 0)] * 40 + [(7, "x y", "en", "a", 0)] * 3 + [(i, "w " * (i % 9), "en", "b", 0) for i in range(60)]
+    got = mixing.mix(docs_of(spark, rows).repartition(4)).collect()
+    assert len(got) == len(rows) and sum(r.doc_id is None for r in got) == 40
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 5
+    again = mixing.mix(docs_of(spark, rows).repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.size, r.copies) for r in got) == sorted((str(r.doc_id), r.size, r.copies) for r in again)
+
+
 def test_mix_rates_solve_the_dual(spark):
     rows = [(i, "w " * (1 + i % 37), "en", "ab"[i % 2], 0) for i in range(400)]
     got = mixing.mix(docs_of(spark, rows)).collect()
