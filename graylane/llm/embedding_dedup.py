@@ -153,9 +153,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     spark = vectors.sparkSession
     C.prepare_python(spark)
     rows = C.written(_classes(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("embedding"))), "vectors")
-    classes = rows.filter("key is not null and vec_id is not null").groupBy("key").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("x").alias("x"))
-    # two classes share a smallest id only where one id stands for several vectors; then the class itself tells them apart
-    classes = C.written(classes, "vector-classes")
+    # a class is a node of its own, whatever ids its rows have: one id may stand for several vectors
+    classes = rows.filter("key is not null and vec_id is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("x").alias("x"))
+    classes = C.written(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     buckets = C.written(_buckets(classes, projections, tables), "vector-buckets")
     sizes = buckets.groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = buckets.join(sizes, ["tab", "bucket"]).withColumn("parts", F.expr(f"cast(n div {PART} + 1 as int)"))
@@ -167,8 +167,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     found = C.written(_compare(members, threshold, projections, tables), "vector-links")
     links = found.filter("v is null").groupBy("u").agg(F.sum("links").alias("others"))
     roots = components(found.filter("v is not null").select("u", "v"))
-    of = classes.join(links.withColumnRenamed("u", "node"), "node", "left").join(roots, "node", "left")
-    of = of.select("key", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+    of = classes.select("key", "node", "rep", "copies").join(links.withColumnRenamed("u", "node"), "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of = C.written(of.select("key", "root", "rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "vector-roots")
+    of = of.join(of.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("key", "n_links", "component_id")
     known = F.col("vec_id").isNotNull()
     out = rows.select("vec_id", "key").join(of, "key", "left")
     component = F.when(known, F.coalesce("component_id", "vec_id"))

@@ -61,6 +61,14 @@ def test_embedding_edge_cases(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (3, [0.0, 1.0])]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)]
+    alone = embedding_dedup.near_duplicates(spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01])], "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links) for r in alone) == [(1, 0), (1, 1), (2, 1)]
+
+
 def test_bucket_larger_than_a_part(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "PART", 8)
     rng = np.random.default_rng(1)
