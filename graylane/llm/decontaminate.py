@@ -1,34 +1,40 @@
 """Benchmark decontamination by a distributed positional index (DataFrame operations only).
 
-1. Count, over all training texts, the occurrences of every word of the benchmark; the table has a row for each word.
-2. A window is 13 consecutive words of an item (all its words if it has fewer). Its anchor is its rarest word; the next
-   rarest words follow. A window with a word that no text has cannot occur and goes.
-3. Store the postings of the anchors (word, document, position), each with the words next to it, in one pass over the
-   texts that moves none of them.
-4. Intersect: an anchor's posting, shifted by the anchor's place in the window, must meet the next rarest words at
-   their shifted places, and then the whole phrase. Proximity matches have at least a given share of the window's words
-   next to the anchor, in any order.
-
-The benchmark is stated in blocks of at most BLOCK_WINDOWS windows, so what is broadcast is bounded; a larger benchmark
-takes more passes.
-
-Defined cases: a null text has no words; an item without words or id has no windows; items with one id count as one
+1. Count, over all training texts, the occurrences of every word of the benchmark.
+2. A phrase is a window of 13 consecutive words of an item (all its words if it has fewer). Its RARE rarest words, with
+   their places in it, are what is looked up. A phrase with a word that no text has cannot occur.
+3. Store the postings (text, word, position) of these words, in one pass over the texts that moves none of them.
+4. Intersect from the rarest word on: its postings, shifted by the distance of the next rarest word, must meet that
+   word's postings, then those of the third. Phrases that share two words at one distance (as neighbouring windows of an
+   item do) are one lookup up to the third word.
+5. What is left is compared with the whole phrase in the texts that still have a candidate; only these are read again.
+
+Words are looked up by a 64-bit hash and texts are named by one; the last step compares the words themselves, so a
+collision costs a comparison and never a result. Equal texts have their postings once. Terms and phrases are broadcast
+up to SEND_ROWS rows; a larger benchmark is joined by shuffles.
+
+Proximity matches have at least a given share of the phrase's distinct words within one window's length of one of its
+rarest words, in any order; enough of the rarest words are looked up that one of them must be there. They may have words
+that no text has.
+
+Defined cases: a null text has no words; an item without words or id has no phrases; items with one id count as one
 item; rows with one doc_id stay separate rows; an empty benchmark leaves every document clean; further columns are
 ignored.
 """
 
 from __future__ import annotations
 
-import functools
+import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graylane.llm.common import written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Windows of a block; with their words about 30 MB, the most that is broadcast at once.
-BLOCK_WINDOWS = 50_000
+#: Most rows of terms (16 bytes each) or phrases (about 200) that are broadcast.
+SEND_ROWS = {"terms": 2_000_000, "phrases": 200_000, "texts": 1_000_000}
+RARE = 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,64 +44,98 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(plain, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
-    """(item_id, phrase): the distinct windows of each item."""
-    w = benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1))
-    return w.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("w", s, window))).alias("phrase")).distinct()
-
-
-def with_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """The windows that can occur, with their three rarest words and these words' places (from 0)."""
-    terms = windows.select("wid", F.posexplode("phrase").alias("place", "word")).join(counts, "word", "left")
-    rare = terms.groupBy("wid").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "place", "word"))).alias("rare"))
-    rare = rare.filter(F.col("rare")[0]["freq"] > 0)
-    at = lambda k: F.get("rare", F.least(F.lit(k), F.size("rare") - 1))
-    return windows.join(rare, "wid").select(
-        "wid", "item_id", "phrase", F.size("phrase").alias("len"), at(0)["word"].alias("anchor"), *[at(k)[c].alias(f"{c}{k}") for k in range(3) for c in ("place", "word")]
-    )
+def sent(df: DataFrame, kind: str) -> DataFrame:
+    """df for the build side of a join: broadcast if its count is within the bound for its kind."""
+    return F.broadcast(df) if df.limit(SEND_ROWS[kind] + 1).count() <= SEND_ROWS[kind] else df
 
 
-def postings_and_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 13, near_share: float = 0.8) -> DataFrame:
-    """Rows of three kinds: 'size' (one for each document: start is its number of words), 'phrase' and 'near'.
-
-    Columns: rid (a row of docs), doc_id, kind, start, len, item_id, shared (words in common with the window).
+def item_phrases(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """(pid, phrase, len) of the distinct phrases, and (pid, item_id) of the items that have them."""
+    w = benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1))
+    each = written(w.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("w", s, window))).alias("phrase")).distinct(), "decon-windows")
+    phrases = written(each.select("phrase").distinct().select(F.monotonically_increasing_id().alias("pid"), "phrase", F.size("phrase").alias("len")), "decon-phrases")
+    return phrases, written(each.join(phrases, "phrase").select("pid", "item_id"), "decon-items")
+
+
+def with_rare(phrases: DataFrame, texts: DataFrame, rare: int) -> DataFrame:
+    """phrases with freq (of its rarest word) and terms: (freq, place, tid) of its rarest words, rarest first, `rare` of them."""
+    terms = written(phrases.select("pid", F.posexplode("phrase").alias("place", "word")).select("pid", "place", F.xxhash64("word").alias("tid")), "decon-terms")
+    vocabulary = terms.select("tid").distinct()
+    counts = texts.select(F.explode("w").alias("word")).select(F.xxhash64("word").alias("tid")).join(sent(vocabulary, "terms"), "tid").groupBy("tid").agg(F.count(F.lit(1)).alias("freq"))
+    counts = written(counts, "decon-counts")
+    found = terms.join(sent(counts, "terms"), "tid", "left").groupBy("pid").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "place", "tid"))).alias("terms"))
+    found = found.select("pid", F.col("terms")[0]["freq"].alias("freq"), F.slice("terms", 1, rare).alias("terms"))
+    return written(phrases.join(found, "pid"), "decon-rare")
+
+
+def postings(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, h, tid, pos) of the terms (tid) in the texts; an empty word at the end of each text has its number of words as pos."""
+    keys = terms.select("tid").distinct().unionByName(texts.sparkSession.sql("select xxhash64('') as tid"))
+    posted = texts.select("doc_id", "h", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "word")).select("doc_id", "h", "pos", F.xxhash64("word").alias("tid"))
+    return written(posted.join(sent(keys, "terms"), "tid"), "decon-postings")
+
+
+def phrase_candidates(phrases: DataFrame, posts: DataFrame) -> DataFrame:
+    """(h, pid, start): where the three rarest words of a phrase stand at their distances."""
+    at = lambda k: F.get("terms", F.least(F.lit(k), F.size("terms") - 1))
+    p = phrases.filter("freq > 0").select("pid", "len", *[at(k)["tid"].alias(f"tid{k}") for k in range(3)], *[at(k)["place"].alias(f"place{k}") for k in range(3)])
+    p = p.withColumn("step", F.col("place1") - F.col("place0"))
+    pairs = p.select("tid0", "tid1", "step").distinct()
+    first = posts.withColumnRenamed("tid", "tid0").join(sent(pairs, "phrases"), "tid0").withColumn("there", F.col("pos") + F.col("step"))
+    lists = posts.select("h", F.col("tid").alias("tid_x"), F.col("pos").alias("pos_x"))
+    meet = lambda df, tid: df.join(lists, (df["h"] == lists["h"]) & (df[tid] == lists["tid_x"]) & (df["there"] == lists["pos_x"]), "left_semi")
+    first = written(meet(first, "tid1").drop("there"), "decon-met")
+    third = first.join(sent(p, "phrases"), ["tid0", "tid1", "step"]).withColumn("start", F.col("pos") - F.col("place0")).withColumn("there", F.col("start") + F.col("place2"))
+    return meet(third.filter("start >= 0"), "tid2").select("h", "pid", "start")
+
+
+def near_candidates(phrases: DataFrame, posts: DataFrame) -> DataFrame:
+    """(h, pid, start): from where on a window's length of words around one of the rarest words of a phrase stands."""
+    terms = phrases.select("pid", F.col("len"), F.explode("terms").alias("t")).select("pid", "len", F.col("t.tid").alias("tid"))
+    return posts.join(sent(terms, "phrases"), "tid").select("h", "pid", F.greatest(F.lit(0), F.col("pos") - F.col("len") + 1).alias("start"))
+
+
+def located(texts: DataFrame, phrases: DataFrame, candidates: DataFrame, near_share: float | None) -> DataFrame:
+    """(doc_id, h, pid, start, len, shared) of the candidates that the texts' own words confirm."""
+    by_text = written(candidates.groupBy("h").agg(F.collect_set(F.struct("pid", "start")).alias("at")), "decon-candidates")
+    rows = texts.join(sent(by_text, "texts"), "h").select("doc_id", "h", "w", F.explode("at").alias("at")).select("doc_id", "h", "w", "at.*")
+    rows = rows.join(sent(phrases.select("pid", "phrase", "len"), "phrases"), "pid")
+    if near_share is None:
+        return rows.filter(F.slice("w", F.col("start") + 1, F.col("len")) == F.col("phrase")).select("doc_id", "h", "pid", "start", "len", F.size(F.array_distinct("phrase")).alias("shared"))
+    shared = F.size(F.array_intersect(F.slice("w", F.col("start") + 1, 2 * F.col("len") - 1), "phrase"))
+    rows = rows.select("doc_id", "h", "pid", "start", "len", shared.alias("shared"), F.size(F.array_distinct("phrase")).alias("n"))
+    return rows.filter(F.col("shared") >= near_share * F.col("n")).drop("n")
+
+
+def index_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 13, near_share: float | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes: doc_id, h, n_words of each row of docs; matches: doc_id, h, pid, start, len, shared; items: pid, item_id).
+
+    Without near_share the matches are exact; with it they are the proximity matches, exact ones among them, where start is
+    that of the stretch of words that was compared.
     """
-    windows = written(item_windows(benchmark, item_col, item_text, window).withColumn("wid", F.xxhash64("item_id", "phrase")), "decon-windows")
-    blocks = windows.count() // BLOCK_WINDOWS + 1
-    found = []
-    texts = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
-    for k in range(blocks):
-        block = windows.filter(F.pmod(F.col("wid"), F.lit(blocks)) == k)
-        vocabulary = block.select(F.explode("phrase").alias("word")).distinct()
-        counts = texts.select(F.explode("w").alias("word")).join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-        anchors = written(with_anchors(block, counts), "decon-anchors")
-        # an empty word at the end of each text: its posting keeps the number of words
-        keys = anchors.select("anchor").distinct().unionByName(docs.sparkSession.sql("select '' as anchor"))
-        posted = (
-            texts.withColumn("rid", F.monotonically_increasing_id())
-            .select("rid", "doc_id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "word"))
-            .join(F.broadcast(keys), F.col("word") == F.col("anchor"))
-        )
-        near = F.slice("w", F.greatest(F.lit(1), F.col("pos") - window + 2), F.col("pos") + window - F.greatest(F.lit(0), F.col("pos") - window + 1))
-        posted = written(posted.select("rid", "doc_id", "word", "pos", F.when(F.col("word") != "", near).alias("near"), F.greatest(F.lit(0), F.col("pos") - window + 1).alias("from")), "decon-postings")
-        if k == 0:
-            found.append(posted.filter("word = ''").select("rid", "doc_id", F.lit("size").alias("kind"), F.col("pos").alias("start"), F.lit(0).alias("len"), F.lit(None).cast(windows.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("shared")))
-        hits = posted.filter("word != ''").join(F.broadcast(anchors), F.col("word") == F.col("anchor"))
-        start = F.col("pos") - F.col("place0")
-        there = lambda p: F.get("near", start + F.col(p) - F.col("from"))
-        phrase = (start >= F.col("from")) & (there("place1") == F.col("word1")) & (there("place2") == F.col("word2")) & (F.slice("near", F.greatest(F.lit(1), start - F.col("from") + 1), F.col("len")) == F.col("phrase"))
-        shared = F.size(F.array_intersect("near", "phrase"))
-        kind = F.when(F.coalesce(phrase, F.lit(False)), "phrase").when(shared >= near_share * F.size(F.array_distinct("phrase")), "near")
-        found.append(hits.withColumn("kind", kind).filter("kind is not null").select("rid", "doc_id", "kind", start.alias("start"), "len", "item_id", shared.alias("shared")))
-    return functools.reduce(DataFrame.unionByName, found)
+    phrases, items = item_phrases(benchmark, item_col, item_text, window)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), words(F.col(text_col)).alias("w"))
+    missing = 0 if near_share is None else window - math.ceil(near_share * window)
+    rare = with_rare(phrases, texts, max(RARE, missing + 1))
+    looked_up = rare if near_share is not None else rare.filter("freq > 0")
+    posted = postings(texts, looked_up.select(F.explode("terms.tid").alias("tid")))
+    end = F.col("tid") == F.xxhash64(F.lit(""))
+    sizes = posted.filter(end).select("doc_id", "h", F.col("pos").cast("long").alias("n_words"))
+    posts = written(posted.filter(~end).select("h", "tid", "pos").distinct(), "decon-lists")
+    candidates = phrase_candidates(rare, posts) if near_share is None else near_candidates(rare, posts)
+    return sizes, located(texts, phrases, candidates, near_share), items
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least_share: int = 20, **names) -> DataFrame:
-    """For each row of docs: doc_id, n_words, n_hit (words inside an occurrence of a window), items, contaminated."""
-    found = postings_and_matches(docs, benchmark, **names).filter("kind != 'near'")
-    span = F.when(F.col("kind") == "phrase", F.struct("start", (F.col("start") + F.col("len")).alias("end")))
-    by_doc = found.groupBy("rid", "doc_id").agg(F.max(F.when(F.col("kind") == "size", F.col("start"))).cast("long").alias("n_words"), F.sort_array(F.collect_set(span)).alias("spans"), F.collect_set("item_id").alias("ids"))
+    """For each row of docs: doc_id, h (hash of its text), n_words, n_hit (words inside an occurrence of a window), items, contaminated."""
+    sizes, matches, items = index_matches(docs, benchmark, **names)
+    matches = written(matches.select("doc_id", "h", "pid", "start", "len").distinct(), "decon-matches")
+    spans = matches.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("spans"))
     hit = F.expr("aggregate(spans, struct(0L as n, 0L as upto), (a, s) -> named_struct('n', a.n + greatest(0L, s.end - greatest(a.upto, cast(s.start as bigint))), 'upto', greatest(a.upto, cast(s.end as bigint)))).n")
-    out = by_doc.select("doc_id", "n_words", hit.alias("n_hit"), F.sort_array(F.transform("ids", lambda i: i.cast("string"))).alias("items"))
+    named = matches.select("doc_id", "h", "pid").distinct().join(sent(items, "phrases"), "pid").groupBy("doc_id", "h").agg(F.collect_set("item_id").alias("ids"))
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
+    found = spans.join(named, same(spans, named)).select(spans["doc_id"], spans["h"], hit.alias("n_hit"), F.sort_array(F.transform("ids", lambda i: i.cast("string"))).alias("items"))
+    found = written(found, "decon-found")
+    out = sizes.join(found, same(sizes, found), "left").select(sizes["doc_id"], sizes["h"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * least_share >= F.col("n_words")))

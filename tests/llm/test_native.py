@@ -124,20 +124,33 @@ def test_decontaminate_against_brute_force(spark, monkeypatch):
     texts = [None, "", "!!!", " ".join(w), " ".join(w[:12]), "Only FIVE, words; are\nhere", "x " * 500 + " ".join(w[2:17]) + " é Only five words are here Only five words are here", " ".join(w[::-1]), " ".join(w + w), "only five words are", "É only five words are here É"]
     docs = docs_of(spark, [(i if i != 7 else None, t, "en", "s", 0) for i, t in enumerate(texts)] + [(3, texts[3], "en", "s", 0)])
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
-    for block in (50_000, 2):  # in one block, and in several
-        monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
-        got = decontaminate.decontaminate(docs.selectExpr(*EXTRA), bench.selectExpr("*", "'a' as anchor", "1 as wid")).collect()
+    for most in (50_000, 2):  # by broadcasts, and by shuffles
+        monkeypatch.setattr(decontaminate, "SEND_ROWS", dict.fromkeys(decontaminate.SEND_ROWS, most))
+        got = decontaminate.decontaminate(docs.selectExpr(*EXTRA, "7 as h", "8 as tid"), bench.selectExpr("*", "'a' as anchor", "1 as pid")).collect()
         assert sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in got) == sorted((str(i if i != 7 else None), *brute_hits(t, BENCH)) for i, t in [*enumerate(texts), (3, texts[3])])
         assert all(r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words) for r in got)
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
     assert {r.n_hit for r in decontaminate.decontaminate(docs, bench.limit(0)).collect()} == {0}
 
 
+def test_decontaminate_random_texts(spark):
+    rng = random.Random(5)
+    make = lambda n: " ".join(rng.choice("a b c d e") + rng.choice(["", "", "x"]) for _ in range(n))
+    bench = [(i, make(rng.randrange(1, 30))) for i in range(30)]
+    texts = [make(rng.randrange(0, 60)) + " " + rng.choice(bench)[1] + " " + make(rng.randrange(0, 20)) for _ in range(60)]
+    got = decontaminate.decontaminate(docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == [(i, *brute_hits(t, bench)) for i, t in enumerate(texts)]
+
+
 def test_proximity(spark):
-    docs = docs_of(spark, [(1, "here are five only words", "en", "s", 0), (2, "nothing of it", "en", "s", 0)])
-    bench = spark.createDataFrame(BENCH[1:2], "item_id long, text string")
-    got = decontaminate.postings_and_matches(docs, bench).filter("kind != 'size'").select("doc_id", "kind", "shared").distinct().collect()
-    assert [tuple(r) for r in got] == [(1, "near", 5)]
+    passage = [f"w{i}" for i in range(13)]
+    changed = passage[:4] + ["typo"] + passage[5:]
+    texts = ["here are five only words", "nothing of it", "x y " + " ".join(changed) + " z", " ".join(passage[:9]), " ".join(passage)]
+    docs = docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(2, "only five words are here"), (6, " ".join(passage)), (7, " ".join(passage[:12]) + " nowhere")], "item_id long, text string")
+    _, found, items = decontaminate.index_matches(docs, bench, near_share=0.8)
+    got = found.join(items, "pid").groupBy("doc_id", "item_id").agg({"shared": "max"}).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 2, 5), (2, 6, 12), (2, 7, 11), (4, 6, 13), (4, 7, 12)]
 
 
 TALKS = [
