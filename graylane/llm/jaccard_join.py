@@ -6,17 +6,20 @@ of the smaller coordinates of two points (or of two boxes around points) is neve
 
 1. One pass names the sets: class (documents with one set are one class), size, point, and the shingles that stand in
    several of a few thousand neighbouring documents, with counts.
-2. The top of the tree, dealt out by Spark. Its coordinates are single shingles, those found frequent last. If two sets
-   share none of the first n - ceil(0.8 n) + 1 coordinates of one of them, the summed minima over what is left stay below
-   the overlap that 0.8 asks for; so each class goes down to the cells of those coordinates only, and no link is lost.
-   A frequent shingle's cell is split by class.
+2. The top of the tree, dealt out by Spark. Its coordinates are single shingles in one order, those found frequent last.
+   Two linked sets of which the smaller asks for an overlap t share at least l of the first n - t + l coordinates of
+   either set, whatever l is. Each class goes down to the cells of its first n - ceil(0.8 n) + l coordinates with
+   l = n / 20 + 1, and only classes of which another class has enough too (the l of the smallest set that it could link
+   with) go on. The pair meets in the
+   first coordinate that both have, so the first n - ceil(0.8 n) + 1 cells of the classes that are left are enough.
 3. Seeds: in each cell every class is paired with the cell's first one; at most two such pairs of each class are
    verified on the sets, if within the bound. They give first components, which keeps groups of many near copies from
    being compared all with all.
-4. In the cells that hold more than one component (one cell of those with the same classes), an R-tree over the points (boxes of coordinate minima and maxima,
-   packed by size) is joined with itself: pairs of boxes, then of points, whose bound is too small are left; the
-   surviving pairs of different components are verified, a share of them first, so that most components of a large
-   group have met before the rest. With that every pair of different components was considered.
+4. In the cells that hold more than one component (one cell of those with the same classes), an R-tree over the points
+   (boxes of coordinate maxima, packed by size and two sums of coordinates) is joined with itself: pairs of boxes, then
+   of points, whose bound is too small are left; the surviving pairs of different components are verified, a share of
+   them first, so that most components of a large group have met before the rest. With that every pair of different
+   components was considered. A cell of more than PART classes is split, each pair of its parts being work of its own.
 
 Which shingles count as frequent changes only the work, never the result; at most FREQUENT_MOST of them are kept.
 
@@ -39,19 +42,20 @@ from graylane.llm.graph import components
 
 #: Words of a shingle; links from NEED[0] / NEED[1] of the summed sizes (J >= 0.8: overlap >= 4/9 of |A| + |B|).
 WORDS, NEED = 5, (4, 9)
-GROUPS = 64
+#: Groups of a point, a byte each; FULL stands for that many shingles or more.
+GROUPS, FULL = 256, 255
 #: Seen: in at least BLOCK_COUNT documents of a block of about BLOCK_SHINGLES shingles, so a shingle of d documents shows
 #: once d is a few times the root of the number of blocks. Frequent: seen in FREQUENT_LEAST at least, in all blocks.
 BLOCK_COUNT, BLOCK_SHINGLES, FREQUENT_LEAST, FREQUENT_MOST = 2, 6_000_000, 4, 500_000
 #: Of the pairs that the tree leaves, one in so many is verified first; only pairs of components that are still apart follow.
 SHARES = (16, 1)
-#: A class in up to so many open cells carries their list, so that a pair counts only in the first cell that both have.
-KNOWN_CELLS = 64
-#: Classes of one part of a frequent shingle's cell.
-PART = 2048
+#: Names of classes that a task remembers, so as not to send copies twice.
+KNOWN = 1_000_000
+#: Classes of one part of a cell.
+PART = 512
 #: Up to this many ids (16 MB) go to all executors to pick texts; beyond, texts and ids are joined by a shuffle.
 SEND_IDS = 2_000_000
-_STEP, _ALL, _NO_CELL = np.uint64(0x9E3779B97F4A7C15), 2**64 - 1, np.int64(-(2**63))
+_STEP, _ALL = np.uint64(0x9E3779B97F4A7C15), 2**64 - 1
 
 
 def shingle_sets(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -87,7 +91,16 @@ def class_of(s: np.ndarray) -> int | None:
 
 
 def point_of(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS), 65535).astype(np.uint16).tobytes()
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=GROUPS), FULL).astype(np.uint8).tobytes()
+
+
+def first_coordinates(n: int) -> tuple[int, int, int]:
+    """(coordinates that a set of n goes down to, coordinates that it must share, coordinates of which two linked sets share one).
+
+    A linked set has at least 0.8 n members, so its l is at least the second number, and both go down to so many in common.
+    """
+    common = -(-4 * n // 5)
+    return n - common + n // 20 + 1, common // 20 + 1, n - common + 1
 
 
 def _counts(held: list[np.ndarray]) -> pa.RecordBatch | None:
@@ -96,14 +109,14 @@ def _counts(held: list[np.ndarray]) -> pa.RecordBatch | None:
     if not keep.any():
         return None
     k = int(keep.sum())
-    return pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(values[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], schema=_SIGNED)
+    return pa.record_batch([*[pa.nulls(k, pa.int64())] * 4, pa.nulls(k, pa.binary()), pa.array(values[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], schema=_SIGNED)
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("point", pa.binary()), ("shingle", pa.int64()), ("seen", pa.int64())])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("point", pa.binary()), ("shingle", pa.int64()), ("seen", pa.int64())])
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """Rows of documents (doc_id, n, cls, point) and rows of shingles (shingle, seen), in one pass over (doc_id, text)."""
+    """Rows of documents (doc_id, rk, n, cls, point) and rows of shingles (shingle, seen), in one pass over (doc_id, rk, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -113,7 +126,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 names = [class_of(s) for s in sets]
                 k = len(sets)
                 yield pa.record_batch(
-                    [batch.column("doc_id").slice(first, k).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array([point_of(s) for s in sets], pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
+                    [*[batch.column(c).slice(first, k) for c in ("doc_id", "rk")], pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array([point_of(s) for s in sets], pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
                     schema=_SIGNED,
                 )
                 for name, s in zip(names, sets, strict=True):
@@ -128,24 +141,30 @@ def signed(docs: DataFrame) -> DataFrame:
         if held and (out := _counts(held)) is not None:
             yield out
 
-    return docs.mapInArrow(run, "doc_id long, n long, cls long, point binary, shingle long, seen long")
+    return docs.select("doc_id", "rk", "text").mapInArrow(run, "doc_id long, rk long, n long, cls long, point binary, shingle long, seen long")
 
 
 def cells(docs: DataFrame, frequent: np.ndarray, seen: np.ndarray) -> DataFrame:
-    """(cell, part, cls): the first coordinates of each set; frequent (sorted) come last, the most frequent at the very end."""
-    schema = pa.schema([("cell", pa.int64()), ("part", pa.int32()), ("cls", pa.int64())])
+    """(cell, part, cls, asked, near): the first coordinates of each set; frequent (sorted) come last, the most frequent at the very end.
+
+    part splits the cells of frequent shingles; asked is the number of coordinates that must be shared; near marks those
+    of which two linked sets share one.
+    """
+    schema = pa.schema([("cell", pa.int64()), ("part", pa.int32()), ("cls", pa.int64()), ("asked", pa.int32()), ("near", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for batch in batches:
             for _, sets in shingle_sets(batch.column("text")):
-                out_cell, out_part, out_cls, lengths = [], [], [], []
+                out_cell, out_part, out_cls, lengths, asked, near = [], [], [], [], [], []
                 for s in sets:
                     n, name = len(s), class_of(s)
                     if not n or name in known:
                         continue
+                    if len(known) > KNOWN:  # a class that comes again is counted once later on
+                        known.clear()
                     known.add(name)
-                    first = n - -(-4 * n // 5) + 1
+                    first, shared, one = first_coordinates(n)
                     at = np.searchsorted(frequent, s)
                     often = at < len(frequent)
                     often[often] = frequent[at[often]] == s[often]
@@ -161,10 +180,13 @@ def cells(docs: DataFrame, frequent: np.ndarray, seen: np.ndarray) -> DataFrame:
                     out_part.append(part)
                     out_cls.append(name)
                     lengths.append(first)
+                    asked.append(shared)
+                    near.append(np.arange(first) < one)
                 if out_cell:
-                    yield pa.record_batch([pa.array(np.concatenate(out_cell).view(np.int64)), pa.array(np.concatenate(out_part)), pa.array(np.repeat(np.array(out_cls, np.int64), lengths))], schema=schema)
+                    columns = [np.concatenate(out_cell).view(np.int64), np.concatenate(out_part), np.repeat(np.array(out_cls, np.int64), lengths), np.repeat(np.array(asked, np.int32), lengths), np.concatenate(near)]
+                    yield pa.record_batch([pa.array(c) for c in columns], schema=schema)
 
-    return docs.select("text").mapInArrow(run, "cell long, part int, cls long")
+    return docs.select("text").mapInArrow(run, "cell long, part int, cls long, asked int, near boolean")
 
 
 # ---- the R-tree of one cell --------------------------------------------------------------------------------------
@@ -176,94 +198,86 @@ def bound_ok(low: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 
 def point_bound(p: np.ndarray, q: np.ndarray, n_p: np.ndarray, n_q: np.ndarray) -> np.ndarray:
     """Summed coordinate minima of the rows of p and q; without a bound where a count did not fit."""
-    over = ((p == 65535) & (q == 65535)).any(-1)
-    return np.where(over, np.minimum(n_p, n_q), np.minimum(p, q).sum(-1, dtype=np.int64))
+    low = np.minimum(p, q)
+    over = (low == FULL).any(-1)
+    return np.where(over, np.minimum(n_p, n_q), np.minimum(low.sum(-1, dtype=np.int64), np.minimum(n_p, n_q)))
+
 
+def packed(n: np.ndarray, points: np.ndarray, leaf: int) -> np.ndarray:
+    """The order in which points are packed into leaves: slabs by size, in these by one sum of coordinates, then by another, so that near copies stand together."""
+    m = len(n)
+    slabs = max(1, round((m / leaf) ** (1 / 3)))
+    order = np.argsort(n, kind="stable")
+    for k, half in ((slabs, points[:, : GROUPS // 2]), (slabs * slabs, points[:, ::2])):
+        slab = np.empty(m, np.int64)
+        slab[order] = np.arange(m) * k // m
+        order = np.lexsort((half.sum(1, dtype=np.int64), slab))
+    return order
 
-def tree_pairs(n: np.ndarray, points: np.ndarray, leaf: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """All index pairs whose points' bound allows a link: an R-tree, packed in the order of size, joined with itself.
+
+def tree_pairs(n: np.ndarray, points: np.ndarray, leaf: int = 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All index pairs whose points' bound allows a link, a bounded number at once: an R-tree joined with itself.
 
     The boxes of a level are those of neighbouring boxes below it. From the root down, a pair of boxes stays if the summed
     minima of its upper corners reach the overlap that its least sizes need.
     """
     m = len(n)
-    if m <= leaf:
-        a, b = np.triu_indices(m, 1)
-        keep = bound_ok(point_bound(points[a], points[b], n[a], n[b]), n[a], n[b])
-        return a[keep], b[keep]
-    order = np.argsort(n, kind="stable")
+    order = packed(n, points, leaf)
     levels = []  # of (upper corner, least size, largest size), leaves first
-    edges = np.arange(0, m, leaf)
-    high, least, most = np.maximum.reduceat(points[order], edges), np.minimum.reduceat(n[order], edges), np.maximum.reduceat(n[order], edges)
-    levels.append((high, least, most))
+    high, least, most = points[order], n[order], n[order]
     while len(least) > 1:
         edges = np.arange(0, len(least), leaf)
         high, least, most = np.maximum.reduceat(high, edges), np.minimum.reduceat(least, edges), np.maximum.reduceat(most, edges)
         levels.append((high, least, most))
-    a = b = np.zeros(1, np.int64)
-    for k, (high, least, most) in enumerate(reversed(levels)):
-        if k:  # each pair of boxes becomes the pairs of their children
-            pa_, pb_ = np.repeat(a, leaf * leaf), np.repeat(b, leaf * leaf)
-            i, j = np.tile(np.repeat(np.arange(leaf), leaf), len(a)), np.tile(np.tile(np.arange(leaf), leaf), len(b))
-            a, b = pa_ * leaf + i, pb_ * leaf + j
-            there = (b < len(least)) & (a <= b)
-            a, b = a[there], b[there]
-        low = np.minimum(point_bound(high[a], high[b], most[a], most[b]), np.minimum(most[a], most[b]))
+    i, j = np.divmod(np.arange(leaf * leaf), leaf)
+    if not levels:
+        return
+    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while stack:
+        level, a, b = stack.pop()
+        high, least, most = levels[level]
+        low = point_bound(high[a], high[b], most[a], most[b])
         keep = bound_ok(low, least[a], least[b])
         a, b = a[keep], b[keep]
-    found_a, found_b = [], []
-    i, j = np.divmod(np.arange(leaf * leaf), leaf)
-    for start in range(0, len(a), 256):
-        x = (a[start : start + 256, None] * leaf + i).ravel()
-        y = (b[start : start + 256, None] * leaf + j).ravel()
-        there = (x < y) & (y < m)
-        x, y = order[x[there]], order[y[there]]
-        keep = bound_ok(point_bound(points[x], points[y], n[x], n[y]), n[x], n[y])
-        found_a.append(x[keep])
-        found_b.append(y[keep])
-    return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for s in range(0, len(a), 64):
+            x, y = (a[s : s + 64, None] * leaf + i).ravel(), (b[s : s + 64, None] * leaf + j).ravel()
+            if level:  # each pair of boxes becomes the pairs of their children
+                there = (x <= y) & (y < len(levels[level - 1][1]))
+                stack.append((level - 1, x[there], y[there]))
+                continue
+            there = (x < y) & (y < m)
+            x, y = order[x[there]], order[y[there]]
+            keep = bound_ok(point_bound(points[x], points[y], n[x], n[y]), n[x], n[y])
+            yield x[keep], y[keep]
 
 
 def _cell_pairs(rows: DataFrame, share: int) -> DataFrame:
     """(u, v) of different components within each (cell, x, y) of rows sorted by it, one in share of them; side is 0 or 1 where x and y are different parts."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-    def pairs(t: pa.Table) -> pa.RecordBatch | None:
+    def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
         col = {c: t.column(c).to_numpy() for c in ("cell", "x", "y", "cls", "root", "side", "n")}
-        points = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
+        points = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
+
+        def batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            keep = (col["root"][a] != col["root"][b]) & ((col["x"][a] == col["y"][a]) | (col["side"][a] != col["side"][b]))
+            u, v = col["cls"][a[keep]], col["cls"][b[keep]]
+            u, v = np.minimum(u, v), np.maximum(u, v)
+            now = C.mixed(u.view(np.uint64) ^ C.mixed(v.view(np.uint64))) % np.uint64(share) == 0
+            return pa.record_batch([pa.array(u[now]), pa.array(v[now])], schema=schema)
+
         starts, ends = C.run_edges(t, ["cell", "x", "y"])
         size = ends - starts
-        a, b = [], []
         for m in range(2, 9):  # small cells of one size at once
             at = starts[size == m]
-            if len(at):
-                i, j = np.triu_indices(m, 1)
-                x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+            i, j = np.triu_indices(m, 1)
+            for k in range(0, len(at), 2048):
+                x, y = (at[k : k + 2048, None] + i).ravel(), (at[k : k + 2048, None] + j).ravel()
                 keep = bound_ok(point_bound(points[x], points[y], col["n"][x], col["n"][y]), col["n"][x], col["n"][y])
-                a.append(x[keep])
-                b.append(y[keep])
+                yield batch(x[keep], y[keep])
         for k in np.flatnonzero(size > 8):
-            x, y = tree_pairs(col["n"][starts[k] : ends[k]], points[starts[k] : ends[k]])
-            a.append(x + starts[k])
-            b.append(y + starts[k])
-        if not a:
-            return None
-        a, b = np.concatenate(a), np.concatenate(b)
-        keep = (col["root"][a] != col["root"][b]) & ((col["x"][a] == col["y"][a]) | (col["side"][a] != col["side"][b]))
-        a, b = a[keep], b[keep]
-        lists = t.column("mine").to_pylist()
-        cells_ = np.full((len(lists), KNOWN_CELLS), _NO_CELL)
-        for i in np.unique(np.concatenate([a, b])):
-            if lists[i]:
-                cells_[i, : len(lists[i])] = lists[i]
-        new = np.ones(len(a), bool)
-        for k in range(0, len(a), 1024):
-            x, y = cells_[a[k : k + 1024]][:, :, None], cells_[b[k : k + 1024]][:, None, :]
-            new[k : k + 1024] = ~((x == y) & (x != _NO_CELL) & (x < col["cell"][a[k : k + 1024], None, None])).any((1, 2))
-        u, v = col["cls"][a[new]], col["cls"][b[new]]
-        u, v = np.minimum(u, v), np.maximum(u, v)
-        now = C.mixed(u.view(np.uint64) ^ C.mixed(v.view(np.uint64))) % np.uint64(share) == 0
-        return pa.record_batch([pa.array(u[now]), pa.array(v[now])], schema=schema)
+            for x, y in tree_pairs(col["n"][starts[k] : ends[k]], points[starts[k] : ends[k]]):
+                yield batch(x + starts[k], y + starts[k])
 
     def once(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held).group_by(["u", "v"]).aggregate([]).combine_chunks()
@@ -272,12 +286,13 @@ def _cell_pairs(rows: DataFrame, share: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for t in C.whole_runs(batches, ["cell", "x", "y"]):
-            if (out := pairs(t)) is not None:
-                held.append(out)
-                size += out.num_rows
-            if size > 500_000:  # a pair meets in many cells
-                yield once(held)
-                held, size = [], 0
+            for out in found(t):
+                if out.num_rows:
+                    held.append(out)
+                    size += out.num_rows
+                if size > 500_000:  # a pair meets in many cells
+                    yield once(held)
+                    held, size = [], 0
         if held:
             yield once(held)
 
@@ -293,7 +308,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     names = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls"))).distinct()
     ids = C.written(classes.join(names, "cls").select("cls", "rep"), "jaccard-picked")
     sent = F.broadcast if ids.count() <= SEND_IDS else lambda df: df
-    texts = docs.join(sent(ids.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi").select("text")
+    texts = docs.join(sent(ids.select(F.col("rep").alias("rk")).distinct()), "rk", "left_semi").select("text")
     schema = pa.schema([("cls", pa.int64()), ("members", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,25 +329,20 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
                 keep.append(100 * shared >= 80 * (len(p) + len(q) - shared))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    # only classes in question come along; a repeated id brings other texts too, which the join by class leaves out
+    # only classes in question come along; equal hashes of other rows may bring other texts, which the join by class leaves out
     sets = C.written(texts.mapInArrow(build, "cls long, members binary").join(sent(ids.select("cls")), "cls", "left_semi"), "jaccard-sets")
     both = pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
     return both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long")
 
 
-def _placed(groups: DataFrame, roots: DataFrame) -> DataFrame:
-    """groups with the component of each class."""
-    return groups.select("cell", "part", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-
-
 def _open_cells(placed: DataFrame) -> DataFrame:
     """(cell, parts) of the cells with several components, one of those that hold the same classes.
 
     Cells with the same members give the same pairs; members are compared by their number and three sums of hashes.
     """
     sums = [F.sum(F.shiftrightunsigned(F.xxhash64("cls", F.lit(k)), 32)).alias(f"s{k}") for k in range(3)]
-    cells_ = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("part").alias("parts"), F.count(F.lit(1)).alias("m"), *sums).filter("lo != hi")
-    return cells_.groupBy("m", "s0", "s1", "s2").agg(F.min(F.struct("cell", "parts")).alias("c")).select("c.cell", "c.parts")
+    cells_ = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"), *sums).filter("lo != hi")
+    return cells_.groupBy("m", "s0", "s1", "s2").agg(F.min("cell").alias("cell")).select("cell", F.expr(f"cast(m div {PART} + 1 as int)").alias("parts"))
 
 
 def _seeds(pairs: DataFrame, sized: DataFrame) -> DataFrame:
@@ -346,7 +356,7 @@ def _seeds(pairs: DataFrame, sized: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("p_u", "p_v"))
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("p_u", "p_v"))
             n_u, n_v = (batch.column(c).to_numpy() for c in ("n_u", "n_v"))
             yield batch.select(["u", "v"]).filter(pa.array(bound_ok(point_bound(p, q, n_u, n_v), n_u, n_v)))
 
@@ -354,24 +364,31 @@ def _seeds(pairs: DataFrame, sized: DataFrame) -> DataFrame:
     return C.written(near.filter(ratio).select("u", "v", "n_u", "n_v", "p_u", "p_v").mapInArrow(within_bound, "u long, v long"), "jaccard-seeds")
 
 
-def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: doc_id, n, cls; classes: cls, rep, n; links: u, v between classes, enough to connect all that link)."""
+def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows: doc_id, rk, n, cls; classes: cls, rep, least_id, n; links: u, v between classes, enough to connect all that link).
+
+    rk is the hash of id and text; with null_ids rows without an id have a class as well.
+    """
     spark = docs.sparkSession
     C.prepare_python(spark)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rk"), F.col(text_col).alias("text"))
     marks = C.written(signed(docs), "jaccard-signed")
-    rows = marks.filter("n is not null").select("doc_id", "n", "cls", "point")
+    rows = marks.filter("n is not null").select("doc_id", "rk", "n", "cls", "point")
     often = marks.filter("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT_LEAST)
     often = often.orderBy(F.desc("seen"), "shingle").limit(FREQUENT_MOST).toPandas()
     frequent, seen = often["shingle"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64)
     order = np.argsort(frequent)
     frequent, seen = frequent[order], seen[order]
-    classes = C.written(rows.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
+    named = rows.filter("cls is not null" if null_ids else "cls is not null and doc_id is not null")
+    classes = C.written(named.groupBy("cls").agg(F.min("rk").alias("rep"), F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
 
+    # a cell that one class has, or one part of a frequent cell, may be met by no other
     within = Window.partitionBy("cell", "part")
-    groups = cells(docs.filter("doc_id is not null"), frequent, seen)
+    groups = cells(docs if null_ids else docs.filter("doc_id is not null"), frequent, seen)
     groups = groups.withColumn("pivot", F.min("cls").over(within)).withColumn("last", F.max("cls").over(within))
-    groups = C.written(groups.filter("part >= 0 or pivot != last").drop("last"), "jaccard-cells")
+    groups = C.written(groups.filter("part >= 0 or pivot != last").drop("last"), "jaccard-shared")
+    kept = groups.groupBy("cls").agg(F.count_distinct("cell").alias("shared"), F.first("asked").alias("asked")).filter("shared >= asked").select("cls")
+    groups = C.written(groups.filter("near").join(kept, "cls").select("cell", "part", "cls", "pivot").distinct(), "jaccard-cells")
 
     split = groups.filter("part >= 0").select("cell", "pivot").distinct()
     heads = split.join(split.groupBy("cell").agg(F.min("pivot").alias("head")), "cell").select(F.col("head").alias("u"), F.col("pivot").alias("v"))
@@ -380,25 +397,40 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = C.written(verified(seeds, classes, docs), "jaccard-links")
 
     for share in SHARES:
-        placed = C.written(_placed(groups, components(links)), "jaccard-placed")
-        open_rows = placed.join(_open_cells(placed), "cell")
-        mine = open_rows.groupBy("cls").agg(F.collect_set("cell").alias("mine")).filter(F.size("mine") <= KNOWN_CELLS)
-        open_rows = open_rows.join(sized, "cls").join(mine, "cls", "left")
-        other = F.when(F.col("parts") > 0, F.sequence(F.lit(0), F.col("parts"))).otherwise(F.array(F.col("part")))
-        open_rows = open_rows.select("cell", "part", F.explode(other).alias("with"), "cls", "root", "n", "point", "mine")
-        open_rows = open_rows.select("cell", F.least("part", "with").alias("x"), F.greatest("part", "with").alias("y"), "cls", "root", F.when(F.col("part") > F.col("with"), 1).otherwise(0).alias("side"), "n", "point", "mine")
+        placed = groups.select("cell", "cls").join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        placed = C.written(placed, "jaccard-placed")
+        open_rows = placed.join(_open_cells(placed), "cell").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+        open_rows = open_rows.join(sized, "cls").select("cell", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"), "cls", "root", "n", "point")
+        open_rows = open_rows.select("cell", F.least("part", "with").alias("x"), F.greatest("part", "with").alias("y"), "cls", "root", F.when(F.col("part") > F.col("with"), 1).otherwise(0).alias("side"), "n", "point")
         open_rows = open_rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
         pairs = C.written(_cell_pairs(open_rows, share).distinct(), "jaccard-pairs")
         links = C.written(links.unionByName(verified(pairs, classes, docs)), "jaccard-links")
-    return rows.select("doc_id", "n", "cls"), classes.select("cls", "rep", "n"), links
+    return rows.select("doc_id", "rk", "n", "cls"), classes.select("cls", "rep", "least_id", "n"), links
+
+
+def class_roots(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(cls, least_id, root): the component of each class."""
+    of = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    return C.written(of.select("cls", "least_id", "root"), "jaccard-roots")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
     rows, classes, links = join_classes(docs, id_col, text_col)
-    roots = components(links)
-    of = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    of = C.written(of.select("cls", "rep", "root"), "jaccard-roots")
-    of = of.join(of.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("cls", "component_id")
+    of = class_roots(classes, links)
+    of = of.join(of.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("cls", "component_id")
     known = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.join(of, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), known.alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rk, kept, rows) for each distinct (id, text) with words: kept marks the one of each component that has the smallest id (null last); rows counts the rows that are alike.
+
+    rk = xxhash64(cast(id as long), text). Rows without an id count as documents here.
+    """
+    rows, classes, links = join_classes(docs, id_col, text_col, null_ids=True)
+    of = class_roots(classes, links).select("cls", "root")
+    alike = rows.filter("cls is not null").groupBy("cls", "doc_id", "rk").agg(F.count(F.lit(1)).alias("rows")).join(of, "cls")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk"))["rk"]
+    best = alike.groupBy("root").agg(first.alias("best"))
+    return alike.join(best, "root").select("rk", (F.col("rk") == F.col("best")).alias("kept"), "rows")

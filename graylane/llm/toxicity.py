@@ -206,9 +206,9 @@ def fit(labelled: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col:
     return SubwordSoftmax.fit(sample["text"].tolist(), labels, share).score
 
 
-def scored(docs: DataFrame, score, fold: int = 4, held: int = 2, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of docs by a fitted score."""
-    return score_texts(docs, fold, held, id_col, text_col, score, threshold)
+def scored(docs: DataFrame, score, fold: int = 4, held: int = 2, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted and the columns of keep for each row of docs by a fitted score."""
+    return score_texts(docs, fold, held, id_col, text_col, score, threshold, keep)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: int = 4, held: int = 2, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,6 +14,8 @@ from graylane.llm import common as C
 
 #: A row longer than this isn't used to fit on, so that a sample's size is bounded; every row is scored whole.
 FIT_BYTES = 20_000
+#: The scored text's column, beside which any columns may be kept.
+TEXT = "scored_text"
 
 
 def bounded_sample(labelled: DataFrame, docs: DataFrame, per_label: int, id_col: str, text_col: str) -> pd.DataFrame:
@@ -21,28 +23,30 @@ def bounded_sample(labelled: DataFrame, docs: DataFrame, per_label: int, id_col:
 
     Two passes over ids and labels alone pick the rows; then only their texts are read.
     """
-    labelled = labelled.filter("doc_id is not null and label is not null").select("doc_id", "label", (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)).alias("h"))
+    labelled = labelled.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+    labelled = labelled.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30))
     counts = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     picked = labelled.join(counts, "label").filter(F.col("h") * F.col("n") <= 1.2 * per_label + 20)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= FIT_BYTES)
-    rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label", "h").toPandas()
-    rows = rows.sort_values(["h", "doc_id", "text"]).drop_duplicates()
+    # about 1.2 * per_label ids of each label; of rows with one id the least text, so that ids bound the rows
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "h").agg(F.min("text").alias("text")).toPandas()
+    rows = rows.sort_values(["h", "doc_id"])
     return rows.groupby("label", group_keys=False).head(per_label).reset_index(drop=True)
 
 
-def score_texts(docs: DataFrame, fold: int, held: int, id_col: str, text_col: str, score: Callable[[pa.Array], np.ndarray], threshold: float) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; score maps a batch of texts to numbers from 0 to 1."""
+def score_texts(docs: DataFrame, fold: int, held: int, id_col: str, text_col: str, score: Callable[[pa.Array], np.ndarray], threshold: float, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted and the columns of keep for every row; score maps a batch of texts to numbers from 0 to 1."""
     C.prepare_python(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(C.crc_mod(id_col, fold) == held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    schema = pa.schema([pa.field("score", pa.float64()), pa.field("predicted", pa.int32())])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(C.crc_mod(id_col, fold) == held, F.lit(False)).alias("held_out"), F.col(text_col).alias(TEXT), *keep)
+    kept = "".join(f", `{c}` {t}" for c, t in docs.select(*keep).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = np.clip(score(batch.column("text")), 0.0, 1.0) if batch.num_rows else np.zeros(0)
-            out = [batch.column("doc_id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))]
-            yield pa.record_batch(out, names=["doc_id", "held_out", *schema.names])
+            p = np.clip(score(batch.column(TEXT)), 0.0, 1.0) if batch.num_rows else np.zeros(0)
+            out = [batch.column("doc_id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32)), *[batch.column(c) for c in keep]]
+            yield pa.record_batch(out, names=["doc_id", "held_out", "score", "predicted", *keep])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, predicted int{kept}")
 
 
 def sparse_counts(doc: np.ndarray, feature: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -45,7 +45,7 @@ def made(seed, groups=12, copies=14, edits=0.02):
     return [(int(i), t) for i, t in zip(rng.permutation(len(texts)) * 3, texts, strict=True)]
 
 
-@pytest.mark.parametrize(("seed", "part", "frequent"), [(1, 2048, 500_000), (2, 4, 500_000), (3, 2048, 5)])
+@pytest.mark.parametrize(("seed", "part", "frequent"), [(1, 512, 500_000), (2, 4, 500_000), (3, 512, 5)])
 def test_components_match_brute_force(spark, monkeypatch, seed, part, frequent):
     """Also with cells split into small parts, and with hardly any shingle known to be frequent."""
     monkeypatch.setattr(jaccard_join, "PART", part)
@@ -68,8 +68,27 @@ def test_edge_cases(spark):
 def test_tree_finds_what_the_bound_allows(seed):
     rng = np.random.default_rng(seed)
     n = rng.integers(5, 400, 150)
-    points = np.stack([np.bincount(rng.integers(0, jaccard_join.GROUPS, k), minlength=jaccard_join.GROUPS) for k in n]).astype(np.uint16)
+    points = np.stack([np.bincount(rng.integers(0, jaccard_join.GROUPS, k), minlength=jaccard_join.GROUPS) for k in n]).astype(np.uint8)
     points[50:60], n[50:60] = points[:10], n[:10]
-    want = {(i, j) for i in range(150) for j in range(i + 1, 150) if 9 * np.minimum(points[i], points[j]).sum() >= 4 * (n[i] + n[j])}
-    a, b = jaccard_join.tree_pairs(n.astype(np.int64), points)
+    want = {(i, j) for i in range(150) for j in range(i + 1, 150) if 9 * np.minimum(points[i], points[j]).sum(dtype=int) >= 4 * (n[i] + n[j])}
+    a, b = (np.concatenate(x) for x in zip(*jaccard_join.tree_pairs(n.astype(np.int64), points), strict=True))
     assert {(min(x), max(x)) for x in zip(a.tolist(), b.tolist(), strict=True)} == want and len(want) >= 10
+
+
+def test_counts_that_do_not_fit(spark):
+    """A coordinate of FULL says nothing, so that pairs of very long texts stay."""
+    points = np.full((2, jaccard_join.GROUPS), jaccard_join.FULL, np.uint8)
+    assert jaccard_join.point_bound(points[:1], points[1:], np.array([200_000]), np.array([190_000])).tolist() == [190_000]
+    rng = np.random.default_rng(0)
+    w = [f"w{x}" for x in rng.integers(0, 10**6, 80_000)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:79_000])), (3, " ".join(w[40_000:])), (4, " ".join(w[::-1]))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_representatives(spark):
+    text = "one two three four five six seven"
+    rows = [(None, text), (4, text), (9, text), (9, text), (2, None), (None, "all of it alone"), (None, "all of it alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) as rk").distinct().join(jaccard_join.representatives(docs), "rk").collect()
+    assert sorted((str(r.doc_id), r.kept, r.rows) for r in got) == [("4", True, 1), ("9", False, 2), ("None", False, 1), ("None", True, 2)]
