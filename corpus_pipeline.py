@@ -16,37 +16,44 @@ from graylane.llm.common import table, written
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def drop_where(docs: DataFrame, decisions: DataFrame, condition) -> DataFrame:
-    """docs without the ids that have a decision under the condition; a row without an id can't be decided on and stays."""
-    gone = written(decisions.filter(condition).select("doc_id").distinct(), "dropped-ids")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from the labels, doesn't predict toxic."""
+    """Rows that the classifier, learnt from the labels, doesn't predict toxic. Each row is decided on by its own text, with an id or without, and goes through the classifier whole; a null or empty text is decided on by the share of toxic labels."""
     known = toxicity.fit(table(spark, sf_dir, "labels").selectExpr("doc_id", "toxic as label"), docs)
-    return drop_where(docs, toxicity.scored(docs, known), F.col("predicted") == 1)
+    return toxicity.scored(docs.select(*COLUMNS), known, keep=COLUMNS[1:]).filter("predicted = 0").select(*COLUMNS)
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose id and text are among gone (doc_id, h: the hash of the text)."""
+    rows = docs.withColumn("h", F.xxhash64("text"))
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["h"] == gone["h"]), "left_anti").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; of rows with one id and text one."""
-    kept = drop_where(docs, jaccard_join.jaccard_components(docs), F.col("doc_id") != F.col("component_id"))
-    twice = written(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
-    if not twice.limit(1).count():
-        return kept
-    return kept.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(kept.join(twice, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
+    """Of each group of near duplicates the row with the smallest id (null last), once; rows without words are in no group and stay."""
+    found = written(jaccard_join.representatives(docs), "representatives")
+    rows = docs.select(*COLUMNS).withColumn("rk", F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    kept = rows.join(found.filter("not kept").select("rk").distinct(), "rk", "left_anti")
+    twice = written(found.filter("kept and rows > 1").select("rk").distinct(), "repeated-rows")
+    if twice.isEmpty():
+        return kept.select(*COLUMNS)
+    return kept.join(twice, "rk", "left_anti").select(*COLUMNS).unionByName(kept.join(twice, "rk", "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which the benchmark's windows hold less than a twentieth of the words."""
-    return drop_where(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), F.col("contaminated"))
+    """Rows of which the benchmark's windows hold less than a twentieth of the words, with an id or without; a row without words stays."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, written(found.filter("contaminated").select("doc_id", "h").distinct(), "contaminated-rows"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; the copies are rows with the same doc_id. Rows that share an id share its copies evenly."""
-    by_id = mixing.mix(docs).groupBy("doc_id").agg(F.expr("cast(sum(copies) div count(*) as int)").alias("copies")).filter("copies > 0")
-    taken = docs.join(by_id.withColumnRenamed("doc_id", "taken_id"), F.col("doc_id").eqNullSafe(F.col("taken_id")))
-    return taken.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
+    """Each row as often as the mix takes it; the copies are rows with the same doc_id. Of rows with one id, text and source one stands for the sum of what the mix takes of them."""
+    rows = docs.select(*COLUMNS).withColumn("h", F.xxhash64("doc_id", "text", "source"))
+    found = mixing.mix_alike(rows, row_key=F.col("h"))
+    taken = written(found.groupBy("h").agg(F.sum(F.col("copies") * F.col("rows")).cast("int").alias("copies"), F.sum("rows").alias("rows")).filter("copies > 0"), "mixed-rows")
+    once = written(taken.filter("rows > 1").select("h"), "repeated-rows")
+    if not once.isEmpty():
+        rows = rows.join(once, "h", "left_anti").unionByName(rows.join(once, "h", "left_semi").dropDuplicates(["doc_id", "text", "source"]), allowMissingColumns=True)
+    return rows.join(taken, "h").select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
