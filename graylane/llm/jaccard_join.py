@@ -17,9 +17,11 @@ of the smaller coordinates of two points (or of two boxes around points) is neve
    being compared all with all.
 4. In the cells that hold more than one component (one cell of those with the same classes), an R-tree over the points
    (boxes of coordinate maxima, packed by size and two sums of coordinates) is joined with itself: pairs of boxes, then
-   of points, whose bound is too small are left; the surviving pairs of different components are verified, a share of
-   them first, so that most components of a large group have met before the rest. With that every pair of different
-   components was considered. A cell of more than PART classes is split, each pair of its parts being work of its own.
+   of points, whose bound is too small are left; surviving pairs of different components are verified. For BEST_ROUNDS
+   rounds each class goes to its largest such cell and part alone and is verified against the partner with the highest
+   bound, so that most components of a large group have met before the last round, in which every surviving pair of
+   different components is verified. A cell of more than PART classes is split, each pair of its parts being work of its
+   own.
 
 Which shingles count as frequent changes only the work, never the result; at most FREQUENT_MOST of them are kept.
 
@@ -47,8 +49,8 @@ GROUPS, FULL = 256, 255
 #: Seen: in at least BLOCK_COUNT documents of a block of about BLOCK_SHINGLES shingles, so a shingle of d documents shows
 #: once d is a few times the root of the number of blocks. Frequent: seen in FREQUENT_LEAST at least, in all blocks.
 BLOCK_COUNT, BLOCK_SHINGLES, FREQUENT_LEAST, FREQUENT_MOST = 2, 6_000_000, 4, 500_000
-#: Of the pairs that the tree leaves, one in so many is verified first; only pairs of components that are still apart follow.
-SHARES = (16, 1)
+#: Rounds in which a class is verified against its best partner in one cell alone, before all pairs of components that are still apart.
+BEST_ROUNDS = 2
 #: Names of classes that a task remembers, so as not to send copies twice.
 KNOWN = 1_000_000
 #: Classes of one part of a cell.
@@ -251,8 +253,8 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, leaf: int = 16) -> Iterator[tu
             yield x[keep], y[keep]
 
 
-def _cell_pairs(rows: DataFrame, share: int) -> DataFrame:
-    """(u, v) of different components within each (cell, x, y) of rows sorted by it, one in share of them; side is 0 or 1 where x and y are different parts."""
+def _cell_pairs(rows: DataFrame, best: bool) -> DataFrame:
+    """(u, v) of different components within each (cell, x, y) of rows sorted by it, of more than 8 classes each one's best partner or all; side is 0 or 1 where x and y are different parts."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -263,8 +265,7 @@ def _cell_pairs(rows: DataFrame, share: int) -> DataFrame:
             keep = (col["root"][a] != col["root"][b]) & ((col["x"][a] == col["y"][a]) | (col["side"][a] != col["side"][b]))
             u, v = col["cls"][a[keep]], col["cls"][b[keep]]
             u, v = np.minimum(u, v), np.maximum(u, v)
-            now = C.mixed(u.view(np.uint64) ^ C.mixed(v.view(np.uint64))) % np.uint64(share) == 0
-            return pa.record_batch([pa.array(u[now]), pa.array(v[now])], schema=schema)
+            return pa.record_batch([pa.array(u), pa.array(v)], schema=schema)
 
         starts, ends = C.run_edges(t, ["cell", "x", "y"])
         size = ends - starts
@@ -276,8 +277,20 @@ def _cell_pairs(rows: DataFrame, share: int) -> DataFrame:
                 keep = bound_ok(point_bound(points[x], points[y], col["n"][x], col["n"][y]), col["n"][x], col["n"][y])
                 yield batch(x[keep], y[keep])
         for k in np.flatnonzero(size > 8):
-            for x, y in tree_pairs(col["n"][starts[k] : ends[k]], points[starts[k] : ends[k]]):
-                yield batch(x + starts[k], y + starts[k])
+            n, p, root = (x[starts[k] : ends[k]] for x in (col["n"], points, col["root"]))
+            most = np.zeros(size[k], np.int64)  # the highest bound over the sizes, and with whom
+            for x, y in tree_pairs(n, p):
+                if not best:
+                    yield batch(x + starts[k], y + starts[k])
+                    continue
+                apart = root[x] != root[y]
+                x, y = x[apart], y[apart]
+                bound = (point_bound(p[x], p[y], n[x], n[y]) << 20) // (n[x] + n[y]) << 20
+                np.maximum.at(most, x, bound | y)
+                np.maximum.at(most, y, bound | x)
+            if best:
+                x = np.flatnonzero(most)
+                yield batch(x + starts[k], (most[x] & ((1 << 20) - 1)) + starts[k])
 
     def once(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held).group_by(["u", "v"]).aggregate([]).combine_chunks()
@@ -336,13 +349,13 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def _open_cells(placed: DataFrame) -> DataFrame:
-    """(cell, parts) of the cells with several components, one of those that hold the same classes.
+    """(cell, m, parts) of the cells with several components, one of those that hold the same classes.
 
     Cells with the same members give the same pairs; members are compared by their number and three sums of hashes.
     """
     sums = [F.sum(F.shiftrightunsigned(F.xxhash64("cls", F.lit(k)), 32)).alias(f"s{k}") for k in range(3)]
     cells_ = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"), *sums).filter("lo != hi")
-    return cells_.groupBy("m", "s0", "s1", "s2").agg(F.min("cell").alias("cell")).select("cell", F.expr(f"cast(m div {PART} + 1 as int)").alias("parts"))
+    return cells_.groupBy("m", "s0", "s1", "s2").agg(F.min("cell").alias("cell")).select("cell", "m", F.expr(f"cast(m div {PART} + 1 as int)").alias("parts"))
 
 
 def _seeds(pairs: DataFrame, sized: DataFrame) -> DataFrame:
@@ -396,15 +409,23 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     seeds = _seeds(groups.select(F.col("pivot").alias("u"), F.col("cls").alias("v")).unionByName(heads), sized)
     links = C.written(verified(seeds, classes, docs), "jaccard-links")
 
-    for share in SHARES:
+    for k in range(BEST_ROUNDS + 1):
+        best = k < BEST_ROUNDS
         placed = groups.select("cell", "cls").join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         placed = C.written(placed, "jaccard-placed")
-        open_rows = placed.join(_open_cells(placed), "cell").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-        open_rows = open_rows.join(sized, "cls").select("cell", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"), "cls", "root", "n", "point")
+        open_rows = placed.join(_open_cells(placed), "cell")
+        if best:
+            largest = open_rows.groupBy("cls").agg(F.max(F.struct("m", "cell"))["cell"].alias("cell"))
+            open_rows = open_rows.join(largest, ["cls", "cell"])
+        # parts are dealt anew in each round, so that those of one cell meet in the best rounds as well
+        open_rows = open_rows.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(k)), F.col("parts")).cast("int"))
+        others = F.array("part") if best else F.sequence(F.lit(0), F.col("parts") - 1)
+        open_rows = open_rows.join(sized, "cls").select("cell", "part", F.explode(others).alias("with"), "cls", "root", "n", "point")
         open_rows = open_rows.select("cell", F.least("part", "with").alias("x"), F.greatest("part", "with").alias("y"), "cls", "root", F.when(F.col("part") > F.col("with"), 1).otherwise(0).alias("side"), "n", "point")
         open_rows = open_rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
-        pairs = C.written(_cell_pairs(open_rows, share).distinct(), "jaccard-pairs")
-        links = C.written(links.unionByName(verified(pairs, classes, docs)), "jaccard-links")
+        pairs = C.written(_cell_pairs(open_rows, best).distinct(), "jaccard-pairs")
+        if not pairs.isEmpty():
+            links = C.written(links.unionByName(verified(pairs, classes, docs)), "jaccard-links")
     return rows.select("doc_id", "rk", "n", "cls"), classes.select("cls", "rep", "least_id", "n"), links
 
 
