@@ -1,20 +1,22 @@
 """Line dedup: a suffix array over line ids by distributed prefix doubling (DataFrame operations only).
 
-Each line of each text is a symbol. A round of prefix doubling ranks the pairs (rank at i, rank at i + k): the distinct
-pairs are sorted over all partitions and numbered in that order, so each rank is the place of the first 2 k lines of a
-suffix in the suffix array. Suffixes with one rank are an interval of that array whose longest common prefix is at least
-2 k lines; with rank min_lines the intervals hold all repeated runs of at least min_lines lines. In each interval the
-first suffix (in the order of documents and lines) stays; the run that starts at any later one is deleted. Neighbouring
-and overlapping runs merge into the maximal ones.
-
-With min_words a run also qualifies by its words (runs of characters other than white space), one line of more than
-min_words being enough; min_lines=None leaves the words alone to decide, so short or empty lines don't qualify by their
-number. The shortest qualifying run from each line on and the shortest one up to each line are looked up: together they
-cover each maximal repeated run, as its last lines may be too short for a run of their own. A run of n lines, k <= n < 2 k,
-is named by the ranks of its first and its last k lines; doubling goes on while a longer run is left whose first lines
-are shared.
-
-A line is named by two 64-bit hashes, so a line's text moves only once, when the texts are put together again.
+1. Each line of each text is a symbol, named by two 64-bit hashes; its rank is its place among the distinct lines. Only
+   lines that stand more than once can be part of a repeated run; stretches of such lines that are too short for a run
+   leave as well. What follows works on the stretches alone.
+2. Prefix doubling: a round ranks the pairs (rank at i, rank at i + k). The distinct pairs are sorted over all partitions
+   and numbered in that order, so a rank is the place of the first 2 k lines of a suffix in the suffix array. Suffixes
+   whose rank is their own have no common prefix of 2 k lines with another and leave; rounds go on as long as a run of
+   2 k lines or more is looked for from a suffix that is left.
+3. A run qualifies by its lines (min_lines) or its words (more than min_words, runs of characters other than white space;
+   one line of so many is enough). The shortest qualifying run from each line on and the shortest one up to each line
+   are looked up; together they cover every qualifying repeated run, as its last lines may be too short for one of their
+   own. The suffixes that share a run of n lines, k <= n < 2 k, are the interval of the suffix array with a longest common
+   prefix of n or more; they are those with the same rank of the first k and of the last k lines of the run.
+4. In each interval the first suffix (in the order of documents and lines) stays; the run that starts at any later one is
+   deleted. Neighbouring and overlapping runs merge into the maximal ones.
+
+Very common lines are dealt out by a second key where lines meet their ranks. Texts that lose nothing are never moved;
+those that do are taken apart and put together once.
 
 Defined cases: a null text has no lines and stays null; an empty text has one empty line; documents are ordered by
 doc_id (null first), then by a hash of the text, so rows with one id have a fixed order; a run doesn't cross from a
@@ -31,47 +33,75 @@ from pyspark.sql import functions as F
 from graylane.llm.common import written
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key of more rows is split where rows meet their ranks; at most HOT_KEYS keys are split (24 MB broadcast).
+HOT_ROWS, HOT_KEYS = 20_000, 1_000_000
+#: Documents that lose lines: up to so many ids (16 MB) are broadcast to find the others.
+SEND_IDS = 2_000_000
 
 
-def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """rows with rank, the order of their keys among the distinct keys, the first place (doc_id, h, rid, line) with these keys, and many (more than one)."""
-    names = rows.groupBy(*keys).agg(F.min("place").alias("first"), (F.count(F.lit(1)) > 1).alias("many"))
+def shared_ranks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Those of rows (rid, line, place, ...) whose keys stand in several rows, with rank: the order of their keys among the distinct ones, and first: the least place with these keys."""
+    names = rows.groupBy(*keys).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     names = written(names.sort(*keys).withColumn("rank", F.monotonically_increasing_id()), "lines-ranks")
-    return rows.join(names, keys)
+    least = max(HOT_ROWS, (names.agg(F.sum("many")).first()[0] or 0) // HOT_KEYS)
+    hot = names.filter(F.col("many") > least)
+    parts = F.floor(F.col("many") / least + 1).cast("int")
+    if hot.isEmpty():
+        return rows.join(names.drop("many"), keys)
+    deal = rows.join(F.broadcast(hot.select(*keys, parts.alias("parts"))), keys, "left").withColumn("deal", F.pmod(F.xxhash64("rid", "line"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    names = names.withColumn("deal", F.explode(F.sequence(F.lit(0), F.when(F.col("many") > least, parts - 1).otherwise(0))))
+    return deal.join(names.drop("many"), [*keys, "deal"]).drop("deal")
+
+
+def stretches(lines: DataFrame, min_lines: int | None, min_words: int | None) -> DataFrame:
+    """(rid, line, place, rank, words, stretch): neighbouring shared lines, without those too short for any run."""
+    by_line = Window.partitionBy("rid").orderBy("line")
+    lines = lines.withColumn("stretch", F.col("line") - F.row_number().over(by_line))
+    whole = Window.partitionBy("rid", "stretch")
+    long_enough = F.lit(False)
+    if min_lines is not None:
+        long_enough |= F.count(F.lit(1)).over(whole) >= min_lines
+    if min_words is not None:
+        long_enough |= F.sum("words").over(whole) > min_words
+    return lines.withColumn("keep", long_enough).filter("keep").drop("keep", "first")
 
 
-def shortest_runs(lines: DataFrame, min_lines: int | None, min_words: int) -> DataFrame:
-    """(rid, line, n) of the shortest qualifying run from each line (rid, line, words) on and up to each line."""
-    whole = Window.partitionBy("rid")
+def shortest_runs(lines: DataFrame, min_lines: int | None, min_words: int | None) -> DataFrame:
+    """(rid, line, n) of the shortest qualifying run from each line on and up to each line, within its stretch."""
+    whole = Window.partitionBy("rid", "stretch")
     on = whole.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("upto", F.sum("words").over(on)).withColumn("all", F.sum("words").over(whole)).withColumn("lines", F.count(F.lit(1)).over(whole).cast("int"))
-    lines = lines.withColumn("before", F.col("upto") - F.col("words")).withColumn("after", F.col("all") - F.col("upto"))
-    reach = lambda c: F.count(F.lit(1)).over(whole.orderBy(c).rangeBetween(Window.unboundedPreceding, min_words)).cast("int")
-    lines = lines.withColumn("end", F.when(F.col("all") - F.col("before") > min_words, reach("before"))).withColumn("start", F.when(F.col("all") - F.col("after") > min_words, F.col("lines") - reach("after")))
+    lines = lines.select("rid", "stretch", "line", "words").withColumn("i", F.row_number().over(whole.orderBy("line")) - 1).withColumn("m", F.count(F.lit(1)).over(whole).cast("int"))
+    ends, starts = [], []
+    if min_words is not None:
+        lines = lines.withColumn("upto", F.sum("words").over(on)).withColumn("all", F.sum("words").over(whole))
+        lines = lines.withColumn("before", F.col("upto") - F.col("words")).withColumn("after", F.col("all") - F.col("upto"))
+        reach = lambda c: F.count(F.lit(1)).over(whole.orderBy(c).rangeBetween(Window.unboundedPreceding, min_words)).cast("int")
+        ends.append(F.when(F.col("all") - F.col("before") > min_words, reach("before")))
+        starts.append(F.when(F.col("all") - F.col("after") > min_words, F.col("m") - reach("after")))
     if min_lines is not None:
-        flat = F.when(F.col("line") + min_lines <= F.col("lines"), F.col("line") + min_lines)
-        lines = lines.withColumn("end", F.least("end", flat)).withColumn("start", F.greatest("start", F.when(F.col("line") + 1 >= min_lines, F.col("line") + 1 - min_lines)))
-    runs = F.array(F.struct("line", (F.col("end") - F.col("line")).alias("n")), F.struct(F.col("start").alias("line"), (F.col("line") + 1 - F.col("start")).alias("n")))
+        ends.append(F.when(F.col("i") + min_lines <= F.col("m"), F.col("i") + min_lines))
+        starts.append(F.when(F.col("i") + 1 >= min_lines, F.col("i") + 1 - min_lines))
+    lines = lines.withColumn("end", F.least(*ends) if len(ends) > 1 else ends[0]).withColumn("start", F.greatest(*starts) if len(starts) > 1 else starts[0])
+    runs = F.array(F.struct("line", (F.col("end") - F.col("i")).alias("n")), F.struct((F.col("line") - F.col("i") + F.col("start")).alias("line"), (F.col("i") + 1 - F.col("start")).alias("n")))
     return lines.select("rid", F.explode(runs).alias("run")).select("rid", "run.*").filter("n is not null").distinct()
 
 
-def word_runs(lines: DataFrame, now: DataFrame, min_lines: int | None, min_words: int) -> DataFrame:
-    """(rid, line, n) of the later copies of runs of min_lines lines or more than min_words words; now: the lines with their ranks."""
-    now = written(now.filter("many").select("rid", "place.line", "place", "rank"), "lines-shared")
-    runs = shortest_runs(lines, min_lines, min_words)
+def later_runs(now: DataFrame, min_lines: int | None, min_words: int | None) -> DataFrame:
+    """(rid, line, n) of the later copies of qualifying runs; now: the stretches of shared lines with their ranks."""
+    runs = shortest_runs(now, min_lines, min_words)
+    now = now.select("rid", "line", "place", "rank")
     k, later = 1, []
     while True:
         runs = written(runs.join(now, ["rid", "line"]).select("rid", "line", "n", "place", F.col("rank").alias("a")), "lines-runs")
         last = now.select("rid", F.col("line").alias("there"), F.col("rank").alias("b"))
         ready = runs.filter(F.col("n") < 2 * k).withColumn("there", F.col("line") + F.col("n") - k).join(last, ["rid", "there"])
-        same = ready.groupBy("n", "a", "b").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
-        later.append(ready.join(same, ["n", "a", "b"]).filter(F.col("first") < F.col("place")).select("rid", "line", "n"))
+        same = shared_ranks(ready.drop("there"), ["n", "a", "b"])
+        later.append(same.filter(F.col("first") < F.col("place")).select("rid", "line", "n"))
         runs = runs.filter(F.col("n") >= 2 * k).select("rid", "line", "n")
         if runs.isEmpty():
             return functools.reduce(DataFrame.unionByName, later)
         pair = now.join(last.withColumn("line", F.col("there") - k).drop("there"), ["rid", "line"])
-        now = ranked(pair.select("rid", "place", F.col("rank").alias("a"), "b"), ["a", "b"])
-        now = written(now.filter("many").select("rid", "place.line", "place", "rank"), "lines-shared")
+        now = written(shared_ranks(pair.select("rid", "line", "place", F.col("rank").alias("a"), "b"), ["a", "b"]).select("rid", "line", "place", "rank"), "lines-suffixes")
         k *= 2
 
 
@@ -80,32 +110,30 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("rid"))
     texts = written(texts, "lines-texts")
     lines = texts.select("rid", "doc_id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    at = lines.select("rid", F.struct("doc_id", "h", "rid", "line").alias("place"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"))
-    now = ranked(at, ["a", "b"]).select("rid", "place", "rank", "first", "many")
-    if min_words is not None:
-        return texts, word_runs(lines.select("rid", "line", F.regexp_count("text", F.lit(WORD)).alias("words")), now, min_lines, min_words)
-    k = 1
-    while k < min_lines:
-        # only suffixes whose first k lines occur elsewhere can repeat further; the rest leave
-        step = min(k, min_lines - k)
-        here = Window.partitionBy("rid").orderBy("place.line")
-        pair = now.withColumn("next", F.lead("rank", step).over(here)).withColumn("there", F.lead("place.line", step).over(here))
-        pair = pair.filter(F.col("many") & (F.col("there") == F.col("place.line") + step))
-        now = ranked(pair.select("rid", "place", F.col("rank").alias("a"), F.col("next").alias("b")), ["a", "b"]).select("rid", "place", "rank", "first", "many")
-        k += step
-    return texts, now.filter("many").filter(F.col("first") < F.col("place")).select("rid", F.col("place.line").alias("line"), F.lit(min_lines).alias("n"))
+    words = F.regexp_count("text", F.lit(WORD)) if min_words is not None else F.lit(0)
+    lines = written(lines.select("rid", "line", F.struct("doc_id", "h", "rid", "line").alias("place"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"), words.alias("words")), "lines-lines")
+    now = written(stretches(shared_ranks(lines, ["a", "b"]).drop("a", "b"), min_lines, min_words), "lines-stretches")
+    return texts, later_runs(now, min_lines, min_words)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int | None = 2, min_words: int | None = 50) -> DataFrame:
     """For each row of docs: doc_id, text (without later copies; null only if it was null), n_lines, n_deleted, n_runs (maximal deleted runs)."""
     texts, later = repeated_runs(docs, id_col, text_col, min_lines, min_words)
-    gone = later.groupBy("rid").agg(F.collect_set(F.struct("line", "n")).alias("runs"))
-    gone = gone.withColumn("gone", F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["line"], r["line"] + r["n"] - 1))))))
-    gone = gone.select(F.col("rid").alias("r"), "gone")
-    parts = F.split("text", "\n", -1)
-    flags = F.expr(f"aggregate(gone, struct(-2 as last, 0 as runs), (a, g) -> named_struct('last', g, 'runs', a.runs + if(g = a.last + 1, 0, 1))).runs")
-    # map lookups are linear, so the kept lines are those outside the sorted list of the deleted ones
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.coalesce("gone", F.array().cast("array<int>")))
-    joined = texts.join(gone, F.col("rid") == F.col("r"), "left")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    return joined.select("doc_id", text.alias("text"), F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"), F.coalesce(flags, F.lit(0)).cast("long").alias("n_runs"))
+    # what a run adds to those that start before it; a run that begins where the others end only lengthens them
+    ahead = Window.partitionBy("rid").orderBy("line", "n").rowsBetween(Window.unboundedPreceding, -1)
+    later = later.withColumn("end", F.col("line") + F.col("n")).withColumn("upto", F.coalesce(F.max("end").over(ahead), F.lit(-1)))
+    added = written(later.withColumn("from", F.greatest("line", "upto")).filter("from < end").select("rid", "from", "end", (F.col("line") > F.col("upto")).alias("new")), "lines-gone")
+    gone = added.select("rid", F.explode(F.sequence("from", F.col("end") - 1)).alias("line"))
+    sums = written(added.groupBy("rid").agg(F.sum(F.col("end") - F.col("from")).alias("n_deleted"), F.count_if("new").alias("n_runs")), "lines-touched")
+    ids = sums.select("rid")
+    if sums.limit(SEND_IDS + 1).count() <= SEND_IDS:
+        ids, sums = F.broadcast(ids), F.broadcast(sums)
+    n_lines = F.coalesce(F.char_length("text") - F.char_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    whole = texts.join(ids, "rid", "left_anti").select("doc_id", "text", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_deleted"), F.lit(0).cast("long").alias("n_runs"))
+    # counted before the lines are taken apart, else each line would count them again
+    cut = texts.join(sums, "rid").select("rid", "doc_id", n_lines.alias("n_lines"), "n_deleted", "n_runs", "text")
+    cut = cut.select("rid", "doc_id", "n_lines", "n_deleted", "n_runs", F.posexplode(F.split("text", "\n", -1)).alias("line", "part"))
+    cut = cut.join(gone.withColumn("gone", F.lit(True)), ["rid", "line"], "left")
+    kept = F.sort_array(F.collect_list(F.when(F.col("gone").isNull(), F.struct("line", "part"))))
+    cut = cut.groupBy("rid").agg(*[F.first(c).alias(c) for c in ("doc_id", "n_lines", "n_deleted", "n_runs")], kept.alias("kept"))
+    return whole.unionByName(cut.select("doc_id", F.array_join(F.col("kept.part"), "\n").alias("text"), "n_lines", "n_deleted", "n_runs"))

@@ -14,6 +14,11 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes of all documents and the targets of their sources, as op1_mix has them."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, windows of 13 words."""
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -22,8 +27,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back."""
-    probe = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    more = spark.sql("select -1L as conv_id, t as turn, r as role, '</s>[INST] ok [/INST]' as text from values (0L, 'user'), (1L, 'assistant') as p(t, r)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     out = chat.read_back(chat.format_chat(rows))
     turns = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n"))), "")
@@ -38,19 +42,22 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of all documents; later copies of runs of at least 2 lines go."""
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_words=None)
+def _lines(spark: SparkSession, sf_dir: str, min_lines: int | None, min_words: int | None) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_lines=min_lines, min_words=min_words)
     return out.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-def op9_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines of all documents; later copies of runs of over 50 words go, however many lines they have."""
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_lines=None)
-    return out.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return _lines(spark, sf_dir, None, 50)
 
 
-QUERIES = {"op1_mix": op1_mix, "op4_decontaminate": op4_decontaminate, "op6_chat": op6_chat, "op9_line_dedup": op9_line_dedup, "op9_word_runs": op9_word_runs}
+def op9_line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of all documents; later copies of runs of at least 2 lines go, whatever their words."""
+    return _lines(spark, sf_dir, 2, None)
+
+
+QUERIES = {"op1_mix": op1_mix, "mix_targets": mix_targets, "op4_decontaminate": op4_decontaminate, "op6_chat": op6_chat, "op9_line_dedup": op9_line_dedup, "op9_line_pairs": op9_line_pairs}
 
 _PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_PLAIN}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -82,6 +89,17 @@ def _escaped_sql(col: str, escapes) -> str:
 
 
 ORACLES = {
+    # the caps in the order in which they are reached; the first level that its own source's cap can't be below is the one
+    "mix_targets": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER) AS w FROM d GROUP BY source),
+o AS (SELECT *, row_number() OVER q AS k, coalesce(sum(3 * n) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped, sum(w) OVER (q ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+      FROM s WINDOW q AS (ORDER BY 3 * n / w, source NULLS LAST)),
+l AS (SELECT CAST((SELECT sum(n) FROM s) - capped AS DOUBLE) / CAST(free AS DOUBLE) AS level, k, n, w FROM o),
+c AS (SELECT level FROM l WHERE 3 * n >= level * w ORDER BY k LIMIT 1)
+SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, least(CAST(3 * n AS DOUBLE), w * coalesce((SELECT level FROM c), 0)) AS target
+FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source
+""",
     "op4_decontaminate": decontaminate_sql(),
     "op6_chat": f"""
 WITH c AS (
@@ -96,7 +114,7 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        CAST(sum(upto) FILTER (role = 'assistant' OR k = turns) AS BIGINT) AS formatted_chars
 FROM n GROUP BY conv_id
 """,
-    "op9_line_dedup": """
+    "op9_line_pairs": """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS rid, doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 l AS (SELECT rid, unnest(range(1, len(parts) + 1)) AS line, unnest(parts) AS t FROM d WHERE text IS NOT NULL),
 w AS (SELECT rid, line, t, lead(t) OVER (PARTITION BY rid ORDER BY line) AS t2 FROM l),
@@ -107,7 +125,7 @@ k AS (SELECT rid, string_agg(t, chr(10) ORDER BY line) AS text FROM l WHERE (rid
 SELECT d.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_deleted, coalesce(runs, 0) AS n_runs, sha256(coalesce(k.text, '')) AS text_sha256
 FROM d LEFT JOIN r USING (rid) LEFT JOIN k USING (rid)
 """,
-    "op9_word_runs": """
+    "op9_line_dedup": """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS rid, doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 l AS (SELECT rid, unnest(range(1, len(parts) + 1)) AS line, unnest(parts) AS t FROM d WHERE text IS NOT NULL),
 c AS (SELECT rid, line, sum(n) OVER (PARTITION BY rid ORDER BY line) AS upto, sum(n) OVER (PARTITION BY rid ORDER BY line) - n AS before

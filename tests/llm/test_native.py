@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -189,7 +190,7 @@ def brute_lines(texts, k):
 def test_line_runs_against_brute_force(spark, k):
     texts = ["a\nb\nc\nd\ne\nf", "x\nb\nc\nd\ny", None, "", "", "\n\n\n", "a\na\na\na\na", "b\nc\nd\ne\nf\n", "q", "q", "line " * 3000 + "\nb\nc"]
     df = docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]).selectExpr(*EXTRA, "4 as line", "5 as h", "6 as rank")
-    got = sorted(line_dedup.dedup_lines(df, min_lines=k).collect(), key=lambda r: r.doc_id)
+    got = sorted(line_dedup.dedup_lines(df, min_lines=k, min_words=None).collect(), key=lambda r: r.doc_id)
     want, gone = brute_lines(texts, k)
     assert [r.text for r in got] == want and [r.n_deleted for r in got] == gone
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
@@ -197,6 +198,11 @@ def test_line_runs_against_brute_force(spark, k):
 
 def brute_word_runs(texts, min_lines, min_words):
     """As brute_lines, over all runs of any length that qualify by lines or words."""
+    gone = brute_gone(texts, min_lines, min_words)
+    return ["\n".join(x for j, x in enumerate(t.split("\n")) if j not in g) if t is not None else None for t, g in zip(texts, gone, strict=True)], [len(g) for g in gone]
+
+
+def brute_gone(texts, min_lines, min_words):
     seen, gone = set(), [set() for _ in texts]
     for i, t in enumerate(texts):
         lines = t.split("\n") if t is not None else []
@@ -207,7 +213,7 @@ def brute_word_runs(texts, min_lines, min_words):
                     if run in seen:
                         gone[i] |= set(range(s, e))
                     seen.add(run)
-    return ["\n".join(x for j, x in enumerate(t.split("\n")) if j not in g) if t is not None else None for t, g in zip(texts, gone, strict=True)], [len(g) for g in gone]
+    return gone
 
 
 @pytest.mark.parametrize(("min_lines", "min_words"), [(None, 50), (2, 50), (None, 4), (3, 6)])
@@ -223,6 +229,27 @@ def test_runs_by_words_against_brute_force(spark, min_lines, min_words):
     assert line_dedup.dedup_lines(df.limit(0), min_lines=min_lines, min_words=min_words).count() == 0
 
 
+def test_common_lines_are_split(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 5)
+    monkeypatch.setattr(line_dedup, "SEND_IDS", 3)
+    rng = random.Random(1)
+    texts = ["\n".join(rng.choice(["common", "common", "b c", "d", f"own {i}"]) for _ in range(rng.randrange(1, 30))) for i in range(30)]
+    got = sorted(line_dedup.dedup_lines(docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]), min_lines=None, min_words=6).collect(), key=lambda r: r.doc_id)
+    want, gone = brute_word_runs(texts, None, 6)
+    assert [r.text for r in got] == want and [r.n_deleted for r in got] == gone
+    starts = [sum(1 for i in range(len(t.split("\n"))) if i in g and i - 1 not in g) for t, g in zip(texts, brute_gone(texts, None, 6), strict=True)]
+    assert [r.n_runs for r in got] == starts
+
+
+def test_long_texts_take_linear_time(spark):
+    rng = random.Random(2)
+    lines = [f"line {rng.randrange(10**6)} of it" for _ in range(200_000)]
+    rows = [(1, "\n".join(lines), "en", "s", 0), (2, "\n".join(["own", *lines[1000:150_000], "end"]), "en", "s", 0)]
+    start = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_deleted, r.n_runs) for r in line_dedup.dedup_lines(docs_of(spark, rows), min_lines=None).collect()}
+    assert got == {1: (200_000, 0, 0), 2: (149_002, 149_000, 1)} and time.time() - start < 240
+
+
 def test_line_runs_null_and_repeated_ids(spark):
     got = line_dedup.dedup_lines(docs_of(spark, [(None, "a\nb", "e", "s", 0), (1, "a\nb", "e", "s", 0), (1, "a\nb", "e", "s", 0)])).collect()
     assert sorted((str(r.doc_id), r.n_deleted) for r in got) == [("1", 2), ("1", 2), ("None", 0)]
