@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from graylane.operators.joins import small
+
 
 def label(col: Column, mapping: dict, keep_unknown: bool = True) -> Column:
     """The label of a code; an unknown code stays as it is, or is null."""
@@ -26,7 +28,7 @@ def normal_status(col: Column) -> Column:
 def status_catalog(df: DataFrame, col: str, catalog: DataFrame) -> DataFrame:
     """df with label, terminal and known; catalog has code, label, terminal. Unknown codes keep the raw text and aren't terminal."""
     c = catalog.select(F.col("code").alias("_code"), F.col("label").alias("_label"), F.col("terminal").alias("_terminal"))
-    joined = df.join(F.broadcast(c), normal_status(F.col(col)) == F.col("_code"), "left")
+    joined = df.join(small(c), normal_status(F.col(col)) == F.col("_code"), "left")
     return joined.withColumns({"label": F.coalesce("_label", col), "terminal": F.coalesce("_terminal", F.lit(False)), "known": F.col("_code").isNotNull()}).drop("_code", "_label", "_terminal")
 
 

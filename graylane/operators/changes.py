@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graylane.operators.windows import latest_per_key
+from graylane import storage
+from graylane.functions.scalar import row_hash
+from graylane.operators.joins import small
+from graylane.operators.windows import ambiguous_winners, latest_per_key
 
 
 def decide(current: DataFrame, incoming: DataFrame, key: str, freshness: str, content: str) -> DataFrame:
@@ -102,16 +105,54 @@ def incremental_detail(inputs: DataFrame, state: DataFrame, key: str, signature:
     return j.select(key, F.when(F.col("_old").isNull(), "NEW").when(F.col("_new").isNull(), "GONE").otherwise("CHANGED").alias("change"))
 
 
+def refresh_detail(inputs: DataFrame, state: DataFrame, published: DataFrame, key: str, shared: str, order: Sequence[Column], compute) -> DataFrame:
+    """What compute(inputs) gives, with only the affected keys computed anew; the others are as published.
+
+    inputs: key, shared (a secondary key that rows depend on together) and further columns; state: key and signature of
+    the inputs that published was computed from; published: key, shared, out_signature (row_hash of its other columns)
+    and these. Affected are keys whose inputs' signature isn't the stored one, keys whose published row isn't what its
+    signature says, and all keys that share a secondary key with them, now or as published. Where a key has several input
+    rows that the order can't tell apart, or several published rows, all is computed.
+    """
+    cols = [c for c in published.columns if c not in (key, shared, "out_signature")]
+    twice = published.groupBy(key).count().filter("count > 1")
+    if not twice.isEmpty() or not ambiguous_winners(inputs, [key], order).isEmpty():
+        return compute(inputs).select(key, shared, *cols)
+    signed = inputs.select(key, row_hash([c for c in inputs.columns if c != key]).alias("_s"))
+    changed = incremental_detail(signed.withColumnRenamed("_s", "signature"), state, key, "signature").select(key)
+    broken = published.filter(row_hash(cols) != F.col("out_signature")).select(key)
+    first = changed.unionByName(broken).distinct()
+    groups = inputs.select(key, shared).unionByName(published.select(key, shared))
+    affected = storage.written(groups.join(groups.join(first, key, "left_semi").select(shared).distinct(), shared, "left_semi").select(key).unionByName(first).distinct(), "affected-keys")
+    anew = compute(inputs.join(affected, key, "left_semi")).select(key, shared, *cols)
+    return published.join(affected, key, "left_anti").select(key, shared, *cols).unionByName(anew)
+
+
 def pending_partitions(coverage: DataFrame, applied: DataFrame, keys: Sequence[str], run: str) -> DataFrame:
     """Partitions whose covered run isn't the applied one: keys, the run to apply (null: to remove)."""
     j = coverage.select(*keys, F.col(run).alias("_c")).join(applied.select(*keys, F.col(run).alias("_a")), list(keys), "full_outer")
     return j.filter(~F.col("_c").eqNullSafe(F.col("_a"))).select(*keys, F.col("_c").alias(run))
 
 
-def replace_partitions(published: DataFrame, fresh: DataFrame, pending: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """published with the pending partitions taken from fresh."""
-    keep = published.join(pending.select(*keys).distinct(), list(keys), "left_anti")
-    return keep.unionByName(fresh.join(pending.select(*keys).distinct(), list(keys), "left_semi"))
+def replace_partitions(published: str, fresh: DataFrame, pending: DataFrame, applied: DataFrame, part: str, run: str, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the published rows, the applied marks) after the pending partitions were taken from fresh.
+
+    published: the path of a table partitioned by part, of which only the pending partitions are written again. expected
+    has part and rows, what the runs state; another count in a pending partition is an error and nothing is written. A
+    pending partition without a run is removed: its mark goes, and rows without a mark are not read.
+    """
+    spark = fresh.sparkSession
+    days = pending.filter(F.col(run).isNotNull()).select(part)
+    new = storage.written(fresh.join(small(days), part, "left_semi"), "fresh-partitions")
+    have = new.groupBy(part).agg(F.count(F.lit(1)).alias("_have"))
+    stated = expected.join(small(days), part, "left_semi").select(part, F.col("rows").alias("_stated"))
+    if not have.join(stated, part, "full_outer").filter(~F.col("_have").eqNullSafe(F.col("_stated"))).isEmpty():
+        raise ValueError("a partition has other rows than its run states")
+    new.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(published)
+    marks = applied.join(small(pending.select(part)), part, "left_anti").unionByName(pending.filter(F.col(run).isNotNull()).select(*applied.columns))
+    marks = storage.written(marks, "applied-marks")
+    rows = spark.read.schema(new.schema).parquet(published)
+    return rows.join(small(marks.select(part)), part, "left_semi").select(*fresh.columns), marks
 
 
 def materialize_receipt(decisions: DataFrame, stored: DataFrame, name: str) -> DataFrame:
@@ -123,6 +164,14 @@ def materialize_receipt(decisions: DataFrame, stored: DataFrame, name: str) -> D
     return counts.join(s, F.lit(True), "left").withColumn("status", F.when(F.col("_s").isNull(), "NEW").when(F.col("_s") == own, "REPLAY").otherwise("MISMATCH")).drop("_s")
 
 
+def accepted_receipt(decisions: DataFrame, stored: DataFrame, name: str) -> DataFrame:
+    """materialize_receipt, with an error where the stored receipt has other counts."""
+    one = materialize_receipt(decisions, stored, name)
+    if not one.filter("status = 'MISMATCH'").isEmpty():
+        raise ValueError(f"receipt {name} was given for other inputs")
+    return one
+
+
 def absence_sweep(current: DataFrame, seen: DataFrame, state: DataFrame, key: str) -> DataFrame:
     """key, confirmations, status after one complete sweep: PRESENT, SUSPECT (absent once), EXCLUDED (twice), REACTIVATED."""
     j = current.select(key).join(seen.select(key, F.lit(True).alias("_s")).distinct(), key, "left").join(state.select(key, F.col("confirmations").alias("_n")), key, "left")
@@ -160,4 +209,4 @@ def affected_partitions(corrected: DataFrame, prior: DataFrame, key: str, part:
 def illegal_transitions(events: DataFrame, keys: Sequence[str], order: Sequence[Column], state: str, allowed: DataFrame) -> DataFrame:
     """Steps from one state to the next that aren't in allowed (from_state, to_state)."""
     steps = events.withColumn("from_state", F.lag(state).over(Window.partitionBy(*keys).orderBy(*order))).withColumn("to_state", F.col(state)).filter("from_state is not null")
-    return steps.join(F.broadcast(allowed), ["from_state", "to_state"], "left_anti")
+    return steps.join(small(allowed), ["from_state", "to_state"], "left_anti")

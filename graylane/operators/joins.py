@@ -61,18 +61,19 @@ def interval_join(fact: DataFrame, intervals: DataFrame, on: Sequence[str], date
     return fact.join(small(side), match, "left").drop(*[f"_k_{k}" for k in on])
 
 
-def ranged_first(fact: DataFrame, rules: DataFrame, fact_key: str, number: str, name: str) -> DataFrame:
-    """fact with region: a rule of kind RANGE (key1 <= number <= key2) before one of kind NAME (key1 = name); lower priority first.
+def ranged_first(fact: DataFrame, rules: DataFrame, number: str, name: str, width: int = 1000) -> DataFrame:
+    """fact with region: a rule of kind RANGE (lo <= number <= hi) before one of kind NAME (label = name); lower priority first.
 
-    The rules are a reference table; ranges are joined from a broadcast side, and one row for each fact is kept.
+    Each distinct number and name is looked up once, ranges by the bins of a width that they touch, and fact's rows take
+    the answer by equality; rows that are alike stay as many as they are.
     """
-    n, s = F.col(number), F.col(name)
-    in_range = (F.col("kind") == "RANGE") & (n >= F.col("lo")) & (n <= F.col("hi"))
-    named = (F.col("kind") == "NAME") & (s == F.col("label"))
-    j = fact.join(small(rules), in_range | named, "left")
-    best = F.min(F.struct(F.when(F.col("kind") == "RANGE", 0).otherwise(1).alias("k"), "priority", "region"))
-    by = j.groupBy(*fact.columns).agg(best.alias("_b"))
-    return by.select(*fact.columns, F.col("_b.region").alias("region"))
+    best = F.min(F.struct("priority", "region"))
+    bins = rules.filter("kind = 'RANGE' and lo <= hi").select("lo", "hi", "priority", "region", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("_bin"))
+    numbers = fact.select(F.col(number).alias("_number")).distinct().withColumn("_bin", F.floor(F.col("_number") / width))
+    ranged = numbers.join(small(bins), "_bin").filter(F.col("_number").between(F.col("lo"), F.col("hi"))).groupBy("_number").agg(best["region"].alias("_ranged"))
+    named = rules.filter("kind = 'NAME'").groupBy(F.col("label").alias("_name")).agg(best["region"].alias("_named"))
+    j = fact.join(small(ranged), F.col(number) == F.col("_number"), "left").join(small(named), F.col(name) == F.col("_name"), "left")
+    return j.select(*[fact[c] for c in fact.columns], F.coalesce("_ranged", "_named").alias("region"))
 
 
 def unique_lookup(fact: DataFrame, candidates: DataFrame, on: Sequence[str], value: str, name: str) -> DataFrame:

@@ -73,11 +73,10 @@ def count_over(df: DataFrame, keys: Sequence[str], name: str = "in_group") -> Da
 
 
 def bounded(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """The rows in order; an error if there are more than n. Only n + 1 rows are sorted out, none are cut silently."""
-    first = df.orderBy(*order).limit(n + 1)
-    if first.count() > n:
+    """The rows in order (sorted by ranges over all tasks); an error if there are more than n, which a count of at most n + 1 rows tells before."""
+    if df.limit(n + 1).count() > n:
         raise ValueError(f"more than {n} rows")
-    return first
+    return df.orderBy(*order)
 
 
 def page_after(df: DataFrame, order: Sequence[str], last: Sequence[Column] | None, n: int) -> DataFrame:

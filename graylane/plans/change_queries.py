@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graylane.operators import changes as H
 from graylane.operators import windows as W
+from graylane import storage
+from graylane.functions import scalar as S
 from graylane.registry import query
 
 _INCOMING = """i AS (SELECT o_orderkey AS k, CASE o_orderkey % 7 WHEN 0 THEN d + INTERVAL 1 DAY WHEN 1 THEN d - INTERVAL 1 DAY WHEN 2 THEN NULL ELSE d END AS f, CASE WHEN o_orderkey % 7 IN (0, 1, 2, 3) THEN o_orderstatus || 'x' ELSE o_orderstatus END AS c
@@ -105,12 +108,29 @@ def pending_partitions(t):
     return H.pending_partitions(c, a, ["day"], "run")
 
 
-@query("SELECT CAST(ts AS DATE) AS day, sum(CASE WHEN day(ts) % 2 = 0 THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS total, count(*) AS n FROM events GROUP BY 1")
+@query("""SELECT CAST(ts AS DATE) AS day, sum(CASE WHEN day(ts) % 2 = 0 THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS total, count(*) AS n, CAST(CASE WHEN day(ts) % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS run FROM events WHERE day(ts) != 7 GROUP BY 1, 4""")
 def replace_partitions(t):
-    """Even days come from the fresh rows, the others stay as published (with amount 0)."""
+    """Even days come from the fresh rows, the 7th is removed, the others stay as published (with amount 0); the marks say which run each day has."""
     e = t("events").select(F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,2)").alias("v"))
-    pending = e.select("day").distinct().filter(F.dayofmonth("day") % 2 == 0)
-    return H.replace_partitions(e.withColumn("v", F.lit(0).cast("decimal(18,2)")), e, pending, ["day"]).groupBy("day").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+    path = storage.new_path(e.sparkSession, "published-days")
+    e.withColumn("v", F.lit(0).cast("decimal(18,2)")).repartition("day").write.partitionBy("day").parquet(path)
+    applied = e.select("day", F.lit(1).cast("long").alias("run")).distinct()
+    covered = applied.filter(F.dayofmonth("day") != 7).withColumn("run", F.when(F.dayofmonth("day") % 2 == 0, F.lit(2)).otherwise(F.col("run")).cast("long"))
+    pending = H.pending_partitions(covered, applied, ["day"], "run")
+    rows, marks = H.replace_partitions(path, e, pending, applied, "day", "run", e.groupBy("day").agg(F.count(F.lit(1)).alias("rows")))
+    return rows.groupBy("day").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")).join(marks, "day")
+
+
+@query("""WITH i AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 50 = 3 THEN 10 ELSE 0 END AS v FROM orders WHERE o_orderkey % 40 != 7) SELECT k, c, v, sum(v) OVER (PARTITION BY c) AS shared_total FROM i""")
+def refresh_detail(t):
+    """After changes, removals and a broken published row the incremental result is the one of a full computation."""
+    o = t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    compute = lambda df: df.withColumn("shared_total", F.sum("v").over(Window.partitionBy("c")))
+    old = o.filter("k % 45 != 4")
+    state = old.select("k", S.row_hash(["c", "v"]).alias("signature"))
+    published = storage.written(compute(old).withColumn("out_signature", S.row_hash(["v", "shared_total"])).withColumn("v", F.when(F.col("k") % 60 == 5, 0).otherwise(F.col("v")).cast("decimal(18,2)")), "published-detail")
+    new = o.filter("k % 40 != 7").withColumn("v", (F.col("v") + F.when(F.col("k") % 50 == 3, 10).otherwise(0)).cast("decimal(18,2)"))
+    return H.refresh_detail(new, state, published, "k", "c", [F.asc("v")], compute)
 
 
 @query(f"WITH {_INCOMING} SELECT count(*) FILTER (decision = 'INSERT') AS inserts, count(*) FILTER (decision = 'UPDATE') AS updates, count(*) FILTER (decision IN ('REPLAY', 'KEEP')) AS noops, count(*) FILTER (decision IN ('STALE', 'CONFLICT', 'NULL_FRESHNESS')) AS blocked, count(*) AS candidates, 'MISMATCH' AS status FROM d")

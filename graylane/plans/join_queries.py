@@ -86,7 +86,7 @@ def ranged_first(t):
     ranges = n.select(F.lit("RANGE").alias("kind"), F.col("i").alias("priority"), (F.col("i") * 50).alias("lo"), (F.col("i") * 50 + 29).alias("hi"), F.lit(None).cast("string").alias("label"), tag("R").alias("region"))
     names = n.filter("i % 2 = 0").select(F.lit("NAME").alias("kind"), F.col("i").alias("priority"), F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("n_name").alias("label"), tag("N").alias("region"))
     c = t("customer").select("c_custkey", (F.col("c_custkey") % 1000).alias("num"), F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("city"))
-    return J.ranged_first(c, ranges.unionByName(names), "c_custkey", "num", "city").select("c_custkey", "region")
+    return J.ranged_first(c, ranges.unionByName(names), "num", "city", 70).select("c_custkey", "region")
 
 
 @query("""SELECT o_orderkey, f AS flag FROM orders LEFT JOIN (SELECT l_orderkey, CASE WHEN min(l_returnflag) = max(l_returnflag) THEN min(l_returnflag) END AS f FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")

@@ -55,13 +55,14 @@ def prepared_or_live(t):
     return L.prepared_or_live(o.select("o_orderkey", F.lit("prepared").alias("origin")), o.filter("o_orderkey % 2 = 0").select("o_orderkey", F.lit("live").alias("origin")), o.filter("o_orderkey = 1"))
 
 
-@query()
+@query("SELECT o_orderstatus, count(*) AS n, true AS built, false AS rebuilt, true AS rebuilt_after_change FROM orders GROUP BY 1")
 def signature_gate(t):
-    """Two runs over the same inputs: the second keeps what the first built."""
-    n = t("nation")
-    first, sign, built = L.rebuild_if_changed(n, None, lambda: n, lambda: n)
-    again, _, rebuilt = L.rebuild_if_changed(n, sign, lambda: n, lambda: first)
-    return again.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n")).withColumns({"built": F.lit(built), "rebuilt": F.lit(rebuilt)})
+    """Two runs over the same inputs: the second keeps what the first built; a third over changed inputs builds anew."""
+    o = t("orders")
+    first, sign, built = L.rebuild_if_changed(o, None, lambda: o, lambda: o)
+    again, _, rebuilt = L.rebuild_if_changed(o.repartition(3), sign, lambda: o.limit(0), lambda: first)
+    changed = L.rebuild_if_changed(o.withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey") == 1, 1).otherwise(0)), sign, lambda: o, lambda: first)[2]
+    return again.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumns({"built": F.lit(built), "rebuilt": F.lit(rebuilt), "rebuilt_after_change": F.lit(changed)})
 
 
 @query("""WITH a AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS s FROM orders WHERE o_orderkey % 7 != 0), b AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 4 = 0 THEN 'Z' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 9 != 0),
@@ -73,21 +74,32 @@ def sync_window(t):
     return L.sync_window(o.filter("k % 7 != 0"), source, "k", "d", F.lit("1996-01-01").cast("date"), F.lit("1998-12-31").cast("date"))
 
 
+@query("""SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 4 = 0 AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' THEN 1 ELSE 0 END AS v FROM orders
+WHERE CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' THEN o_orderkey % 9 != 0 ELSE o_orderkey % 7 != 0 END""")
+def sync_window_applied(t):
+    """The window as the source has it, after its rows and amounts add up to what it states; the rest as it was."""
+    o = t("orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    source = o.filter("k % 9 != 0").withColumn("v", (F.col("v") + F.when(F.col("k") % 4 == 0, 1).otherwise(0)).cast("decimal(18,2)"))
+    lo, hi = F.lit("1996-01-01").cast("date"), F.lit("1998-12-31").cast("date")
+    stated = source.filter(F.col("d").between(lo, hi)).agg(F.count(F.lit(1)), F.sum("v")).first()
+    return L.apply_sync(o.filter("k % 7 != 0"), source, "d", lo, hi, "v", *stated)
+
+
 @query("SELECT CAST(d AS DATE) AS day FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY) r(d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 300000)")
 def missing_days(t):
     return L.missing_days(t("orders").filter("o_totalprice > 300000").select(F.to_date("o_orderdate").alias("day")), "day", "1995-01-01", "2001-12-31")
 
 
-@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_custkey % 50 = 3")
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'")
 def read_contract(t):
     contract = StructType([StructField("o_orderkey", LongType()), StructField("o_orderstatus", StringType())])
-    return L.read_contract(t("orders"), contract, F.col("o_custkey") % 50 == 3, [F.asc("o_orderkey")], 5_000_000)
+    return L.read_contract(t("orders"), contract, F.col("o_orderpriority") == "1-URGENT", [F.asc("o_orderkey")], 2_000_000_000)
 
 
-@query("SELECT n_regionkey AS release, n_nationkey AS k FROM nation WHERE n_regionkey >= 2")
+@query("SELECT CAST(p_size AS BIGINT) % 5 AS release, p_partkey AS k FROM part WHERE p_size % 5 >= 2")
 def import_release(t):
     """Releases 0 and 1 are stored and come again unchanged; the others are appended."""
-    n = t("nation").select(F.col("n_regionkey").alias("release"), F.col("n_nationkey").alias("k"))
+    n = t("part").select((F.col("p_size").cast("long") % 5).alias("release"), F.col("p_partkey").alias("k"))
     return L.import_release(n.filter("release < 2"), n, "release")
 
 
@@ -101,14 +113,34 @@ def stream_landing(t):
     return rows[0].unionByName(rows[1])
 
 
-@query("""WITH e AS (SELECT user_id, date_trunc('second', ts) AS f, event_type FROM events), m AS (SELECT user_id, max(f) AS f FROM e GROUP BY 1) SELECT user_id, f, min(event_type) AS event_type FROM e JOIN m USING (user_id, f) GROUP BY 1, 2 HAVING min(event_type) = max(event_type)""")
+def _stream_sql():
+    """Three batches one after the other: each key's freshest rows of a batch, if of one type, against the state before."""
+    def won(k, rows):
+        return f"""w{k} AS (SELECT user_id, max(f) AS f, min(event_type) AS e FROM (SELECT *, max(f) OVER (PARTITION BY user_id) AS m FROM {rows}) WHERE f = m GROUP BY user_id HAVING min(event_type) = max(event_type))"""
+
+    def state(k):
+        return f"""s{k} AS (SELECT coalesce(s.user_id, w.user_id) AS user_id, CASE WHEN s.f IS NULL OR w.f > s.f THEN w.f ELSE s.f END AS f, CASE WHEN s.f IS NULL OR w.f > s.f THEN w.e ELSE s.e END AS e,
+coalesce(s.conflicts, 0) + CASE WHEN w.f = s.f AND w.e != s.e THEN 1 ELSE 0 END AS conflicts, coalesce(s.replays, 0) + CASE WHEN w.f = s.f AND w.e = s.e THEN 1 ELSE 0 END AS replays FROM s{k - 1} s FULL JOIN w{k} w ON s.user_id = w.user_id)"""
+
+    return f"""WITH v AS (SELECT event_id, user_id, date_trunc('day', ts) AS f, event_type FROM events), a AS (SELECT * FROM v WHERE event_id % 3 = 0), b AS (SELECT * FROM v WHERE event_id % 3 = 1), c AS (SELECT * FROM v WHERE event_id % 3 = 2 AND event_id % 5 != 0 UNION ALL SELECT * FROM a WHERE event_id % 2 = 0),
+{won(1, "a")}, {won(2, "b")}, {won(3, "c")}, s1 AS (SELECT *, 0 AS conflicts, 0 AS replays FROM w1), {state(2)}, {state(3)} SELECT user_id, f, e AS event_type, CAST(conflicts AS BIGINT) AS conflicts, CAST(replays AS BIGINT) AS replays FROM s3"""
+
+
+@query(_stream_sql())
 def stream_apply(t):
+    """Three micro-batches, the third with rows of the first again, then a restart without new rows: the state, and how often a key met a conflict or a replay."""
     spark = t("events").sparkSession
     base = storage.new_path(spark, "stream-apply")
-    t("events").select("event_id", "user_id", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("f"), "event_type").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema("event_id bigint, user_id bigint, f timestamp, event_type string").parquet(f"{base}/in")
-    path = jobs.stream_apply(stream, "user_id", "f", "event_type", "event_id", f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(path).select("user_id", F.col("f").cast("timestamp_ntz").alias("f"), "event_type")
+    e = t("events").select("event_id", "user_id", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("f"), "event_type")
+    third = e.filter("event_id % 3 = 2 and event_id % 5 != 0").unionByName(e.filter("event_id % 6 = 0"))
+    for part in (e.filter("event_id % 3 = 0"), e.filter("event_id % 3 = 1"), third):
+        part.repartition(4, "event_id").write.mode("append").parquet(f"{base}/in")
+    for _ in range(2):
+        stream = spark.readStream.schema("event_id bigint, user_id bigint, f timestamp, event_type string").option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
+        jobs.stream_apply(stream, "user_id", "f", "event_type", "event_id", f"{base}/out", f"{base}/checkpoint")
+    met = spark.read.parquet(f"{base}/out/decisions").groupBy("user_id").agg(F.count_if(F.col("decision") == "CONFLICT").alias("conflicts"), F.count_if(F.col("decision") == "REPLAY").alias("replays"))
+    state = jobs.current_state(spark, f"{base}/out", "user_id", "f", "event_type").join(met, "user_id")
+    return state.select("user_id", F.col("f").cast("timestamp_ntz").alias("f"), "event_type", "conflicts", "replays")
 
 
 @query("SELECT event_id, event_type FROM events")

@@ -42,13 +42,13 @@ def calendar(days: DataFrame, fixed: DataFrame) -> DataFrame:
     """
     e = easter(F.year("day"))
     moving = F.coalesce(*[F.when(F.col("day") == F.date_add(e, n), name) for n, name in ((-47, "carnival"), (-2, "good friday"), (0, "easter"), (60, "corpus christi"))])
-    f = F.broadcast(fixed.select("month", "dom", F.lit("fixed").alias("_f")))
+    f = J.small(fixed.select("month", "dom", F.lit("fixed").alias("_f")))
     d = days.withColumn("month", F.month("day")).withColumn("dom", F.dayofmonth("day")).join(f, ["month", "dom"], "left")
     d = d.withColumn("holiday", F.coalesce(moving, "_f")).withColumn("business", F.col("holiday").isNull() & ~F.dayofweek("day").isin(1, 7))
     d = d.withColumn("_m", F.year("day") * 12 + F.col("month"))
     within = Window.partitionBy("_m").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = d.groupBy((F.col("_m") + 1).alias("_m")).agg(F.max(F.when(F.col("business"), F.col("day"))).alias("_before"))
-    d = d.withColumn("_own", F.max(F.when(F.col("business"), F.col("day"))).over(within)).join(F.broadcast(last), "_m", "left")
+    d = d.withColumn("_own", F.max(F.when(F.col("business"), F.col("day"))).over(within)).join(J.small(last), "_m", "left")
     return d.select("day", F.year("day").alias("year"), "month", F.weekofyear("day").alias("iso_week"), "holiday", "business", F.coalesce("_own", "_before").alias("business_day"))
 
 

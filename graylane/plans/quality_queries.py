@@ -21,9 +21,15 @@ def compare_exports(t):
     return Q.compare_exports(a, b, ["p_brand", "p_type", "price"], ["price"])
 
 
-@query()
+@query("SELECT count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_quantity)) AS distinct_rows, true AS same_shuffled, true AS other_edited FROM lineitem")
 def bag_digest(t):
-    return Q.bag_digest(t("nation"))
+    """The digest is the same after a shuffle and another after one row was edited."""
+    l = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")  # noqa: E741
+    last = l.agg(F.max("l_orderkey")).first()[0]
+    a, b, c = Q.bag_digest(l), Q.bag_digest(l.repartition(5)), Q.bag_digest(l.withColumn("l_partkey", F.col("l_partkey") + F.when(F.col("l_orderkey") == last, 1).otherwise(0)))
+    one = lambda df, n: df.select(F.col("digest").alias(n))
+    j = a.join(one(b, "shuffled"), how="cross").join(one(c, "edited"), how="cross")
+    return j.select("rows", "distinct_rows", (F.col("digest") == F.col("shuffled")).alias("same_shuffled"), (F.col("digest") != F.col("edited")).alias("other_edited"))
 
 
 @query("""WITH e AS (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 50 != 0),

@@ -109,15 +109,23 @@ def identity_key(t):
     return t("events").select("event_id", S.identity_key([("id", F.when(k == 0, F.col("event_id"))), ("user", F.when(k == 1, F.col("user_id"))), ("type", F.col("event_type"))]).alias("h"))
 
 
-@query("""SELECT doc_id, array_to_string(list_sort(list_filter(list_transform(string_split(left(text, 200), ' '), lambda x: trim(x, ' ')), lambda x: x != '')), ',') AS words FROM documents""")
+@query("""SELECT doc_id, array_to_string(list_sort(list_filter(list_transform(string_split(text, ' '), lambda x: trim(x, ' ')), lambda x: x != '')), ',') AS words FROM documents""")
 def canonical_list(t):
-    return t("documents").select("doc_id", S.canonical_list(F.split(F.substring("text", 1, 200), " ")).alias("words"))
+    return t("documents").select("doc_id", S.canonical_list(F.split("text", " ")).alias("words"))
 
 
-@query("""SELECT doc_id, array_to_string(list_sort(list_filter(list_transform(string_split(text, ' '), lambda x: trim(x, ' ')), lambda x: x != '')), ',') AS words FROM documents""")
-def canonical_list_whole(t):
-    """canonical_list reads the first 200 characters; here the whole text."""
-    return t("documents").select("doc_id", S.canonical_list(F.split("text", " ")).alias("words"))
+@query("SELECT p_partkey, contains(strip_accents(lower(p_name)), 'part') AS has, starts_with(lower(p_type), 'st') AS starts FROM part")
+def ci_ai_parts(t):
+    """A token and a prefix whatever case and accents they are given in."""
+    return t("part").select("p_partkey", S.contains_ci_ai(F.col("p_name"), "P\u00e1RT").alias("has"), S.starts_with_ci_ai(F.col("p_type"), "\u015aT").alias("starts"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN ts ELSE ts + INTERVAL 3 HOUR END AS at FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)""")
+def to_instant(t):
+    """Even rows give an offset, the others the local time of a zone three hours behind."""
+    text = F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    given = F.when(F.col("event_id") % 2 == 0, F.concat(text, F.lit("Z"))).otherwise(text)
+    return t("events").select("event_id", S.to_instant(given, "Etc/GMT+3").cast("timestamp_ntz").alias("at"))
 
 
 @query("""SELECT conv_id, regexp_replace(string_agg(role, ', ' ORDER BY turn, role), '[\\[\\]"]', '', 'g') AS roles FROM conversations GROUP BY conv_id""")

@@ -21,18 +21,10 @@ def latest_ranked_case(t):
     return W.latest_per_key(t("orders"), ["o_custkey"], [rank, F.desc("o_orderdate"), F.desc("o_orderkey")]).select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
-@query("""WITH w AS (SELECT doc_id, unnest(string_split(left(text, 300), ' ')) AS word, unnest(range(len(string_split(left(text, 300), ' ')))) AS pos FROM documents)
-SELECT doc_id, word, CAST(max(pos) AS INTEGER) AS pos FROM w GROUP BY 1, 2""")
-def last_wins(t):
-    """Of a repeated word of the first 300 characters, the last place."""
-    w = t("documents").select("doc_id", F.posexplode(F.split(F.substring("text", 1, 300), " ")).alias("pos", "word"))
-    return W.latest_per_key(w, ["doc_id", "word"], [F.desc("pos")]).select("doc_id", "word", "pos")
-
-
 @query("""WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word, unnest(range(len(string_split(text, ' ')))) AS pos FROM documents)
 SELECT doc_id, word, CAST(max(pos) AS INTEGER) AS pos FROM w GROUP BY 1, 2""")
-def last_wins_whole(t):
-    """Of a repeated word of the whole text, the last place."""
+def last_wins(t):
+    """Of a repeated word of a text, the last place."""
     w = t("documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     return W.latest_per_key(w, ["doc_id", "word"], [F.desc("pos")]).select("doc_id", "word", "pos")
 

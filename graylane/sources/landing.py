@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from graylane import storage
 from graylane.operators.sets import multiset_diff
+from graylane.operators.windows import bounded
 
 
 def latest_capture(occurrences: DataFrame, runs: DataFrame, keys: Sequence[str], run: str, stored: str, state: Column) -> DataFrame:
@@ -111,6 +112,19 @@ def sync_window(target: DataFrame, source: DataFrame, key: str, date: str, lo: C
     return j.select(key, action.alias("action")).unionByName(outside.select(key, F.lit("OUTSIDE").alias("action")))
 
 
+def apply_sync(target: DataFrame, source: DataFrame, date: str, lo: Column, hi: Column, amount: str, rows: int, total) -> DataFrame:
+    """target with the window lo <= date <= hi as source has it, after the source's rows there and their amounts add up to the totals it states; else an error.
+
+    Updates, insertions and deletions of the window are what the source's rows bring; rows outside stay as they are.
+    """
+    inside = F.coalesce((F.col(date) >= lo) & (F.col(date) <= hi), F.lit(False))
+    fresh = source.filter(inside)
+    have = fresh.agg(F.count(F.lit(1)), F.coalesce(F.sum(amount), F.lit(0))).first()
+    if (have[0], have[1]) != (rows, total):
+        raise ValueError(f"the window has {have[0]} rows and {have[1]}, stated are {rows} and {total}")
+    return target.filter(~inside).unionByName(fresh.select(*target.columns))
+
+
 def missing_days(coverage: DataFrame, day: str, lo: str, hi: str) -> DataFrame:
     """Days from lo to hi that the coverage lacks."""
     spine = coverage.sparkSession.range(1).select(F.explode(F.sequence(F.lit(lo).cast("date"), F.lit(hi).cast("date"))).alias(day))
@@ -123,10 +137,7 @@ def read_contract(table: DataFrame, contract: StructType, where: Column, order:
     drift = [f.name for f in contract if have.get(f.name) != f.dataType]
     if drift:
         raise ValueError(f"other than the contract: {', '.join(drift)}")
-    rows = table.filter(where).select(*contract.names).orderBy(*order).limit(limit + 1)
-    if rows.count() > limit:
-        raise ValueError(f"more than {limit} rows")
-    return rows
+    return bounded(table.filter(where).select(*contract.names), order, limit)
 
 
 def import_release(stored: DataFrame, rows: DataFrame, release: str) -> DataFrame:

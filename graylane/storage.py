@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{os.path.join(tempfile.gettempdir(), 'graylane-checkpoints')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found

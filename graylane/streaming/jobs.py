@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graylane.operators.changes import screen_batch
+from graylane.operators.changes import decide, screen_batch
 from graylane.operators.windows import latest_per_key
 
+#: Micro-batches after which the state is written whole.
+SNAPSHOT_EVERY = 20
+
 
 def stream_captures(spark: SparkSession, path: str, schema: str, good: Column, out: str, checkpoint: str) -> None:
     """New JSON files: rows that meet the contract to out/bronze, the others to out/quarantine; each batch writes its own folder, so a replay overwrites it."""
@@ -21,23 +24,38 @@ def stream_captures(spark: SparkSession, path: str, schema: str, good: Column, o
     stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def stream_apply(stream: DataFrame, key: str, freshness: str, content: str, ordinal: str, out: str, checkpoint: str) -> str:
-    """Current state by micro-batch; returns the path of the last state.
+def current_state(spark: SparkSession, out: str, key: str, freshness: str, content: str, before: int | None = None) -> DataFrame:
+    """The state of stream_apply after the batches below before (all of them where it is None): the last snapshot and the accepted rows since."""
+    log = spark.read.parquet(f"{out}/decisions")
+    if before is None:
+        before = log.agg(F.max("batch")).first()[0] + 1
+    last = before // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    since = log.filter((F.col("batch") >= last) & (F.col("batch") < before) & F.col("decision").isin("INSERT", "UPDATE")).select(key, freshness, content)
+    rows = since.unionByName(spark.read.parquet(f"{out}/snapshots/before={last}").select(key, freshness, content)) if last else since
+    return latest_per_key(rows, [key], [F.desc_nulls_last(freshness)])
+
+
+def stream_apply(stream: DataFrame, key: str, freshness: str, content: str, ordinal: str, out: str, checkpoint: str) -> None:
+    """Current state by micro-batch: out/decisions has a decision for every row of every batch, current_state reads the state.
 
-    A batch is screened (stale and duplicate rows leave, contradictions are set aside), then the fresher rows win over the
-    state of the batch before. State n depends on state n - 1 and batch n alone, so a replayed batch writes the same state.
+    A batch is screened (STALE, DUPLICATE and QUARANTINE rows of its own), what it accepts is decided against the state
+    before it: INSERT, UPDATE, STALE, REPLAY, CONFLICT (other content at the same freshness) or NULL_FRESHNESS. A batch
+    writes its own decisions only, and depends on earlier batches alone, so that a replayed batch writes the same again;
+    every SNAPSHOT_EVERY batches the state is written whole.
     """
-    last = {"path": None}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        accepted = screen_batch(batch, [key], freshness, content, ordinal).filter("disposition = 'ACCEPT'").select(key, freshness, content)
-        if batch_id:
-            accepted = latest_per_key(batch.sparkSession.read.parquet(f"{out}/state-{batch_id - 1}").unionByName(accepted), [key], [F.desc(freshness), F.asc(content)])
-        accepted.write.mode("overwrite").parquet(f"{out}/state-{batch_id}")
-        last["path"] = f"{out}/state-{batch_id}"
+        spark = batch.sparkSession
+        screened = screen_batch(batch, [key], freshness, content, ordinal)
+        fresh = screened.filter("disposition = 'ACCEPT'").select(key, freshness, content)
+        state = current_state(spark, out, key, freshness, content, batch_id).join(fresh.select(key), key, "left_semi") if batch_id else fresh.limit(0)
+        decided = decide(state, fresh, key, freshness, content).select(key, F.col(f"new_{freshness}").alias(freshness), F.col(f"new_{content}").alias(content), "decision")
+        others = screened.filter("disposition != 'ACCEPT'").select(key, freshness, content, F.col("disposition").alias("decision"))
+        decided.unionByName(others).write.mode("overwrite").parquet(f"{out}/decisions/batch={batch_id}")
+        if (batch_id + 1) % SNAPSHOT_EVERY == 0:
+            current_state(spark, out, key, freshness, content, batch_id + 1).write.mode("overwrite").parquet(f"{out}/snapshots/before={batch_id + 1}")
 
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return last["path"]
 
 
 def stream_dedupe(stream: DataFrame, keys: list[str], ts: str, delay: str, out: str, checkpoint: str) -> None:
