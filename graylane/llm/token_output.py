@@ -2,10 +2,11 @@
 
 Texts are dealt out in ascending order of doc_id, tokenized in each task and gathered into shards of about SHARD_IDS ids
 (whole documents). Within a shard the most frequent pairs of neighbouring symbols become new symbols, round after round
-(a batch of pairs each round, never across the end of a document), until no pair is frequent enough to pay for its rule.
+(a batch of pairs each round, never across the end of a document), until no pair is frequent enough to save more bytes
+than its rule takes.
 A shard is one row of the written table:
 
-- part, shard: its place in the order of all ids; n_ids, n_docs
+- part, shard: its place in the order of all ids; n_ids, n_docs, n_null (documents without an id, which come first)
 - doc_ids (int64), lengths (uint32 ids of each document), symbols (uint32 symbols of each document)
 - base, rules (uint32 pairs; rule k is symbol base + k and refers to smaller symbols), spans (uint32 expansion lengths)
 - body: the symbols of all documents, uint16 where they fit (width 2), else uint32 (width 4); all little-endian
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 
 from graylane.llm import common as C
 
-SHARD_IDS, PAIRS_A_ROUND, LEAST_PAIRS = 1_000_000, 2048, 4
+SHARD_IDS, PAIRS_A_ROUND = 1_000_000, 2048
+#: A rule is stored as two symbols and a span of four bytes each.
+RULE_BYTES, _ODD = 12, 0x9E3779B97F4A7C15
 
 
 class Encoder:
@@ -103,43 +106,54 @@ def _encoder(path: str) -> Encoder:
 def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, mask of documents' ends, rules): ids with frequent pairs replaced; last marks the end of each document.
 
-    A rule takes three words (its pair and its span), so a pair pays from LEAST_PAIRS places on. Rounds go on until no
-    pair has so many. A round takes the PAIRS_A_ROUND most frequent pairs, or a quarter of those that pay if these are
-    more. Where symbols would outgrow uint16 the rest is tried as well, and what takes fewer bytes is kept.
+    A round counts all pairs and takes the PAIRS_A_ROUND most frequent ones that pay for their rule (RULE_BYTES), or a
+    quarter of those that pay if these are more; of overlapping places the more frequent pair has its own. Rounds go on
+    until no pair pays. A symbol takes two bytes as long as the numbers last; beyond them it takes four, which is tried
+    where pairs that pay stand in a quarter of the places at least, and what takes fewer bytes is kept.
     """
     seq, last, rules = ids.astype(np.uint32), last.copy(), []
-    narrow, room = None, PAIRS_A_ROUND
+    narrow, width = None, 2 if base <= 65536 else 4
     while len(seq) > 1:
         key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
         ok = ~last[:-1]
         # in a row of one symbol every other place counts
-        ok &= ~((seq[:-1] == seq[1:]) & (run_places(key, ok) % 2 == 1))
+        same = np.flatnonzero((seq[:-1] == seq[1:]) & ok)
+        first = np.r_[True, np.diff(same) != 1] if len(same) else np.zeros(0, bool)
+        at = np.arange(len(same))
+        ok[same[(at - np.maximum.accumulate(np.where(first, at, 0))) % 2 == 1]] = False
         pairs, counts = np.unique(key[ok], return_counts=True)
-        pairs, counts = pairs[counts >= LEAST_PAIRS], counts[counts >= LEAST_PAIRS]
+        least = RULE_BYTES // width + 1
+        pairs, counts = pairs[counts >= least], counts[counts >= least]
         if not len(pairs):
             break
-        most = min(len(pairs), max(room, len(pairs) // 4) if room >= PAIRS_A_ROUND else room)
-        if narrow is None and base <= 65536:
-            if not 65536 - base - len(rules):
-                narrow = seq, last, len(rules)
-            else:
-                most = min(most, 65536 - base - len(rules))
-        chosen = np.sort(pairs[np.argpartition(counts, -most)[-most:]])
-        slot = np.minimum(np.searchsorted(chosen, key), most - 1)
-        at = np.flatnonzero(ok & (chosen[slot] == key))
-        # of overlapping places every other one, from the left
-        first = np.r_[True, np.diff(at) != 1]
-        start = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - start) % 2 == 0]
-        n = np.bincount(slot[at], minlength=most)
-        used = np.flatnonzero(n >= LEAST_PAIRS)
-        if not len(used):  # the pairs took each other's places; the most frequent one alone has all of its own
-            room = max(1, most // 8)
-            continue
-        room = PAIRS_A_ROUND
+        most = min(len(pairs), max(PAIRS_A_ROUND, len(pairs) // 4))
+        if width == 2:
+            if base + len(rules) == 65536:
+                if 4 * counts.sum() < len(seq):
+                    break
+                narrow, width = (seq, last, len(rules)), 4
+                continue
+            most = min(most, 65536 - base - len(rules))
+        top = np.sort(np.argpartition(counts, -most)[-most:])
+        chosen, rank = pairs[top], np.empty(most, np.int64)
+        rank[np.argsort(counts[top], kind="stable")] = np.arange(most)
+        # a table of hashes leaves few places to look up
+        mark = np.zeros(1 << 18, bool)
+        mark[chosen * np.uint64(_ODD) >> np.uint64(46)] = True
+        at = np.flatnonzero(mark[key * np.uint64(_ODD) >> np.uint64(46)] & ok)
+        slot = np.minimum(np.searchsorted(chosen, key[at]), most - 1)
+        hit = chosen[slot] == key[at]
+        at, slot = at[hit], slot[hit]
+        # the most frequent pair has all its places, so every round replaces one at least
+        near, mine = np.diff(at) == 1, rank[slot]
+        own = np.ones(len(at), bool)
+        own[1:] &= ~(near & (mine[:-1] > mine[1:]))
+        own[:-1] &= ~(near & (mine[1:] > mine[:-1]))
+        at, slot = at[own], slot[own]
+        used = np.flatnonzero(np.bincount(slot, minlength=most) >= least)
         number = np.full(most, -1, np.int64)
         number[used] = base + len(rules) + np.arange(len(used))
-        new = number[slot[at]]
+        new = number[slot]
         at, new = at[new >= 0], new[new >= 0]
         rules += [(int(k >> np.uint64(32)), int(k & np.uint64(0xFFFFFFFF))) for k in chosen[used]]
         seq, last = seq.copy(), last.copy()
@@ -148,18 +162,11 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last = seq[keep], last[keep]
-    if narrow is not None and 2 * len(narrow[0]) + 12 * narrow[2] <= 4 * len(seq) + 12 * len(rules):
+    if narrow is not None and 2 * len(narrow[0]) + RULE_BYTES * narrow[2] <= 4 * len(seq) + RULE_BYTES * len(rules):
         seq, last, rules = narrow[0], narrow[1], rules[: narrow[2]]
     return seq, last, np.array(rules, np.uint32).reshape(-1, 2)
 
 
-def run_places(key: np.ndarray, ok: np.ndarray) -> np.ndarray:
-    """The place of each pair in its row of equal pairs that follow each other; what isn't ok ends a row."""
-    first = np.r_[True, (key[1:] != key[:-1]) | ~ok[:-1]]
-    i = np.arange(len(key))
-    return i - np.maximum.accumulate(np.where(first, i, 0))
-
-
 def spans_of(rules: np.ndarray, base: int) -> np.ndarray:
     """The number of ids of each rule."""
     spans = np.zeros(len(rules), np.uint32)
@@ -196,13 +203,13 @@ def ids_of(shard: dict, doc: int, start: int = 0, stop: int | None = None) -> np
     return expand(body[i:j], base, rules, spans)[start - before : stop - before]
 
 
-_SHARD = "part long, shard long, n_ids long, n_docs long, doc_ids binary, lengths binary, symbols binary, base long, rules binary, spans binary, width int, body binary"
+_SHARD = "part long, shard long, n_ids long, n_docs long, n_null long, doc_ids binary, lengths binary, symbols binary, base long, rules binary, spans binary, width int, body binary"
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The written table of shards. tokenizer: the path of a file of the tokenizers library that all executors have."""
     C.prepare_python(docs.sparkSession)
-    schema = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("n_ids", pa.int64()), ("n_docs", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()), ("base", pa.int64()), ("rules", pa.binary()), ("spans", pa.binary()), ("width", pa.int32()), ("body", pa.binary())])
+    schema = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("n_ids", pa.int64()), ("n_docs", pa.int64()), ("n_null", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()), ("base", pa.int64()), ("rules", pa.binary()), ("spans", pa.binary()), ("width", pa.int32()), ("body", pa.binary())])
 
     def shard(k: int, doc_ids: list, ids: list[np.ndarray], base: int) -> pa.RecordBatch:
         lengths = np.array([len(x) for x in ids], np.int64)
@@ -212,8 +219,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
         seq, ends, rules = repair(flat, last, base)
         symbols = np.diff(np.r_[-1, np.flatnonzero(ends)])
         width = 2 if base + len(rules) <= 65536 else 4
-        known = np.array([-(2**63) if i is None else i for i in doc_ids], "<i8")
-        row = [TaskContext.get().partitionId(), k, len(flat), len(ids), known.tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u4").tobytes(), base, rules.astype("<u4").tobytes(), spans_of(rules, base).astype("<u4").tobytes(), width, seq.astype(f"<u{width}").tobytes()]
+        # null ids come first in the order, so their number tells them apart from every id
+        nulls = sum(i is None for i in doc_ids)
+        known = np.array([0 if i is None else i for i in doc_ids], "<i8")
+        row = [TaskContext.get().partitionId(), k, len(flat), len(ids), nulls, known.tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u4").tobytes(), base, rules.astype("<u4").tobytes(), spans_of(rules, base).astype("<u4").tobytes(), width, seq.astype(f"<u{width}").tobytes()]
         return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,8 +243,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
         if ids:
             yield shard(k, doc_ids, ids, base)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("turn"))
+    # rows of one id and text are alike, so any order of theirs will do, and a range may end between them
+    rows = rows.repartitionByRange("doc_id", "h", "turn").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     return C.written(rows.mapInArrow(run, _SHARD), "token-shards")
 
 
@@ -260,6 +270,6 @@ def read_tokens(shards: DataFrame) -> DataFrame:
                 names = np.frombuffer(row["doc_ids"], "<i8")
                 raw = memoryview(np.ascontiguousarray(ids, "<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-                yield pa.record_batch([pa.array(names, mask=names == -(2**63)), pa.array(row["first"] + ends - n), pa.array(n), pa.array(crc, pa.int64())], schema=schema)
+                yield pa.record_batch([pa.array(names, mask=np.arange(len(names)) < row["n_null"]), pa.array(row["first"] + ends - n), pa.array(n), pa.array(crc, pa.int64())], schema=schema)
 
     return shards.join(starts, ["part", "shard"]).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
