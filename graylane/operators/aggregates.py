@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graylane.operators.windows import top_cohort
+from graylane.operators.windows import latest_per_key, top_cohort
 
 
 def consensus(df: DataFrame, keys: Sequence[str], col: str, active: Column | None = None) -> DataFrame:
@@ -100,3 +100,34 @@ def overall_state(df: DataFrame, keys: Sequence[str], state: str, precedence: Se
     """Counts of each state and the first state of the precedence that occurs."""
     by = df.groupBy(*keys).agg(*[F.count_if(F.col(state) == s).alias(s.lower()) for s in precedence])
     return by.withColumn("overall", F.coalesce(*[F.when(F.col(s.lower()) > 0, s) for s in precedence], F.lit("NONE")))
+
+
+def overview(df: DataFrame, keys: Sequence[str], distinct: dict[str, Column], sums: dict[str, Column], at: str, complete: tuple[str, int]) -> DataFrame:
+    """keys: rows (n), distinct counts, sums, first and last time; COMPLETE if the named distinct count is at least so much, else PARTIAL."""
+    counts = [F.count_distinct(c).alias(n) for n, c in distinct.items()]
+    by = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *counts, *[F.sum(c).alias(n) for n, c in sums.items()], F.min(at).alias("first_ts"), F.max(at).alias("last_ts"))
+    return by.withColumn("status", F.when(F.col(complete[0]) >= complete[1], "COMPLETE").otherwise("PARTIAL"))
+
+
+def counts_where(df: DataFrame, keys: Sequence[str], conditions: dict[str, Column]) -> DataFrame:
+    """keys: for each condition the number of rows for which it holds."""
+    return df.groupBy(*keys).agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+
+
+def run_monitor(runs: DataFrame, logs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """runs (keys, started, ended) with seconds, and of their logs (keys, failed, rows) entries, rows, errors and an error class.
+
+    HIGH: over a quarter of the entries failed; SOME; NONE; SILENT: no log at all.
+    """
+    by = logs.groupBy(*keys).agg(F.count(F.lit(1)).alias("entries"), F.sum("rows").alias("rows"), F.count_if(F.col("failed")).alias("errors"))
+    j = runs.join(by, list(keys), "left")
+    bad = F.when(F.col("entries").isNull(), "SILENT").when(F.col("errors") * 4 > F.col("entries"), "HIGH").when(F.col("errors") > 0, "SOME").otherwise("NONE")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("entries", "rows", "errors")]
+    return j.select(*keys, (F.unix_timestamp("ended") - F.unix_timestamp("started")).alias("seconds"), *zero, bad.alias("error_class"))
+
+
+def run_health(attempts: DataFrame, run: str, page: str, order: Sequence[Column], failed: Column, amount: Column, pages: int) -> DataFrame:
+    """The latest attempt of each page, then run: pages, total, failed, and a state: FAILED, PARTIAL (fewer pages than stated) or OK."""
+    p = latest_per_key(attempts, [run, page], order)
+    by = p.groupBy(run).agg(F.count(F.lit(1)).alias("pages"), F.sum(amount).alias("total"), F.count_if(failed).alias("failed"))
+    return by.withColumn("state", F.when(F.col("failed") > 0, "FAILED").when(F.col("pages") < pages, "PARTIAL").otherwise("OK"))

@@ -98,9 +98,12 @@ def mart_pickups(t):
     return M.pickups(live, gone).select("pickup", "status", "state")
 
 
-@query("""SELECT l_orderkey AS document, sum(CAST(share AS DECIMAL(18,2))) AS total FROM (SELECT o_orderkey AS l_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS share FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) GROUP BY 1""")
+@query("""WITH l AS (SELECT l_orderkey AS document, l_linenumber AS line, CASE WHEN l_linenumber % 2 = 0 THEN min(l_suppkey) END AS client, CAST(round(sum(CAST(l_quantity AS DECIMAL(18,4))) * 10000) AS HUGEINT) AS v FROM lineitem GROUP BY 1, 2),
+o AS (SELECT document, CASE WHEN min(client) = max(client) THEN min(client) END AS sole FROM l GROUP BY 1), j AS (SELECT l.*, coalesce(client, sole) AS party, CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 100) AS HUGEINT) AS t FROM l JOIN o USING (document) JOIN orders ON o_orderkey = document),
+u AS (SELECT *, CAST(sum(v) OVER (PARTITION BY document ORDER BY line) AS HUGEINT) AS u, CAST(sum(v) OVER (PARTITION BY document) AS HUGEINT) AS s FROM j)
+SELECT document, line, party AS client, CAST(((2 * t * u + s) // (2 * s) - (2 * t * (u - v) + s) // (2 * s)) / 100 AS DECIMAL(18,2)) AS share FROM u""")
 def mart_receivables(t):
-    """The shares of a document's lines add up to its instalments, to the cent."""
+    """Each line's share of its document's instalments and the client that it falls to."""
     lines = t("lineitem").groupBy(F.col("l_orderkey").alias("document"), F.col("l_linenumber").alias("line")).agg(F.min("l_suppkey").alias("client"), F.sum(F.col("l_quantity").cast("decimal(18,4)")).alias("weight"))
     lines = lines.withColumn("client", F.when(F.col("line") % 2 == 0, F.col("client")))
-    return M.receivables(lines, t("orders").select(F.col("o_orderkey").alias("document"), F.col("o_totalprice").cast("decimal(18,2)").alias("value"))).groupBy("document").agg(F.sum("share").alias("total"))
+    return M.receivables(lines, t("orders").select(F.col("o_orderkey").alias("document"), F.col("o_totalprice").cast("decimal(18,2)").alias("value")))

@@ -95,8 +95,7 @@ def next_batch(t):
 
 @query("""SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, sum(CAST(value AS DECIMAL(18,2))) AS total, min(ts) AS first_ts, max(ts) AS last_ts, CASE WHEN count(DISTINCT CAST(ts AS DATE)) >= 30 THEN 'COMPLETE' ELSE 'PARTIAL' END AS status FROM events GROUP BY 1""")
 def coverage_overview(t):
-    days = F.count_distinct(F.to_date("ts"))
-    return t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.when(days >= 30, "COMPLETE").otherwise("PARTIAL").alias("status"))
+    return A.overview(t("events"), ["event_type"], {"users": F.col("user_id"), "days": F.to_date("ts")}, {"total": F.col("value").cast("decimal(18,2)")}, "ts", ("days", 30)).drop("days")
 
 
 @query("""SELECT k, CAST(sum(a) AS BIGINT) AS views, CAST(sum(b) AS BIGINT) AS purchases, CAST(sum(c) AS BIGINT) AS orders, CASE WHEN sum(a) > 0 THEN CAST(sum(b) AS DOUBLE) / sum(a) END AS ratio FROM (
@@ -143,7 +142,7 @@ def multiset_overlap(t):
 @query("SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS finished, count(*) FILTER (o_totalprice > 100000) AS large, count(*) FILTER (o_orderstatus = 'F' AND o_totalprice > 100000) AS both_true FROM orders GROUP BY 1")
 def conditional_counts(t):
     f, l = F.col("o_orderstatus") == "F", F.col("o_totalprice") > 100000  # noqa: E741
-    return t("orders").groupBy("o_orderpriority").agg(F.count_if(f).alias("finished"), F.count_if(l).alias("large"), F.count_if(f & l).alias("both_true"))
+    return A.counts_where(t("orders"), ["o_orderpriority"], {"finished": f, "large": l, "both_true": f & l})
 
 
 @query("""WITH s AS (SELECT event_type, CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS k, value > 1 AS ok FROM events),
@@ -162,9 +161,9 @@ def string_agg_ordered(t):
 
 @query("""SELECT CAST(ts AS DATE) AS day, count(*) AS rows, count(*) FILTER (event_type = 'error') AS errors, date_diff('second', date_trunc('second', min(ts)), date_trunc('second', max(ts))) AS seconds, CASE WHEN count(*) FILTER (event_type = 'error') * 4 > count(*) THEN 'HIGH' WHEN count(*) FILTER (event_type = 'error') > 0 THEN 'SOME' ELSE 'NONE' END AS error_class FROM events GROUP BY 1""")
 def run_monitor(t):
-    n, bad = F.count(F.lit(1)), F.count_if(F.col("event_type") == "error")
-    seconds = F.unix_timestamp(F.max(F.col("ts").cast("timestamp"))) - F.unix_timestamp(F.min(F.col("ts").cast("timestamp")))
-    return t("events").groupBy(F.to_date("ts").alias("day")).agg(n.alias("rows"), bad.alias("errors"), seconds.alias("seconds"), F.when(bad * 4 > n, "HIGH").when(bad > 0, "SOME").otherwise("NONE").alias("error_class"))
+    e = t("events").select(F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("at"), (F.col("event_type") == "error").alias("failed"), F.lit(1).alias("rows"))
+    runs = e.groupBy("day").agg(F.min("at").alias("started"), F.max("at").alias("ended"))
+    return A.run_monitor(runs, e, ["day"]).select("day", "rows", "errors", "seconds", "error_class")
 
 
 @query("""WITH c AS (SELECT count(*) AS total, count(*) FILTER (value < 1) AS low, count(*) FILTER (user_id IS NULL) AS nouser, count(*) FILTER (event_type = 'error') AS err FROM events),
@@ -179,9 +178,7 @@ SELECT run, count(*) AS pages, sum(CAST(value AS DECIMAL(18,2))) AS total, count
 def run_health(t):
     """The latest attempt of each page, then totals and a state of the run."""
     attempts = t("events").withColumn("page", F.col("event_id") % 10)
-    p = W.latest_per_key(attempts, ["user_id", "page"], [F.desc("ts"), F.desc("event_id")])
-    bad = F.count_if(F.col("event_type") == "error")
-    return p.groupBy(F.col("user_id").alias("run")).agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"), bad.alias("failed"), F.when(bad > 0, "FAILED").when(F.count(F.lit(1)) < 10, "PARTIAL").otherwise("OK").alias("state"))
+    return A.run_health(attempts.withColumnRenamed("user_id", "run"), "run", "page", [F.desc("ts"), F.desc("event_id")], F.col("event_type") == "error", F.col("value").cast("decimal(18,2)"), 10)
 
 
 @query("""SELECT user_id, CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'error') AS error, count(*) FILTER (event_type = 'purchase') AS purchase, count(*) FILTER (event_type = 'view') AS view,

@@ -29,7 +29,7 @@ def current_state(spark: SparkSession, out: str, key: str, freshness: str, conte
     log = spark.read.parquet(f"{out}/decisions")
     if before is None:
         before = log.agg(F.max("batch")).first()[0] + 1
-    last = before // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    last = (before - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
     since = log.filter((F.col("batch") >= last) & (F.col("batch") < before) & F.col("decision").isin("INSERT", "UPDATE")).select(key, freshness, content)
     rows = since.unionByName(spark.read.parquet(f"{out}/snapshots/before={last}").select(key, freshness, content)) if last else since
     return latest_per_key(rows, [key], [F.desc_nulls_last(freshness)])

@@ -1,6 +1,7 @@
 """Ties, nulls and conflicts on literal rows."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graylane.functions import scalar as S
@@ -10,6 +11,7 @@ from graylane.operators import joins as J
 from graylane.operators import quality as Q
 from graylane.operators import windows as W
 from graylane.sources import landing as L
+from graylane.streaming import jobs
 
 
 def rows(df):
@@ -116,5 +118,53 @@ def test_whole_texts_are_read(spark, tmp_path):
 
     text = " ".join(["b"] * 400 + ["a", "b", "c"])
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    assert catalog.QUERIES["canonical_list_whole"](spark, str(tmp_path)).collect()[0].words == ",".join(sorted(text.split(" ")))
-    assert {r.word: r.pos for r in catalog.QUERIES["last_wins_whole"](spark, str(tmp_path)).collect()} == {"a": 400, "b": 401, "c": 402}
+    assert catalog.QUERIES["canonical_list"](spark, str(tmp_path)).collect()[0].words == ",".join(sorted(text.split(" ")))
+    assert {r.word: r.pos for r in catalog.QUERIES["last_wins"](spark, str(tmp_path)).collect()} == {"a": 400, "b": 401, "c": 402}
+
+
+def test_ranged_first_keeps_rows_that_are_alike(spark):
+    rules = spark.createDataFrame([("RANGE", 2, 10, 2500, None, "r2"), ("RANGE", 1, 2000, 2100, None, "r1"), ("NAME", 0, None, None, "x", "n"), ("NAME", 0, None, None, "y", "m")], "kind string, priority long, lo long, hi long, label string, region string")
+    fact = spark.createDataFrame([(5, "x"), (10, "x"), (10, "x"), (2050, "y"), (2500, None), (None, "y"), (None, None)], "n long, s string")
+    got = sorted(J.ranged_first(fact, rules, "n", "s").collect(), key=str)
+    assert [(r.n, r.s, r.region) for r in got] == sorted([(5, "x", "n"), (10, "x", "r2"), (10, "x", "r2"), (2050, "y", "r1"), (2500, None, "r2"), (None, "y", "m"), (None, None, None)], key=lambda r: f"Row(n={r[0]}, s={r[1]!r}, region={r[2]!r})")
+
+
+def test_stream_keeps_conflicts_and_restarts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "SNAPSHOT_EVERY", 2)
+    schema = "id long, f long, c string, o long"
+    batches = [[(1, 1, "b", 0), (2, 1, "x", 1), (3, None, "n", 2)], [(1, 1, "a", 0), (2, 2, "y", 1), (2, 1, "w", 2)], [(2, 2, "y", 0), (1, 0, "old", 1), (4, 1, "p", 2), (4, 1, "q", 3)], [(3, 5, "late", 0)]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        for _ in range(1 + k % 2):  # also again without new rows
+            jobs.stream_apply(stream, "id", "f", "c", "o", f"{tmp_path}/out", f"{tmp_path}/chk")
+    state = {r.id: (r.f, r.c) for r in jobs.current_state(spark, f"{tmp_path}/out", "id", "f", "c").collect()}
+    assert state == {1: (1, "b"), 2: (2, "y"), 3: (None, "n")}
+    log = sorted((r.batch, r.id, r.decision) for r in spark.read.parquet(f"{tmp_path}/out/decisions").collect())
+    assert log == [(0, 1, "INSERT"), (0, 2, "INSERT"), (0, 3, "INSERT"), (1, 1, "CONFLICT"), (1, 2, "STALE"), (1, 2, "UPDATE"), (2, 1, "STALE"), (2, 2, "REPLAY"), (2, 4, "QUARANTINE"), (2, 4, "QUARANTINE"), (3, 3, "NULL_FRESHNESS")]
+
+
+def test_writes_that_do_not_add_up_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "day string, v long")
+    rows.write.partitionBy("day").parquet(f"{tmp_path}/t")
+    marks = spark.createDataFrame([("a", 1), ("b", 1)], "day string, run long")
+    stated = spark.createDataFrame([("a", 9), ("b", 1)], "day string, rows long")
+    with pytest.raises(ValueError):
+        H.replace_partitions(f"{tmp_path}/t", rows, spark.createDataFrame([("a", 2)], "day string, run long"), marks, "day", "run", stated)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    with pytest.raises(ValueError):
+        L.apply_sync(rows, rows, "day", F.lit("a"), F.lit("a"), "v", 2, 4)
+    decisions = spark.createDataFrame([("INSERT",)], "decision string")
+    kept = spark.createDataFrame([("r", 2, 0, 0, 0)], "receipt string, inserts long, updates long, noops long, blocked long")
+    with pytest.raises(ValueError):
+        H.accepted_receipt(decisions, kept, "r")
+    assert H.accepted_receipt(decisions, kept.withColumn("inserts", F.lit(1).cast("long")), "r").first().status == "REPLAY"
+
+
+def test_incremental_detail_falls_back_to_all(spark):
+    inputs = spark.createDataFrame([(1, 1, 5), (1, 1, 5), (2, 1, 7)], "k long, c long, v long")
+    compute = lambda df: df.dropDuplicates(["k"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("c")))
+    published = spark.createDataFrame([(2, 1, 0, 0, "x")], "k long, c long, v long, n long, out_signature string")
+    state = spark.createDataFrame([], "k long, signature string")
+    got = H.refresh_detail(inputs, state, published, "k", "c", [F.asc("v")], compute).collect()
+    assert sorted((r.k, r.v, r.n) for r in got) == [(1, 5, 2), (2, 7, 2)]
