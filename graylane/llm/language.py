@@ -6,8 +6,7 @@ language needs, times the bits of a pointer into its text, the better it predict
 bits a symbol wins.
 
 Symbols are lower-case bytes of letters; everything else is one separator. The automata stand behind each other in one
-table of transitions, and many pieces of texts are parsed at once, a symbol of each in a step; a text is cut into pieces of
-SEGMENT symbols, whose phrases add up over the whole text.
+table of transitions, and many texts are parsed at once, a symbol of each in a step; every text is parsed whole.
 
 Defined cases: `und` with score 0 if a text is null or has no letter, or if there is nothing to learn from; of languages
 with equal bits the first by name wins; a null doc_id is not held out; an empty table gives an empty result; further
@@ -27,7 +26,9 @@ from pyspark.sql import functions as F
 from graylane.llm import common as C
 from graylane.llm.training import bounded_sample
 
-SYMBOLS, ROWS, SEGMENT, LANES = 20_000, 300, 256, 1 << 14
+SYMBOLS, ROWS = 20_000, 300
+#: Bytes of texts parsed at once, and so many of the longest are finished one by one.
+PIECE, FEW = 1 << 24, 24
 #: Letters keep their bytes (all bytes of other scripts count as letters), everything else is a separator.
 LETTERS = C.LOWER.copy()
 LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
@@ -96,20 +97,18 @@ class CrossParser:
         self.go = np.concatenate(tables).astype(np.int32).ravel()
         self.bits = np.array([np.log2(len(texts[name]) + 1) for name in self.languages])
 
-    def phrases(self, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Phrases of each segment (row of symbols) for each language."""
-        n, k = len(segments), len(self.languages)
+    def phrases(self, symbols: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Phrases of each text (its symbols stand from begin on) for each language: a symbol of every text in a step, and what only a few long texts have left one after the other."""
+        n, k = len(begin), len(self.languages)
         order = np.argsort(-lengths, kind="stable")
-        segments, lengths = segments[order], lengths[order]
+        begin, lengths = begin[order], lengths[order]
         start = np.repeat(np.array(self.starts, np.int32), n).reshape(k, n)
-        state, count = start.copy(), (lengths > 0).astype(np.int32) * np.ones((k, 1), np.int32)
-        active = np.searchsorted(-lengths, -np.arange(segments.shape[1]), "left")  # rows longer than each step
-        columns = np.ascontiguousarray(segments.T)
-        for step in range(segments.shape[1]):
+        state, count = start.copy(), (lengths > 0).astype(np.int64) * np.ones((k, 1), np.int64)
+        common = int(lengths[FEW]) if n > FEW else 0
+        active = np.searchsorted(-lengths, -np.arange(common), "left")  # texts longer than each step
+        for step in range(common):
             m = active[step]
-            if not m:
-                break
-            s = columns[step, :m]
+            s = symbols[begin[:m] + step]
             now, base = state[:, :m], start[:, :m]
             to = self.go[now * self.width + s]
             ends = to < 0
@@ -119,6 +118,20 @@ class CrossParser:
             to = np.where(ends, np.where(again < 0, base, again), to)
             count[:, :m] += ends & (again < 0)  # a symbol that the language doesn't have is a phrase of its own
             state[:, :m] = to
+        go, width = memoryview(self.go), self.width
+        for i in range(min(n, FEW)):
+            rest = symbols[begin[i] + common : begin[i] + lengths[i]].tolist()
+            for j, base in enumerate(self.starts):
+                at, new = int(state[j, i]), 0
+                for s in rest:
+                    to = go[at * width + s]
+                    if to < 0:
+                        new += at != base
+                        to = go[base * width + s]
+                        if to < 0:
+                            new, to = new + 1, base
+                    at = to
+                count[j, i] += new
         out = np.empty((n, k), np.int64)
         out[order] = count.T
         return out
@@ -126,24 +139,13 @@ class CrossParser:
     def predict(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of the language, score) of each text."""
         best, score = np.zeros(len(column), np.int64), np.zeros(len(column))
-        for i, j, text, at in C.pieces(column):
+        for i, j, text, at in C.pieces(column, PIECE):
             s = LETTERS[text]
             keep = np.ones(len(s), bool)
             keep[1:] = (s[1:] != 0x20) | (s[:-1] != 0x20)
             cuts = np.searchsorted(np.flatnonzero(keep), at)
-            symbols, n = self.code[s[keep]], np.diff(cuts)
-            pieces = -(-n // SEGMENT)
-            doc = np.repeat(np.arange(j - i), pieces)
-            begin = np.repeat(cuts[:-1] - np.r_[0, np.cumsum(pieces)[:-1]] * SEGMENT, pieces) + np.arange(pieces.sum()) * SEGMENT
-            lengths = np.minimum(SEGMENT, np.repeat(cuts[1:], pieces) - begin)
-            count = np.zeros((j - i, len(self.languages)))
-            padded = np.r_[symbols, np.zeros(SEGMENT, np.int32)]
-            lanes = max(1, LANES // len(self.languages))
-            for k in range(0, len(begin), lanes):
-                rows = slice(k, k + lanes)
-                grid = padded[begin[rows, None] + np.arange(SEGMENT)]
-                np.add.at(count, doc[rows], self.phrases(grid, lengths[rows]))
-            bits = count * self.bits
+            n = np.diff(cuts)
+            bits = self.phrases(self.code[s[keep]], cuts[:-1], n) * self.bits
             best[i:j] = bits.argmin(1)
             less = (bits - bits.min(1, keepdims=True)) / np.sqrt(np.maximum(n, 1))[:, None]
             score[i:j] = 1 / np.exp2(-np.minimum(less, 60)).sum(1)

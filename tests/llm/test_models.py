@@ -80,12 +80,68 @@ def test_automaton_parses_like_brute_force(seed):
     for length in (1, 2, 17, 200):
         text = make(length).replace("a", "ae") + "z"
         symbols = language.plain(np.frombuffer(text.encode(), np.uint8))
-        count = parser.phrases(parser.code[symbols][None, :], np.array([len(symbols)]))[0]
+        count = parser.phrases(parser.code[symbols], np.array([0]), np.array([len(symbols)]))[0]
         for k, name in enumerate(parser.languages):
             known = language.plain(np.frombuffer(samples[name][0], np.uint8)).tobytes().decode() + " "
             assert abs(count[k] - brute_phrases(symbols.tobytes().decode(), known)) <= 1
 
 
+def test_texts_are_parsed_whole(monkeypatch):
+    """Whether in steps with many others or one by one; a match goes over any border."""
+    rng = np.random.default_rng(3)
+    make = lambda n: "".join(rng.choice(list("abcdef "), n))
+    known = make(5000)
+    parser = language.CrossParser({"x": [known.encode()], "y": [make(500).encode()]})
+    assert parser.phrases(parser.code[language.plain(np.frombuffer(known.encode(), np.uint8))], np.array([0]), np.array([len(language.plain(np.frombuffer(known.encode(), np.uint8)))]))[0][0] == 1
+    texts = [make(int(n)) for n in rng.integers(0, 900, 60)] + [known[:3000] + make(2000)]
+    want = parser.predict(pa.array(texts))
+    for few in (0, 3, 100):
+        monkeypatch.setattr(language, "FEW", few)
+        got = parser.predict(pa.array(texts))
+        assert (got[0] == want[0]).all() and np.allclose(got[1], want[1])
+
+
+def brute_vote(model, text):
+    """The score by dictionaries and all cosines, one text alone."""
+    (_, _, _, term, n), = quality.terms(pa.array([text]))
+    value = {int(t): np.log1p(k) * model.idf[t] for t, k in zip(term, n, strict=True) if model.idf[t] > 0}
+    norm = np.sqrt(sum(v * v for v in value.values()))
+    x = sum((v / norm) * model.v[t].astype(float) for t, v in value.items())
+    cosine = model.known.astype(float) @ (x / np.sqrt(x @ x))
+    near = sorted(range(len(cosine)), key=lambda i: -cosine[i])[: quality.NEIGHBOURS]
+    w = [max(cosine[i], 0) ** 2 * model.weight[i] for i in near]
+    return (sum(a * model.labels[i] for a, i in zip(w, near, strict=True)) + 0.1 * model.share) / (sum(w) + 0.1)
+
+
+def test_votes_match_brute_force():
+    rng = np.random.default_rng(1)
+    make = lambda words: " ".join(rng.choice(words, int(rng.integers(5, 60))))
+    good, bad = [f"word{i}" for i in range(80)], [f"#{i}!" for i in range(40)] + [f"word{i}" for i in range(40)]
+    texts = [make(good if i % 2 else bad) for i in range(120)]
+    model = quality.NearestVotes.fit(texts, np.arange(120) % 2, 0.4)
+    new = [make(good), make(bad), make(good) + " " + make(bad)]
+    assert np.allclose(model.score(pa.array(new)), [brute_vote(model, t) for t in new], atol=1e-3)
+
+
+def brute_toxic(model, text):
+    """The score from distinct words and their n-grams, hashed one by one."""
+    words = list(dict.fromkeys("".join(c if c.isalnum() else " " for c in text.lower()).split()))
+    bag = []
+    for w in words:
+        bag += [f for _, _, _, f in toxicity.subwords(pa.array([w]))][0].tolist()
+    z = sum(float(model.weight[f]) for f in bag) / np.sqrt(max(sum(float(model.rarity[f]) ** 2 for f in bag), 1e-9))
+    return 1 / (1 + np.exp(-(z * model.scale + model.bias)))
+
+
+def test_toxic_scores_match_brute_force():
+    rng = np.random.default_rng(2)
+    plain = [" ".join(rng.choice([f"{a}{b}" for a in "bcdf" for b in ("ala", "eme", "iru")], 30)) for _ in range(200)]
+    texts = [t + " horrible idiotic person" if i % 2 else t for i, t in enumerate(plain)]
+    model = toxicity.SubwordSoftmax.fit(texts, np.arange(200) % 2, 0.5)
+    new = ["A horrible, Idiotic day", plain[0] + " idiotic idiotic", "x", "bala; ceme"]
+    assert np.allclose(model.score(pa.array(new)), [brute_toxic(model, t) for t in new], atol=1e-5)
+
+
 def test_language_edge_cases(spark):
     more = [(i, "some words of it", "en") for i in range(100, 110)]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS)] + more + [(None, "words", None), (8, "words again", None)], "doc_id long, text string, lang string").selectExpr("*", "1 as letters", "2 as label")
