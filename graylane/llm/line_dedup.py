@@ -2,7 +2,7 @@
 
 1. Each line of each text is a symbol, named by two 64-bit hashes; its rank is its place among the distinct lines. Only
    lines that stand more than once can be part of a repeated run; stretches of such lines that are too short for a run
-   leave as well. What follows works on the stretches alone.
+   leave as well. What follows works on the stretches alone, on (place in the sequence of all lines, rank) pairs.
 2. Prefix doubling: a round ranks the pairs (rank at i, rank at i + k). The distinct pairs are sorted over all partitions
    and numbered in that order, so a rank is the place of the first 2 k lines of a suffix in the suffix array. Suffixes
    whose rank is their own have no common prefix of 2 k lines with another and leave; rounds go on as long as a run of
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graylane.llm.common import written
@@ -39,22 +39,41 @@ HOT_ROWS, HOT_KEYS = 20_000, 1_000_000
 SEND_IDS = 2_000_000
 
 
-def shared_ranks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Those of rows (rid, line, place, ...) whose keys stand in several rows, with rank: the order of their keys among the distinct ones, and first: the least place with these keys."""
-    names = rows.groupBy(*keys).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+def shared_ranks(rows: DataFrame, keys: list[str], deal: list[str], first: str | None = None) -> DataFrame:
+    """Those of rows whose keys stand in several rows, with rank, the order of their keys among the distinct ones, and the least value of a column with these keys (as first).
+
+    deal: columns that tell the rows of a very common key apart, by which these are dealt out.
+    """
+    names = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("many"), *([F.min(first).alias("first")] if first else [])).filter("many > 1")
     names = written(names.sort(*keys).withColumn("rank", F.monotonically_increasing_id()), "lines-ranks")
     least = max(HOT_ROWS, (names.agg(F.sum("many")).first()[0] or 0) // HOT_KEYS)
     hot = names.filter(F.col("many") > least)
     parts = F.floor(F.col("many") / least + 1).cast("int")
     if hot.isEmpty():
         return rows.join(names.drop("many"), keys)
-    deal = rows.join(F.broadcast(hot.select(*keys, parts.alias("parts"))), keys, "left").withColumn("deal", F.pmod(F.xxhash64("rid", "line"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    dealt = rows.join(F.broadcast(hot.select(*keys, parts.alias("parts"))), keys, "left").withColumn("deal", F.pmod(F.xxhash64(*deal), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     names = names.withColumn("deal", F.explode(F.sequence(F.lit(0), F.when(F.col("many") > least, parts - 1).otherwise(0))))
-    return deal.join(names.drop("many"), [*keys, "deal"]).drop("deal")
+    return dealt.join(names.drop("many"), [*keys, "deal"]).drop("deal")
+
+
+def bases(texts: DataFrame) -> DataFrame:
+    """(rid, base): the place of each document's first line in the sequence of all lines, documents in the order of doc_id (null first), h and rid; one place between documents stays free."""
+    sizes = texts.select("rid", "doc_id", "h", (F.coalesce(line_count(), F.lit(0)) + 1).alias("places"))
+    rows = written(sizes.orderBy(F.col("doc_id").asc_nulls_first(), "h", "rid").select("rid", "places", F.monotonically_increasing_id().alias("mark")), "lines-order")
+    rows = rows.withColumn("part", F.shiftright("mark", 33))
+    # a row for each range of the sort, of which there are as many as shuffle partitions
+    parts = rows.groupBy("part").agg(F.sum("places").alias("all"))
+    before = parts.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("before"))
+    within = F.sum("places").over(Window.partitionBy("part").orderBy("mark")) - F.col("places")
+    return rows.withColumn("within", within).join(F.broadcast(before), "part").select("rid", (F.col("before") + F.col("within")).alias("base"))
+
+
+def line_count() -> Column:
+    return F.char_length("text") - F.char_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
 
 
 def stretches(lines: DataFrame, min_lines: int | None, min_words: int | None) -> DataFrame:
-    """(rid, line, place, rank, words, stretch): neighbouring shared lines, without those too short for any run."""
+    """lines with stretch, neighbouring shared lines, without stretches too short for any run."""
     by_line = Window.partitionBy("rid").orderBy("line")
     lines = lines.withColumn("stretch", F.col("line") - F.row_number().over(by_line))
     whole = Window.partitionBy("rid", "stretch")
@@ -63,14 +82,14 @@ def stretches(lines: DataFrame, min_lines: int | None, min_words: int | None) ->
         long_enough |= F.count(F.lit(1)).over(whole) >= min_lines
     if min_words is not None:
         long_enough |= F.sum("words").over(whole) > min_words
-    return lines.withColumn("keep", long_enough).filter("keep").drop("keep", "first")
+    return lines.withColumn("keep", long_enough).filter("keep").drop("keep")
 
 
 def shortest_runs(lines: DataFrame, min_lines: int | None, min_words: int | None) -> DataFrame:
-    """(rid, line, n) of the shortest qualifying run from each line on and up to each line, within its stretch."""
+    """(pos, n) of the shortest qualifying run from each line on and up to each line, within its stretch."""
     whole = Window.partitionBy("rid", "stretch")
-    on = whole.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.select("rid", "stretch", "line", "words").withColumn("i", F.row_number().over(whole.orderBy("line")) - 1).withColumn("m", F.count(F.lit(1)).over(whole).cast("int"))
+    on = whole.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.select("rid", "stretch", "pos", "words").withColumn("i", F.row_number().over(whole.orderBy("pos")) - 1).withColumn("m", F.count(F.lit(1)).over(whole).cast("int"))
     ends, starts = [], []
     if min_words is not None:
         lines = lines.withColumn("upto", F.sum("words").over(on)).withColumn("all", F.sum("words").over(whole))
@@ -82,26 +101,23 @@ def shortest_runs(lines: DataFrame, min_lines: int | None, min_words: int | None
         ends.append(F.when(F.col("i") + min_lines <= F.col("m"), F.col("i") + min_lines))
         starts.append(F.when(F.col("i") + 1 >= min_lines, F.col("i") + 1 - min_lines))
     lines = lines.withColumn("end", F.least(*ends) if len(ends) > 1 else ends[0]).withColumn("start", F.greatest(*starts) if len(starts) > 1 else starts[0])
-    runs = F.array(F.struct("line", (F.col("end") - F.col("i")).alias("n")), F.struct((F.col("line") - F.col("i") + F.col("start")).alias("line"), (F.col("i") + 1 - F.col("start")).alias("n")))
-    return lines.select("rid", F.explode(runs).alias("run")).select("rid", "run.*").filter("n is not null").distinct()
+    runs = F.array(F.struct("pos", (F.col("end") - F.col("i")).alias("n")), F.struct((F.col("pos") - F.col("i") + F.col("start")).alias("pos"), (F.col("i") + 1 - F.col("start")).alias("n")))
+    return lines.select(F.explode(runs).alias("run")).select("run.*").filter("n is not null").distinct()
 
 
-def later_runs(now: DataFrame, min_lines: int | None, min_words: int | None) -> DataFrame:
-    """(rid, line, n) of the later copies of qualifying runs; now: the stretches of shared lines with their ranks."""
-    runs = shortest_runs(now, min_lines, min_words)
-    now = now.select("rid", "line", "place", "rank")
+def later_runs(now: DataFrame, runs: DataFrame) -> DataFrame:
+    """Those of runs (pos, n) that are later copies; now: (pos, rank) of the lines in stretches."""
     k, later = 1, []
     while True:
-        runs = written(runs.join(now, ["rid", "line"]).select("rid", "line", "n", "place", F.col("rank").alias("a")), "lines-runs")
-        last = now.select("rid", F.col("line").alias("there"), F.col("rank").alias("b"))
-        ready = runs.filter(F.col("n") < 2 * k).withColumn("there", F.col("line") + F.col("n") - k).join(last, ["rid", "there"])
-        same = shared_ranks(ready.drop("there"), ["n", "a", "b"])
-        later.append(same.filter(F.col("first") < F.col("place")).select("rid", "line", "n"))
-        runs = runs.filter(F.col("n") >= 2 * k).select("rid", "line", "n")
+        runs = written(runs.join(now, "pos").select("pos", "n", F.col("rank").alias("a")), "lines-runs")
+        ready = runs.filter(F.col("n") < 2 * k).withColumn("there", F.col("pos") + F.col("n") - k)
+        ready = ready.join(now.select(F.col("pos").alias("there"), F.col("rank").alias("b")), "there").drop("there")
+        later.append(shared_ranks(ready, ["n", "a", "b"], ["pos"], "pos").filter(F.col("first") < F.col("pos")).select("pos", "n"))
+        runs = runs.filter(F.col("n") >= 2 * k).select("pos", "n")
         if runs.isEmpty():
             return functools.reduce(DataFrame.unionByName, later)
-        pair = now.join(last.withColumn("line", F.col("there") - k).drop("there"), ["rid", "line"])
-        now = written(shared_ranks(pair.select("rid", "line", "place", F.col("rank").alias("a"), "b"), ["a", "b"]).select("rid", "line", "place", "rank"), "lines-suffixes")
+        pair = now.select("pos", F.col("rank").alias("a")).join(now.select((F.col("pos") - k).alias("pos"), F.col("rank").alias("b")), "pos")
+        now = written(shared_ranks(pair, ["a", "b"], ["pos"]).select("pos", "rank"), "lines-suffixes")
         k *= 2
 
 
@@ -109,11 +125,13 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(texts of all documents: rid, doc_id, h, text; later copies of runs: rid, line, n)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("rid"))
     texts = written(texts, "lines-texts")
-    lines = texts.select("rid", "doc_id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    lines = texts.select("rid", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
     words = F.regexp_count("text", F.lit(WORD)) if min_words is not None else F.lit(0)
-    lines = written(lines.select("rid", "line", F.struct("doc_id", "h", "rid", "line").alias("place"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"), words.alias("words")), "lines-lines")
-    now = written(stretches(shared_ranks(lines, ["a", "b"]).drop("a", "b"), min_lines, min_words), "lines-stretches")
-    return texts, later_runs(now, min_lines, min_words)
+    lines = written(lines.select("rid", "line", F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"), words.alias("words")), "lines-lines")
+    now = stretches(shared_ranks(lines, ["a", "b"], ["rid", "line"]).drop("a", "b"), min_lines, min_words)
+    now = written(now.join(bases(texts), "rid").withColumn("pos", F.col("base") + F.col("line")).drop("base"), "lines-stretches")
+    later = later_runs(now.select("pos", "rank"), shortest_runs(now, min_lines, min_words))
+    return texts, later.join(now.select("pos", "rid", "line"), "pos").select("rid", "line", "n")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int | None = 2, min_words: int | None = 50) -> DataFrame:
@@ -128,7 +146,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids = sums.select("rid")
     if sums.limit(SEND_IDS + 1).count() <= SEND_IDS:
         ids, sums = F.broadcast(ids), F.broadcast(sums)
-    n_lines = F.coalesce(F.char_length("text") - F.char_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    n_lines = F.coalesce(line_count(), F.lit(0)).cast("long")
     whole = texts.join(ids, "rid", "left_anti").select("doc_id", "text", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_deleted"), F.lit(0).cast("long").alias("n_runs"))
     # counted before the lines are taken apart, else each line would count them again
     cut = texts.join(sums, "rid").select("rid", "doc_id", n_lines.alias("n_lines"), "n_deleted", "n_runs", "text")
