@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graylane.functions.scalar import stable_json_hash
+
 
 def compare_exports(a: DataFrame, b: DataFrame, cols: Sequence[str], totals: Sequence[str]) -> DataFrame:
     """Two exports without a key: rows of measure, left, right, equal.
@@ -51,6 +53,28 @@ def row_diff(expected: DataFrame, observed: DataFrame, key: str, cols: Sequence[
     return rows.withColumn("kind", kind).filter("kind is not null").select(key, "column", "kind", "expected", "observed")
 
 
+def compare_tables(expected: DataFrame, observed: DataFrame, key: str, sample: int = 3) -> DataFrame:
+    """kind, column, n and the sample smallest keys of every kind of difference.
+
+    COLUMN (only one side has it) and TYPE (of another type) tell about the tables, ROW_COUNT by how many rows they
+    differ; MISSING, EXTRA, NULLABILITY and VALUE about rows, over the columns that both have in one type.
+    """
+    a, b = dict(expected.dtypes), dict(observed.dtypes)
+    key_type = a[key]
+    found = [("COLUMN", c) for c in sorted(a.keys() ^ b.keys())] + [("TYPE", c) for c in sorted(a.keys() & b.keys()) if a[c] != b[c]]
+    cols = [c for c in expected.columns if c != key and b.get(c) == a[c]]
+    rows = row_diff(expected, observed, key, cols)
+    w = Window.partitionBy("kind", "column").orderBy(key)
+    firsts = rows.select("kind", "column", key).withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= sample).groupBy("kind", "column").agg(F.sort_array(F.collect_list(key)).alias("keys"))
+    out = rows.groupBy("kind", "column").agg(F.count(F.lit(1)).alias("n")).join(firsts, ["kind", "column"]).select("kind", "column", "n", "keys")
+    none = F.array().cast(f"array<{key_type}>").alias("keys")
+    size = expected.agg(F.count(F.lit(1)).alias("_e")).join(observed.agg(F.count(F.lit(1)).alias("_o")), how="cross").filter("_e != _o")
+    out = out.unionByName(size.select(F.lit("ROW_COUNT").alias("kind"), F.lit("*").alias("column"), F.abs(F.col("_e") - F.col("_o")).alias("n"), none))
+    for kind, c in found:
+        out = out.unionByName(expected.sparkSession.range(1).select(F.lit(kind).alias("kind"), F.lit(c).alias("column"), F.lit(1).cast("long").alias("n"), none))
+    return out
+
+
 def view_parity(view: DataFrame, source: DataFrame, key: str, cols: Sequence[str], widths: dict[str, int]) -> DataFrame:
     """key and fault of each published row: UNTRACED (no source row), VALUE (other values), WIDTH (a text is too long)."""
     s = source.select(key, F.struct(*cols).alias("_s"))
@@ -78,6 +102,11 @@ def repeated_pages(pages: DataFrame, keys: Sequence[str], content: Column, page:
     return pages.groupBy(*keys, F.sha2(content, 256).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.min(page).alias("first_page")).filter("n > 1")
 
 
+def repeated_objects(pages: DataFrame, keys: Sequence[str], json: Column, page: str, drop: Sequence[str] = ()) -> DataFrame:
+    """repeated_pages for JSON objects: the order of their fields doesn't count, and neither do the dropped ones."""
+    return repeated_pages(pages, keys, stable_json_hash(json, drop), page)
+
+
 def sweep_eligibility(evidence: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     """evidence with reasons (the names of all rules that block, in order) and eligible."""
     reasons = F.filter(F.array(*[F.when(blocks, name) for name, blocks in rules]), lambda r: r.isNotNull())

@@ -45,6 +45,30 @@ def row_diff(t):
     return Q.row_diff(e, b, "o_orderkey", ["p", "s"])
 
 
+@query("""WITH e AS (SELECT o_orderkey AS k, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 50 != 0),
+o AS (SELECT o_orderkey AS k, CAST(CAST(o_totalprice + CASE WHEN o_orderkey % 20 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS VARCHAR) AS p, CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 40 != 0),
+j AS (SELECT coalesce(e.k, o.k) AS k, e.k AS ek, o.k AS ok, e.p AS ep, o.p AS op, e.s AS es, o.s AS os FROM e FULL JOIN o USING (k)),
+r AS (SELECT 'MISSING' AS kind, '*' AS c, k FROM j WHERE ok IS NULL UNION ALL SELECT 'EXTRA', '*', k FROM j WHERE ek IS NULL UNION ALL SELECT 'VALUE', 'p', k FROM j WHERE ep != op UNION ALL SELECT 'NULLABILITY', 's', k FROM j WHERE ek IS NOT NULL AND ok IS NOT NULL AND os IS NULL)
+SELECT kind, c AS column, count(*) AS n, list_sort(list(k))[1:3] AS keys FROM r GROUP BY 1, 2 UNION ALL SELECT 'COLUMN', 'x', 1, [] UNION ALL SELECT 'TYPE', 'd', 1, [] UNION ALL SELECT 'ROW_COUNT', '*', abs((SELECT count(*) FROM e) - (SELECT count(*) FROM o)), [] WHERE (SELECT count(*) FROM e) != (SELECT count(*) FROM o)""")
+def compare_tables(t):
+    """As row_diff, with what differs in the tables themselves: a further column, a column of another type, the number of rows."""
+    o, k = t("orders").withColumn("d", F.to_date("o_orderdate")), F.col("o_orderkey")
+    e = o.filter("o_orderkey % 50 != 0").select(k.alias("k"), F.col("o_totalprice").cast("decimal(18,2)").alias("p"), F.col("o_orderstatus").alias("s"), "d")
+    price = (F.col("o_totalprice") + F.when(k % 20 == 0, 1).otherwise(0)).cast("decimal(18,2)")
+    b = o.filter("o_orderkey % 40 != 0").select(k.alias("k"), price.alias("p"), F.when(k % 30 != 0, F.col("o_orderstatus")).alias("s"), F.col("d").cast("string").alias("d"), F.lit(1).alias("x"))
+    return Q.compare_tables(e, b, "k")
+
+
+@query("""SELECT run, n, first_page FROM (SELECT event_id % 7 AS run, CAST(json_extract_string(props, '$.k') AS BIGINT) % 50 AS k, count(*) AS n, min(event_id) AS first_page FROM events GROUP BY 1, 2 HAVING count(*) > 1)""")
+def repeated_objects(t):
+    """Equal objects with their fields in either order and a running number that doesn't count."""
+    v, i = (F.get_json_object("props", "$.k").cast("long") % 50).cast("string"), F.col("event_id").cast("string")
+    a = F.concat(F.lit('{"k": '), v, F.lit(', "seq": '), i, F.lit(', "z": 1}'))
+    b = F.concat(F.lit('{"z": 1, "seq": '), i, F.lit(', "k": '), v, F.lit("}"))
+    e = t("events").select((F.col("event_id") % 7).alias("run"), "event_id", F.when(F.col("event_id") % 2 == 0, a).otherwise(b).alias("json"))
+    return Q.repeated_objects(e, ["run"], F.col("json"), "event_id", ["seq"]).select("run", "n", "first_page")
+
+
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 12 = 0 THEN 'UNTRACED' WHEN o_orderkey % 10 = 0 THEN 'VALUE' WHEN length(o_orderpriority) > 10 THEN 'WIDTH' END AS fault FROM orders WHERE o_orderkey % 12 = 0 OR o_orderkey % 10 = 0 OR length(o_orderpriority) > 10""")
 def view_parity(t):
     o = t("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
