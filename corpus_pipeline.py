@@ -47,13 +47,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it; the copies are rows with the same doc_id. Of rows with one id, text and source one stands for the sum of what the mix takes of them."""
-    rows = docs.select(*COLUMNS).withColumn("h", F.xxhash64("doc_id", "text", "source"))
-    found = mixing.mix_alike(rows, row_key=F.col("h"))
-    taken = written(found.groupBy("h").agg(F.sum(F.col("copies") * F.col("rows")).cast("int").alias("copies"), F.sum("rows").alias("rows")).filter("copies > 0"), "mixed-rows")
-    once = written(taken.filter("rows > 1").select("h"), "repeated-rows")
+    rows = docs.select(*COLUMNS).withColumn("h", F.xxhash64("doc_id", "text"))
+    found = mixing.mix_alike(rows)
+    taken = written(found.groupBy("h", "source").agg(F.sum(F.col("copies") * F.col("rows")).cast("int").alias("copies"), F.sum("rows").alias("rows")).filter("copies > 0"), "mixed-rows")
+    same = lambda a, b: (a["h"] == b["h"]) & a["source"].eqNullSafe(b["source"])
+    once = taken.filter("rows > 1").select("h", "source")
     if not once.isEmpty():
-        rows = rows.join(once, "h", "left_anti").unionByName(rows.join(once, "h", "left_semi").dropDuplicates(["doc_id", "text", "source"]), allowMissingColumns=True)
-    return rows.join(taken, "h").select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
+        rows = rows.join(once, same(rows, once), "left_anti").unionByName(rows.join(once, same(rows, once), "left_semi").dropDuplicates(["doc_id", "text", "source"]))
+    return rows.join(taken, same(rows, taken)).select(*[rows[c] for c in COLUMNS], F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
