@@ -17,8 +17,8 @@ __all__ = ["shared_dir", "written"]
 
 #: Bytes of text that the array helpers hold at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
-#: Rows of an Arrow batch sent to a Python worker.
-BATCH_ROWS = "1000"
+#: Rows and bytes of an Arrow batch sent to a Python worker, whichever is reached first.
+BATCH_ROWS, BATCH_BYTES = "1000", "16m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare_python(spark: SparkSession) -> None:
-    """Arrow batches of whole texts stay small, so that a worker's memory does not follow the row count; workers find this package."""
+    """Arrow batches of whole texts stay small, so that a worker's memory follows neither the row count nor the texts; workers find this package.
+
+    The session keeps these settings, which change no result of any query.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     home = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if home not in env.get("PYTHONPATH", "").split(os.pathsep):
