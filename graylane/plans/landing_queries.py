@@ -41,6 +41,19 @@ def check_capture(t):
     return L.check_capture(rows, "envelope", ["id", "day"], "id", "day", e.count())
 
 
+@query("SELECT 'DAY' AS code, count(*) AS n FROM events WHERE event_id % 40 = 3")
+def check_capture_local(t):
+    """Instants belong to the day that they have in the zone, three hours behind UTC; a second capture without faults is landed whole."""
+    e = t("events")
+    local = F.to_date(F.col("ts") - F.expr("INTERVAL 3 HOURS"))
+    record = F.struct(F.col("event_id").alias("id"), F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("at"))
+    rows = e.select("event_id", local.alias("business_date"), F.to_json(F.struct(F.lit("event").alias("entity"), record.alias("record"))).alias("envelope"))
+    path = storage.new_path(e.sparkSession, "landed")
+    L.land_capture(rows, L.check_capture(rows, "envelope", ["id", "at"], "id", "at", e.count(), "Etc/GMT+3"), path)
+    moved = e.sparkSession.read.parquet(path).withColumn("business_date", F.date_add("business_date", F.when(F.col("event_id") % 40 == 3, 1).otherwise(0)))
+    return L.check_capture(moved, "envelope", ["id", "at"], "id", "at", e.count(), "Etc/GMT+3")
+
+
 @query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def publish_fenced(t):
     """Published under a new version and read back, while the coverage stays as it was."""

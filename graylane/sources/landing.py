@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from graylane import storage
+from graylane.functions.scalar import civil_date, to_instant
 from graylane.operators.sets import multiset_diff
 from graylane.operators.windows import bounded
 
@@ -35,16 +36,19 @@ def append_once(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) ->
     return new.join(side, match, "left_anti")
 
 
-def check_capture(df: DataFrame, envelope: str, fields: Sequence[str], key: str, day: str, expected_rows: int | None = None) -> DataFrame:
+def check_capture(df: DataFrame, envelope: str, fields: Sequence[str], key: str, day: str, expected_rows: int | None = None, zone: str | None = None) -> DataFrame:
     """Violations of a capture's contract by code with the number of rows; a capture without a row here is accepted whole.
 
-    NOT_OBJECT, FIELDS (not exactly the declared ones), DUPLICATE_KEY, DAY (the row's day isn't the capture's), COUNT.
+    NOT_OBJECT, FIELDS (not exactly the declared ones), DUPLICATE_KEY, DAY (the row's day isn't the capture's; with a zone
+    its text is an instant or local time, and the day is the zone's), COUNT.
     """
+    text = F.get_json_object(envelope, f"$.record.{day}")
+    own = F.to_date(text) if zone is None else civil_date(to_instant(text, zone), zone)
     keys = F.json_object_keys(F.get_json_object(envelope, "$.record"))
     row = df.select(
         keys.alias("_f"),
         F.get_json_object(envelope, f"$.record.{key}").alias("_k"),
-        (F.to_date(F.get_json_object(envelope, f"$.record.{day}")) != F.col("business_date")).alias("_day"),
+        (own != F.col("business_date")).alias("_day"),
     )
     declared = F.array_sort(F.array(*[F.lit(f) for f in fields]))
     one = row.groupBy("_k").agg(
@@ -60,6 +64,14 @@ def check_capture(df: DataFrame, envelope: str, fields: Sequence[str], key: str,
     return out.select("v.*").filter("n > 0")
 
 
+def land_capture(df: DataFrame, violations: DataFrame, path: str) -> None:
+    """Appends all rows of a capture if it has no violation; else an error and nothing is written."""
+    found = {r.code: r.n for r in violations.collect()}  # at most a row for each code
+    if found:
+        raise ValueError(f"the capture breaks its contract: {found}")
+    df.write.mode("append").parquet(path)
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Both have the same rows as often."""
     return multiset_diff(a, b, a.columns).limit(1).count() == 0
