@@ -144,6 +144,14 @@ def test_stream_keeps_conflicts_and_restarts(spark, tmp_path, monkeypatch):
     assert log == [(0, 1, "INSERT"), (0, 2, "INSERT"), (0, 3, "INSERT"), (1, 1, "CONFLICT"), (1, 2, "STALE"), (1, 2, "UPDATE"), (2, 1, "STALE"), (2, 2, "REPLAY"), (2, 4, "QUARANTINE"), (2, 4, "QUARANTINE"), (3, 3, "NULL_FRESHNESS")]
 
 
+def test_a_capture_with_faults_is_not_landed(spark, tmp_path):
+    bad = spark.createDataFrame([("COUNT", 1)], "code string, n long")
+    with pytest.raises(ValueError):
+        L.land_capture(bad, bad, f"{tmp_path}/x")
+    L.land_capture(bad, bad.limit(0), f"{tmp_path}/x")
+    assert spark.read.parquet(f"{tmp_path}/x").count() == 1
+
+
 def test_writes_that_do_not_add_up_are_refused(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "day string, v long")
     rows.write.partitionBy("day").parquet(f"{tmp_path}/t")
