@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from graylane import storage
-from graylane.functions.scalar import row_hash
+from graylane.functions.scalar import framed_hash
 from graylane.operators.joins import small
 from graylane.operators.windows import ambiguous_winners, latest_per_key
+from graylane.sources import marked, versions
 
 
 def decide(current: DataFrame, incoming: DataFrame, key: str, freshness: str, content: str) -> DataFrame:
@@ -105,27 +107,64 @@ def incremental_detail(inputs: DataFrame, state: DataFrame, key: str, signature:
     return j.select(key, F.when(F.col("_old").isNull(), "NEW").when(F.col("_new").isNull(), "GONE").otherwise("CHANGED").alias("change"))
 
 
-def refresh_detail(inputs: DataFrame, state: DataFrame, published: DataFrame, key: str, shared: str, order: Sequence[Column], compute) -> DataFrame:
-    """What compute(inputs) gives, with only the affected keys computed anew; the others are as published.
+def refresh_detail(base: str, inputs: DataFrame, key: str, shared: str, order: Sequence[Column], compute) -> dict[str, int]:
+    """Brings the published detail under base to what compute(inputs) gives; only the keys that need it are computed, only buckets with changed rows written.
 
-    inputs: key, shared (a secondary key that rows depend on together) and further columns; state: key and signature of
-    the inputs that published was computed from; published: key, shared, out_signature (row_hash of its other columns)
-    and these. Affected are keys whose inputs' signature isn't the stored one, keys whose published row isn't what its
-    signature says, and all keys that share a secondary key with them, now or as published. Where a key has several input
-    rows that the order can't tell apart, or several published rows, all is computed.
+    <base>/rows has what compute gives and bucket (create_detail makes both tables); <base>/state has key, shared, in_sig
+    (of the inputs that a row was computed from) and out_sig (of the row). Inputs, state and published rows are joined in
+    full by key: changed is a key that one of them lacks, or whose inputs or published row aren't as the state says (a
+    signature that is missing counts as another one). Affected are these and all inputs that share a secondary key with
+    them, as it is now, as it was and as it is published, null being a secondary key too. Of what is computed for them only
+    rows other than the published ones are written. The rows are committed before the state, so after a crash in between the
+    next run finds the same keys changed. Where a key stands twice in the published rows or is missing there, or its input
+    rows can't be told apart by the order, all is computed. Returns how many keys were changed, affected and written.
     """
-    cols = [c for c in published.columns if c not in (key, shared, "out_signature")]
-    twice = published.groupBy(key).count().filter("count > 1")
-    if not twice.isEmpty() or not ambiguous_winners(inputs, [key], order).isEmpty():
-        return compute(inputs).select(key, shared, *cols)
-    signed = inputs.select(key, row_hash([c for c in inputs.columns if c != key]).alias("_s"))
-    changed = incremental_detail(signed.withColumnRenamed("_s", "signature"), state, key, "signature").select(key)
-    broken = published.filter(row_hash(cols) != F.col("out_signature")).select(key)
-    first = changed.unionByName(broken).distinct()
-    groups = inputs.select(key, shared).unionByName(published.select(key, shared))
-    affected = storage.written(groups.join(groups.join(first, key, "left_semi").select(shared).distinct(), shared, "left_semi").select(key).unionByName(first).distinct(), "affected-keys")
-    anew = compute(inputs.join(affected, key, "left_semi")).select(key, shared, *cols)
-    return published.join(affected, key, "left_anti").select(key, shared, *cols).unionByName(anew)
+    spark = inputs.sparkSession
+    rows, state = (marked.read(spark, f"{base}/{t}") for t in ("rows", "state"))
+    seen, seen_state = (versions.current(spark, f"{base}/{t}")[0] for t in ("rows", "state"))
+    cols = [c for c in rows.columns if c != "bucket"]
+    buckets = _buckets(spark, base)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    twice = not rows.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1)).isEmpty()
+    whole = twice or not ambiguous_winners(inputs, [key], order).isEmpty()
+    out = rows.select(key, F.col(shared).alias("_pub"), framed_hash(cols).alias("_out"), F.col("bucket").alias("_b"))
+    if whole:
+        affected = storage.written(inputs.select(key).unionByName(rows.select(key)).unionByName(state.select(key)).distinct(), "affected-keys")
+        changed = affected
+    else:
+        new = inputs.select(key, F.col(shared).alias("_now"), framed_hash(inputs.columns).alias("_in"), F.lit(True).alias("_i"))
+        kept = state.select(key, F.col(shared).alias("_was"), F.col("in_sig").alias("_sin"), F.col("out_sig").alias("_sout"), F.lit(True).alias("_s"))
+        j = new.join(kept, key, "full_outer").join(out.withColumn("_p", F.lit(True)), key, "full_outer")
+        right = F.col("_i").isNotNull() & F.col("_s").isNotNull() & F.col("_in").eqNullSafe(F.col("_sin")) & F.col("_out").eqNullSafe(F.col("_sout"))
+        changed = storage.written(j.filter(~right).select(key, "_now", "_was", "_pub", "_i", "_s", "_p"), "changed-keys")
+        groups = changed.select(F.explode(F.array(*[F.struct(F.col(v).alias("_g"), F.col(f).isNotNull().alias("_f")) for v, f in (("_now", "_i"), ("_was", "_s"), ("_pub", "_p"))])).alias("x")).filter("x._f").select("x._g").distinct()
+        affected = storage.written(inputs.join(groups, inputs[shared].eqNullSafe(groups["_g"]), "left_semi").select(key).unionByName(changed.select(key)).distinct(), "affected-keys")
+    anew = storage.written(compute(inputs.join(affected, key, "left_semi")).select(*cols).withColumn("_new", framed_hash(cols)), "computed-rows")
+    held = affected.join(out.select(key, "_out", "_b").distinct(), key, "left").join(anew.select(key, "_new"), key, "left")
+    write = storage.written(held.filter(~F.col("_out").eqNullSafe(F.col("_new")) if not twice else F.lit(True)).select(key, bucket, "_b").distinct(), "written-keys")
+    n = write.select(key).distinct().count()
+    if n or twice:
+        touched = write.select("bucket").unionByName(write.filter("_b is not null").select(F.col("_b").alias("bucket"))).distinct() if not twice else spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+        stay = rows.join(small(touched), "bucket", "left_semi").join(write, key, "left_anti").filter(F.lit(not twice))
+        content = stay.select(*cols).unionByName(anew.join(write, key, "left_semi").select(*cols)).withColumn("bucket", bucket)
+        marked.replace(spark, f"{base}/rows", content, touched, seen)
+    signed = inputs.join(affected, key, "left_semi").select(key, shared, framed_hash(inputs.columns).alias("in_sig")).dropDuplicates([key]).join(anew.select(key, F.col("_new").alias("out_sig")), key, "left")
+    touched = storage.written(affected.select(bucket).distinct(), "state-buckets")
+    if not touched.isEmpty():
+        stay = state.join(small(touched), "bucket", "left_semi").join(affected, key, "left_anti")
+        marked.replace(spark, f"{base}/state", stay.select(key, shared, "in_sig", "out_sig").unionByName(signed).withColumn("bucket", bucket), touched, seen_state)
+    return {"changed": changed.count(), "affected": affected.count(), "written": n}
+
+
+def create_detail(spark: SparkSession, base: str, schema: StructType, key: str, shared: str, buckets: int = 64) -> None:
+    """The empty tables of refresh_detail: schema is that of compute's rows."""
+    state = StructType([schema[key], schema[shared], StructField("in_sig", StringType()), StructField("out_sig", StringType())])
+    for name, kind in (("rows", schema), ("state", state)):
+        marked.create(spark, f"{base}/{name}", StructType([*kind, StructField("bucket", IntegerType())]), ["bucket"], buckets=buckets)
+
+
+def _buckets(spark: SparkSession, base: str) -> int:
+    return versions.current(spark, f"{base}/rows")[1]["buckets"]
 
 
 def pending_partitions(coverage: DataFrame, applied: DataFrame, keys: Sequence[str], run: str) -> DataFrame:
@@ -134,25 +173,29 @@ def pending_partitions(coverage: DataFrame, applied: DataFrame, keys: Sequence[s
     return j.filter(~F.col("_c").eqNullSafe(F.col("_a"))).select(*keys, F.col("_c").alias(run))
 
 
-def replace_partitions(published: str, fresh: DataFrame, pending: DataFrame, applied: DataFrame, part: str, run: str, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(the published rows, the applied marks) after the pending partitions were taken from fresh.
+def replace_partitions(base: str, fresh: DataFrame, coverage: DataFrame, run: str, expected: DataFrame) -> DataFrame:
+    """Takes the partitions of the marked table under base whose covered run isn't the applied one from fresh, and returns them with the run that they have now.
 
-    published: the path of a table partitioned by part, of which only the pending partitions are written again. expected
-    has part and rows, what the runs state; another count in a pending partition is an error and nothing is written. A
-    pending partition without a run is removed: its mark goes, and rows without a mark are not read.
+    coverage: the partition's columns and run. The applied runs are the table's marks, so rows and marks change in one
+    commit. expected: the partition's columns and rows, what each run states, no row meaning 0; another count in a pending
+    partition is an error and nothing changes. A run without rows leaves an empty partition under its mark; a partition
+    that isn't covered any more is removed.
     """
-    spark = fresh.sparkSession
-    days = pending.filter(F.col(run).isNotNull()).select(part)
-    new = storage.written(fresh.join(small(days), part, "left_semi"), "fresh-partitions")
-    have = new.groupBy(part).agg(F.count(F.lit(1)).alias("_have"))
-    stated = expected.join(small(days), part, "left_semi").select(part, F.col("rows").alias("_stated"))
-    if not have.join(stated, part, "full_outer").filter(~F.col("_have").eqNullSafe(F.col("_stated"))).isEmpty():
+    spark, parts = fresh.sparkSession, versions.current(fresh.sparkSession, base)[1]["parts"]
+    seen = versions.current(spark, base)[0]
+    pending = storage.written(pending_partitions(coverage, marked.marks(spark, base).select(*parts, run), parts, run), "pending-partitions")
+    if pending.isEmpty():
+        return pending
+    due = pending.filter(F.col(run).isNotNull())
+    own = [*parts, run] if run in fresh.columns else parts
+    new = storage.written(fresh.join(small(due.select(*own)), own, "left_semi"), "fresh-partitions")
+    have = new.groupBy(*parts).agg(F.count(F.lit(1)).alias("_have"))
+    stated = expected.select(*parts, F.col("rows").alias("_stated"))
+    off = due.join(have, parts, "left").join(stated, parts, "left").filter(F.coalesce("_have", F.lit(0)) != F.coalesce("_stated", F.lit(0)))
+    if not off.isEmpty():
         raise ValueError("a partition has other rows than its run states")
-    new.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(published)
-    marks = applied.join(small(pending.select(part)), part, "left_anti").unionByName(pending.filter(F.col(run).isNotNull()).select(*applied.columns))
-    marks = storage.written(marks, "applied-marks")
-    rows = spark.read.schema(new.schema).parquet(published)
-    return rows.join(small(marks.select(part)), part, "left_semi").select(*fresh.columns), marks
+    marked.replace(spark, base, new, due.select(*parts, run), seen, pending.filter(F.col(run).isNull()))
+    return pending
 
 
 def materialize_receipt(decisions: DataFrame, stored: DataFrame, name: str) -> DataFrame:

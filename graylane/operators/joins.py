@@ -105,25 +105,6 @@ def previous_run(runs: DataFrame, keys: Sequence[str], start: str, state: Column
     return runs.withColumn("previous", F.max(F.when(state, F.col(start))).over(w))
 
 
-def resolve_relations(bindings: DataFrame, origins: DataFrame, targets: DataFrame) -> DataFrame:
-    """One disposition for each edge (kind, origin, target) of bindings (kind, origin, target, revision, cardinality).
-
-    In this order: SUPERSEDED (not the newest revision of kind and origin), DUPLICATE (the same edge again in the revision),
-    ORIGIN_ABSENT, TARGET_ABSENT, CARDINALITY (ONE with several targets), else RESOLVED.
-    """
-    keys = ["kind", "origin"]
-    b = bindings.withColumn("_newest", F.max("revision").over(Window.partitionBy(*keys)))
-    current = F.col("revision") == F.col("_newest")
-    edges = b.groupBy("kind", "origin", "target", "revision").agg(F.count(F.lit(1)).alias("copies"), F.max("cardinality").alias("cardinality"), F.first(current).alias("_current"))
-    edges = edges.withColumn("_targets", F.count(F.lit(1)).over(Window.partitionBy(*keys, "revision")))
-    edges = edges.join(origins.select(F.col("id").alias("origin"), F.lit(True).alias("_o")).distinct(), "origin", "left").join(targets.select(F.col("id").alias("target"), F.lit(True).alias("_t")).distinct(), "target", "left")
-    state = (
-        F.when(~F.col("_current"), "SUPERSEDED").when(F.col("copies") > 1, "DUPLICATE").when(F.col("_o").isNull(), "ORIGIN_ABSENT").when(F.col("_t").isNull(), "TARGET_ABSENT")
-        .when((F.col("cardinality") == "ONE") & (F.col("_targets") > 1), "CARDINALITY").otherwise("RESOLVED")
-    )
-    return edges.select("kind", "origin", "target", "revision", state.alias("disposition"))
-
-
 def path_union(direct: DataFrame, first: DataFrame, second: DataFrame, value: DataFrame) -> DataFrame:
     """Targets of each root by direct edges (root, target) and through a middle (root, mid) + (mid, target), values summed once a target.
 

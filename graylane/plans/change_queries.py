@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from graylane import storage
 from graylane.operators import changes as H
 from graylane.operators import windows as W
-from graylane import storage
-from graylane.functions import scalar as S
 from graylane.registry import query
+from graylane.sources import marked
 
 _INCOMING = """i AS (SELECT o_orderkey AS k, CASE o_orderkey % 7 WHEN 0 THEN d + INTERVAL 1 DAY WHEN 1 THEN d - INTERVAL 1 DAY WHEN 2 THEN NULL ELSE d END AS f, CASE WHEN o_orderkey % 7 IN (0, 1, 2, 3) THEN o_orderstatus || 'x' ELSE o_orderstatus END AS c
  FROM (SELECT *, o_orderdate AS d FROM orders) WHERE o_orderkey % 11 != 0), o AS (SELECT o_orderkey AS k, o_orderdate AS f, o_orderstatus AS c FROM orders WHERE o_orderkey % 13 != 0),
@@ -108,29 +109,39 @@ def pending_partitions(t):
     return H.pending_partitions(c, a, ["day"], "run")
 
 
-@query("""SELECT CAST(ts AS DATE) AS day, sum(CASE WHEN day(ts) % 2 = 0 THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS total, count(*) AS n, CAST(CASE WHEN day(ts) % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS run FROM events WHERE day(ts) != 7 GROUP BY 1, 4""")
+@query("""WITH e AS (SELECT CAST(ts AS DATE) AS day, event_type AS scope, CAST(value AS DECIMAL(18,2)) AS v FROM events), k AS (SELECT DISTINCT day, scope FROM e WHERE day(day) != 7)
+SELECT k.day, k.scope, coalesce(sum(CASE WHEN day(k.day) % 2 = 0 THEN v ELSE 0 END), 0) AS total, count(v) AS n, CAST(CASE WHEN day(k.day) % 2 = 0 OR day(k.day) = 9 THEN 2 ELSE 1 END AS BIGINT) AS run
+FROM k LEFT JOIN e ON e.day = k.day AND e.scope = k.scope AND day(k.day) != 9 GROUP BY 1, 2""")
 def replace_partitions(t):
-    """Even days come from the fresh rows, the 7th is removed, the others stay as published (with amount 0); the marks say which run each day has."""
-    e = t("events").select(F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,2)").alias("v"))
-    path = storage.new_path(e.sparkSession, "published-days")
-    e.withColumn("v", F.lit(0).cast("decimal(18,2)")).repartition("day").write.partitionBy("day").parquet(path)
-    applied = e.select("day", F.lit(1).cast("long").alias("run")).distinct()
-    covered = applied.filter(F.dayofmonth("day") != 7).withColumn("run", F.when(F.dayofmonth("day") % 2 == 0, F.lit(2)).otherwise(F.col("run")).cast("long"))
-    pending = H.pending_partitions(covered, applied, ["day"], "run")
-    rows, marks = H.replace_partitions(path, e, pending, applied, "day", "run", e.groupBy("day").agg(F.count(F.lit(1)).alias("rows")))
-    return rows.groupBy("day").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")).join(marks, "day")
-
-
-@query("""WITH i AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 50 = 3 THEN 10 ELSE 0 END AS v FROM orders WHERE o_orderkey % 40 != 7) SELECT k, c, v, sum(v) OVER (PARTITION BY c) AS shared_total FROM i""")
+    """By day and scope: even days come from the second run, the 9th has a second run without rows, the 7th is covered no more, the others stay as first published (with amount 0); the marks say which run each has."""
+    e = t("events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("scope"), F.col("value").cast("decimal(18,2)").alias("v"))
+    base, spark, parts = storage.new_path(e.sparkSession, "published-days"), e.sparkSession, ["day", "scope"]
+    marked.create(spark, base, e.schema, parts, StructType([StructField("run", LongType())]))
+    rows = e.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"))
+    first = e.select(*parts, F.lit(1).cast("long").alias("run")).distinct()
+    H.replace_partitions(base, e.withColumn("v", F.lit(0).cast("decimal(18,2)")), first, "run", rows)
+    second = first.filter(F.dayofmonth("day") != 7).withColumn("run", F.when((F.dayofmonth("day") % 2 == 0) | (F.dayofmonth("day") == 9), F.lit(2)).otherwise(F.col("run")).cast("long"))
+    H.replace_partitions(base, e.filter(F.dayofmonth("day") != 9), second, "run", rows.filter(F.dayofmonth("day") != 9))
+    found = marked.read(spark, base).groupBy(*parts).agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+    return marked.marks(spark, base).drop("token").join(found, parts, "left").select(*parts, "run", F.coalesce("total", F.lit(0)).cast("decimal(28,2)").alias("total"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+@query("""WITH i AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 70 = 9 THEN NULL WHEN o_orderkey % 80 = 11 THEN o_custkey + 1 ELSE o_custkey END AS c, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 50 = 3 THEN 10 ELSE 0 END AS v FROM orders WHERE o_orderkey % 40 != 7) SELECT k, c, v, sum(v) OVER (PARTITION BY c) AS shared_total FROM i""")
 def refresh_detail(t):
-    """After changes, removals and a broken published row the incremental result is the one of a full computation."""
-    o = t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    """After changes, removals, moves to another secondary key, and damage to what was published (rows lost, altered and added, signatures lost) the incremental result is the one of a full computation."""
+    o = t("orders").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 70 != 9, F.col("o_custkey")).alias("c"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    spark, base = o.sparkSession, storage.new_path(o.sparkSession, "detail")
     compute = lambda df: df.withColumn("shared_total", F.sum("v").over(Window.partitionBy("c")))
-    old = o.filter("k % 45 != 4")
-    state = old.select("k", S.row_hash(["c", "v"]).alias("signature"))
-    published = storage.written(compute(old).withColumn("out_signature", S.row_hash(["v", "shared_total"])).withColumn("v", F.when(F.col("k") % 60 == 5, 0).otherwise(F.col("v")).cast("decimal(18,2)")), "published-detail")
-    new = o.filter("k % 40 != 7").withColumn("v", (F.col("v") + F.when(F.col("k") % 50 == 3, 10).otherwise(0)).cast("decimal(18,2)"))
-    return H.refresh_detail(new, state, published, "k", "c", [F.asc("v")], compute)
+    H.create_detail(spark, base, compute(o).schema, "k", "c", 8)
+    H.refresh_detail(base, o.filter("k % 45 != 4"), "k", "c", [F.asc("v")], compute)
+    every = spark.range(8).select(F.col("id").cast("int").alias("bucket"))
+    rows, state = storage.written(marked.read(spark, f"{base}/rows"), "detail-rows"), storage.written(marked.read(spark, f"{base}/state"), "detail-state")
+    odd = rows.filter("k % 60 = 5").withColumn("k", -F.col("k"))
+    marked.replace(spark, f"{base}/rows", rows.filter("k % 60 != 5").withColumn("v", F.when(F.col("k") % 60 == 6, 0).otherwise(F.col("v")).cast("decimal(18,2)")).unionByName(odd), every)
+    marked.replace(spark, f"{base}/state", state.withColumn("out_sig", F.when(F.col("k") % 60 != 7, F.col("out_sig"))), every)
+    new = o.filter("k % 40 != 7").withColumn("v", (F.col("v") + F.when(F.col("k") % 50 == 3, 10).otherwise(0)).cast("decimal(18,2)")).withColumn("c", F.when((F.col("k") % 80 == 11) & F.col("c").isNotNull(), F.col("c") + 1).otherwise(F.col("c")))
+    H.refresh_detail(base, new, "k", "c", [F.asc("v")], compute)
+    return marked.read(spark, f"{base}/rows").drop("bucket")
 
 
 @query(f"WITH {_INCOMING} SELECT count(*) FILTER (decision = 'INSERT') AS inserts, count(*) FILTER (decision = 'UPDATE') AS updates, count(*) FILTER (decision IN ('REPLAY', 'KEEP')) AS noops, count(*) FILTER (decision IN ('STALE', 'CONFLICT', 'NULL_FRESHNESS')) AS blocked, count(*) AS candidates, 'MISMATCH' AS status FROM d")

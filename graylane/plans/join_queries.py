@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from graylane.functions import scalar as S
 from graylane.operators import joins as J
+from graylane.operators import relations as R
 from graylane.registry import query
 
 
@@ -137,13 +138,42 @@ def billing_day(t):
     return o.join(J.small(days.withColumn("billing", F.date_sub("d", back))), "d", "left").select("o_orderkey", "billing")
 
 
-@query("""WITH b AS (SELECT l_returnflag AS kind, l_orderkey AS origin, l_suppkey * 40 AS target, l_linenumber % 3 AS revision, CASE l_returnflag WHEN 'A' THEN 'ONE' ELSE 'MANY' END AS card FROM lineitem),
-c AS (SELECT *, max(revision) OVER (PARTITION BY kind, origin) AS newest FROM b),
-e AS (SELECT kind, origin, target, revision, count(*) AS copies, max(card) AS card, bool_and(revision = newest) AS cur FROM c GROUP BY 1, 2, 3, 4), f AS (SELECT *, count(*) OVER (PARTITION BY kind, origin, revision) AS n FROM e)
-SELECT kind, origin, target, revision, CASE WHEN NOT cur THEN 'SUPERSEDED' WHEN copies > 1 THEN 'DUPLICATE' WHEN origin NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 6 != 0) THEN 'ORIGIN_ABSENT' WHEN target NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 != 0) THEN 'TARGET_ABSENT' WHEN card = 'ONE' AND n > 1 THEN 'CARDINALITY' ELSE 'RESOLVED' END AS disposition FROM f""")
+_EVIDENCE = """SELECT DISTINCT * FROM (
+SELECT 'MC' AS kind, l_orderkey AS o, l_linenumber % 3 AS oc, l_orderkey * 4 + l_linenumber // 2 AS t, CASE WHEN l_partkey % 31 = 0 THEN 1 ELSE 0 END AS tc, CAST(l_shipdate AS DATE) AS d, CASE WHEN l_orderkey % 5 = 0 THEN l_linenumber ELSE 1 END AS rev,
+  CASE WHEN l_orderkey % 4 = 0 THEN 'ONE_TO_ONE' WHEN l_orderkey % 4 = 2 OR l_orderkey % 4 = 3 AND l_suppkey % 10 = 0 THEN 'MANY_TO_MANY' ELSE 'ONE_TO_MANY' END AS card FROM lineitem
+UNION ALL SELECT 'CF', l_orderkey * 4 + l_linenumber // 2, l_suppkey % 2, l_partkey * 10 + l_suppkey % 10, l_linenumber % 2, CAST(l_shipdate AS DATE), 1, CASE WHEN l_orderkey % 3 = 0 THEN 'MANY_TO_MANY' ELSE 'ONE_TO_MANY' END FROM lineitem
+UNION ALL SELECT 'FD', l_partkey * 10 + l_suppkey % 10, l_linenumber % 2, l_suppkey, 0, NULL, 1, 'MANY_TO_MANY' FROM lineitem)"""
+
+
+@query(f"""WITH RECURSIVE b AS ({_EVIDENCE}), n AS (SELECT *, dense_rank() OVER (PARTITION BY kind, o, oc ORDER BY rev DESC) AS rk FROM b), c AS (SELECT * FROM n WHERE rk = 1),
+roots AS (SELECT 'MC' AS kind, 'o' AS side, o_orderkey AS id FROM orders WHERE o_orderkey % 6 != 0 UNION SELECT unnest(['MC', 'CF']), unnest(['t', 'o']), l_orderkey * 4 + l_linenumber // 2 FROM lineitem WHERE l_partkey % 9 != 0
+  UNION SELECT unnest(['CF', 'FD']), unnest(['t', 'o']), l_partkey * 10 + l_suppkey % 10 FROM lineitem WHERE l_partkey % 7 != 0 UNION SELECT 'FD', 't', s_suppkey FROM supplier WHERE s_suppkey % 5 != 0),
+comps AS (SELECT 'MC' AS kind, 'o' AS side, l_orderkey AS id, l_linenumber % 3 AS comp FROM lineitem WHERE l_partkey % 8 != 0 UNION SELECT 'CF', 'o', l_orderkey * 4 + l_linenumber // 2, l_suppkey % 2 FROM lineitem WHERE l_partkey % 6 != 0
+  UNION SELECT unnest(['CF', 'FD']), unnest(['t', 'o']), l_partkey * 10 + l_suppkey % 10, l_linenumber % 2 FROM lineitem WHERE l_orderkey % 4 != 0),
+d AS (SELECT *, CASE WHEN rk != 1 THEN 'SUPERSEDED'
+  WHEN EXISTS (FROM c x WHERE x.kind = n.kind AND x.o = n.o AND x.oc = n.oc AND x.card != n.card) THEN 'CONFLICT'
+  WHEN card = 'ONE_TO_ONE' AND EXISTS (FROM c x WHERE x.kind = n.kind AND x.o = n.o AND x.oc = n.oc AND (x.t != n.t OR x.tc != n.tc OR x.d != n.d)) THEN 'CONFLICT'
+  WHEN card != 'MANY_TO_MANY' AND EXISTS (FROM c x WHERE x.kind = n.kind AND x.t = n.t AND x.tc = n.tc AND (x.o != n.o OR x.oc != n.oc)) THEN 'CONFLICT'
+  WHEN NOT EXISTS (FROM roots r WHERE r.kind = n.kind AND side = 'o' AND id = n.o) THEN 'ORIGIN_ABSENT' WHEN NOT EXISTS (FROM comps r WHERE r.kind = n.kind AND side = 'o' AND id = n.o AND comp = n.oc) THEN 'COMPONENT_ABSENT'
+  WHEN NOT EXISTS (FROM roots r WHERE r.kind = n.kind AND side = 't' AND id = n.t) THEN 'ORPHAN' WHEN kind != 'CF' AND tc != 0 THEN 'CONFLICT'
+  WHEN kind = 'CF' AND NOT EXISTS (FROM comps r WHERE r.kind = 'CF' AND side = 't' AND id = n.t AND comp = n.tc) THEN 'COMPONENT_ABSENT' ELSE 'RESOLVED' END AS s FROM n),
+alive AS (SELECT kind, t FROM d WHERE s = 'RESOLVED' AND kind = 'MC' UNION SELECT d.kind, d.t FROM alive a JOIN d ON d.o = a.t AND d.s = 'RESOLVED' AND (a.kind, d.kind) IN (('MC', 'CF'), ('CF', 'FD')))
+SELECT kind, o AS origin, oc AS origin_component, t AS target, tc AS target_component, d AS target_date, rev AS revision,
+  CASE WHEN s = 'RESOLVED' AND kind != 'MC' AND NOT EXISTS (FROM alive a WHERE a.t = d.o AND (a.kind, d.kind) IN (('MC', 'CF'), ('CF', 'FD'))) THEN 'CHAIN_BLOCKED' ELSE s END AS disposition FROM d""")
 def resolve_relations(t):
-    b = t("lineitem").select(F.col("l_returnflag").alias("kind"), F.col("l_orderkey").alias("origin"), (F.col("l_suppkey") * 40).alias("target"), (F.col("l_linenumber") % 3).alias("revision"), F.when(F.col("l_returnflag") == "A", "ONE").otherwise("MANY").alias("cardinality"))
-    return J.resolve_relations(b, t("orders").filter("o_orderkey % 6 != 0").select(F.col("o_orderkey").alias("id")), t("customer").filter("c_custkey % 7 != 0").select(F.col("c_custkey").alias("id")))
+    """Three kinds in a chain, with superseded, repeated, mixed, two-sided and missing evidence."""
+    l, long = t("lineitem"), lambda c: F.expr(c).cast("long")  # noqa: E731, E741
+    pickup, freight, ship = "l_orderkey * 4 + l_linenumber div 2", "l_partkey * 10 + l_suppkey % 10", F.to_date("l_shipdate")
+    card = F.expr("case when l_orderkey % 4 = 0 then 'ONE_TO_ONE' when l_orderkey % 4 = 2 or l_orderkey % 4 = 3 and l_suppkey % 10 = 0 then 'MANY_TO_MANY' else 'ONE_TO_MANY' end")
+    edge = lambda kind, o, oc, to, tc, d, rev, card: l.select(*[c.alias(n) for c, n in zip((F.lit(kind), long(o), long(oc), long(to), long(tc), d, long(rev), card), R.EDGE, strict=True)])
+    bindings = edge("MC", "l_orderkey", "l_linenumber % 3", pickup, "if(l_partkey % 31 = 0, 1, 0)", ship, "if(l_orderkey % 5 = 0, l_linenumber, 1)", card)
+    bindings = bindings.unionByName(edge("CF", pickup, "l_suppkey % 2", freight, "l_linenumber % 2", ship, "1", F.expr("if(l_orderkey % 3 = 0, 'MANY_TO_MANY', 'ONE_TO_MANY')")))
+    bindings = bindings.unionByName(edge("FD", freight, "l_linenumber % 2", "l_suppkey", "0", F.lit(None).cast("date"), "1", F.lit("MANY_TO_MANY")))
+    entity = lambda df, name, where, key, *comp: df.filter(where).select(F.lit(name).alias("entity"), long(key).alias("id"), *[long(c).alias("component") for c in comp])
+    roots = entity(t("orders"), "manifest", "o_orderkey % 6 != 0", "o_orderkey").unionByName(entity(l, "pickup", "l_partkey % 9 != 0", pickup)).unionByName(entity(l, "freight", "l_partkey % 7 != 0", freight)).unionByName(entity(t("supplier"), "invoice", "s_suppkey % 5 != 0", "s_suppkey"))
+    components = entity(l, "manifest", "l_partkey % 8 != 0", "l_orderkey", "l_linenumber % 3").unionByName(entity(l, "pickup", "l_partkey % 6 != 0", pickup, "l_suppkey % 2")).unionByName(entity(l, "freight", "l_orderkey % 4 != 0", freight, "l_linenumber % 2"))
+    ends = l.sparkSession.createDataFrame([("MC", "manifest", "pickup", 0), ("CF", "pickup", "freight", None), ("FD", "freight", "invoice", 0)], "kind string, origin_entity string, target_entity string, root_target long")
+    return R.resolve_relations(bindings, roots, components, ends, [("MC", "CF"), ("CF", "FD")]).drop("cardinality")
 
 
 @query("""WITH v AS (SELECT s_suppkey AS target, CAST(s_acctbal AS DECIMAL(18,2)) AS value FROM supplier), d AS (SELECT DISTINCT o_custkey AS root, l_suppkey AS target FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 1),

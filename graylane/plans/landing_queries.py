@@ -8,6 +8,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from graylane import storage
 from graylane.registry import query
 from graylane.sources import landing as L
+from graylane.sources import marked, versions
 from graylane.streaming import jobs
 
 
@@ -43,23 +44,43 @@ def check_capture(t):
 
 @query("SELECT 'DAY' AS code, count(*) AS n FROM events WHERE event_id % 40 = 3")
 def check_capture_local(t):
-    """Instants belong to the day that they have in the zone, three hours behind UTC; a second capture without faults is landed whole."""
+    """Instants belong to the day that they have in the zone, three hours behind UTC; a capture without faults is landed whole, and once though it comes twice."""
     e = t("events")
     local = F.to_date(F.col("ts") - F.expr("INTERVAL 3 HOURS"))
     record = F.struct(F.col("event_id").alias("id"), F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("at"))
     rows = e.select("event_id", local.alias("business_date"), F.to_json(F.struct(F.lit("event").alias("entity"), record.alias("record"))).alias("envelope"))
     path = storage.new_path(e.sparkSession, "landed")
-    L.land_capture(rows, L.check_capture(rows, "envelope", ["id", "at"], "id", "at", e.count(), "Etc/GMT+3"), path)
+    for _ in range(2):
+        L.land_capture(rows, L.check_capture(rows, "envelope", ["id", "at"], "id", "at", e.count(), "Etc/GMT+3"), path, "first")
     moved = e.sparkSession.read.parquet(path).withColumn("business_date", F.date_add("business_date", F.when(F.col("event_id") % 40 == 3, 1).otherwise(0)))
     return L.check_capture(moved, "envelope", ["id", "at"], "id", "at", e.count(), "Etc/GMT+3")
 
 
-@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+@query("SELECT o_orderstatus, count(*) AS n, 2 AS version, 2 AS folders, 'moved, late' AS refused FROM orders WHERE o_orderkey % 3 != 0 GROUP BY 1")
 def publish_fenced(t):
-    """Published under a new version and read back, while the coverage stays as it was."""
+    """Two publications that hold, between them one whose coverage moves and after them one that started before the last: neither leaves anything."""
     o = t("orders")
-    paths = L.publish({"by_status": o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))}, lambda: o.agg(F.max("o_orderkey").alias("last")), storage.new_path(o.sparkSession, "published"))
-    return o.sparkSession.read.parquet(paths["by_status"])
+    spark, base, turn = o.sparkSession, storage.new_path(o.sparkSession, "published"), iter(range(9))
+    by_status = lambda df: {"by_status": df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), "keys": df.select("o_orderkey")}
+    fence = lambda: o.agg(F.max("o_orderkey").alias("last"))
+    versions.publish(spark, base, by_status(o), fence)
+    refused = []
+    try:
+        versions.publish(spark, base, by_status(o.limit(0)), lambda: fence().withColumn("last", F.col("last") + next(turn)))
+    except versions.Lost:
+        refused.append("moved")
+
+    def overtaken():
+        if next(turn) == 2:
+            versions.publish(spark, base, by_status(o.filter("o_orderkey % 3 != 0")), fence)
+        return fence()
+
+    try:
+        versions.publish(spark, base, by_status(o.limit(0)), overtaken)
+    except versions.Lost:
+        refused.append("late")
+    facts = {"version": versions.current(spark, base)[0], "folders": len(versions.listed(spark, f"{base}/versions")), "refused": ", ".join(refused)}
+    return versions.read(spark, base, "by_status").withColumns({k: F.lit(v) for k, v in facts.items()})
 
 
 @query("SELECT o_orderkey, 'live' AS origin FROM orders WHERE o_orderkey % 2 = 0")
@@ -78,24 +99,35 @@ def signature_gate(t):
     return again.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumns({"built": F.lit(built), "rebuilt": F.lit(rebuilt), "rebuilt_after_change": F.lit(changed)})
 
 
-@query("""WITH a AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS s FROM orders WHERE o_orderkey % 7 != 0), b AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 4 = 0 THEN 'Z' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 9 != 0),
-w AS (SELECT * FROM a WHERE d BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'), x AS (SELECT * FROM b WHERE d BETWEEN DATE '1996-01-01' AND DATE '1998-12-31')
-SELECT coalesce(w.k, x.k) AS k, CASE WHEN w.k IS NULL THEN 'INSERT' WHEN x.k IS NULL THEN 'DELETE' WHEN w.s = x.s THEN 'KEEP' ELSE 'UPDATE' END AS action FROM w FULL JOIN x USING (k) UNION ALL SELECT k, 'OUTSIDE' FROM a WHERE d NOT BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""")
+# every eleventh date of the source is a year later than the target's: rows move into the window, within it and out of it
+_SYNC = """a AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders WHERE o_orderkey % 7 != 0),
+b AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 11 = 0 THEN 365 ELSE 0 END AS d, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS v FROM orders WHERE o_orderkey % 9 != 0),
+x AS (SELECT * FROM b WHERE d BETWEEN DATE '1996-01-01' AND DATE '1998-12-31')"""
+
+
+def _sync_sides(t):
+    o = t("orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    source = o.filter("k % 9 != 0").withColumn("v", (F.col("v") + F.when(F.col("k") % 4 == 0, 1).otherwise(0)).cast("decimal(18,2)")).withColumn("d", F.date_add("d", F.when(F.col("k") % 11 == 0, 365).otherwise(0)))
+    return o.filter("k % 7 != 0"), source, F.lit("1996-01-01").cast("date"), F.lit("1998-12-31").cast("date")
+
+
+@query(f"""WITH {_SYNC} SELECT coalesce(a.k, x.k) AS k, CASE WHEN a.k IS NULL THEN 'INSERT' WHEN x.k IS NOT NULL AND a.d = x.d AND a.v = x.v THEN 'KEEP' WHEN x.k IS NOT NULL THEN 'UPDATE' WHEN a.d BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' THEN 'DELETE' ELSE 'OUTSIDE' END AS action FROM a FULL JOIN x ON a.k = x.k""")
 def sync_window(t):
-    o = t("orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("d"), F.col("o_orderstatus").alias("s"))
-    source = o.filter("k % 9 != 0").withColumn("s", F.when(F.col("k") % 4 == 0, "Z").otherwise(F.col("s")))
-    return L.sync_window(o.filter("k % 7 != 0"), source, "k", "d", F.lit("1996-01-01").cast("date"), F.lit("1998-12-31").cast("date"))
+    target, source, lo, hi = _sync_sides(t)
+    return L.sync_window(target, source, "k", "d", lo, hi)
 
 
-@query("""SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 4 = 0 AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' THEN 1 ELSE 0 END AS v FROM orders
-WHERE CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' THEN o_orderkey % 9 != 0 ELSE o_orderkey % 7 != 0 END""")
+@query(f"""WITH {_SYNC} SELECT k, d, v, year(d) AS y FROM x UNION ALL SELECT k, d, v, year(d) FROM a WHERE d NOT BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' AND k NOT IN (SELECT k FROM x)""")
 def sync_window_applied(t):
-    """The window as the source has it, after its rows and amounts add up to what it states; the rest as it was."""
-    o = t("orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
-    source = o.filter("k % 9 != 0").withColumn("v", (F.col("v") + F.when(F.col("k") % 4 == 0, 1).otherwise(0)).cast("decimal(18,2)"))
-    lo, hi = F.lit("1996-01-01").cast("date"), F.lit("1998-12-31").cast("date")
-    stated = source.filter(F.col("d").between(lo, hi)).agg(F.count(F.lit(1)), F.sum("v")).first()
-    return L.apply_sync(o.filter("k % 7 != 0"), source, "d", lo, hi, "v", *stated)
+    """Written by partitions of a year and read back: each key once, the window as the source has it after its rows and amounts add up to what it states."""
+    target, source, lo, hi = _sync_sides(t)
+    spark, base = target.sparkSession, storage.new_path(target.sparkSession, "synced")
+    first = target.withColumn("y", F.year("d"))
+    marked.create(spark, base, first.schema, ["y"])
+    marked.replace(spark, base, first, first.select("y").distinct())
+    fresh = source.filter(F.col("d").between(lo, hi))
+    L.sync_keyed(base, fresh, "k", "d", F.year("d"), lo, hi, "v", *fresh.agg(F.count(F.lit(1)), F.sum("v")).first())
+    return marked.read(spark, base)
 
 
 @query("SELECT CAST(d AS DATE) AS day FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY) r(d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 300000)")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from graylane import storage
 from graylane.operators import aggregates as A
 from graylane.plans import marts_more as M
 from graylane.registry import query
+from graylane.sources import marked
 
 
 @query("""WITH n AS (SELECT 'branch' AS dim, upper(trim(n_name)) AS name, NULL AS kind FROM nation UNION ALL SELECT 'branch', upper(trim(r_name)), NULL FROM region UNION ALL SELECT 'driver', upper(trim(s_name)), NULL FROM supplier
@@ -143,17 +145,19 @@ def mart_billing(t):
     return M.billing_fact(c, days.withColumn("business_day", F.date_sub("day", back))).withColumn("month", F.col("month").cast("int"))
 
 
-@query("""SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(CASE WHEN day(ts) % 4 = 1 THEN 2 ELSE 1 END AS BIGINT) AS run, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1, 3""")
+@query("""SELECT CAST(ts AS DATE) AS day, user_id % 3 AS scope, count(*) AS n, count(*) FILTER (event_type = 'error') AS failed FROM events WHERE NOT (day(ts) % 4 = 1 AND user_id % 3 = 2) GROUP BY 1, 2""")
 def mart_occurrences(t):
-    """Published with one run a day; every fourth day has a second run with all rows, the first had failures as other occurrences."""
-    e = t("events").select(F.to_date("ts").alias("day"), "event_id", "event_type")
-    path = storage.new_path(e.sparkSession, "occurrences")
-    first = F.when(F.dayofmonth("day") % 4 == 1, "other").otherwise(F.col("event_type"))
-    e.withColumn("event_type", first).repartition("day").write.partitionBy("day").parquet(path)
-    applied = e.select("day").distinct().withColumn("run", F.lit(1).cast("long"))
-    covered = e.groupBy("day").agg(F.count(F.lit(1)).alias("rows")).withColumn("run", F.when(F.dayofmonth("day") % 4 == 1, 2).otherwise(1).cast("long"))
-    rows, marks = M.occurrences_by_day(path, e, covered, applied)
-    return rows.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("failed")).join(marks, "day")
+    """Published with one run a scope and day; every fourth day has a second run: the first had failures as other occurrences, and what scope 2 has there is empty in the second."""
+    e = t("events").select((F.col("user_id") % 3).alias("scope"), F.to_date("ts").alias("day"), "event_id", "event_type")
+    spark, base = e.sparkSession, storage.new_path(e.sparkSession, "occurrences")
+    marked.create(spark, base, e.schema, ["scope", "day"], StructType([StructField("run", LongType())]))
+    late, empty = F.dayofmonth("day") % 4 == 1, (F.dayofmonth("day") % 4 == 1) & (F.col("scope") == 2)
+    first = e.withColumn("event_type", F.when(late, "other").otherwise(F.col("event_type")))
+    covered = e.groupBy("scope", "day").agg(F.count(F.lit(1)).alias("rows")).withColumn("run", F.lit(1).cast("long"))
+    M.occurrences_by_day(base, first, covered)
+    covered = covered.withColumn("run", F.when(late, 2).otherwise(1).cast("long")).withColumn("rows", F.when(empty, 0).otherwise(F.col("rows")))
+    rows = M.occurrences_by_day(base, e.filter(~empty), covered)
+    return rows.groupBy("day", "scope").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("failed"))
 
 
 @query("""WITH e AS (SELECT *, event_type AS entity, CAST(ts AS DATE) - DATE '2024-01-01' AS seq FROM events), r AS (SELECT entity, seq, CAST(floor(epoch(max(ts))) - floor(epoch(min(ts))) AS BIGINT) AS seconds FROM e GROUP BY 1, 2),

@@ -12,6 +12,7 @@ from graylane.operators import aggregates as A
 from graylane.operators import changes as H
 from graylane.operators import joins as J
 from graylane.operators import windows as W
+from graylane.sources import marked
 
 
 def names(sources: Sequence[tuple[DataFrame, Column, dict[str, Column]]]) -> DataFrame:
@@ -111,10 +112,10 @@ def billing_fact(consolidated: DataFrame, calendar: DataFrame) -> DataFrame:
     return f.withColumn("row_hash", S.row_hash(["freight", "branch", "total", "billed"]))
 
 
-def occurrences_by_day(published: str, fresh: DataFrame, covered: DataFrame, applied: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, marks): days whose covered run (day, run, rows) isn't the applied one are replaced, with their counts checked."""
-    pending = H.pending_partitions(covered.select("day", "run"), applied, ["day"], "run")
-    return H.replace_partitions(published, fresh, pending, applied, "day", "run", covered.select("day", "rows"))
+def occurrences_by_day(base: str, fresh: DataFrame, covered: DataFrame) -> DataFrame:
+    """The occurrences of the marked table under base (by scope and day) after its partitions whose covered run (scope, day, run, rows) isn't the applied one were replaced, with their counts checked."""
+    H.replace_partitions(base, fresh, covered.select("scope", "day", "run"), "run", covered.select("scope", "day", "rows"))
+    return marked.read(fresh.sparkSession, base)
 
 
 def execution_log(runs: DataFrame, logs: DataFrame, hashes: DataFrame) -> DataFrame:

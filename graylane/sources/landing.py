@@ -10,8 +10,9 @@ from pyspark.sql.types import StructType
 
 from graylane import storage
 from graylane.functions.scalar import civil_date, to_instant
-from graylane.operators.sets import multiset_diff
 from graylane.operators.windows import bounded
+from graylane.sources import marked, versions
+from graylane.sources.versions import same_rows
 
 
 def latest_capture(occurrences: DataFrame, runs: DataFrame, keys: Sequence[str], run: str, stored: str, state: Column) -> DataFrame:
@@ -64,32 +65,12 @@ def check_capture(df: DataFrame, envelope: str, fields: Sequence[str], key: str,
     return out.select("v.*").filter("n > 0")
 
 
-def land_capture(df: DataFrame, violations: DataFrame, path: str) -> None:
-    """Appends all rows of a capture if it has no violation; else an error and nothing is written."""
+def land_capture(df: DataFrame, violations: DataFrame, path: str, run: str) -> None:
+    """Writes all rows of a capture under its run if it has no violation; else an error and nothing is written. A capture that is landed again stands there once."""
     found = {r.code: r.n for r in violations.collect()}  # at most a row for each code
     if found:
         raise ValueError(f"the capture breaks its contract: {found}")
-    df.write.mode("append").parquet(path)
-
-
-def same_rows(a: DataFrame, b: DataFrame) -> bool:
-    """Both have the same rows as often."""
-    return multiset_diff(a, b, a.columns).limit(1).count() == 0
-
-
-def publish(outputs: dict[str, DataFrame], fence: Callable[[], DataFrame], base: str) -> dict[str, str]:
-    """Writes all outputs under a new version and returns their paths; an error if the fence's rows moved meanwhile.
-
-    The caller switches to the returned paths (a pointer, a table location), so readers see all outputs or none.
-    """
-    before = storage.written(fence(), "fence")
-    paths = {}
-    for name, df in outputs.items():
-        paths[name] = f"{base}/{name}"
-        df.write.mode("error").parquet(paths[name])
-    if not same_rows(before, fence()):
-        raise RuntimeError("the coverage moved during the publication")
-    return paths
+    df.write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def prepared_or_live(prepared: DataFrame, live: DataFrame, pending: DataFrame) -> DataFrame:
@@ -113,28 +94,48 @@ def rebuild_if_changed(inputs: DataFrame, stored: str | None, build: Callable[[]
 
 
 def sync_window(target: DataFrame, source: DataFrame, key: str, date: str, lo: Column, hi: Column) -> DataFrame:
-    """key and action for the window lo <= date <= hi: INSERT, UPDATE (other values), DELETE, KEEP; rows outside are OUTSIDE."""
-    inside = lambda df: df.filter((F.col(date) >= lo) & (F.col(date) <= hi))
-    cols = [c for c in target.columns if c != key]
-    t = inside(target).select(key, F.struct(*cols).alias("_t"))
-    s = inside(source).select(key, F.struct(*cols).alias("_s"))
-    j = t.join(s, key, "full_outer")
-    action = F.when(F.col("_t").isNull(), "INSERT").when(F.col("_s").isNull(), "DELETE").when(F.col("_t").eqNullSafe(F.col("_s")), "KEEP").otherwise("UPDATE")
-    outside = target.filter(~((F.col(date) >= lo) & (F.col(date) <= hi)) | F.col(date).isNull())
-    return j.select(key, action.alias("action")).unionByName(outside.select(key, F.lit("OUTSIDE").alias("action")))
+    """key and action for the window lo <= date <= hi of source, matched by key wherever the target's row stands: INSERT, UPDATE (other values, the date among them), KEEP, DELETE (in the window, without a source row); the target's other rows are OUTSIDE."""
+    return _sync(target, source, key, date, lo, hi).select(key, "action")
+
+
+def _sync(target: DataFrame, source: DataFrame, key: str, date: str, lo: Column, hi: Column, also: Sequence[str] = ()) -> DataFrame:
+    """key, _t and _s (the other columns of either side), action. also: columns that are carried but not compared."""
+    cols = [c for c in target.columns if c != key and c not in also]
+    side = lambda df, name: df.select(key, F.struct(*cols).alias(name), *[F.col(c).alias(f"{name}_{c}") for c in also])
+    inside = lambda c: F.coalesce((c >= lo) & (c <= hi), F.lit(False))
+    j = side(target, "_t").join(side(source.filter(inside(F.col(date))), "_s"), key, "full_outer")
+    missing = F.when(inside(F.col(f"_t.{date}")), "DELETE").otherwise("OUTSIDE")
+    return j.withColumn("action", F.when(F.col("_t").isNull(), "INSERT").when(F.col("_s").isNull(), missing).when(F.col("_t").eqNullSafe(F.col("_s")), "KEEP").otherwise("UPDATE"))
 
 
-def apply_sync(target: DataFrame, source: DataFrame, date: str, lo: Column, hi: Column, amount: str, rows: int, total) -> DataFrame:
-    """target with the window lo <= date <= hi as source has it, after the source's rows there and their amounts add up to the totals it states; else an error.
+def sync_keyed(base: str, source: DataFrame, key: str, date: str, part: Column, lo: Column, hi: Column, amount: str, rows: int, total) -> dict[str, int]:
+    """Makes the window lo <= date <= hi of the marked table under base what source says, by key, and returns how many rows each action has.
 
-    Updates, insertions and deletions of the window are what the source's rows bring; rows outside stay as they are.
+    Source's rows must be the stated number, lie in the window, add up to the stated total and have each a key of its own;
+    else it is an error and nothing changes. A row whose date moves into, within or out of the window's partitions is moved:
+    the partitions of its old and new date are written again, all in one commit; other partitions aren't touched. part gives
+    the partition of a row (the table has one partition column) from its date.
     """
-    inside = F.coalesce((F.col(date) >= lo) & (F.col(date) <= hi), F.lit(False))
-    fresh = source.filter(inside)
-    have = fresh.agg(F.count(F.lit(1)), F.coalesce(F.sum(amount), F.lit(0))).first()
-    if (have[0], have[1]) != (rows, total):
-        raise ValueError(f"the window has {have[0]} rows and {have[1]}, stated are {rows} and {total}")
-    return target.filter(~inside).unionByName(fresh.select(*target.columns))
+    spark = source.sparkSession
+    seen, content = versions.current(spark, base)
+    name = content["parts"][0]
+    table = marked.read(spark, base)
+    columns = [c for c in table.columns if c != name]
+    fresh = storage.written(source.select(*columns).withColumn(name, part.cast(table.schema[name].dataType)), "sync-source")
+    outside = ~F.coalesce((F.col(date) >= lo) & (F.col(date) <= hi), F.lit(False))
+    have = fresh.agg(F.count(F.lit(1)), F.coalesce(F.sum(amount), F.lit(0)), F.count_if(outside | F.col(key).isNull())).first()
+    if (have[0], have[1]) != (rows, total) or have[2] or not fresh.groupBy(key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"the window has {have[0]} rows and {have[1]}, stated are {rows} and {total}; {have[2]} rows are outside or have no key")
+    found = storage.written(_sync(table, fresh, key, date, lo, hi, [name]).select(key, "action", f"_t_{name}", f"_s_{name}").filter("action != 'OUTSIDE'"), "sync-actions")
+    counts = {r.action: r.n for r in found.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most a row for each action
+    moved = found.filter("action != 'KEEP'")
+    touched = moved.filter("action != 'INSERT'").select(F.col(f"_t_{name}").alias(name)).unionByName(moved.filter("action != 'DELETE'").select(F.col(f"_s_{name}").alias(name))).distinct()
+    touched = storage.written(touched, "sync-partitions")
+    if not touched.isEmpty():
+        stay = table.join(touched, table[name].eqNullSafe(touched[name]), "left_semi").join(moved.select(key), key, "left_anti")
+        brought = fresh.join(moved.filter("action != 'DELETE'").select(key), key, "left_semi")
+        marked.replace(spark, base, stay.select(*table.columns).unionByName(brought.select(*table.columns)), touched, seen)
+    return counts
 
 
 def missing_days(coverage: DataFrame, day: str, lo: str, hi: str) -> DataFrame:

@@ -85,13 +85,9 @@ def test_allocation_adds_up(spark, total, weights):
     assert round(sum(got), 2) == round(total, 2)
 
 
-def test_consensus_and_relations(spark):
+def test_consensus(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (2, "a"), (2, "b"), (3, None)], "k int, v string")
     assert rows(A.consensus(df, ["k"], "v")) == [(1, "VALUE", "a"), (2, "CONFLICT", None), (3, "NULL", None)]
-    b = spark.createDataFrame([("r", "o1", "t1", 1, "ONE"), ("r", "o1", "t1", 2, "ONE"), ("r", "o1", "t2", 2, "ONE"), ("r", "o2", "t9", 1, "ONE"), ("r", "o3", "t1", 1, "MANY"), ("r", "o3", "t1", 1, "MANY"), ("r", "o9", "t1", 1, "ONE")], "kind string, origin string, target string, revision int, cardinality string")
-    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
-    got = {(r.origin, r.target, r.revision): r.disposition for r in J.resolve_relations(b, ids("o1", "o2", "o3"), ids("t1", "t2")).collect()}
-    assert got == {("o1", "t1", 1): "SUPERSEDED", ("o1", "t1", 2): "CARDINALITY", ("o1", "t2", 2): "CARDINALITY", ("o2", "t9", 1): "TARGET_ABSENT", ("o3", "t1", 1): "DUPLICATE", ("o9", "t1", 1): "ORIGIN_ABSENT"}
 
 
 def test_bounds_and_contracts_raise(spark):
@@ -144,35 +140,18 @@ def test_stream_keeps_conflicts_and_restarts(spark, tmp_path, monkeypatch):
     assert log == [(0, 1, "INSERT"), (0, 2, "INSERT"), (0, 3, "INSERT"), (1, 1, "CONFLICT"), (1, 2, "STALE"), (1, 2, "UPDATE"), (2, 1, "STALE"), (2, 2, "REPLAY"), (2, 4, "QUARANTINE"), (2, 4, "QUARANTINE"), (3, 3, "NULL_FRESHNESS")]
 
 
-def test_a_capture_with_faults_is_not_landed(spark, tmp_path):
+def test_a_capture_is_landed_whole_and_once(spark, tmp_path):
     bad = spark.createDataFrame([("COUNT", 1)], "code string, n long")
     with pytest.raises(ValueError):
-        L.land_capture(bad, bad, f"{tmp_path}/x")
-    L.land_capture(bad, bad.limit(0), f"{tmp_path}/x")
-    assert spark.read.parquet(f"{tmp_path}/x").count() == 1
+        L.land_capture(bad, bad, f"{tmp_path}/x", "r1")
+    for run in ("r1", "r1", "r2"):
+        L.land_capture(bad, bad.limit(0), f"{tmp_path}/x", run)
+    assert sorted(r.run for r in spark.read.parquet(f"{tmp_path}/x").collect()) == ["r1", "r2"]
 
 
-def test_writes_that_do_not_add_up_are_refused(spark, tmp_path):
-    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "day string, v long")
-    rows.write.partitionBy("day").parquet(f"{tmp_path}/t")
-    marks = spark.createDataFrame([("a", 1), ("b", 1)], "day string, run long")
-    stated = spark.createDataFrame([("a", 9), ("b", 1)], "day string, rows long")
-    with pytest.raises(ValueError):
-        H.replace_partitions(f"{tmp_path}/t", rows, spark.createDataFrame([("a", 2)], "day string, run long"), marks, "day", "run", stated)
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
-    with pytest.raises(ValueError):
-        L.apply_sync(rows, rows, "day", F.lit("a"), F.lit("a"), "v", 2, 4)
+def test_a_receipt_for_other_inputs_is_refused(spark):
     decisions = spark.createDataFrame([("INSERT",)], "decision string")
     kept = spark.createDataFrame([("r", 2, 0, 0, 0)], "receipt string, inserts long, updates long, noops long, blocked long")
     with pytest.raises(ValueError):
         H.accepted_receipt(decisions, kept, "r")
     assert H.accepted_receipt(decisions, kept.withColumn("inserts", F.lit(1).cast("long")), "r").first().status == "REPLAY"
-
-
-def test_incremental_detail_falls_back_to_all(spark):
-    inputs = spark.createDataFrame([(1, 1, 5), (1, 1, 5), (2, 1, 7)], "k long, c long, v long")
-    compute = lambda df: df.dropDuplicates(["k"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("c")))
-    published = spark.createDataFrame([(2, 1, 0, 0, "x")], "k long, c long, v long, n long, out_signature string")
-    state = spark.createDataFrame([], "k long, signature string")
-    got = H.refresh_detail(inputs, state, published, "k", "c", [F.asc("v")], compute).collect()
-    assert sorted((r.k, r.v, r.n) for r in got) == [(1, 5, 2), (2, 7, 2)]
