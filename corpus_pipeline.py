@@ -28,15 +28,21 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["h"] == gone["h"]), "left_anti").select(*COLUMNS)
 
 
+def least(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the rows with equal keys the one whose other columns are the least (null first), in the order of COLUMNS."""
+    others = [c for c in COLUMNS if c not in keys]
+    return rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("least")).select(*keys, "least.*").select(*COLUMNS)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row with the smallest id (null last), once; rows without words are in no group and stay."""
+    """Of each group of near duplicates the row with the smallest id (null last), once; of rows with that id and text the least by their other columns; rows without words are in no group and stay."""
     found = written(jaccard_join.representatives(docs), "representatives")
     rows = docs.select(*COLUMNS).withColumn("rk", F.xxhash64(F.col("doc_id").cast("long"), "text"))
     kept = rows.join(found.filter("not kept").select("rk").distinct(), "rk", "left_anti")
     twice = written(found.filter("kept and rows > 1").select("rk").distinct(), "repeated-rows")
     if twice.isEmpty():
         return kept.select(*COLUMNS)
-    return kept.join(twice, "rk", "left_anti").select(*COLUMNS).unionByName(kept.join(twice, "rk", "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS))
+    return kept.join(twice, "rk", "left_anti").select(*COLUMNS).unionByName(least(kept.join(twice, "rk", "left_semi"), ["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,14 +52,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it; the copies are rows with the same doc_id. Of rows with one id, text and source one stands for the sum of what the mix takes of them."""
+    """Each row as often as the mix takes it; the copies are rows with the same doc_id. Of rows with one id, text and source the least stands for the sum of what the mix takes of them."""
     rows = docs.select(*COLUMNS).withColumn("h", F.xxhash64("doc_id", "text"))
     found = mixing.mix_alike(rows)
     taken = written(found.groupBy("h", "source").agg(F.sum(F.col("copies") * F.col("rows")).cast("int").alias("copies"), F.sum("rows").alias("rows")).filter("copies > 0"), "mixed-rows")
     same = lambda a, b: (a["h"] == b["h"]) & a["source"].eqNullSafe(b["source"])
     once = taken.filter("rows > 1").select("h", "source")
     if not once.isEmpty():
-        rows = rows.join(once, same(rows, once), "left_anti").unionByName(rows.join(once, same(rows, once), "left_semi").dropDuplicates(["doc_id", "text", "source"]))
+        rows = rows.join(once, same(rows, once), "left_anti").unionByName(least(rows.join(once, same(rows, once), "left_semi"), ["doc_id", "text", "source"]).withColumn("h", F.xxhash64("doc_id", "text")))
     return rows.join(taken, same(rows, taken)).select(*[rows[c] for c in COLUMNS], F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
 
 

@@ -100,3 +100,24 @@ def test_mix_takes_all_copies(spark, sf):
         k = str(r.doc_id), r.source, len(r.text.split())
         got[k] = got.get(k, 0) + 1
     assert got == {k: n for k, n in want.items() if n}
+
+
+def test_the_same_of_repeated_rows_stays(spark, sf):
+    text = "words that are the same in all of these rows and stand in five of them"
+    rows = [(1, text, lang, source, n) for lang, source, n in (("en", "b", 2), ("de", "b", 1), (None, "a", 5), ("en", None, 3), ("de", "b", 0))] + [(2, text + " more", "en", "z", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    near = {tuple(map(tuple, corpus_pipeline.drop_near_copies(spark, docs.repartition(k, c), sf).collect())) for k, c in ((1, "lang"), (4, "n_chars"), (3, "source"))}
+    assert near == {((1, text, None, "a", 5),)}
+    mixed = {tuple(sorted(map(tuple, corpus_pipeline.mix_sources(spark, docs.repartition(k, c), sf).collect()), key=repr)) for k, c in ((1, "lang"), (4, "n_chars"), (3, "source"))}
+    assert len(mixed) == 1 and all(r[2:] == ("de", "b", 0) for r in next(iter(mixed)) if r[3] == "b")
+
+
+def test_empty_tables_and_further_columns(spark, sf):
+    odd = ["*", "1 as h", "2 as rk", "'x' as least", "3 as copies", "4 as label", "5 as rows"]
+    for docs in (spark.createDataFrame([], SCHEMA), spark.createDataFrame([(1, "one text that stays as it is here", "en", "s", 1)], SCHEMA)):
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            out = stage(spark, docs.selectExpr(*odd), sf)
+            assert out.count() == docs.count() or name == "mixing"
+            assert name == "token ids" or sorted(out.columns) == sorted(corpus_pipeline.COLUMNS)
+    docs = table(spark, sf, "documents")
+    assert corpus_pipeline.drop_toxic(spark, docs.selectExpr(*odd), sf).columns == list(corpus_pipeline.COLUMNS)
