@@ -38,10 +38,11 @@ def parse_decimal(col: Column, precision: int, scale: int) -> Column:
     return F.nullif(F.regexp_replace(number, ",", ""), F.lit("")).try_cast(f"decimal({precision},{scale})")
 
 
-def strict_number(col: Column) -> Column:
-    """struct(state, number): ABSENT, VALID or INVALID; ASCII digits only, at most 9 decimals and 38 digits."""
-    ok = col.rlike(r"^-?[0-9]{1,29}(\.[0-9]{1,9})?$")
-    state = F.when(col.isNull(), "ABSENT").when(ok, "VALID").otherwise("INVALID")
+def strict_number(col: Column, given: Column | None = None) -> Column:
+    """struct(state, number): ABSENT, NULL, VALID or INVALID; ASCII digits only, at most 9 decimals and 38 digits, nothing behind them. given: the field's presence, which tells NULL from ABSENT; without it a missing text is ABSENT."""
+    ok = col.rlike(r"\A-?[0-9]{1,29}(\.[0-9]{1,9})?\z")
+    missing = F.lit("ABSENT") if given is None else F.when(given == "ABSENT", "ABSENT").otherwise("NULL")
+    state = F.when(col.isNull(), missing).when(ok, "VALID").otherwise("INVALID")
     return F.struct(state.alias("state"), F.when(ok, col).try_cast("decimal(38,9)").alias("number"))
 
 
@@ -63,15 +64,26 @@ def party_key(document: Column, name: Column) -> Column:
     return F.when(doc.isNotNull(), F.concat(F.lit("doc:"), doc)).otherwise(F.concat(F.lit("name:"), F.upper(F.trim(F.regexp_replace(name, r"\s+", " ")))))
 
 
+#: Letters are equal whatever their case and accents, in whatever form the accents are written.
+CI_AI = "UNICODE_CI_AI"
+
+
 def folded(col: Column) -> Column:
-    """Lower case without the accents of Latin letters."""
-    return F.translate(F.lower(col), "áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
+    """The text for comparisons and joins that ignore case and accents."""
+    return F.collate(col, CI_AI)
 
 
 def contains_tokens(col: Column, tokens: Sequence[str]) -> Column:
-    """The tokens stand in the text in this order, whatever their case and accents."""
-    pattern = ".*".join("\\Q" + t + "\\E" for t in tokens)
-    return F.coalesce(folded(col).rlike("(?s)" + pattern), F.lit(False))
+    """The tokens stand in the text in this order, one behind the other, whatever case and accents either has. A match ends with the fewest characters that equal the token, as accents may be characters of their own."""
+    text, at = folded(col), F.lit(1)
+
+    def behind(start: Column, token: Column) -> Column:
+        found = F.call_function("locate", token, text, start)
+        lengths = F.sequence(F.length(token), 4 * F.length(token))
+        size = F.get(F.filter(lengths, lambda n: F.substring(text, found, n) == folded(token)), F.lit(0))
+        return F.when((start == 0) | (found == 0), 0).otherwise(found + F.coalesce(size, F.length(token)))
+
+    return F.coalesce(F.aggregate(F.array(*[F.lit(t) for t in tokens]), at, behind) > 0, F.lit(False))
 
 
 def contains_ci_ai(col: Column, token: str) -> Column:
@@ -118,10 +130,12 @@ def framed_hash(cols: Sequence[str]) -> Column:
 
 
 def stable_json_hash(json: Column, drop: Sequence[str] = ()) -> Column:
-    """sha-256 of an object's fields in the order of their names, without some."""
-    entries = F.map_entries(F.map_filter(F.from_json(json, "map<string,string>"), lambda k, _: ~k.isin(*drop) if drop else F.lit(True)))
-    text = F.array_join(F.transform(F.array_sort(entries), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("\\N")))), "|")
-    return F.sha2(text, 256)
+    """sha-256 of an object's fields in the order of their names, without some; objects inside are ordered too. Names and values are each framed by their length in bytes. Null for what is no JSON object."""
+    fields = F.try_parse_json(json).cast("map<string,variant>")
+    kept = F.map_filter(fields, lambda k, _: ~k.isin(*drop)) if drop else fields
+    entries = F.array_sort(F.transform(F.map_entries(kept), lambda e: F.struct(e["key"].alias("k"), F.to_json(e["value"]).alias("v"))))
+    frame = lambda c: F.concat(F.octet_length(c).cast("string"), F.lit(":"), c)
+    return F.sha2(F.array_join(F.transform(entries, lambda e: F.concat(frame(e["k"]), frame(e["v"]))), ""), 256)
 
 
 def identity_key(rules: Sequence[tuple[str, Column]]) -> Column:
@@ -164,12 +178,25 @@ def route_parts(col: Column, sep: str = " X ") -> tuple[Column, Column]:
     return F.when(two, F.trim(F.get(parts, F.lit(0)))), F.when(two, F.trim(F.get(parts, F.lit(1))))
 
 
-def duration_text(minutes: Column, least: int = 0, most: int = 60 * 24 * 60) -> Column:
+#: The longest duration of a trip in minutes (fixed value).
+LONGEST = 43_200
+
+
+def duration_text(minutes: Column, least: int = 0, most: int = LONGEST) -> Column:
     """HH:mm of minutes within bounds, else null."""
     inside = minutes.between(least, most)
     return F.when(inside, F.format_string("%02d:%02d", F.floor(minutes / 60).cast("int"), (minutes % 60).cast("int")))
 
 
+def transit_minutes(direct: Column, start: Column, arrival: Column, end: Column) -> tuple[Column, Column, Column]:
+    """(minutes, provenance, invalid) of a trip: its stated minutes within bounds (DIRECT), else from the planned start to the planned arrival, or end, by the clock's minutes (PREDICTED_DIFFERENCE), else null (INVALID_OR_ABSENT); invalid: minutes are stated and out of bounds."""
+    inside = lambda m: F.coalesce(m.between(0, LONGEST), F.lit(False))
+    minute = lambda c: F.floor(F.unix_timestamp(c.cast("timestamp")) / 60)
+    planned = minute(F.coalesce(arrival, end)) - minute(start)
+    provenance = F.when(inside(direct), "DIRECT").when(inside(planned), "PREDICTED_DIFFERENCE").otherwise("INVALID_OR_ABSENT")
+    return F.when(inside(direct), direct).when(inside(planned), planned), provenance, direct.isNotNull() & ~inside(direct)
+
+
 def payment_state(paid: Column, due: Column, at: Column) -> Column:
     return F.when(paid.isNotNull() & (paid <= at), "PAID").when(due.isNull(), "UNDATED").when(due < at, "OVERDUE").otherwise("OPEN")
 
@@ -184,6 +211,11 @@ def freshness_max(instants: Sequence[Column], days: Sequence[Column]) -> Column:
     return F.greatest(*[c.cast("timestamp") for c in instants], *[F.date_add(d, 1).cast("timestamp") for d in days])
 
 
+def freshness_first(sources: Sequence[tuple[str, Column]]) -> Column:
+    """The first source that isn't null: an instant, or of a civil day (kind `day`) its end (the next midnight)."""
+    return F.coalesce(*[(F.date_add(c, 1) if kind == "day" else c).cast("timestamp") for kind, c in sources])
+
+
 def freshness_strict(sources: Sequence[tuple[str, Column]]) -> Column:
     """struct(at, origin, reason): the first given text; if it is no time, that is the result, without a fall to the next."""
     at, origin, reason = F.lit(None).cast("timestamp"), F.lit(None).cast("string"), F.lit("MISSING")
@@ -197,7 +229,7 @@ def freshness_strict(sources: Sequence[tuple[str, Column]]) -> Column:
 
 def typed_key(kind: str, value: Column) -> Column:
     """struct(key, valid): the kind before the value; valid without blanks at the ends and within 1 to 100 characters."""
-    return F.struct(F.concat(F.lit(f"{kind}:"), value).alias("key"), F.coalesce(value.rlike(r"^\S(.{0,98}\S)?$"), F.lit(False)).alias("valid"))
+    return F.struct(F.concat(F.lit(f"{kind}:"), value).alias("key"), F.coalesce(value.rlike(r"\A\S(.{0,98}\S)?\z"), F.lit(False)).alias("valid"))
 
 
 def yyyymm(day: Column) -> Column:

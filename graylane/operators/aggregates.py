@@ -35,6 +35,42 @@ def reduce_cohort(df: DataFrame, keys: Sequence[str], order: Sequence[Column], f
     return by.select(*out)
 
 
+def reduce_nested(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fields: Sequence[str], metrics: Sequence[str], status: str, precedence: Sequence[str], child: str, attributes: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(roots, children) of each key's freshest rows, reduced by child first and then by root, so that a root with very many rows comes as one row for each child.
+
+    roots: keys, cohort (rows), each field's and metric's state and value, status with its state, children, quarantined, and
+    conflict: whether any state is CONFLICT. A field with a null beside a value is in conflict; of a metric a null
+    complements the one value, and nothing is summed. The status is the first of the precedence; one that it doesn't know
+    stands alone or is in conflict. children: keys, child, copies, attributes and disposition; the rows of one child are one
+    child, and one whose attributes differ is QUARANTINE without them, else ACCEPTED. A null child is none.
+    """
+    known = F.col(status).isin(*precedence)
+    rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for i, s in enumerate(precedence) for x in (s, i)]), F.col(status)), F.lit(None).cast("int"))
+    named = [*fields, *metrics]
+    cohort = top_cohort(df, keys, order).withColumns({"_rank": rank, "_strange": F.when(~known, F.col(status)), "_gap": F.col(status).isNull().cast("int")})
+    lows = {f"_lo_{c}": (F.min, c) for c in named} | {f"_lo_{c}": (F.min, c) for c in ("_rank", "_strange")}
+    highs = {f"_hi_{c}": (F.max, c) for c in named} | {"_hi__strange": (F.max, "_strange"), "_hi__gap": (F.max, "_gap")}
+    nulls = {f"_null_{c}": F.count_if(F.col(c).isNull()) for c in named}
+    own = [f(F.col(c)).alias(n) for n, (f, c) in (lows | highs).items()] + [v.alias(n) for n, v in nulls.items()]
+    differ = functools.reduce(lambda a, b: a | b, [F.coalesce(F.min(a) != F.max(a), F.lit(False)) | ((F.count_if(F.col(a).isNull()) > 0) & F.max(a).isNotNull()) for a in attributes], F.lit(False))
+    by_child = cohort.groupBy(*keys, child).agg(F.count(F.lit(1)).alias("copies"), *own, differ.alias("_differ"), *[F.min(a).alias(f"_attr_{a}") for a in attributes])
+    real = F.col(child).isNotNull()
+    up = [f(F.col(n)).alias(n) for n, (f, _) in (lows | highs).items()] + [F.sum(n).alias(n) for n in nulls]
+    root = by_child.groupBy(*keys).agg(F.sum("copies").alias("cohort"), *up, F.count_if(real & ~F.col("_differ")).alias("children"), F.count_if(real & F.col("_differ")).alias("quarantined"))
+    value = {c: F.col(f"_lo_{c}") for c in named}
+    one = {c: F.col(f"_lo_{c}").eqNullSafe(F.col(f"_hi_{c}")) & ((F.col(f"_null_{c}") == 0) if c in fields else F.lit(True)) for c in named}
+    states = {c: F.when(value[c].isNull(), "NULL").when(one[c], "VALUE").otherwise("CONFLICT") for c in named}
+    strange, found, gap = F.col("_lo__strange"), F.col("_lo__rank"), F.col("_hi__gap") == 1
+    odd = strange.isNotNull() & ((strange != F.col("_hi__strange")) | found.isNotNull())
+    states[status] = F.when(strange.isNull() & found.isNull(), "NULL").when(gap | odd, "CONFLICT").otherwise("VALUE")
+    value[status] = F.coalesce(strange, F.get(F.array(*[F.lit(s) for s in precedence]), found))
+    out = [x for c in (*named, status) for x in (states[c].alias(f"{c}_state"), F.when(states[c] == "VALUE", value[c]).alias(c))]
+    any_conflict = functools.reduce(lambda a, b: a | b, [s == "CONFLICT" for s in states.values()]).alias("conflict")
+    state = F.when(F.col("_differ"), "QUARANTINE").otherwise("ACCEPTED")
+    kept = [F.when(~F.col("_differ"), F.col(f"_attr_{a}")).alias(a) for a in attributes]
+    return root.select(*keys, "cohort", *out, "children", "quarantined", any_conflict), by_child.filter(real).select(*keys, child, "copies", *kept, state.alias("disposition"))
+
+
 def sticky_any(history: DataFrame, keys: Sequence[str], condition: Column, name: str = "ever") -> DataFrame:
     """True once any row of a key met the condition."""
     return history.groupBy(*keys).agg(F.coalesce(F.bool_or(condition), F.lit(False)).alias(name))
@@ -96,6 +132,13 @@ def quality_gate(df: DataFrame, checks: dict[str, tuple[Column, int, int]]) -> D
     return out.select("check_code", "failed", "total", "basis_points", F.when(ok, "PASS").otherwise("FAIL").alias("result"))
 
 
+def gated(results: DataFrame) -> DataFrame:
+    """The results of quality_gate and a row GATE: failed is the number of checks that fail, total that of all; it passes if there are checks and none fails."""
+    whole = results.agg(F.count_if(F.col("result") != "PASS").alias("failed"), F.count(F.lit(1)).alias("total"))
+    gate = whole.select(F.lit("GATE").alias("check_code"), "failed", "total", F.when(F.col("total") > 0, F.floor(F.col("failed") * 10000 / F.col("total"))).otherwise(0).cast("long").alias("basis_points"), F.when((F.col("failed") == 0) & (F.col("total") > 0), "PASS").otherwise("FAIL").alias("result"))
+    return results.unionByName(gate)
+
+
 def overall_state(df: DataFrame, keys: Sequence[str], state: str, precedence: Sequence[str]) -> DataFrame:
     """Counts of each state and the first state of the precedence that occurs."""
     by = df.groupBy(*keys).agg(*[F.count_if(F.col(state) == s).alias(s.lower()) for s in precedence])
@@ -126,8 +169,12 @@ def run_monitor(runs: DataFrame, logs: DataFrame, keys: Sequence[str]) -> DataFr
     return j.select(*keys, (F.unix_timestamp("ended") - F.unix_timestamp("started")).alias("seconds"), *zero, bad.alias("error_class"))
 
 
-def run_health(attempts: DataFrame, run: str, page: str, order: Sequence[Column], failed: Column, amount: Column, pages: int) -> DataFrame:
-    """The latest attempt of each page, then run: pages, total, failed, and a state: FAILED, PARTIAL (fewer pages than stated) or OK."""
+def run_health(attempts: DataFrame, run: str, page: str, order: Sequence[Column], failed: Column, amount: Column, pages: int, size: Column | None = None, gates: DataFrame | None = None) -> DataFrame:
+    """The latest attempt of each page, then run: pages, total, failed, and a state: FAILED, PARTIAL (fewer pages than stated), GATED (the run's gate in gates (run, passed) doesn't pass or isn't there) or OK. size: bytes of a page, summed as bytes."""
     p = latest_per_key(attempts, [run, page], order)
-    by = p.groupBy(run).agg(F.count(F.lit(1)).alias("pages"), F.sum(amount).alias("total"), F.count_if(failed).alias("failed"))
-    return by.withColumn("state", F.when(F.col("failed") > 0, "FAILED").when(F.col("pages") < pages, "PARTIAL").otherwise("OK"))
+    sums = [F.sum(size).alias("bytes")] if size is not None else []
+    by = p.groupBy(run).agg(F.count(F.lit(1)).alias("pages"), F.sum(amount).alias("total"), F.count_if(failed).alias("failed"), *sums)
+    passed = F.lit(True)
+    if gates is not None:
+        by, passed = by.join(gates.groupBy(run).agg(F.bool_and("passed").alias("_passed")), run, "left"), F.coalesce("_passed", F.lit(False))
+    return by.withColumn("state", F.when(F.col("failed") > 0, "FAILED").when(F.col("pages") < pages, "PARTIAL").when(~passed, "GATED").otherwise("OK")).drop("_passed")

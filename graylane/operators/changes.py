@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,15 +58,29 @@ def patch(current: DataFrame, incoming: DataFrame, key: str, freshness: str, fie
     return j.select(key, F.when(fresh, F.col("_f")).otherwise(F.col(freshness)).alias(freshness), *out, fresh.alias("applied"))
 
 
-def screen_batch(df: DataFrame, keys: Sequence[str], freshness: str, content: str, ordinal: str) -> DataFrame:
-    """df with disposition inside the batch: STALE (not the freshest), QUARANTINE (several contents at the freshest), DUPLICATE (not the first copy), else ACCEPT."""
+def screen_batch(df: DataFrame, keys: Sequence[str], freshness: str, content: str, ordinal: str, root: Sequence[str] = (), units: Sequence[str] = (), stored: DataFrame | None = None) -> DataFrame:
+    """df with disposition inside the batch: STALE (not the freshest), QUARANTINE (several contents at the freshest), DUPLICATE (not the first copy), QUARANTINE_UNIT, else ACCEPT.
+
+    QUARANTINE_UNIT is an acceptable row whose root has rows of several values of a unit (currency, measure) in the batch,
+    stale and repeated ones counting too, or another one in stored (root and units). Nulls tell nothing.
+    """
     w = Window.partitionBy(*keys)
     top = F.max(freshness).over(w)
     df = df.withColumn("_top", F.col(freshness).eqNullSafe(top))
     best = Window.partitionBy(*keys, "_top")
     mixed = F.min(content).over(best) != F.max(content).over(best)
     state = F.when(~F.col("_top"), "STALE").when(mixed, "QUARANTINE").when(F.col(ordinal) != F.min(ordinal).over(best), "DUPLICATE").otherwise("ACCEPT")
-    return df.withColumn("disposition", state).drop("_top")
+    out = df.withColumn("disposition", state).drop("_top")
+    if not units:
+        return out
+    differ = lambda x, y: functools.reduce(operator.or_, [F.coalesce(F.col(a) != b, F.lit(False)) for a, b in zip(x, y, strict=True)])
+    several = df.groupBy(*root).agg(*[F.min(u).alias(f"_lo_{u}") for u in units], *[F.max(u).alias(f"_hi_{u}") for u in units])
+    several = several.select(*root, differ([f"_lo_{u}" for u in units], [F.col(f"_hi_{u}") for u in units]).alias("_several"))
+    out, off = out.join(several, list(root), "left"), F.coalesce("_several", F.lit(False))
+    if stored is not None:
+        out = out.join(stored.select(*root, *[F.col(u).alias(f"_own_{u}") for u in units]), list(root), "left")
+        off = off | differ(units, [F.col(f"_own_{u}") for u in units])
+    return out.withColumn("disposition", F.when((F.col("disposition") == "ACCEPT") & off, "QUARANTINE_UNIT").otherwise(F.col("disposition"))).select(*df.drop("_top").columns, "disposition")
 
 
 def reactivation(versions: DataFrame, keys: Sequence[str], revision: str, active: Column, flagged: Column) -> DataFrame:
@@ -224,6 +240,45 @@ def absence_sweep(current: DataFrame, seen: DataFrame, state: DataFrame, key: st
     return j.select(key, n.cast("int").alias("confirmations"), status.alias("status"))
 
 
+def counted_sweeps(sweeps: DataFrame) -> DataFrame:
+    """The sweeps that count, numbered from 1: sweep, n. sweeps: sweep, at, capture, scope, complete, eligible.
+
+    A sweep counts if it is complete (see page_evidence) and eligible (see sweep_eligibility), its capture was used by no
+    earlier sweep, and its scope is that of the first one that counts; a null says no.
+    """
+    good = sweeps.filter(F.coalesce("complete", F.lit(False)) & F.coalesce("eligible", F.lit(False)) & F.col("capture").isNotNull())
+    used = sweeps.groupBy("capture").agg(F.min(F.struct("at", "sweep")).alias("_first"))
+    good = good.join(used, "capture").filter(F.struct("at", "sweep") == F.col("_first"))
+    scope = good.agg(F.min_by("scope", F.struct("at", "sweep")).alias("_scope"))
+    # a row for each sweep
+    return good.join(F.broadcast(scope), F.col("scope").eqNullSafe(F.col("_scope"))).select("sweep", F.row_number().over(Window.orderBy("at", "sweep")).alias("n"))
+
+
+def absence_history(current: DataFrame, seen: DataFrame, sweeps: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(history, state) of the current keys over the sweeps that count (counted_sweeps); seen: sweep, key.
+
+    A key that a sweep misses is SUSPECT, after the next one too EXCLUDED; seen again it is REACTIVATED. history has a row
+    for each such change: key, sweep, before, after (confirmations, 0 to 2), status. state: key, confirmations, and
+    first_absent, the sweep that missed it first of those since it was last seen. Gaps between the sweeps that saw a key
+    give its changes, so the work grows with what was seen, not with keys times sweeps.
+    """
+    valid = storage.written(counted_sweeps(sweeps), "counted-sweeps")
+    last = valid.agg(F.coalesce(F.max("n"), F.lit(0)).alias("_last"))
+    met = seen.join(small(valid), "sweep").select(key, "n").distinct().join(current.select(key).distinct(), key, "left_semi")
+    marks = met.unionByName(current.select(key).distinct().withColumn("n", F.lit(0))).join(F.broadcast(last))
+    w = Window.partitionBy(key).orderBy("n")
+    gaps = marks.select(key, "n", F.lead("n").over(w).alias("_next"), "_last").withColumn("_gap", F.coalesce("_next", F.col("_last") + 1) - F.col("n") - 1).filter("_gap > 0")
+    step = lambda at, before, after, status: F.struct(at.alias("n"), F.lit(before).alias("before") if isinstance(before, int) else before.alias("before"), F.lit(after).alias("after"), F.lit(status).alias("status"))
+    steps = F.array_compact(F.array(
+        step(F.col("n") + 1, 0, 1, "SUSPECT"), F.when(F.col("_gap") > 1, step(F.col("n") + 2, 1, 2, "EXCLUDED")),
+        F.when(F.col("_next").isNotNull(), step(F.col("_next"), F.least(F.col("_gap"), F.lit(2)), 0, "REACTIVATED")),
+    ))
+    history = gaps.select(key, F.explode(steps).alias("s")).select(key, "s.*").join(small(valid), "n").select(key, "sweep", "before", "after", "status")
+    open_ = gaps.filter("_next is null").select(key, F.least("_gap", F.lit(2)).alias("_c"), (F.col("n") + 1).alias("n")).join(small(valid), "n").select(key, "_c", F.col("sweep").alias("first_absent"))
+    state = current.select(key).distinct().join(open_, key, "left").select(key, F.coalesce("_c", F.lit(0)).alias("confirmations"), "first_absent")
+    return history, state
+
+
 def identity_decision(counts: DataFrame) -> DataFrame:
     """counts (same_key, same_content, inactive; saturated at 2) with the class of an incoming identity."""
     k, c, i = (F.least(F.col(x), F.lit(2)) for x in ("same_key", "same_content", "inactive"))
@@ -238,6 +293,22 @@ def link_reference(a: DataFrame, b: DataFrame, key: str, own: str, other: str) -
     return j.withColumn("outcome", state).withColumn(own, F.when(F.col("outcome") == "COMPLEMENTED", F.col("_lo")).otherwise(F.col(own))).drop("_lo", "_hi")
 
 
+def link_checked(pairs: DataFrame, own: str, other: str, referred: Column, before: Sequence[tuple[str, Column]], after: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Each record with its bound reference, with outcome and its time.
+
+    In this order: the first kind of before that holds (mismatches of execution, identity, window); without a reference
+    RETAINED or REFERENCE_ABSENT, as the record has a time of its own or not; the first kind of after that holds (contract,
+    status); without the reference's time RETAINED or REFERENCE_INVALID; SOURCE_TIME_CONFLICT where both times differ; else
+    RETAINED or COMPLEMENTED. Only COMPLEMENTED takes the reference's time. A null condition doesn't hold.
+    """
+    native = F.col(own).isNotNull()
+    kinds = lambda rules, state: functools.reduce(lambda s, r: F.when(F.coalesce(r[1], F.lit(False)), r[0]).otherwise(s), reversed(list(rules)), state)
+    kept = lambda without: F.when(native, "RETAINED").otherwise(without)
+    last = F.when(F.col(other).isNull(), kept("REFERENCE_INVALID")).when(native & (F.col(own) != F.col(other)), "SOURCE_TIME_CONFLICT").otherwise(kept("COMPLEMENTED"))
+    state = kinds(before, F.when(~F.coalesce(referred, F.lit(False)), kept("REFERENCE_ABSENT")).otherwise(kinds(after, last)))
+    return pairs.withColumn("outcome", state).withColumn(own, F.when(F.col("outcome") == "COMPLEMENTED", F.col(other)).otherwise(F.col(own)))
+
+
 def days_to_recapture(changed: DataFrame, index: DataFrame, key: str, day: str) -> DataFrame:
     """Days of the index (key, day) that mention a changed key."""
     return index.join(changed.select(key).distinct(), key, "left_semi").select(day).distinct()

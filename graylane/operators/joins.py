@@ -52,30 +52,6 @@ def flag_exists(fact: DataFrame, other: DataFrame, on: Sequence[str], name: str)
     return fact.join(other.select(*on).distinct().withColumn("_there", F.lit(True)), list(on), "left").withColumn(name, F.coalesce("_there", F.lit(False))).drop("_there")
 
 
-def interval_join(fact: DataFrame, intervals: DataFrame, on: Sequence[str], date: str, lo: str, hi: str) -> DataFrame:
-    """fact with the interval lo <= date < hi of its key; revoked intervals are to be left out before. Null where none holds."""
-    side = intervals.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[c for c in intervals.columns if c not in on])
-    match = (F.col(date) >= F.col(lo)) & (F.col(date) < F.col(hi))
-    for k in on:
-        match = match & (F.col(k) == F.col(f"_k_{k}"))
-    return fact.join(small(side), match, "left").drop(*[f"_k_{k}" for k in on])
-
-
-def ranged_first(fact: DataFrame, rules: DataFrame, number: str, name: str, width: int = 1000) -> DataFrame:
-    """fact with region: a rule of kind RANGE (lo <= number <= hi) before one of kind NAME (label = name); lower priority first.
-
-    Each distinct number and name is looked up once, ranges by the bins of a width that they touch, and fact's rows take
-    the answer by equality; rows that are alike stay as many as they are.
-    """
-    best = F.min(F.struct("priority", "region"))
-    bins = rules.filter("kind = 'RANGE' and lo <= hi").select("lo", "hi", "priority", "region", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("_bin"))
-    numbers = fact.select(F.col(number).alias("_number")).distinct().withColumn("_bin", F.floor(F.col("_number") / width))
-    ranged = numbers.join(small(bins), "_bin").filter(F.col("_number").between(F.col("lo"), F.col("hi"))).groupBy("_number").agg(best["region"].alias("_ranged"))
-    named = rules.filter("kind = 'NAME'").groupBy(F.col("label").alias("_name")).agg(best["region"].alias("_named"))
-    j = fact.join(small(ranged), F.col(number) == F.col("_number"), "left").join(small(named), F.col(name) == F.col("_name"), "left")
-    return j.select(*[fact[c] for c in fact.columns], F.coalesce("_ranged", "_named").alias("region"))
-
-
 def unique_lookup(fact: DataFrame, candidates: DataFrame, on: Sequence[str], value: str, name: str) -> DataFrame:
     """fact with the value all candidates of its key agree on, else null."""
     one = candidates.groupBy(*on).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count_if(F.col(value).isNull()).alias("_null"))

@@ -53,15 +53,16 @@ def row_diff(expected: DataFrame, observed: DataFrame, key: str, cols: Sequence[
     return rows.withColumn("kind", kind).filter("kind is not null").select(key, "column", "kind", "expected", "observed")
 
 
-def compare_tables(expected: DataFrame, observed: DataFrame, key: str, sample: int = 3) -> DataFrame:
+def compare_tables(expected: DataFrame, observed: DataFrame, key: str, sample: int = 3, facts: tuple[dict[str, str], dict[str, str]] = ({}, {}), metadata: Sequence[str] = ()) -> DataFrame:
     """kind, column, n and the sample smallest keys of every kind of difference.
 
     COLUMN (only one side has it) and TYPE (of another type) tell about the tables, ROW_COUNT by how many rows they
-    differ; MISSING, EXTRA, NULLABILITY and VALUE about rows, over the columns that both have in one type.
+    differ; MISSING, EXTRA, NULLABILITY and VALUE about rows, over the columns that both have in one type. CONTRACT and
+    METADATA tell about the facts that are stated of either table (see compare_contracts).
     """
     a, b = dict(expected.dtypes), dict(observed.dtypes)
     key_type = a[key]
-    found = [("COLUMN", c) for c in sorted(a.keys() ^ b.keys())] + [("TYPE", c) for c in sorted(a.keys() & b.keys()) if a[c] != b[c]]
+    found = [("COLUMN", c) for c in sorted(a.keys() ^ b.keys())] + [("TYPE", c) for c in sorted(a.keys() & b.keys()) if a[c] != b[c]] + compare_contracts(*facts, metadata)
     cols = [c for c in expected.columns if c != key and b.get(c) == a[c]]
     rows = row_diff(expected, observed, key, cols)
     w = Window.partitionBy("kind", "column").orderBy(key)
@@ -84,6 +85,24 @@ def view_parity(view: DataFrame, source: DataFrame, key: str, cols: Sequence[str
     return j.select(key, fault.alias("fault")).filter("fault is not null")
 
 
+def recomputed(view: DataFrame, source: DataFrame, keys: Sequence[str], totals: dict[str, Column], states: dict[str, Column]) -> DataFrame:
+    """keys, column, fault, published and recomputed of what a view states otherwise than its source: totals (aggregates of the source's rows by key) and states (expressions of the recomputed totals); fault is UNTRACED (no source row), MISSING (no published row), TOTAL or STATE. Nulls are values."""
+    anew = source.groupBy(*keys).agg(*[v.alias(c) for c, v in totals.items()])
+    anew = anew.select(*keys, *totals, *[v.alias(c) for c, v in states.items()])
+    cols = [*totals, *states]
+    side = lambda df, p: df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in cols], F.lit(True).alias(f"_{p}"))
+    j = side(view, "v").join(side(anew, "s"), list(keys), "full_outer")
+    one = lambda c, kind: F.when(~F.col(f"v_{c}").eqNullSafe(F.col(f"s_{c}")), F.struct(F.lit(c).alias("column"), F.lit(kind).alias("fault"), F.col(f"v_{c}").cast("string").alias("published"), F.col(f"s_{c}").cast("string").alias("recomputed")))
+    whole = lambda kind: F.array(F.struct(F.lit("*").alias("column"), F.lit(kind).alias("fault"), F.lit(None).cast("string").alias("published"), F.lit(None).cast("string").alias("recomputed")))
+    found = F.when(F.col("_s").isNull(), whole("UNTRACED")).when(F.col("_v").isNull(), whole("MISSING")).otherwise(F.array_compact(F.array(*[one(c, "TOTAL") for c in totals], *[one(c, "STATE") for c in states])))
+    return j.select(*keys, F.explode(found).alias("f")).select(*keys, "f.*")
+
+
+def compare_contracts(expected: dict[str, str], observed: dict[str, str], metadata: Sequence[str] = ()) -> list[tuple[str, str]]:
+    """(kind, name) of the facts about two tables (version, fingerprint, source) that differ or that one lacks: METADATA for those in metadata, CONTRACT for the others."""
+    return [("METADATA" if k in metadata else "CONTRACT", k) for k in sorted(expected.keys() | observed.keys()) if expected.get(k) != observed.get(k)]
+
+
 def invariants(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """rule and number of rows that break it, in one pass; null counts as broken."""
     counts = df.agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(k) for k, ok in rules.items()])
@@ -97,6 +116,22 @@ def page_completeness(pages: DataFrame, run: str, page: str, rows: str) -> DataF
     return by.select(run, "pages", ((F.col("_lo") == 0) & (F.col("_hi") == F.col("pages") - 1) & (F.col("_d") == F.col("pages"))).alias("contiguous"), (F.col("_empty") - last_empty > 0).alias("early_empty"))
 
 
+def page_evidence(pages: DataFrame, stated: DataFrame, run: str, page: str, rows: str, terminal: str, first: int = 1) -> DataFrame:
+    """stated (run, rows, pages) with what a run's pages prove: fault is the first of NO_PAGES, GAPS (not each page from first on once), PAGES (another number than stated), SUM (other rows than stated), TERMINAL (not just the last page is marked terminal), NOT_EMPTY (it has rows), EARLY_EMPTY, or null; complete if there is none."""
+    last = F.max(F.struct(page, F.col(rows).alias("_r"), F.col(terminal).alias("_t")))
+    by = pages.groupBy(run).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(page).alias("_lo"), F.max(page).alias("_hi"), F.count_distinct(page).alias("_d"), F.coalesce(F.sum(rows), F.lit(0)).alias("_sum"),
+        last.alias("_last"), F.count_if(F.col(terminal)).alias("_terminal"), F.count_if(F.coalesce(F.col(rows), F.lit(0)) <= 0).alias("_empty"),
+    )
+    j = stated.join(by, run, "left")
+    gaps = (F.col("_lo") != first) | (F.col("_hi") - F.col("_lo") + 1 != F.col("_n")) | (F.col("_d") != F.col("_n"))
+    fault = (
+        F.when(F.col("_n").isNull(), "NO_PAGES").when(gaps, "GAPS").when(~F.col("_n").eqNullSafe(F.col("pages")), "PAGES").when(~F.col("_sum").eqNullSafe(F.col("rows")), "SUM")
+        .when((F.col("_terminal") != 1) | ~F.coalesce("_last._t", F.lit(False)), "TERMINAL").when(F.coalesce("_last._r", F.lit(0)) != 0, "NOT_EMPTY").when(F.col("_empty") > 1, "EARLY_EMPTY")
+    )
+    return j.select(*stated.columns, fault.alias("fault"), fault.isNull().alias("complete"))
+
+
 def repeated_pages(pages: DataFrame, keys: Sequence[str], content: Column, page: str) -> DataFrame:
     """Contents that several pages of one traversal have: keys, h, n, first_page."""
     return pages.groupBy(*keys, F.sha2(content, 256).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.min(page).alias("first_page")).filter("n > 1")
@@ -136,8 +171,10 @@ def compare_keyed(a: DataFrame, b: DataFrame, key: str, date: str, lo: Column, h
 
 
 def compare_traversals(a: DataFrame, b: DataFrame, page: str, key: str) -> DataFrame:
-    """page, rows of both traversals, keys that one has alone, and whether they agree."""
+    """page, rows of both traversals, keys that one has alone, keys that stand on another page too (in either traversal), and whether they agree: none of these."""
     both = a.select(page, key, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(b.select(page, key, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
     per = both.groupBy(page, key).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-    by = per.groupBy(page).agg(F.sum("_a").alias("rows_a"), F.sum("_b").alias("rows_b"), F.count_if(F.col("_b") == 0).alias("only_a"), F.count_if(F.col("_a") == 0).alias("only_b"))
-    return by.withColumn("agree", (F.col("rows_a") == F.col("rows_b")) & (F.col("only_a") == 0) & (F.col("only_b") == 0))
+    spread = per.groupBy(key).agg(F.count(F.lit(1)).alias("_pages")).filter("_pages > 1")
+    per = per.join(spread, key, "left")
+    by = per.groupBy(page).agg(F.sum("_a").alias("rows_a"), F.sum("_b").alias("rows_b"), F.count_if(F.col("_b") == 0).alias("only_a"), F.count_if(F.col("_a") == 0).alias("only_b"), F.count("_pages").alias("elsewhere"))
+    return by.withColumn("agree", (F.col("rows_a") == F.col("rows_b")) & (F.col("only_a") == 0) & (F.col("only_b") == 0) & (F.col("elsewhere") == 0))

@@ -160,6 +160,57 @@ def absence_sweep(t):
     return H.absence_sweep(c, seen, state, "c_custkey")
 
 
+# months as sweeps: some incomplete, some not eligible, some with the capture of the month before, one of another scope
+_SWEEPS = """s AS (SELECT DISTINCT year(o_orderdate) * 12 + month(o_orderdate) AS sweep FROM orders), w AS (SELECT sweep, sweep // 4 * 4 + CASE WHEN sweep % 4 = 3 THEN 2 ELSE sweep % 4 END AS capture FROM s WHERE sweep % 5 != 0 AND sweep % 7 != 0 AND sweep % 13 != 1),
+v AS (SELECT sweep, row_number() OVER (ORDER BY sweep) AS n FROM w WHERE sweep = (SELECT min(x.sweep) FROM (SELECT sweep, sweep // 4 * 4 + CASE WHEN sweep % 4 = 3 THEN 2 ELSE sweep % 4 END AS capture FROM s) x WHERE x.capture = w.capture)),
+g AS (SELECT c_custkey, v.sweep, n, EXISTS (FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) * 12 + month(o_orderdate) = v.sweep) AS seen FROM customer, v),
+k AS (SELECT *, n - coalesce(max(CASE WHEN seen THEN n END) OVER (PARTITION BY c_custkey ORDER BY n), 0) AS gap FROM g), b AS (SELECT *, least(gap, 2) AS after, coalesce(lag(least(gap, 2)) OVER (PARTITION BY c_custkey ORDER BY n), 0) AS before FROM k)"""
+
+
+def _sweeps(t):
+    month = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("long")
+    sweep = F.col("sweep")
+    s = t("orders").select(month.alias("sweep")).distinct()
+    s = s.select("sweep", sweep.alias("at"), F.expr("sweep div 4 * 4 + if(sweep % 4 = 3, 2, sweep % 4)").alias("capture"), F.when(sweep % 13 == 1, "part").otherwise("all").alias("scope"), (sweep % 5 != 0).alias("complete"), F.when(sweep % 7 != 0, True).alias("eligible"))
+    return H.absence_history(t("customer").select("c_custkey"), t("orders").select(month.alias("sweep"), F.col("o_custkey").alias("c_custkey")), s, "c_custkey")
+
+
+@query(f"WITH {_SWEEPS} SELECT c_custkey, sweep, before, after, CASE WHEN after = 1 THEN 'SUSPECT' WHEN after = 2 THEN 'EXCLUDED' ELSE 'REACTIVATED' END AS status FROM b WHERE before != after")
+def absence_history(t):
+    """Only complete, eligible sweeps of one scope with a capture of their own count."""
+    return _sweeps(t)[0]
+
+
+@query(f"WITH {_SWEEPS} SELECT c_custkey, arg_max(after, n) AS confirmations, CASE WHEN arg_max(gap, n) > 0 THEN arg_max((SELECT sweep FROM v WHERE v.n = b.n - b.gap + 1), n) END AS first_absent FROM b GROUP BY 1")
+def absence_state(t):
+    return _sweeps(t)[1]
+
+
+@query("""WITH e AS (SELECT event_id, user_id, event_id % 20 AS root, event_type, CAST(ts AS DATE) AS d, CASE WHEN event_id % 20 = 3 AND event_id % 3 = 0 THEN 'USD' WHEN event_id % 20 = 4 AND event_id % 3 = 0 THEN NULL ELSE 'BRL' END AS unit FROM events), x AS (SELECT *, d = max(d) OVER (PARTITION BY root, user_id) AS top FROM e),
+y AS (SELECT *, min(event_type) OVER w != max(event_type) OVER w AS mixed, min(event_id) OVER w AS first FROM x WINDOW w AS (PARTITION BY root, user_id, top))
+SELECT event_id, CASE WHEN NOT top THEN 'STALE' WHEN mixed THEN 'QUARANTINE' WHEN event_id != first THEN 'DUPLICATE' WHEN root = 5 OR EXISTS (FROM e o WHERE o.root = y.root AND o.unit != y.unit) THEN 'QUARANTINE_UNIT' ELSE 'ACCEPT' END AS disposition FROM y""")
+def screen_units(t):
+    """Root 3 has two currencies, root 4 one and nulls, root 5 another one than it has stored."""
+    e = t("events").withColumns({"d": F.to_date("ts"), "root": F.col("event_id") % 20})
+    third = F.col("event_id") % 3 == 0
+    e = e.withColumn("unit", F.when((F.col("root") == 3) & third, "USD").when((F.col("root") == 4) & third, None).otherwise("BRL"))
+    stored = e.select("root", F.when(F.col("root") == 5, "EUR").when(F.col("root") % 2 == 0, "BRL").alias("unit")).distinct().filter("root != 4 or unit is not null")
+    return H.screen_batch(e, ["root", "user_id"], "d", "event_type", "event_id", ["root"], ["unit"], stored).select("event_id", "disposition")
+
+
+@query("""WITH a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 != 0 THEN o_orderdate END AS own, o_orderstatus AS st, o_custkey % 11 AS run FROM orders), r AS (SELECT l_orderkey AS k, CASE WHEN l_orderkey % 4 = 1 THEN NULL WHEN l_orderkey % 4 = 2 THEN o_orderdate ELSE l_shipdate END AS other, l_linestatus AS st, l_suppkey % 11 AS run, l_partkey % 10 AS version FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber = 2),
+j AS (SELECT a.k, own, other, a.st, r.st AS rst, a.run, r.run AS rrun, version, r.k IS NOT NULL AS there FROM a LEFT JOIN r ON r.k = a.k)
+SELECT k, CASE WHEN there AND run = rrun THEN 'EXECUTION_MISMATCH' WHEN k % 17 = 0 THEN 'WINDOW_MISMATCH' WHEN NOT there THEN CASE WHEN own IS NULL THEN 'REFERENCE_ABSENT' ELSE 'RETAINED' END WHEN version = 0 THEN 'CONTRACT_MISMATCH' WHEN st != rst AND st != 'P' THEN 'STATUS_MISMATCH'
+ WHEN other IS NULL THEN CASE WHEN own IS NULL THEN 'REFERENCE_INVALID' ELSE 'RETAINED' END WHEN own IS NOT NULL AND own != other THEN 'SOURCE_TIME_CONFLICT' WHEN own IS NULL THEN 'COMPLEMENTED' ELSE 'RETAINED' END AS outcome FROM j""")
+def link_checked(t):
+    a = t("orders").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate")).alias("own"), F.col("o_orderstatus").alias("st"), (F.col("o_custkey") % 11).alias("run"), "o_orderdate")
+    k, line = F.col("l_orderkey"), t("lineitem").filter("l_linenumber = 2").select("l_orderkey", "l_shipdate", F.col("l_linestatus").alias("rst"), (F.col("l_suppkey") % 11).alias("rrun"), (F.col("l_partkey") % 10).alias("version"))
+    pairs = a.join(line, a["k"] == line["l_orderkey"], "left").withColumn("other", F.when(k % 4 == 1, None).when(k % 4 == 2, F.col("o_orderdate")).otherwise(F.col("l_shipdate")))
+    before = [("EXECUTION_MISMATCH", F.col("run") == F.col("rrun")), ("WINDOW_MISMATCH", F.col("k") % 17 == 0)]
+    after = [("CONTRACT_MISMATCH", F.col("version") == 0), ("STATUS_MISMATCH", (F.col("st") != F.col("rst")) & (F.col("st") != "P"))]
+    return H.link_checked(pairs, "own", "other", k.isNotNull(), before, after).select("k", "outcome")
+
+
 @query("""SELECT c_custkey, CASE WHEN a > 1 OR b > 1 THEN 'QUARANTINE' WHEN a = 0 AND b = 0 THEN 'NEW' WHEN a = 1 AND b = 1 AND i = 1 THEN 'REACTIVATE' WHEN a = 1 AND b = 1 THEN 'REPLAY' WHEN a = 1 THEN 'VERSION' ELSE 'ALIAS' END AS identity
 FROM (SELECT c_custkey, c_custkey % 3 AS a, c_custkey // 3 % 3 AS b, c_custkey % 2 AS i FROM customer)""")
 def identity_decision(t):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graylane.functions import scalar as S
+from graylane.operators import intervals as I
 from graylane.operators import joins as J
 from graylane.operators import relations as R
 from graylane.registry import query
@@ -75,7 +77,29 @@ def interval_asof(t):
     i = t("nation").select(F.col("n_nationkey").cast("long").alias("k"), F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("release")).filter((F.col("k") + F.col("release")) % 4 != 0)
     i = i.withColumn("lo", F.make_date("release", F.lit(1), F.lit(1))).withColumn("hi", F.make_date(F.col("release") + 1, F.lit(1), F.lit(1)))
     o = t("orders").select("o_orderkey", (F.col("o_custkey") % 25).alias("k"), F.to_date("o_orderdate").alias("d"))
-    return J.interval_join(o, i, ["k"], "d", "lo", "hi").select("o_orderkey", F.col("release").cast("long").alias("release"))
+    return I.interval_join(o, i, ["k"], "d", "lo", "hi").select("o_orderkey", F.col("release").cast("long").alias("release"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, r.day AS release FROM lineitem LEFT JOIN (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders) r
+ON r.o_custkey = l_orderkey % (SELECT count(*) FROM customer) + 1 AND CAST(l_shipdate AS DATE) >= r.day AND CAST(l_shipdate AS DATE) < least(r.day + 100, coalesce((SELECT min(CAST(o_orderdate AS DATE)) FROM orders n WHERE n.o_custkey = r.o_custkey AND CAST(n.o_orderdate AS DATE) > r.day), DATE '2100-01-01'))""")
+def interval_merge(t):
+    """By a merge instead of a broadcast: each customer's order days open an interval of 100 days, cut by the next one; a key with more than 300 lines is cut by date."""
+    l, o, n = t("lineitem"), t("orders"), t("customer").count()  # noqa: E741
+    days = o.select("o_custkey", F.to_date("o_orderdate").alias("release")).distinct()
+    nxt = F.lead("release").over(Window.partitionBy("o_custkey").orderBy("release"))
+    i = days.select(F.col("o_custkey").alias("k"), "release", F.col("release").alias("lo"), F.least(F.date_add("release", 100), F.coalesce(nxt, F.lit("2100-01-01").cast("date"))).alias("hi"))
+    fact = l.select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % n + 1).alias("k"), F.to_date("l_shipdate").alias("d"))
+    return I.merged(fact, i, ["k"], "d", "lo", "hi", hot_rows=300).select("l_orderkey", "l_linenumber", "release")
+
+
+@query("""WITH r AS (SELECT s_suppkey AS p, s_suppkey * 1000000007 AS lo, s_suppkey * 1000000007 + 10000000000 AS hi FROM supplier)
+SELECT o_orderkey, 'R' || (SELECT min(p) FROM r WHERE o_orderkey * 65537 BETWEEN lo AND hi) AS region FROM orders""")
+def ranged_wide(t):
+    """Overlapping ranges of ten thousand million numbers each."""
+    i, o = F.col("s_suppkey").cast("long"), t("orders").select("o_orderkey", (F.col("o_orderkey") * 65537).alias("num"), F.lit("none").alias("city"))
+    none = F.lit(None).cast("string").alias("label")
+    rules = t("supplier").select(F.lit("RANGE").alias("kind"), i.alias("priority"), (i * 1000000007).alias("lo"), (i * 1000000007 + 10000000000).alias("hi"), none, F.concat(F.lit("R"), i.cast("string")).alias("region"))
+    return I.ranged_first(o, rules, "num", "city").select("o_orderkey", "region")
 
 
 @query("""WITH r AS (SELECT n_nationkey AS p, n_nationkey * 50 AS lo, n_nationkey * 50 + 29 AS hi, NULL AS label, 'R' || n_nationkey AS region FROM nation),
@@ -87,7 +111,7 @@ def ranged_first(t):
     ranges = n.select(F.lit("RANGE").alias("kind"), F.col("i").alias("priority"), (F.col("i") * 50).alias("lo"), (F.col("i") * 50 + 29).alias("hi"), F.lit(None).cast("string").alias("label"), tag("R").alias("region"))
     names = n.filter("i % 2 = 0").select(F.lit("NAME").alias("kind"), F.col("i").alias("priority"), F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("n_name").alias("label"), tag("N").alias("region"))
     c = t("customer").select("c_custkey", (F.col("c_custkey") % 1000).alias("num"), F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("city"))
-    return J.ranged_first(c, ranges.unionByName(names), "num", "city", 70).select("c_custkey", "region")
+    return I.ranged_first(c, ranges.unionByName(names), "num", "city").select("c_custkey", "region")
 
 
 @query("""SELECT o_orderkey, f AS flag FROM orders LEFT JOIN (SELECT l_orderkey, CASE WHEN min(l_returnflag) = max(l_returnflag) THEN min(l_returnflag) END AS f FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")

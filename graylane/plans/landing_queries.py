@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -158,6 +159,31 @@ def stream_landing(t):
     return rows[0].unionByName(rows[1])
 
 
+@query("""WITH e AS (SELECT event_id, user_id % 40 AS u, count(*) OVER (PARTITION BY user_id % 40) AS n FROM events), r AS (SELECT u, any_value(n) AS n FROM e GROUP BY u)
+SELECT 'run' || u AS run, CASE WHEN u % 5 = 0 THEN 'REJECTED' WHEN u % 7 = 0 THEN 'OPEN' ELSE 'ACCEPTED' END AS decision, CASE WHEN u % 5 = 0 OR u % 7 = 0 THEN 0 ELSE n END AS landed, CASE WHEN u % 5 = 0 THEN 'DUPLICATE_KEY' END AS codes FROM r""")
+def stream_captures_whole(t):
+    """Three batches: captures whose rows come in two of them, every fifth with a key twice, every seventh with a row less than it states, and all that were accepted a second time in the third."""
+    spark = t("events").sparkSession
+    base = storage.new_path(spark, "stream-captures")
+    e = t("events").select("event_id", (F.col("user_id") % 40).alias("u"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("u"))
+    k = F.row_number().over(Window.partitionBy("u").orderBy("event_id"))
+    e = e.withColumns({"k": k, "n": n})
+    key = F.when((F.col("u") % 5 == 0) & (F.col("k") == 1), -F.col("u")).when((F.col("u") % 5 == 0) & (F.col("k") == 2), -F.col("u")).otherwise(F.col("event_id"))
+    record = F.struct(key.alias("id"), F.lit("2024-05-01").alias("day"))
+    expected = F.col("n") + F.when((F.col("u") % 7 == 0) & (F.col("u") % 5 != 0), 1).otherwise(0)
+    rows = e.select(F.concat(F.lit("run"), "u").alias("run"), F.lit("2024-05-01").cast("date").alias("business_date"), expected.alias("expected"), F.col("k").cast("long").alias("ordinal"), F.to_json(F.struct(record.alias("record"))).alias("envelope"), (F.col("k") % 2).alias("half"))
+    for part in (rows.filter("half = 0"), rows.filter("half = 1"), rows):
+        part.drop("half").coalesce(1).write.mode("append").json(f"{base}/in")
+        jobs.stream_landing(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", ["id", "day"], "id", "day")
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{base}/out/{name}")
+    decisions = read("decisions", "run string, decision string, batch long").filter("decision != 'REPLAY'").select("run", "decision")
+    landed = read("bronze", jobs.CAPTURE).groupBy("run").agg(F.count(F.lit(1)).alias("landed"))
+    codes = read("violations", "run string, code string, n long").filter("code != 'COUNT'").groupBy("run").agg(F.array_join(F.sort_array(F.collect_set("code")), ",").alias("codes"))
+    out = rows.select("run").distinct().join(decisions, "run", "left").join(landed, "run", "left").join(codes, "run", "left")
+    return out.select("run", F.coalesce("decision", F.lit("OPEN")).alias("decision"), F.coalesce("landed", F.lit(0)).alias("landed"), "codes")
+
+
 def _stream_sql():
     """Three batches one after the other: each key's freshest rows of a batch, if of one type, against the state before."""
     def won(k, rows):

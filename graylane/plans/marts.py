@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graylane.functions import scalar as S
 from graylane.operators import aggregates as A
+from graylane.operators import intervals as I
 from graylane.operators import joins as J
 from graylane.operators import windows as W
 
@@ -96,7 +97,7 @@ def indicators(detail: DataFrame, keys: list[str]) -> DataFrame:
 
 def revenue_fact(freights: DataFrame, terms: DataFrame, relations: DataFrame) -> DataFrame:
     """Each freight with the terms valid on its date and a disposition: BLOCKED_RELATION, NO_TERMS, INELIGIBLE or READY; only ready ones have an amount."""
-    j = J.interval_join(freights, terms, ["payer"], "day", "lo", "hi").join(relations.select("freight", F.lit(True).alias("_blocked")).distinct(), "freight", "left")
+    j = I.interval_join(freights, terms, ["payer"], "day", "lo", "hi").join(relations.select("freight", F.lit(True).alias("_blocked")).distinct(), "freight", "left")
     state = F.when(F.col("_blocked"), "BLOCKED_RELATION").when(F.col("eligible").isNull(), "NO_TERMS").when(~F.col("eligible"), "INELIGIBLE").otherwise("READY")
     return j.select("freight", "payer", "day", state.alias("disposition"), F.when(state == "READY", F.col("amount")).alias("amount"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graylane.operators import quality as Q
@@ -49,14 +50,14 @@ def row_diff(t):
 o AS (SELECT o_orderkey AS k, CAST(CAST(o_totalprice + CASE WHEN o_orderkey % 20 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS VARCHAR) AS p, CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 40 != 0),
 j AS (SELECT coalesce(e.k, o.k) AS k, e.k AS ek, o.k AS ok, e.p AS ep, o.p AS op, e.s AS es, o.s AS os FROM e FULL JOIN o USING (k)),
 r AS (SELECT 'MISSING' AS kind, '*' AS c, k FROM j WHERE ok IS NULL UNION ALL SELECT 'EXTRA', '*', k FROM j WHERE ek IS NULL UNION ALL SELECT 'VALUE', 'p', k FROM j WHERE ep != op UNION ALL SELECT 'NULLABILITY', 's', k FROM j WHERE ek IS NOT NULL AND ok IS NOT NULL AND os IS NULL)
-SELECT kind, c AS column, count(*) AS n, list_sort(list(k))[1:3] AS keys FROM r GROUP BY 1, 2 UNION ALL SELECT 'COLUMN', 'x', 1, [] UNION ALL SELECT 'TYPE', 'd', 1, [] UNION ALL SELECT 'ROW_COUNT', '*', abs((SELECT count(*) FROM e) - (SELECT count(*) FROM o)), [] WHERE (SELECT count(*) FROM e) != (SELECT count(*) FROM o)""")
+SELECT kind, c AS column, count(*) AS n, list_sort(list(k))[1:3] AS keys FROM r GROUP BY 1, 2 UNION ALL SELECT 'COLUMN', 'x', 1, [] UNION ALL SELECT 'TYPE', 'd', 1, [] UNION ALL SELECT 'CONTRACT', 'version', 1, [] UNION ALL SELECT 'METADATA', 'author', 1, [] UNION ALL SELECT 'ROW_COUNT', '*', abs((SELECT count(*) FROM e) - (SELECT count(*) FROM o)), [] WHERE (SELECT count(*) FROM e) != (SELECT count(*) FROM o)""")
 def compare_tables(t):
-    """As row_diff, with what differs in the tables themselves: a further column, a column of another type, the number of rows."""
+    """As row_diff, with what differs in the tables themselves: a further column, a column of another type, the number of rows, another version of the contract, and an author that only one has."""
     o, k = t("orders").withColumn("d", F.to_date("o_orderdate")), F.col("o_orderkey")
     e = o.filter("o_orderkey % 50 != 0").select(k.alias("k"), F.col("o_totalprice").cast("decimal(18,2)").alias("p"), F.col("o_orderstatus").alias("s"), "d")
     price = (F.col("o_totalprice") + F.when(k % 20 == 0, 1).otherwise(0)).cast("decimal(18,2)")
     b = o.filter("o_orderkey % 40 != 0").select(k.alias("k"), price.alias("p"), F.when(k % 30 != 0, F.col("o_orderstatus")).alias("s"), F.col("d").cast("string").alias("d"), F.lit(1).alias("x"))
-    return Q.compare_tables(e, b, "k")
+    return Q.compare_tables(e, b, "k", facts=({"version": "1", "entity": "orders", "author": "a"}, {"version": "2", "entity": "orders"}), metadata=["author"])
 
 
 @query("""SELECT run, n, first_page FROM (SELECT event_id % 7 AS run, CAST(json_extract_string(props, '$.k') AS BIGINT) % 50 AS k, count(*) AS n, min(event_id) AS first_page FROM events GROUP BY 1, 2 HAVING count(*) > 1)""")
@@ -89,6 +90,32 @@ def page_completeness(t):
     return Q.page_completeness(c, "conv_id", "turn", "n")
 
 
+@query("""WITH p AS (SELECT conv_id, turn + 1 AS page, CASE WHEN turn = max(turn) OVER (PARTITION BY conv_id) AND conv_id % 5 != 4 OR conv_id % 9 = 0 AND turn = 0 THEN 0 ELSE 10 END AS rows, turn = max(turn) OVER (PARTITION BY conv_id) AND conv_id % 7 != 6 AS terminal FROM conversations WHERE (conv_id * 3 + turn) % 31 != 0 AND conv_id % 23 != 0),
+s AS (SELECT conv_id, max(turn) + 1 + CASE WHEN conv_id % 19 = 1 THEN 1 ELSE 0 END AS pages, 10 * max(turn) + CASE WHEN conv_id % 5 = 4 THEN 10 ELSE 0 END - CASE WHEN conv_id % 9 = 0 AND max(turn) > 0 THEN 10 ELSE 0 END + CASE WHEN conv_id % 11 = 1 THEN 1 ELSE 0 END AS rows FROM conversations GROUP BY conv_id),
+x AS (SELECT s.*, count(page) AS n, min(page) AS lo, max(page) AS hi, sum(p.rows) AS total, count(*) FILTER (terminal) AS terms, coalesce(bool_or(terminal) FILTER (last), false) AS t, max(p.rows) FILTER (last) AS r, count(*) FILTER (p.rows = 0 AND NOT last) AS early FROM s LEFT JOIN (SELECT *, page = max(page) OVER (PARTITION BY conv_id) AS last FROM p) p USING (conv_id) GROUP BY ALL)
+SELECT conv_id, pages, rows, CASE WHEN n = 0 THEN 'NO_PAGES' WHEN lo != 1 OR hi != n THEN 'GAPS' WHEN n != pages THEN 'PAGES' WHEN total != rows THEN 'SUM' WHEN terms != 1 OR NOT t THEN 'TERMINAL' WHEN r != 0 THEN 'NOT_EMPTY' WHEN early > 0 THEN 'EARLY_EMPTY' END AS fault, n > 0 AND lo = 1 AND hi = n AND n = pages AND total = rows AND terms = 1 AND t AND r = 0 AND early = 0 AS complete FROM x""")
+def page_evidence(t):
+    c, last = t("conversations").select("conv_id", "turn"), F.max("turn").over(Window.partitionBy("conv_id"))
+    own, k = t("conversations").filter("(conv_id * 3 + turn) % 31 != 0 and conv_id % 23 != 0").select("conv_id", "turn"), F.col("conv_id")
+    end = F.col("turn") == last
+    pages = own.select("conv_id", (F.col("turn") + 1).alias("page"), F.when((end & (k % 5 != 4)) | ((k % 9 == 0) & (F.col("turn") == 0)), 0).otherwise(10).alias("rows"), (end & (k % 7 != 6)).alias("terminal"))
+    extra = lambda c, n: F.when(c, n).otherwise(0)
+    stated = c.groupBy("conv_id").agg(F.max("turn").alias("m")).select("conv_id", (F.col("m") + 1 + extra(k % 19 == 1, 1)).cast("long").alias("pages"), (10 * F.col("m") + extra(k % 5 == 4, 10) - extra((k % 9 == 0) & (F.col("m") > 0), 10) + extra(k % 11 == 1, 1)).cast("long").alias("rows"))
+    return Q.page_evidence(pages, stated, "conv_id", "page", "rows", "terminal")
+
+
+@query("""WITH s AS (SELECT l_orderkey AS k, count(*) AS n, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem WHERE l_orderkey % 13 != 0 GROUP BY 1), v AS (SELECT l_orderkey AS k, count(*) + CASE WHEN l_orderkey % 10 = 1 THEN 1 ELSE 0 END AS n, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q, CASE WHEN l_orderkey % 9 = 2 THEN NULL WHEN sum(l_quantity) > 100 THEN 'BIG' ELSE 'SMALL' END AS st FROM lineitem WHERE l_orderkey % 15 != 0 GROUP BY l_orderkey)
+SELECT coalesce(s.k, v.k) AS k, CASE WHEN s.k IS NULL OR v.k IS NULL THEN '*' ELSE 'n' END AS "column", CASE WHEN s.k IS NULL THEN 'UNTRACED' WHEN v.k IS NULL THEN 'MISSING' ELSE 'TOTAL' END AS fault, CASE WHEN s.k IS NOT NULL AND v.k IS NOT NULL THEN CAST(v.n AS VARCHAR) END AS published, CASE WHEN s.k IS NOT NULL AND v.k IS NOT NULL THEN CAST(s.n AS VARCHAR) END AS recomputed FROM s FULL JOIN v ON s.k = v.k WHERE s.k IS NULL OR v.k IS NULL OR s.n != v.n
+UNION ALL SELECT s.k, 'st', 'STATE', v.st, CASE WHEN s.q > 100 THEN 'BIG' ELSE 'SMALL' END FROM s JOIN v ON s.k = v.k WHERE v.st IS DISTINCT FROM CASE WHEN s.q > 100 THEN 'BIG' ELSE 'SMALL' END""")
+def recomputed(t):
+    """A view of orders whose counts, and states by their quantity, are held against the lines."""
+    l, k = t("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").cast("decimal(18,2)").alias("q")), F.col("k")  # noqa: E741
+    totals, states = {"n": F.count(F.lit(1)), "q": F.sum("q")}, {"st": F.when(F.col("q") > 100, "BIG").otherwise("SMALL")}
+    view = l.filter("k % 15 != 0").groupBy("k").agg(*[v.alias(c) for c, v in totals.items()]).withColumns(states)
+    view = view.withColumns({"n": F.col("n") + F.when(k % 10 == 1, 1).otherwise(0), "st": F.when(k % 9 != 2, F.col("st"))})
+    return Q.recomputed(view, l.filter("k % 13 != 0"), ["k"], totals, states)
+
+
 @query("SELECT page_id % 5 AS run, sha256(html) AS h, count(*) AS n, min(page_id) AS first_page FROM (SELECT page_id, html FROM pages UNION ALL SELECT page_id + 1000000, html FROM pages WHERE page_id % 3 = 0) GROUP BY 1, 2 HAVING count(*) > 1")
 def repeated_pages(t):
     p = t("pages").select("page_id", "html")
@@ -126,10 +153,13 @@ def compare_keyed(t):
     return Q.compare_keyed(a, b, "k", "d", F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("2000-01-01").cast("timestamp_ntz"), "m", "s")
 
 
-@query("""WITH a AS (SELECT conv_id, turn FROM conversations), b AS (SELECT conv_id, CASE WHEN conv_id % 9 = 0 THEN turn + 1 ELSE turn END AS turn FROM conversations WHERE conv_id % 13 != 0),
-s AS (SELECT conv_id, turn, sum(a) AS a, sum(b) AS b FROM (SELECT *, 1 AS a, 0 AS b FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY 1, 2)
-SELECT conv_id, CAST(sum(a) AS BIGINT) AS rows_a, CAST(sum(b) AS BIGINT) AS rows_b, count(*) FILTER (b = 0) AS only_a, count(*) FILTER (a = 0) AS only_b, sum(a) = sum(b) AND count(*) FILTER (a = 0 OR b = 0) = 0 AS agree FROM s GROUP BY 1""")
+@query("""WITH a AS (SELECT conv_id AS page, conv_id * 1000 + turn AS key FROM conversations), b AS (SELECT conv_id + CASE WHEN conv_id % 17 = 0 AND turn = 0 THEN 1 ELSE 0 END AS page, conv_id * 1000 + turn + CASE WHEN conv_id % 9 = 0 THEN 500 ELSE 0 END AS key FROM conversations WHERE conv_id % 13 != 0),
+s AS (SELECT page, key, sum(a) AS a, sum(b) AS b FROM (SELECT *, 1 AS a, 0 AS b FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY 1, 2), m AS (SELECT key FROM s GROUP BY key HAVING count(*) > 1)
+SELECT page, CAST(sum(a) AS BIGINT) AS rows_a, CAST(sum(b) AS BIGINT) AS rows_b, count(*) FILTER (b = 0) AS only_a, count(*) FILTER (a = 0) AS only_b, count(*) FILTER (key IN (FROM m)) AS elsewhere, sum(a) = sum(b) AND count(*) FILTER (a = 0 OR b = 0 OR key IN (FROM m)) = 0 AS agree FROM s GROUP BY 1""")
 def compare_traversals(t):
-    a = t("conversations").select("conv_id", "turn")
-    b = a.filter("conv_id % 13 != 0").withColumn("turn", F.when(F.col("conv_id") % 9 == 0, F.col("turn") + 1).otherwise(F.col("turn")))
-    return Q.compare_traversals(a, b, "conv_id", "turn")
+    """Pages that one traversal lacks, keys that changed, and keys that the second traversal found on the next page."""
+    c, k = t("conversations"), F.col("conv_id")
+    a = c.select(k.alias("page"), (k * 1000 + F.col("turn")).alias("key"))
+    moved = F.when((k % 17 == 0) & (F.col("turn") == 0), 1).otherwise(0)
+    b = c.filter("conv_id % 13 != 0").select((k + moved).alias("page"), (k * 1000 + F.col("turn") + F.when(k % 9 == 0, 500).otherwise(0)).alias("key"))
+    return Q.compare_traversals(a, b, "page", "key")

@@ -40,12 +40,15 @@ def parse_decimal(t):
     return t("orders").select("o_orderkey", S.parse_decimal(text, 18, 2).alias("amount"))
 
 
-@query("""WITH e AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN json_extract_string(props, '$.k') || 'e3' WHEN 2 THEN json_extract_string(props, '$.k') ELSE '-' || json_extract_string(props, '$.k') || '.25' END AS x FROM events)
-SELECT event_id, CASE WHEN x IS NULL THEN 'ABSENT' WHEN regexp_full_match(x, '-?[0-9]{1,29}([.][0-9]{1,9})?') THEN 'VALID' ELSE 'INVALID' END AS state,
+@query("""WITH e AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN json_extract_string(props, '$.k') || 'e3' WHEN 2 THEN json_extract_string(props, '$.k') WHEN 3 THEN json_extract_string(props, '$.k') || chr(10) WHEN 4 THEN '-' || json_extract_string(props, '$.k') || '.25' END AS x FROM events)
+SELECT event_id, CASE WHEN event_id % 6 = 0 THEN 'ABSENT' WHEN event_id % 6 = 5 THEN 'NULL' WHEN regexp_full_match(x, '-?[0-9]{1,29}([.][0-9]{1,9})?') THEN 'VALID' ELSE 'INVALID' END AS state,
 CASE WHEN regexp_full_match(x, '-?[0-9]{1,29}([.][0-9]{1,9})?') THEN CAST(x AS DECIMAL(38,9)) END AS number FROM e""")
 def strict_number(t):
-    k, i = F.get_json_object("props", "$.k"), F.col("event_id") % 4
-    n = S.strict_number(F.when(i == 1, F.concat(k, F.lit("e3"))).when(i == 2, k).when(i == 3, F.concat(F.lit("-"), k, F.lit(".25"))))
+    """Absent, null, with an exponent, with a line end behind it, and right ones."""
+    k, i = F.get_json_object("props", "$.k"), F.col("event_id") % 6
+    text = F.when(i == 1, F.concat(k, F.lit("e3"))).when(i == 2, k).when(i == 3, F.concat(k, F.lit("\n"))).when(i == 4, F.concat(F.lit("-"), k, F.lit(".25")))
+    json = F.when(i == 0, "{}").when(i == 5, '{"x": null}').otherwise(F.to_json(F.struct(text.alias("x"))))
+    n = S.strict_number(F.get_json_object(json, "$.x"), S.presence(json, "x"))
     return t("events").select("event_id", n["state"].alias("state"), n["number"].alias("number"))
 
 
@@ -61,11 +64,14 @@ def party_key(t):
     return t("customer").select("c_custkey", S.party_key(doc, F.concat(F.lit(" "), F.lower("c_name"))).alias("party"))
 
 
-@query("""WITH d AS (SELECT doc_id, translate(lower(coalesce(text, '')), 'áàâãäåéèêëíìîïóòôõöúùûüçñ', 'aaaaaaeeeeiiiiooooouuuucn') AS x FROM documents)
+@query("""WITH d AS (SELECT doc_id, strip_accents(lower(coalesce(text, ''))) AS x FROM documents)
 SELECT doc_id, position('que' IN x) > 0 AND position('os' IN substr(x, position('que' IN x) + 3)) > 0 AS both_found, starts_with(x, 'e') AS starts FROM d""")
 def ci_ai_match(t):
+    """Tokens with accents, and texts in which a, e and o have theirs as characters of their own."""
     text = F.coalesce("text", F.lit(""))
-    return t("documents").select("doc_id", S.contains_tokens(text, ["que", "os"]).alias("both_found"), F.startswith(S.folded(text), F.lit("e")).alias("starts"))
+    for plain, apart in (("\u00e9", "e\u0301"), ("\u00f3", "o\u0301"), ("\u00fc", "u\u0308")):
+        text = F.replace(text, F.lit(plain), F.lit(apart))
+    return t("documents").select("doc_id", S.contains_tokens(text, ["QU\u00ca", "\u01d2s"]).alias("both_found"), S.starts_with_ci_ai(text, "\u00c9").alias("starts"))
 
 
 @query("SELECT event_id, CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Sao_Paulo' AS DATE) AS day FROM events")
@@ -95,12 +101,16 @@ def framed_hash(t):
     return t("part").withColumn("b", F.nullif("p_brand", F.lit("Brand#2"))).select("p_partkey", S.framed_hash(["p_name", "b"]).alias("h"))
 
 
-@query("SELECT event_id, sha256('a=1|k=' || json_extract_string(props, '$.k')) AS h FROM events")
+@query("""WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k, event_id % 4 AS i FROM events), v AS (SELECT *, CASE WHEN i = 3 THEN '"1|k=' || k || '"' ELSE k END AS kv, '{"x":[1,{"p":2,"q":"' || k || '"}],"y":null}' AS o FROM e)
+SELECT event_id, CASE WHEN i != 2 OR event_id % 8 != 2 THEN sha256('1:a1:1' || '1:k' || strlen(kv) || ':' || kv || '1:o' || strlen(o) || ':' || o) END AS h FROM v""")
 def stable_json_hash(t):
-    """Field order and the volatile field `seen` don't matter."""
-    k = F.get_json_object("props", "$.k")
-    a, b = F.format_string('{"k": %s, "seen": "x", "a": 1}', k), F.format_string('{"a": 1, "seen": "y", "k": %s}', k)
-    return t("events").select("event_id", S.stable_json_hash(F.when(F.col("event_id") % 2 == 0, a).otherwise(b), ["seen"]).alias("h"))
+    """Neither the order of fields matters, of inner objects too, nor the volatile field `seen`; a text that looks like two fields is one; what is no JSON has no hash."""
+    k, i = F.get_json_object("props", "$.k"), F.col("event_id") % 4
+    value = F.when(i == 3, F.concat(F.lit('"1|k='), k, F.lit('"'))).otherwise(k)
+    a = F.concat(F.lit('{"k": '), value, F.lit(', "seen": "x", "a": 1, "o": {"y": null, "x": [1, {"q": "'), k, F.lit('", "p": 2}]}}'))
+    b = F.concat(F.lit('{"o": {"x": [1, {"p": 2, "q": "'), k, F.lit('"}], "y": null}, "a": 1, "seen": {"z": 1}, "k": '), value, F.lit("}"))
+    json = F.when(F.col("event_id") % 8 == 2, F.concat(F.lit("{"), a)).when(F.col("event_id") % 2 == 0, a).otherwise(b)
+    return t("events").select("event_id", S.stable_json_hash(json, ["seen"]).alias("h"))
 
 
 @query("SELECT event_id, sha256(CASE WHEN event_id % 3 = 0 THEN 'id:' || event_id WHEN event_id % 3 = 1 THEN 'user:' || user_id ELSE 'type:' || event_type END) AS h FROM events")
@@ -154,15 +164,20 @@ def delay_band(t):
     return j.groupBy(S.delay_band(F.col("days")).alias("band")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("days") <= 0).alias("on_time"))
 
 
-@query("""WITH x AS (SELECT event_id, event_type, 'A' || user_id % 7 AS o, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'B' || user_id % 5 END AS d, CAST(event_id * 37 % 90000 AS BIGINT) AS m FROM events)
+@query("""WITH x AS (SELECT event_id, event_type, 'A' || user_id % 7 AS o, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'B' || user_id % 5 END AS d, CAST(CASE WHEN event_id % 5 != 0 THEN event_id * 37 % 60000 - 100 END AS BIGINT) AS m, event_id * 41 % 50000 - 10 AS p, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END AS ts FROM events),
+y AS (SELECT *, CASE WHEN ts IS NOT NULL THEN epoch(date_trunc('minute', ts + p * INTERVAL 1 MINUTE)) // 60 - epoch(date_trunc('minute', ts)) // 60 END AS q FROM x), z AS (SELECT *, CASE WHEN m BETWEEN 0 AND 43200 THEN m WHEN q BETWEEN 0 AND 43200 THEN CAST(q AS BIGINT) END AS n FROM y)
 SELECT event_id, CASE WHEN d IS NOT NULL THEN o END AS origin, coalesce(d, event_type) AS destination, CASE WHEN d IS NULL THEN 'type' ELSE 'route' END AS provenance,
-CASE WHEN m BETWEEN 0 AND 86400 THEN lpad(CAST(m // 60 AS VARCHAR), CAST(greatest(2, length(CAST(m // 60 AS VARCHAR))) AS INTEGER), '0') || ':' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') END AS duration FROM x""")
+lpad(CAST(n // 60 AS VARCHAR), CAST(greatest(2, length(CAST(n // 60 AS VARCHAR))) AS INTEGER), '0') || ':' || lpad(CAST(n % 60 AS VARCHAR), 2, '0') AS duration,
+CASE WHEN m BETWEEN 0 AND 43200 THEN 'DIRECT' WHEN q BETWEEN 0 AND 43200 THEN 'PREDICTED_DIFFERENCE' ELSE 'INVALID_OR_ABSENT' END AS duration_from, m IS NOT NULL AND m NOT BETWEEN 0 AND 43200 AS invalid FROM z""")
 def transit_time(t):
-    """Route texts with a missing half fall back to another column; durations out of bounds are null."""
+    """Route texts with a missing half fall back to another column; durations out of bounds or missing to the planned times."""
     route = F.concat(F.lit("A"), (F.col("user_id") % 7).cast("string"), F.when(F.col("event_id") % 4 == 0, "").otherwise(F.concat(F.lit(" X B"), (F.col("user_id") % 5).cast("string"))))
     origin, destination = S.route_parts(route)
-    minutes = (F.col("event_id") * 37 % 90000).cast("long")
-    return t("events").select("event_id", origin.alias("origin"), F.coalesce(destination, "event_type").alias("destination"), F.when(destination.isNull(), "type").otherwise("route").alias("provenance"), S.duration_text(minutes).alias("duration"))
+    e = t("events").withColumn("start", F.when(F.col("event_id") % 3 != 0, F.col("ts").cast("timestamp")))
+    stated = F.when(F.col("event_id") % 5 != 0, F.col("event_id") * 37 % 60000 - 100).cast("long")
+    planned = F.expr("start + make_dt_interval(0, 0, cast(event_id * 41 % 50000 - 10 as int))")
+    minutes, duration_from, invalid = S.transit_minutes(stated, F.col("start"), F.lit(None).cast("timestamp"), planned)
+    return e.select("event_id", origin.alias("origin"), F.coalesce(destination, "event_type").alias("destination"), F.when(destination.isNull(), "type").otherwise("route").alias("provenance"), S.duration_text(minutes).alias("duration"), duration_from.alias("duration_from"), invalid.alias("invalid"))
 
 
 @query("""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 10 END AS paid FROM orders)
@@ -184,6 +199,14 @@ def freshness_max(t):
     return t("orders").select("o_orderkey", S.freshness_max([F.col("o_orderdate")], [day]).cast("timestamp_ntz").alias("fresh"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate WHEN o_orderkey % 3 = 1 THEN CAST(CAST(o_orderdate AS DATE) + 3 AS TIMESTAMP) WHEN o_orderkey % 2 = 0 THEN o_orderdate + INTERVAL 1 HOUR END AS fresh FROM orders""")
+def freshness_first(t):
+    """An instant, else the end of a civil day two days on, else another instant, else nothing."""
+    i = F.col("o_orderkey") % 3
+    sources = [("instant", F.when(i == 0, F.col("o_orderdate"))), ("day", F.when(i == 1, F.date_add(F.to_date("o_orderdate"), 2))), ("instant", F.when(F.col("o_orderkey") % 2 == 0, F.expr("o_orderdate + make_dt_interval(0, 1)")))]
+    return t("orders").select("o_orderkey", S.freshness_first(sources).cast("timestamp_ntz").alias("fresh"))
+
+
 @query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 3 THEN NULL ELSE date_trunc('second', ts) END AS at, CASE event_id % 4 WHEN 0 THEN 'updated' WHEN 1 THEN 'updated' WHEN 2 THEN 'created' END AS origin,
 CASE event_id % 4 WHEN 0 THEN 'INVALID' WHEN 3 THEN 'MISSING' ELSE 'OK' END AS reason FROM events""")
 def freshness_strict(t):
@@ -193,9 +216,11 @@ def freshness_strict(t):
     return t("events").select("event_id", f["at"].cast("timestamp_ntz").alias("at"), f["origin"].alias("origin"), f["reason"].alias("reason"))
 
 
-@query("SELECT event_id, 'event:' || v AS key, v = trim(v) AS valid FROM (SELECT event_id, event_id || CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END AS v FROM events)")
+@query("SELECT event_id, 'event:' || v AS key, v = trim(v) AND NOT contains(v, chr(10)) AS valid FROM (SELECT event_id, event_id || CASE event_id % 3 WHEN 0 THEN ' ' WHEN 1 THEN chr(10) ELSE '' END AS v FROM events)")
 def typed_key(t):
-    k = S.typed_key("event", F.concat(F.col("event_id").cast("string"), F.when(F.col("event_id") % 3 == 0, " ").otherwise("")))
+    """A blank or a line end behind the value makes it invalid."""
+    end = F.when(F.col("event_id") % 3 == 0, " ").when(F.col("event_id") % 3 == 1, "\n").otherwise("")
+    k = S.typed_key("event", F.concat(F.col("event_id").cast("string"), end))
     return t("events").select("event_id", k["key"].alias("key"), k["valid"].alias("valid"))
 
 

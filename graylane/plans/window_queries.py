@@ -125,6 +125,34 @@ def reduce_cohort(t):
     return A.reduce_cohort(df, ["user_id"], [F.to_date("ts").desc()], ["flag"], "event_type", ["error", "purchase", "view"])
 
 
+_COHORT = """WITH l AS (SELECT l_orderkey % (SELECT count(*) FROM orders) // 8 AS k, l_shipdate, l_returnflag AS st, CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_orderkey % 3 END AS f, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_orderkey % 2 END AS m,
+CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE l_suppkey % 4 END AS child, l_linenumber % 2 AS attr FROM lineitem), c AS (SELECT * FROM l QUALIFY dense_rank() OVER (PARTITION BY k ORDER BY year(l_shipdate) DESC) = 1),
+h AS (SELECT k, child, count(*) AS copies, min(attr) AS attr, min(attr) != max(attr) AS off FROM c WHERE child IS NOT NULL GROUP BY 1, 2)"""
+
+
+def _cohort(t):
+    l, n = t("lineitem"), t("orders").count()  # noqa: E741
+    rows = l.select(
+        F.floor(F.col("l_orderkey") % n / 8).cast("long").alias("k"), F.col("l_shipdate"), F.col("l_returnflag").alias("st"), F.when(F.col("l_linenumber") % 5 != 0, F.col("l_orderkey") % 3).alias("f"), F.when(F.col("l_linenumber") % 2 != 0, F.col("l_orderkey") % 2).alias("m"),
+        F.when(F.col("l_partkey") % 9 != 0, F.col("l_suppkey") % 4).alias("child"), (F.col("l_linenumber") % 2).cast("long").alias("attr"),
+    )
+    return A.reduce_nested(rows, ["k"], [F.year("l_shipdate").desc()], ["f"], ["m"], "st", ["R", "A"], "child", ["attr"])
+
+
+@query(f"""{_COHORT}, s AS (SELECT k, CASE WHEN count(f) = 0 THEN 'NULL' WHEN count(DISTINCT f) > 1 OR count(f) < count(*) THEN 'CONFLICT' ELSE 'VALUE' END AS f_state, min(f) AS f, CASE WHEN count(m) = 0 THEN 'NULL' WHEN count(DISTINCT m) > 1 THEN 'CONFLICT' ELSE 'VALUE' END AS m_state, min(m) AS m,
+CASE WHEN bool_or(st = 'N') AND bool_or(st != 'N') THEN 'CONFLICT' ELSE 'VALUE' END AS st_state, CASE WHEN bool_or(st = 'R') THEN 'R' WHEN bool_or(st = 'A') THEN 'A' ELSE min(st) END AS st, count(*) AS cohort FROM c GROUP BY k),
+n AS (SELECT k, count(*) FILTER (NOT off) AS children, count(*) FILTER (off) AS quarantined FROM h GROUP BY k)
+SELECT s.k, cohort, f_state, CASE f_state WHEN 'VALUE' THEN f END AS f, m_state, CASE m_state WHEN 'VALUE' THEN m END AS m, st_state, CASE st_state WHEN 'VALUE' THEN st END AS st, coalesce(children, 0) AS children, coalesce(quarantined, 0) AS quarantined, 'CONFLICT' IN (f_state, m_state, st_state) AS conflict FROM s LEFT JOIN n ON n.k = s.k""")
+def reduce_nested(t):
+    """Groups of eight orders by the lines of their last year: a field, a metric that nulls complement, a status with a code that the precedence doesn't know, children by supplier."""
+    return _cohort(t)[0]
+
+
+@query(f"""{_COHORT} SELECT k, child, copies, CASE WHEN NOT off THEN attr END AS attr, CASE WHEN off THEN 'QUARANTINE' ELSE 'ACCEPTED' END AS disposition FROM h""")
+def nested_children(t):
+    return _cohort(t)[1]
+
+
 @query("SELECT user_id, coalesce(bool_or(event_type = 'error' AND value > 100), false) AS ever FROM events GROUP BY 1")
 def sticky_any(t):
     return A.sticky_any(t("events"), ["user_id"], (F.col("event_type") == "error") & (F.col("value") > 100))
@@ -173,6 +201,21 @@ def quality_gate(t):
     return A.quality_gate(t("events"), {"LOW_VALUE": (F.col("value") < 1, 1_000_000, 500), "NO_USER": (F.col("user_id").isNull(), 0, 0), "ERRORS": (F.col("event_type") == "error", 1_000_000, 1000)})
 
 
+@query("""WITH c AS (SELECT count(*) FILTER (value < 1) AS a, count(*) FILTER (event_type = 'error') AS b, count(*) AS n FROM events), r AS (SELECT 'LOW_VALUE' AS check_code, a AS failed, n AS total, a * 10000 // n AS basis_points, CASE WHEN a * 10000 // n <= 500 THEN 'PASS' ELSE 'FAIL' END AS result FROM c UNION ALL SELECT 'ERRORS', b, n, b * 10000 // n, CASE WHEN b = 0 THEN 'PASS' ELSE 'FAIL' END FROM c)
+SELECT * FROM r UNION ALL SELECT 'GATE', count(*) FILTER (result = 'FAIL'), 2, count(*) FILTER (result = 'FAIL') * 5000, CASE WHEN bool_and(result = 'PASS') THEN 'PASS' ELSE 'FAIL' END FROM r""")
+def quality_gate_overall(t):
+    return A.gated(A.quality_gate(t("events"), {"LOW_VALUE": (F.col("value") < 1, 1_000_000, 500), "ERRORS": (F.col("event_type") == "error", 0, 10_000)}))
+
+
+@query("""WITH p AS (SELECT user_id AS run, event_id % 10 AS page, event_type, value, props FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 10 ORDER BY ts DESC, event_id DESC) = 1)
+SELECT run, count(*) AS pages, sum(CAST(value AS DECIMAL(18,2))) AS total, count(*) FILTER (event_type = 'error') AS failed, CAST(sum(strlen(props)) AS BIGINT) AS bytes, CASE WHEN bool_or(event_type = 'error') THEN 'FAILED' WHEN count(*) < 3 THEN 'PARTIAL' WHEN run % 4 IN (0, 3) THEN 'GATED' ELSE 'OK' END AS state FROM p GROUP BY 1""")
+def run_health_gated(t):
+    """With the bytes of the pages; a fourth of the runs have a gate that fails, another fourth none."""
+    e = t("events").withColumn("page", F.col("event_id") % 10).withColumnRenamed("user_id", "run")
+    gates = e.filter("run % 4 != 3").select("run", (F.col("run") % 4 != 0).alias("passed")).distinct()
+    return A.run_health(e, "run", "page", [F.desc("ts"), F.desc("event_id")], F.col("event_type") == "error", F.col("value").cast("decimal(18,2)"), 3, F.octet_length("props"), gates)
+
+
 @query("""WITH p AS (SELECT user_id AS run, event_id % 10 AS page, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 10 ORDER BY ts DESC, event_id DESC) = 1)
 SELECT run, count(*) AS pages, sum(CAST(value AS DECIMAL(18,2))) AS total, count(*) FILTER (event_type = 'error') AS failed, CASE WHEN bool_or(event_type = 'error') THEN 'FAILED' WHEN count(*) < 10 THEN 'PARTIAL' ELSE 'OK' END AS state FROM p GROUP BY 1""")
 def run_health(t):

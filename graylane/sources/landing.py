@@ -43,26 +43,36 @@ def check_capture(df: DataFrame, envelope: str, fields: Sequence[str], key: str,
     NOT_OBJECT, FIELDS (not exactly the declared ones), DUPLICATE_KEY, DAY (the row's day isn't the capture's; with a zone
     its text is an instant or local time, and the day is the zone's), COUNT.
     """
+    return _violations(df, [], envelope, fields, key, day, F.lit(expected_rows), zone)
+
+
+def check_captures(df: DataFrame, run: str, envelope: str, fields: Sequence[str], key: str, day: str, expected: str, zone: str | None = None) -> DataFrame:
+    """check_capture for many captures in one pass: run, code, n. expected: the column with the number of rows that a capture states; two numbers in one capture are a COUNT."""
+    return _violations(df, [run], envelope, fields, key, day, F.when(F.col("_least") == F.col("_expected"), F.col("_expected")).otherwise(-1), zone, expected)
+
+
+def _violations(df: DataFrame, by: Sequence[str], envelope: str, fields: Sequence[str], key: str, day: str, rows: Column, zone: str | None, expected: str | None = None) -> DataFrame:
     text = F.get_json_object(envelope, f"$.record.{day}")
     own = F.to_date(text) if zone is None else civil_date(to_instant(text, zone), zone)
     keys = F.json_object_keys(F.get_json_object(envelope, "$.record"))
-    row = df.select(
-        keys.alias("_f"),
-        F.get_json_object(envelope, f"$.record.{key}").alias("_k"),
-        (own != F.col("business_date")).alias("_day"),
-    )
+    stated = F.col(expected) if expected else F.lit(None).cast("long")
+    row = df.select(*by, keys.alias("_f"), F.get_json_object(envelope, f"$.record.{key}").alias("_k"), (own != F.col("business_date")).alias("_day"), stated.alias("_stated"))
     declared = F.array_sort(F.array(*[F.lit(f) for f in fields]))
-    one = row.groupBy("_k").agg(
+    one = row.groupBy(*by, "_k").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("_f").isNull()).alias("NOT_OBJECT"),
         F.count_if(F.col("_f").isNotNull() & (F.array_sort("_f") != declared)).alias("FIELDS"),
         F.count_if(F.coalesce("_day", F.lit(True))).alias("DAY"),
+        F.min("_stated").alias("_least"),
+        F.max("_stated").alias("_expected"),
     )
-    counts = one.agg(F.coalesce(F.sum("NOT_OBJECT"), F.lit(0)).alias("NOT_OBJECT"), F.coalesce(F.sum("FIELDS"), F.lit(0)).alias("FIELDS"), F.coalesce(F.sum("DAY"), F.lit(0)).alias("DAY"), F.coalesce(F.sum(F.when(F.col("_k").isNotNull(), F.col("_n") - 1)), F.lit(0)).alias("DUPLICATE_KEY"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"))
-    off = F.abs(F.col("_rows") - expected_rows) if expected_rows is not None else F.lit(0)
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    repeats = total(F.when(F.col("_k").isNotNull(), F.col("_n") - 1), "DUPLICATE_KEY")
+    counts = one.groupBy(*by).agg(*[total(c, c) for c in ("NOT_OBJECT", "FIELDS", "DAY")], repeats, total("_n", "_rows"), F.min("_least").alias("_least"), F.max("_expected").alias("_expected"))
     codes = ["NOT_OBJECT", "FIELDS", "DUPLICATE_KEY", "DAY"]
-    out = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("code"), F.col(c).cast("long").alias("n")) for c in codes], F.struct(F.lit("COUNT").alias("code"), off.cast("long").alias("n")))).alias("v"))
-    return out.select("v.*").filter("n > 0")
+    off = F.coalesce(F.abs(F.col("_rows") - rows), F.lit(0))
+    found = F.array(*[F.struct(F.lit(c).alias("code"), F.col(c).cast("long").alias("n")) for c in codes], F.struct(F.lit("COUNT").alias("code"), off.cast("long").alias("n")))
+    return counts.select(*by, F.explode(found).alias("v")).select(*by, "v.*").filter("n > 0")
 
 
 def land_capture(df: DataFrame, violations: DataFrame, path: str, run: str) -> None:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graylane import storage
 from graylane.operators.changes import decide, screen_batch
 from graylane.operators.windows import latest_per_key
+from graylane.sources.landing import check_captures
 
 #: Micro-batches after which the state is written whole.
 SNAPSHOT_EVERY = 20
@@ -24,6 +28,43 @@ def stream_captures(spark: SparkSession, path: str, schema: str, good: Column, o
     stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+CAPTURE = "run string, business_date date, expected long, ordinal long, envelope string"
+
+
+def stream_landing(spark: SparkSession, path: str, out: str, checkpoint: str, fields: list[str], key: str, day: str, zone: str | None = None, files: int = 64) -> None:
+    """New JSON files of captures (CAPTURE), each landed whole or not at all, once.
+
+    A capture's rows may come in several files and batches: they wait in out/open until there are as many as it states, a
+    row that comes again (same ordinal and envelope) counting once. Then check_captures decides: out/bronze gets all its
+    rows, or out/quarantine; out/violations says why by code and out/decisions has ACCEPTED, REJECTED (as soon as a
+    violation other than missing rows is found) and REPLAY (rows of a run that an earlier batch decided, which are left
+    out). A batch depends on earlier batches alone and writes folders of its own, so a replayed batch writes the same again.
+    """
+
+    def land(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        before = [spark.read.schema(CAPTURE).parquet(f"{out}/open/batch={n - 1}")] if n else []
+        rows = functools.reduce(DataFrame.unionByName, before, batch).dropDuplicates(["run", "ordinal", "envelope"])
+        rows = storage.written(rows, "stream-captures")
+        decided = spark.read.schema("run string, decision string, batch long").parquet(f"{out}/decisions").filter((F.col("batch") < n) & (F.col("decision") != "REPLAY")).select("run") if n else rows.select("run").limit(0)
+        fresh = rows.join(decided, "run", "left_anti")
+        found = storage.written(check_captures(fresh, "run", "envelope", fields, key, day, "expected", zone), "stream-violations")
+        sizes = fresh.groupBy("run").agg(F.count(F.lit(1)).alias("_rows"), F.max("expected").alias("_expected"), F.coalesce(F.min("expected") == F.max("expected"), F.lit(False)).alias("_one"))
+        short = F.col("_one") & (F.col("_rows") < F.col("_expected"))
+        wrong = found.filter("code != 'COUNT'").select("run", F.lit(True).alias("_wrong")).distinct()
+        state = F.when(F.col("_wrong").isNotNull(), "REJECTED").when(short, "OPEN").when(F.col("_one") & (F.col("_rows") == F.col("_expected")), "ACCEPTED").otherwise("REJECTED")
+        decisions = storage.written(sizes.join(wrong, "run", "left").select("run", state.alias("decision")), "stream-decisions")
+        of = lambda d: fresh.join(decisions.filter(F.col("decision") == d), "run", "left_semi")
+        for name, decision in (("bronze", "ACCEPTED"), ("quarantine", "REJECTED"), ("open", "OPEN")):
+            of(decision).select(*batch.columns).write.mode("overwrite").parquet(f"{out}/{name}/batch={n}")
+        found.join(decisions.filter("decision = 'REJECTED'"), "run", "left_semi").write.mode("overwrite").parquet(f"{out}/violations/batch={n}")
+        again = rows.join(decided, "run", "left_semi").select("run", F.lit("REPLAY").alias("decision")).distinct()
+        decisions.filter("decision != 'OPEN'").unionByName(again).write.mode("overwrite").parquet(f"{out}/decisions/batch={n}")
+
+    stream = spark.readStream.schema(CAPTURE).option("maxFilesPerTrigger", files).json(path)
+    stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def current_state(spark: SparkSession, out: str, key: str, freshness: str, content: str, before: int | None = None) -> DataFrame:
     """The state of stream_apply after the batches below before (all of them where it is None): the last snapshot and the accepted rows since."""
     log = spark.read.parquet(f"{out}/decisions")

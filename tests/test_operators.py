@@ -1,7 +1,6 @@
 """Ties, nulls and conflicts on literal rows."""
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graylane.functions import scalar as S
@@ -118,13 +117,6 @@ def test_whole_texts_are_read(spark, tmp_path):
     assert {r.word: r.pos for r in catalog.QUERIES["last_wins"](spark, str(tmp_path)).collect()} == {"a": 400, "b": 401, "c": 402}
 
 
-def test_ranged_first_keeps_rows_that_are_alike(spark):
-    rules = spark.createDataFrame([("RANGE", 2, 10, 2500, None, "r2"), ("RANGE", 1, 2000, 2100, None, "r1"), ("NAME", 0, None, None, "x", "n"), ("NAME", 0, None, None, "y", "m")], "kind string, priority long, lo long, hi long, label string, region string")
-    fact = spark.createDataFrame([(5, "x"), (10, "x"), (10, "x"), (2050, "y"), (2500, None), (None, "y"), (None, None)], "n long, s string")
-    got = sorted(J.ranged_first(fact, rules, "n", "s").collect(), key=str)
-    assert [(r.n, r.s, r.region) for r in got] == sorted([(5, "x", "n"), (10, "x", "r2"), (10, "x", "r2"), (2050, "y", "r1"), (2500, None, "r2"), (None, "y", "m"), (None, None, None)], key=lambda r: f"Row(n={r[0]}, s={r[1]!r}, region={r[2]!r})")
-
-
 def test_stream_keeps_conflicts_and_restarts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "SNAPSHOT_EVERY", 2)
     schema = "id long, f long, c string, o long"
