@@ -8,6 +8,7 @@ from graylane import storage
 from graylane.operators import quality as Q
 from graylane.operators import relations as R
 from graylane.plans import marts_contracts as M
+from graylane.plans.marts import calendar
 from graylane.registry import query
 
 
@@ -175,3 +176,58 @@ def mart_pickup_rows(t):
     gone = _expr(e.filter("event_type = 'error'"), pickup="pickup", deleted_at="if(event_id % 2 = 0, cast(date_add(to_date(ts), 30) as timestamp_ntz), ts)", branch="if(event_id % 2 = 0, concat('D', event_id), null)", weight="event_id", reason="concat('r', event_id)", stored="event_id")
     catalog = e.sparkSession.createDataFrame([("view", "Seen", False), ("purchase", "Taken", True)], "code string, label string, terminal boolean")
     return M.pickups(live, gone, catalog)
+
+
+@query("""WITH n AS (SELECT 'S' || n_nationkey AS o, 'S' || n_regionkey AS d, CAST(n_nationkey + 0.5 AS DECIMAL(19,4)) AS amount FROM nation), q AS (SELECT *, o_orderkey AS k, 'C' || o_custkey || ' - S' || o_custkey % 25 AS a, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'D' || o_orderkey % 9 END || ' - S' || o_orderkey % 5 AS b FROM orders)
+SELECT 'Q' || k AS number, o_orderdate AS requested, strftime(o_orderdate, '%H:%M:%S') AS clock, 'B' || k % 3 AS branch, CASE WHEN k % 4 != 0 THEN 'user ' || k % 10 END AS user_key, CASE WHEN k % 5 = 0 THEN 'Nick' ELSE 'Customer ' || o_custkey END AS customer, a AS origin, b AS destination, a || ' x ' || b AS leg,
+ CAST(k % 100 AS INTEGER) AS volumes, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS DECIMAL(18,3)) AS taxed_weight, CAST(o_totalprice AS DECIMAL(18,2)) AS invoices_value, CASE WHEN k % 11 != 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS total, coalesce(amount, 0) AS tariff,
+ CASE WHEN k % 3 = 0 OR k % 13 = 0 THEN 'Converted' WHEN k % 3 = 1 AND k % 2 = 0 THEN 'Rejected' ELSE 'Pending' END AS status, CASE WHEN k % 3 = 0 THEN 'Issued' ELSE 'Pending' END AS cte_state, CASE WHEN k % 13 = 0 THEN 'Issued' ELSE 'Pending' END AS nfse_state FROM q LEFT JOIN n ON n.o = 'S' || o_custkey % 25 AND n.d = 'S' || k % 5""")
+def mart_quote_rows(t):
+    """Quotes of captured envelopes: converted by either document, rejected by a comment (a blank one is none), amounts that aren't numbers."""
+    record = t("orders").select(F.struct(*[F.expr(e).alias(c) for c, e in {
+        "number": "concat('Q', o_orderkey)", "requested": "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\")", "branch": "concat('B', o_orderkey % 3)", "user": "if(o_orderkey % 4 = 0, ' ', concat(' User ', o_orderkey % 10))", "customer": "concat('Customer ', o_custkey)", "nickname": "if(o_orderkey % 5 = 0, 'Nick', null)",
+        "origin_city": "concat('C', o_custkey)", "origin_state": "concat('S', o_custkey % 25)", "destination_city": "if(o_orderkey % 7 = 0, null, concat('D', o_orderkey % 9))", "destination_state": "concat('S', o_orderkey % 5)", "volumes": "o_orderkey % 100", "taxed_weight": "cast(cast(o_totalprice as decimal(18,2)) * 2 as decimal(18,3))",
+        "invoices_value": "cast(o_totalprice as decimal(18,2))", "total": "if(o_orderkey % 11 = 0, 'n/a', cast(cast(o_totalprice as decimal(18,2)) as string))", "comments": "case when o_orderkey % 3 = 1 and o_orderkey % 2 = 0 then 'too dear' when o_orderkey % 3 = 1 then '  ' end",
+        "cte_at": "if(o_orderkey % 3 = 0, '2024-01-01T00:00:00', null)", "nfse_at": "if(o_orderkey % 13 = 0, '2024-01-01T00:00:00', null)",
+    }.items()]).alias("record"))
+    captures = record.select(F.to_json(F.struct(F.lit("quote").alias("entity"), "record")).alias("envelope"))
+    tariffs = _expr(t("nation"), origin="concat('S', n_nationkey)", destination="concat('S', n_regionkey)", amount="cast(n_nationkey + 0.5 as decimal(19,4))")
+    return M.quote_rows(captures, tariffs)
+
+
+@query("""SELECT event_id AS number, CASE WHEN event_id % 3 != 0 THEN user_id END AS invoice, CASE WHEN event_id % 5 != 0 THEN user_id + 1 END AS freight, sha256(event_id || '|' || CASE WHEN event_id % 3 != 0 THEN CAST(user_id AS VARCHAR) ELSE 'null' END || '|' || CASE WHEN event_id % 5 != 0 THEN CAST(user_id + 1 AS VARCHAR) ELSE 'null' END) AS claim, ts AS opened,
+ CASE event_id % 7 WHEN 0 THEN strftime(ts, '%H:%M:%S') WHEN 1 THEN strftime(ts, '%H:%M') WHEN 2 THEN 'noon' WHEN 3 THEN strftime(ts, '%H:%M:%S') END AS occurred_clock, CASE event_id % 7 WHEN 0 THEN '99:99' WHEN 1 THEN 'x' END AS closed_clock, CAST(value AS DECIMAL(18,3)) AS weight,
+ CAST(CAST(value AS DECIMAL(18,2)) - CASE WHEN event_id % 2 = 0 THEN 10 ELSE 0 END AS DECIMAL(18,2)) AS result, CASE event_type WHEN 'view' THEN 'Seen' ELSE event_type END AS treatment, CASE WHEN event_id % 4 = 0 THEN 'Sent again' ELSE 'other' END AS solution FROM events WHERE event_id % 50 != 9""")
+def mart_claim_rows(t):
+    """Claims without invoice or freight, clock times in all kinds of texts, labels with unknown codes."""
+    rows = _expr(
+        t("events"), number="if(event_id % 50 = 9, null, event_id)", invoice="if(event_id % 3 != 0, user_id, null)", freight="if(event_id % 5 != 0, user_id + 1, null)", opened="ts",
+        occurred_clock="case event_id % 7 when 0 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") when 1 then concat(' ', date_format(ts, 'HH:mm'), 'h') when 2 then 'noon' when 3 then date_format(ts, 'HH:mm:ss.SSS') when 4 then '2024-01-01' when 5 then 'NULL' else 'some time after noon' end",
+        closed_clock="case event_id % 7 when 0 then '2024-01-01 99:99' when 1 then ' x ' when 2 then ' ' end", weight="cast(value as decimal(18,3))", debit="if(event_id % 2 = 0, 10, null)", credit="cast(value as decimal(18,2))", insurer_credit="cast(null as decimal(18,2))", treatment="event_type", solution="if(event_id % 4 = 0, 'again', 'other')",
+    )
+    return M.claim_rows(rows, {"view": "Seen"}, {"again": "Sent again"})
+
+
+@query("""WITH p AS (SELECT o_custkey AS entry, o_orderkey AS k, o_orderdate AS created, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) END AS settled, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderdate AS DATE) + 2 END AS transacted, o_totalprice, o_orderpriority FROM orders),
+l AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY entry ORDER BY greatest(created, settled + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, transacted + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND) DESC, k DESC) = 1)
+SELECT entry, strftime(created, '%H:%M:%S') AS clock, CASE WHEN k % 2 = 0 THEN 'Advance payment' WHEN k % 5 = 0 THEN NULL ELSE 'Odd' END AS kind, CASE o_orderpriority WHEN '1-URGENT' THEN '1. Revenue' ELSE o_orderpriority END AS class, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CASE WHEN k % 6 != 0 THEN CAST(-1.5 AS DECIMAL(18,2)) END AS interest,
+ CASE WHEN k % 3 = 0 THEN 'PAID' ELSE 'OPEN' END AS state, CASE WHEN k % 7 = 0 THEN NULL WHEN k % 2 = 0 THEN 'RECONCILED' ELSE 'UNRECONCILED' END AS reconciled, settled, transacted FROM l""")
+def mart_payable_rows(t):
+    """Entries by the latest of three times, types with and without a namespace, amounts as money texts, broken and blank ones."""
+    rows = _expr(
+        t("orders"), entry="o_custkey", created="o_orderdate", settled="if(o_orderkey % 3 = 0, to_date(o_orderdate), null)", transacted="if(o_orderkey % 4 = 0, date_add(to_date(o_orderdate), 2), null)", stored="o_orderkey", ordinal="o_orderkey", kind="case when o_orderkey % 2 = 0 then 'Fin::Entry:: Advance' when o_orderkey % 5 = 0 then ' ' else 'Odd' end",
+        amount="concat('R$ ', format_number(cast(o_totalprice as decimal(18,2)), 2))", interest="if(o_orderkey % 6 = 0, if(o_orderkey % 12 = 0, 'x', ' '), '-1.5')", paid="if(o_orderkey % 3 = 0, true, null)", reconciled="if(o_orderkey % 7 = 0, null, o_orderkey % 2 = 0)", **{"class": "o_orderpriority"},
+    )
+    return M.payable_rows(rows, ["amount", "interest"], {"Advance": "Advance payment"}, {"1-URGENT": "1. Revenue"})
+
+
+@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders), h AS (SELECT *, CASE WHEN strftime(day, '%m%d') IN ('0101', '1225') THEN 'fixed' WHEN strftime(day, '%Y%m%d') IN ('19950416', '19960407', '19970330', '19980412', '19990404', '20000423', '20010415') THEN 'easter' WHEN strftime(day + 47, '%Y%m%d') IN ('19950416', '19960407', '19970330', '19980412', '19990404', '20000423', '20010415') THEN 'carnival'
+ WHEN strftime(day + 2, '%Y%m%d') IN ('19950416', '19960407', '19970330', '19980412', '19990404', '20000423', '20010415') THEN 'good friday' WHEN strftime(day - 60, '%Y%m%d') IN ('19950416', '19960407', '19970330', '19980412', '19990404', '20000423', '20010415') THEN 'corpus christi' END AS holiday FROM d), b AS (SELECT *, holiday IS NULL AND isodow(day) < 6 AS business FROM h WHERE year(day) BETWEEN 1995 AND 2001),
+c AS (SELECT *, coalesce(max(CASE WHEN business THEN day END) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING), day) AS billing FROM b)
+SELECT day, CAST(strftime(day, '%Y%m%d') AS INTEGER) AS day_key, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, CAST(day(day) AS INTEGER) AS dom, CAST(quarter(day) AS INTEGER) AS quarter, CAST(weekofyear(day) AS INTEGER) AS iso_week, CAST(isodow(day) AS INTEGER) AS iso_weekday, ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][isodow(day)] AS weekday, isodow(day) > 5 AS weekend,
+ CASE WHEN holiday NOT IN ('carnival', 'corpus christi') THEN holiday END AS national_holiday, CASE WHEN holiday IN ('carnival', 'corpus christi') THEN holiday END AS optional_day, business, billing AS billing_day, CAST(strftime(billing, '%Y%m%d') AS INTEGER) AS billing_key, CAST(year(day) * 100 + month(day) AS INTEGER) AS year_month FROM c""")
+def mart_calendar_names(t):
+    """Names and keys of the calendar's days; Easter's dates stand in the SQL as they are."""
+    days = t("orders").select(F.to_date("o_orderdate").alias("day")).distinct().filter("year(day) between 1995 and 2001")
+    fixed = days.sparkSession.createDataFrame([(1, 1), (12, 25)], "month int, dom int")
+    return M.calendar_names(calendar(days, fixed), ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"], ["carnival", "corpus christi"])

@@ -190,3 +190,56 @@ def pickups(live: DataFrame, deleted: DataFrame, catalog: DataFrame, gone: str =
         F.concat_ws(" - ", city, state).alias("region"), F.concat(F.coalesce(city, F.lit("no city")), F.lit(" - "), F.coalesce(F.upper(state), F.lit("no state"))).alias("logistic_region"), F.coalesce("_own_weight", "weight").alias("weight"),
         F.when(F.col("_removed"), F.coalesce("branch", "_own_branch")).otherwise(F.col("_own_branch")).alias("branch"), F.when(F.col("_removed"), F.col("reason")).alias("reason"), F.when(F.col("_removed"), F.col("deleted_at")).alias("removed_at"),
     )
+
+
+def quote_rows(captures: DataFrame, tariffs: DataFrame) -> DataFrame:
+    """A row for each quote of the captures (envelope JSON): parties, leg, measures, tariff of its pair of states (0 without one) and its states by what followed it."""
+    record = "number: string, requested: timestamp_ntz, branch: string, user: string, customer: string, nickname: string, origin_city: string, origin_state: string, destination_city: string, destination_state: string, volumes: int, taxed_weight: decimal(18,3), invoices_value: decimal(18,2), total: decimal(18,2), comments: string, cte_at: timestamp_ntz, nfse_at: timestamp_ntz"
+    q = captures.select(S.typed_projection(F.col("envelope"), f"record struct<{record}>")["record"].alias("r")).select("r.*")
+    place = lambda c: F.concat(F.coalesce(f"{c}_city", F.lit("")), F.lit(" - "), F.coalesce(f"{c}_state", F.lit("")))
+    status = S.first_evidence([("Converted", F.col("cte_at").isNotNull() | F.col("nfse_at").isNotNull()), ("Rejected", F.length(F.rtrim("comments")) > 0)])
+    t = J.small(tariffs.select(F.col("origin").alias("origin_state"), F.col("destination").alias("destination_state"), "amount"))
+    issued = lambda c: F.when(F.col(c).isNotNull(), "Issued").otherwise("Pending")
+    return q.join(t, ["origin_state", "destination_state"], "left").select(
+        "number", "requested", F.date_format("requested", "HH:mm:ss").alias("clock"), "branch", F.nullif(F.lower(F.trim("user")), F.lit("")).alias("user_key"), F.coalesce("nickname", "customer").alias("customer"), place("origin").alias("origin"), place("destination").alias("destination"),
+        F.concat(place("origin"), F.lit(" x "), place("destination")).alias("leg"), "volumes", "taxed_weight", "invoices_value", "total", F.coalesce("amount", F.lit(0)).cast("decimal(19,4)").alias("tariff"), F.coalesce(status, F.lit("Pending")).alias("status"), issued("cte_at").alias("cte_state"), issued("nfse_at").alias("nfse_state"),
+    )
+
+
+def clock_prefix(text: Column) -> Column:
+    """The clock time that a text begins with, behind a date if one goes before it; another short text as it is, a date alone, NULL and blanks as null."""
+    t = F.trim(text)
+    t = F.when(t.rlike(r"\A\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}"), t.substr(12, 8)).otherwise(t)
+    other = ~t.isin("", "NULL") & (F.length(F.rtrim(t)) <= 10) & ~t.rlike(r"\A\d{4}-\d{2}-\d{2}\z")
+    return F.when(t.rlike(r"\A\d{2}:\d{2}:\d{2}"), t.substr(1, 8)).when(t.rlike(r"\A\d{2}:\d{2}"), t.substr(1, 5)).when(other, t)
+
+
+def claim_rows(df: DataFrame, treatments: dict, solutions: dict) -> DataFrame:
+    """A row for each occurrence of a claim (number, invoice, freight, opened, occurred_clock, closed_clock, weight, debit, credits, treatment, solution): its identity, clock times, labels and result."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    identity = F.sha2(F.concat(F.col("number").cast("string"), F.lit("|"), part("invoice"), F.lit("|"), part("freight")), 256)
+    result = S.sum_components([F.col("credit"), F.col("insurer_credit")]) - S.sum_components([F.col("debit")])
+    return df.filter("number is not null").select("number", "invoice", "freight", identity.alias("claim"), "opened", clock_prefix(F.col("occurred_clock")).alias("occurred_clock"), clock_prefix(F.col("closed_clock")).alias("closed_clock"), "weight", result.cast("decimal(18,2)").alias("result"), S.label(F.col("treatment"), treatments).alias("treatment"), S.label(F.col("solution"), solutions).alias("solution"))
+
+
+def payable_rows(df: DataFrame, money: Sequence[str], kinds: dict, classes: dict) -> DataFrame:
+    """The last row of each entry: created, settled or transacted last (a civil day until its last millisecond), then stored, day and ordinal; type token and class by their labels, amounts parsed, paid and reconciled as states."""
+    end = lambda c: F.expr(f"cast(date_add({c}, 1) as timestamp_ntz) - make_dt_interval(0, 0, 0, 0.001)")
+    fresh = F.greatest("created", end("settled"), end("transacted"))
+    last = W.latest_per_key(df.filter("entry is not null").withColumn("_fresh", fresh), ["entry"], [F.desc_nulls_last("_fresh"), F.desc_nulls_last("stored"), F.desc("ordinal")])
+    kind = F.trim(S.type_token(filled(F.col("kind"))))
+    return last.select(
+        "entry", F.date_format(F.coalesce("created", F.lit("1900-01-01").cast("timestamp_ntz")), "HH:mm:ss").alias("clock"), S.label(kind, kinds).alias("kind"), S.label(filled(F.col("class")), classes).alias("class"), *[S.parse_decimal(F.col(c), 18, 2).alias(c) for c in money],
+        F.when(F.col("paid"), "PAID").otherwise("OPEN").alias("state"), F.when(F.col("reconciled"), "RECONCILED").when(~F.col("reconciled"), "UNRECONCILED").alias("reconciled"), "settled", "transacted",
+    )
+
+
+def calendar_names(calendar: DataFrame, weekdays: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
+    """The calendar (see marts.calendar) with keys, quarter, ISO weekday and its name, weekend, and its holiday as a national one or an optional one (the names in optional)."""
+    key = lambda c: (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c))
+    iso = F.weekday("day") + 1
+    national = F.col("holiday").isNotNull() & ~F.col("holiday").isin(*optional)
+    return calendar.select(
+        "day", key("day").alias("day_key"), "year", "month", F.dayofmonth("day").alias("dom"), F.quarter("day").alias("quarter"), "iso_week", iso.alias("iso_weekday"), F.get(F.array(*[F.lit(w) for w in weekdays]), F.weekday("day")).alias("weekday"), (iso > 5).alias("weekend"),
+        F.when(national, F.col("holiday")).alias("national_holiday"), F.when(F.col("holiday").isin(*optional), F.col("holiday")).alias("optional_day"), "business", F.coalesce("business_day", "day").alias("billing_day"), key(F.coalesce("business_day", "day")).alias("billing_key"), S.yyyymm(F.col("day")).alias("year_month"),
+    )
