@@ -13,7 +13,9 @@
    own. The suffixes that share a run of n lines, k <= n < 2 k, are the interval of the suffix array with a longest common
    prefix of n or more; they are those with the same rank of the first k and of the last k lines of the run.
 4. In each interval the first suffix (in the order of documents and lines) stays; the run that starts at any later one is
-   deleted. Neighbouring and overlapping runs merge into the maximal ones.
+   deleted. Neighbouring and overlapping runs merge into the maximal ones. Copies may overlap the run that stays, as in a
+   text that repeats with a period: every line of a later copy goes, also where it ends the first (with runs of three
+   lines `a b a b a` keeps `a b`, which the deleted lines repeat in turn).
 
 Very common lines are dealt out by a second key where lines meet their ranks. Texts that lose nothing are never moved;
 those that do are taken apart and put together once.

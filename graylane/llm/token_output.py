@@ -8,10 +8,12 @@ A shard is one row of the written table:
 
 - part, shard: its place in the order of all ids; n_ids, n_docs, n_null (documents without an id, which come first)
 - doc_ids (int64), lengths (uint32 ids of each document), symbols (uint32 symbols of each document)
-- base, rules (uint32 pairs; rule k is symbol base + k and refers to smaller symbols), spans (uint32 expansion lengths)
+- alphabet (uint32): the ids that occur in the shard, ascending; symbol k below base, their number, is the k-th of them
+- rules (uint32 pairs; rule k is symbol base + k and refers to smaller symbols), spans (uint32 expansion lengths)
 - body: the symbols of all documents, uint16 where they fit (width 2), else uint32 (width 4); all little-endian
 
-A document's symbols, and with the expansion lengths any range of its ids, are found without decoding what stands before.
+A document's symbols, and with the expansion lengths any range of its ids, are found without decoding what stands before;
+of the grammar only the rules are followed that the range needs.
 
 Defined cases: a null or empty text has the end id alone; rows with one doc_id follow each other in the order of their
 texts' hash; a null doc_id comes first; an empty table gives an empty result; further columns are ignored.
@@ -108,8 +110,8 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
 
     A round counts all pairs and takes the PAIRS_A_ROUND most frequent ones that pay for their rule (RULE_BYTES), or a
     quarter of those that pay if these are more; of overlapping places the more frequent pair has its own. Rounds go on
-    until no pair pays. A symbol takes two bytes as long as the numbers last; beyond them it takes four, which is tried
-    where pairs that pay stand in a quarter of the places at least, and what takes fewer bytes is kept.
+    until no pair pays. A symbol takes two bytes up to 65,536 symbols and four beyond, where rounds go on by that cost;
+    of the two grammars the one that takes fewer bytes is kept.
     """
     seq, last, rules = ids.astype(np.uint32), last.copy(), []
     narrow, width = None, 2 if base <= 65536 else 4
@@ -129,8 +131,6 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
         most = min(len(pairs), max(PAIRS_A_ROUND, len(pairs) // 4))
         if width == 2:
             if base + len(rules) == 65536:
-                if 4 * counts.sum() < len(seq):
-                    break
                 narrow, width = (seq, last, len(rules)), 4
                 continue
             most = min(most, 65536 - base - len(rules))
@@ -167,62 +167,98 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
     return seq, last, np.array(rules, np.uint32).reshape(-1, 2)
 
 
+def batches_of(rules: np.ndarray, base: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of stretches of rules that refer to none of their own stretch."""
+    most, a = rules.max(axis=1).astype(np.int64) - base if len(rules) else np.zeros(0, np.int64), 0
+    while a < len(rules):
+        over = most[a:] >= a
+        b = a + int(over.argmax()) if over.any() else len(rules)
+        yield a, b
+        a = b
+
+
 def spans_of(rules: np.ndarray, base: int) -> np.ndarray:
     """The number of ids of each rule."""
-    spans = np.zeros(len(rules), np.uint32)
-    for k, (x, y) in enumerate(rules.tolist()):
-        spans[k] = (spans[x - base] if x >= base else 1) + (spans[y - base] if y >= base else 1)
-    return spans
+    length = np.ones(base + len(rules), np.uint32)
+    for a, b in batches_of(rules, base):
+        length[base + a : base + b] = length[rules[a:b, 0]] + length[rules[a:b, 1]]
+    return length[base:]
+
+
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The pieces of flat, one behind the other."""
+    ends = np.cumsum(length)
+    return flat[np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray, spans: np.ndarray) -> np.ndarray:
-    """The ids of the symbols."""
-    offset = base + np.r_[0, np.cumsum(spans.astype(np.int64))]
-    flat = np.empty(int(offset[-1]), np.uint32)
-    flat[:base] = np.arange(base)
-    start = np.r_[np.arange(base, dtype=np.int64), offset[:-1]]
+    """The terminals of all the symbols."""
     length = np.r_[np.ones(base, np.int64), spans.astype(np.int64)]
-    for k, (x, y) in enumerate(rules.tolist()):
-        o = offset[k]
-        flat[o : o + length[x]] = flat[start[x] : start[x] + length[x]]
-        flat[o + length[x] : offset[k + 1]] = flat[start[y] : start[y] + length[y]]
-    n = length[symbols]
-    ends = np.cumsum(n)
-    return flat[np.repeat(start[symbols] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+    start = np.cumsum(length) - length
+    flat = np.empty(int(length.sum()), np.uint32)
+    flat[:base] = np.arange(base)
+    for a, b in batches_of(rules, base):
+        pair = rules[a:b].ravel()
+        stop = start[base + b] if b < len(rules) else len(flat)
+        flat[start[base + a] : stop] = _gathered(flat, start[pair], length[pair])
+    return _gathered(flat, start[symbols], length[symbols])
+
+
+def expand_range(symbols: np.ndarray, base: int, rules: np.ndarray, spans: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Terminals start .. stop of the symbols: level by level, only symbols that reach into the range are replaced."""
+    while len(symbols):
+        deep = symbols >= base
+        length = np.ones(len(symbols), np.int64)
+        length[deep] = spans[symbols[deep] - base]
+        ends = np.cumsum(length)
+        stop = min(stop, int(ends[-1]))
+        i, j = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
+        before = int(ends[i - 1]) if i else 0
+        symbols, deep, start, stop = symbols[i:j], deep[i:j], start - before, stop - before
+        if not deep.any():
+            return symbols[start:stop]
+        first = np.where(deep, rules[np.where(deep, symbols - base, 0), 0], symbols)
+        second = rules[symbols[deep] - base, 1]
+        at = np.arange(len(symbols)) + np.cumsum(deep) - deep
+        symbols = np.empty(len(symbols) + len(second), np.int64)
+        symbols[at] = first
+        symbols[at[deep] + 1] = second
+    return symbols
 
 
 def ids_of(shard: dict, doc: int, start: int = 0, stop: int | None = None) -> np.ndarray:
     """ids start .. stop of the doc-th document of a shard (a row as a dict), decoding only the symbols that hold them."""
     base, rules, spans = shard["base"], np.frombuffer(shard["rules"], "<u4").reshape(-1, 2), np.frombuffer(shard["spans"], "<u4")
-    at = np.r_[0, np.cumsum(np.frombuffer(shard["symbols"], "<u4").astype(np.int64))]
-    body = np.frombuffer(shard["body"], f"<u{shard['width']}")[at[doc] : at[doc + 1]].astype(np.int64)
-    ends = np.cumsum(np.where(body < base, 1, spans[np.maximum(body - base, 0)] if len(spans) else 1))
-    stop = int(ends[-1]) if stop is None else stop
-    i, j = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
-    before = int(ends[i - 1]) if i else 0
-    return expand(body[i:j], base, rules, spans)[start - before : stop - before]
+    sizes = np.frombuffer(shard["symbols"], "<u4")
+    first = int(sizes[:doc].sum(dtype=np.int64))
+    body = np.frombuffer(shard["body"], f"<u{shard['width']}", int(sizes[doc]), first * shard["width"]).astype(np.int64)
+    stop = int(np.frombuffer(shard["lengths"], "<u4", 1, 4 * doc)[0]) if stop is None else stop
+    return np.frombuffer(shard["alphabet"], "<u4")[expand_range(body, base, rules, spans, start, stop)]
 
 
-_SHARD = "part long, shard long, n_ids long, n_docs long, n_null long, doc_ids binary, lengths binary, symbols binary, base long, rules binary, spans binary, width int, body binary"
+_SHARD = "part long, shard long, n_ids long, n_docs long, n_null long, doc_ids binary, lengths binary, symbols binary, base long, alphabet binary, rules binary, spans binary, width int, body binary"
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The written table of shards. tokenizer: the path of a file of the tokenizers library that all executors have."""
     C.prepare_python(docs.sparkSession)
-    schema = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("n_ids", pa.int64()), ("n_docs", pa.int64()), ("n_null", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()), ("base", pa.int64()), ("rules", pa.binary()), ("spans", pa.binary()), ("width", pa.int32()), ("body", pa.binary())])
+    schema = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("n_ids", pa.int64()), ("n_docs", pa.int64()), ("n_null", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()), ("base", pa.int64()), ("alphabet", pa.binary()), ("rules", pa.binary()), ("spans", pa.binary()), ("width", pa.int32()), ("body", pa.binary())])
 
-    def shard(k: int, doc_ids: list, ids: list[np.ndarray], base: int) -> pa.RecordBatch:
+    def shard(k: int, doc_ids: list, ids: list[np.ndarray], most: int) -> pa.RecordBatch:
         lengths = np.array([len(x) for x in ids], np.int64)
         flat = np.concatenate(ids)
         last = np.zeros(len(flat), bool)
         last[np.cumsum(lengths) - 1] = True
-        seq, ends, rules = repair(flat, last, base)
+        present = np.zeros(most, bool)
+        present[flat] = True
+        alphabet, base = np.flatnonzero(present), int(present.sum())
+        seq, ends, rules = repair((np.cumsum(present) - 1).astype(np.uint32)[flat], last, base)
         symbols = np.diff(np.r_[-1, np.flatnonzero(ends)])
         width = 2 if base + len(rules) <= 65536 else 4
         # null ids come first in the order, so their number tells them apart from every id
         nulls = sum(i is None for i in doc_ids)
         known = np.array([0 if i is None else i for i in doc_ids], "<i8")
-        row = [TaskContext.get().partitionId(), k, len(flat), len(ids), nulls, known.tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u4").tobytes(), base, rules.astype("<u4").tobytes(), spans_of(rules, base).astype("<u4").tobytes(), width, seq.astype(f"<u{width}").tobytes()]
+        row = [TaskContext.get().partitionId(), k, len(flat), len(ids), nulls, known.tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u4").tobytes(), base, alphabet.astype("<u4").tobytes(), rules.astype("<u4").tobytes(), spans_of(rules, base).astype("<u4").tobytes(), width, seq.astype(f"<u{width}").tobytes()]
         return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,6 +301,7 @@ def read_tokens(shards: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 ids = expand(np.frombuffer(row["body"], f"<u{row['width']}"), row["base"], np.frombuffer(row["rules"], "<u4").reshape(-1, 2), np.frombuffer(row["spans"], "<u4"))
+                ids = np.frombuffer(row["alphabet"], "<u4")[ids]
                 n = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
                 ends = np.cumsum(n)
                 names = np.frombuffer(row["doc_ids"], "<i8")

@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -147,3 +148,35 @@ def test_grammar_goes_on_while_pairs_pay():
     pairs = [(x, y) for x, y, e in zip(seq[:-1].tolist(), seq[1:].tolist(), ends[:-1].tolist(), strict=True) if not e and x != y]
     assert np.unique(np.array(pairs), axis=0, return_counts=True)[1].max() <= token_output.RULE_BYTES // 2  # a place saves two bytes here
     assert (token_output.expand(seq, 50_257, rules, token_output.spans_of(rules, 50_257)) == ids).all()
+
+
+@pytest.mark.parametrize(("alphabet", "words", "size", "times", "wide"), [(5_000, 42_000, 2, 8, False), (60_000, 6_000, 8, 12, True), (60_000, 9_000, 2, 7, False)])
+def test_grammar_has_all_rules_that_pay(alphabet, words, size, times, wide):
+    rng = np.random.default_rng(words)
+    code = rng.choice(alphabet * alphabet, words * size // 2, replace=False)
+    each = np.stack([code // alphabet, code % alphabet], axis=1).reshape(words, size)
+    ids = each[rng.permutation(np.repeat(np.arange(words), times))].ravel().astype(np.uint32)
+    last = np.arange(len(ids)) % size == size - 1
+    seq, ends, rules = token_output.repair(ids, last, alphabet)
+    assert (token_output.expand(seq, alphabet, rules, token_output.spans_of(rules, alphabet)) == ids).all()
+    assert (alphabet + len(rules) > 65_536) is wide
+    if alphabet + words <= 65_536 or wide:  # each word is one symbol, by the numbers of two bytes or at the cost of four
+        assert len(seq) == words * times and ends.all() and len(rules) >= words
+    else:  # seven places pay as long as two bytes hold a symbol, and four bytes would take more in all
+        assert len(rules) == 65_536 - alphabet
+
+
+def test_look_ups_follow_only_what_they_need(spark):
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{k}" for k in rng.zipf(1.4, 200_000).clip(0, 5_000))
+    shard = token_output.write_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.json")).first().asDict()
+    whole = token_output.ids_of(shard, 0)
+    assert len(whole) == np.frombuffer(shard["lengths"], "<u4")[0] and len(whole) > 200_000
+    for start in (0, 1, 777, len(whole) // 2, len(whole) - 3):
+        assert (token_output.ids_of(shard, 0, start, start + 3) == whole[start : start + 3]).all()
+    rules, spans = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2), np.frombuffer(shard["spans"], "<u4")
+    body = np.frombuffer(shard["body"], f"<u{shard['width']}").astype(np.int64)
+    few = body[1000:1010]
+    seconds = lambda f: min((t := time.perf_counter(), f(), time.perf_counter() - t)[2] for _ in range(5))
+    one = seconds(lambda: token_output.expand_range(few, shard["base"], rules, spans, 2, 5))
+    assert one < 0.1 * seconds(lambda: token_output.expand(body, shard["base"], rules, spans))
