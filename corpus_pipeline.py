@@ -14,6 +14,13 @@ from graylane.llm import decontaminate, jaccard_join, mixing, token_output, toxi
 from graylane.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Rows of decisions (a hash of eight bytes, at most a source and a number beside it) that are sent to all tasks, so that texts stay where they are; beyond it texts and decisions meet by a shuffle.
+SEND_ROWS = 1_000_000
+
+
+def sent(decisions: DataFrame) -> DataFrame:
+    """Written decisions for the build side of a join: broadcast if there are at most SEND_ROWS."""
+    return F.broadcast(decisions) if decisions.count() <= SEND_ROWS else decisions
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs without the rows whose id and text are among gone (doc_id, h: the hash of the text)."""
     rows = docs.withColumn("h", F.xxhash64("text"))
+    gone = sent(gone)
     return rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["h"] == gone["h"]), "left_anti").select(*COLUMNS)
 
 
@@ -38,7 +46,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near duplicates the row with the smallest id (null last), once; of rows with that id and text the least by their other columns; rows without words are in no group and stay."""
     found = written(jaccard_join.representatives(docs), "representatives")
     rows = docs.select(*COLUMNS).withColumn("rk", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    kept = rows.join(found.filter("not kept").select("rk").distinct(), "rk", "left_anti")
+    kept = rows.join(sent(written(found.filter("not kept").select("rk").distinct(), "near-copies")), "rk", "left_anti")
     twice = written(found.filter("kept and rows > 1").select("rk").distinct(), "repeated-rows")
     if twice.isEmpty():
         return kept.select(*COLUMNS)
@@ -57,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = mixing.mix_alike(rows)
     taken = written(found.groupBy("h", "source").agg(F.sum(F.col("copies") * F.col("rows")).cast("int").alias("copies"), F.sum("rows").alias("rows")).filter("copies > 0"), "mixed-rows")
     same = lambda a, b: (a["h"] == b["h"]) & a["source"].eqNullSafe(b["source"])
-    once = taken.filter("rows > 1").select("h", "source")
+    once, taken = taken.filter("rows > 1").select("h", "source"), sent(taken)
     if not once.isEmpty():
         rows = rows.join(once, same(rows, once), "left_anti").unionByName(least(rows.join(once, same(rows, once), "left_semi"), ["doc_id", "text", "source"]).withColumn("h", F.xxhash64("doc_id", "text")))
     return rows.join(taken, same(rows, taken)).select(*[rows[c] for c in COLUMNS], F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
