@@ -17,8 +17,9 @@
    text that repeats with a period: every line of a later copy goes, also where it ends the first (with runs of three
    lines `a b a b a` keeps `a b`, which the deleted lines repeat in turn).
 
-Very common lines are dealt out by a second key where lines meet their ranks. Texts that lose nothing are never moved;
-those that do are taken apart and put together once.
+Very common lines are dealt out by a second key where lines meet their ranks. Texts are read twice, for their lines and
+for the result, and neither written nor taken apart: the lines that go are stretches, looked up by the id and a hash of
+the text, and the pieces between them are joined. The table must give the same rows each time.
 
 Defined cases: a null text has no lines and stays null; an empty text has one empty line; documents are ordered by
 doc_id (null first), then by a hash of the text, so rows with one id have a fixed order; a run doesn't cross from a
@@ -37,8 +38,8 @@ from graylane.llm.common import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key of more rows is split where rows meet their ranks; at most HOT_KEYS keys are split (24 MB broadcast).
 HOT_ROWS, HOT_KEYS = 20_000, 1_000_000
-#: Documents that lose lines: up to so many ids (16 MB) are broadcast to find the others.
-SEND_IDS = 2_000_000
+#: Up to so many stretches of deleted lines (some 60 MB with the keys of their texts) are broadcast to the texts; beyond, both meet by a shuffle.
+SEND_IDS = 500_000
 
 
 def shared_ranks(rows: DataFrame, keys: list[str], deal: list[str], first: str | None = None) -> DataFrame:
@@ -58,9 +59,9 @@ def shared_ranks(rows: DataFrame, keys: list[str], deal: list[str], first: str |
     return dealt.join(names.drop("many"), [*keys, "deal"]).drop("deal")
 
 
-def bases(texts: DataFrame) -> DataFrame:
+def bases(heads: DataFrame) -> DataFrame:
     """(rid, base): the place of each document's first line in the sequence of all lines, documents in the order of doc_id (null first), h and rid; one place between documents stays free."""
-    sizes = texts.select("rid", "doc_id", "h", (F.coalesce(line_count(), F.lit(0)) + 1).alias("places"))
+    sizes = heads.select("rid", "doc_id", "h", (F.col("n_lines") + 1).alias("places"))
     rows = written(sizes.orderBy(F.col("doc_id").asc_nulls_first(), "h", "rid").select("rid", "places", F.monotonically_increasing_id().alias("mark")), "lines-order")
     rows = rows.withColumn("part", F.shiftright("mark", 33))
     # a row for each range of the sort, of which there are as many as shuffle partitions
@@ -124,36 +125,64 @@ def later_runs(now: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int | None = 2, min_words: int | None = 50) -> tuple[DataFrame, DataFrame]:
-    """(texts of all documents: rid, doc_id, h, text; later copies of runs: rid, line, n)."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("rid"))
-    texts = written(texts, "lines-texts")
-    lines = texts.select("rid", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    """(a row for each text that isn't null: rid, doc_id, h, n_lines; later copies of runs: rid, line, n)."""
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    texts = texts.select("rid", "doc_id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    head = lambda c: F.when(F.col("line") == 0, F.col(c)).alias(c)
     words = F.regexp_count("text", F.lit(WORD)) if min_words is not None else F.lit(0)
-    lines = written(lines.select("rid", "line", F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"), words.alias("words")), "lines-lines")
-    now = stretches(shared_ranks(lines, ["a", "b"], ["rid", "line"]).drop("a", "b"), min_lines, min_words)
-    now = written(now.join(bases(texts), "rid").withColumn("pos", F.col("base") + F.col("line")).drop("base"), "lines-stretches")
+    lines = texts.select("rid", head("doc_id"), head("h"), "line", F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), F.reverse("text")).alias("b"), words.alias("words"))
+    lines = written(lines, "lines-lines")
+    sizes = lines.groupBy("rid").agg(F.count(F.lit(1)).alias("n_lines"))
+    heads = lines.filter("line = 0").select("rid", "doc_id", "h")
+    heads = written(heads.join(sizes, "rid"), "lines-heads")
+    now = stretches(shared_ranks(lines.select("rid", "line", "a", "b", "words"), ["a", "b"], ["rid", "line"]).drop("a", "b"), min_lines, min_words)
+    now = written(now.join(bases(heads), "rid").withColumn("pos", F.col("base") + F.col("line")).drop("base"), "lines-stretches")
     later = later_runs(now.select("pos", "rank"), shortest_runs(now, min_lines, min_words))
-    return texts, later.join(now.select("pos", "rid", "line"), "pos").select("rid", "line", "n")
+    return heads, later.join(now.select("pos", "rid", "line"), "pos").select("rid", "line", "n")
+
+
+def cut_text(text: Column, cuts: Column, n_lines: Column) -> Column:
+    """text without the lines of cuts (ascending stretches from, end)."""
+    from_ = F.concat(F.array(F.lit(0)), cuts["end"])
+    to = F.concat(cuts["from"], F.array(n_lines.cast("int")))
+    # the text is split once for all stretches, as the element of an array of one
+    kept = lambda lines: F.array_join(F.flatten(F.zip_with(from_, to, lambda a, b: F.slice(lines, a + 1, b - a))), "\n")
+    return F.transform(F.array(F.split(text, "\n", -1)), kept)[0]
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int | None = 2, min_words: int | None = 50) -> DataFrame:
     """For each row of docs: doc_id, text (without later copies; null only if it was null), n_lines, n_deleted, n_runs (maximal deleted runs)."""
-    texts, later = repeated_runs(docs, id_col, text_col, min_lines, min_words)
+    heads, later = repeated_runs(docs, id_col, text_col, min_lines, min_words)
     # what a run adds to those that start before it; a run that begins where the others end only lengthens them
     ahead = Window.partitionBy("rid").orderBy("line", "n").rowsBetween(Window.unboundedPreceding, -1)
     later = later.withColumn("end", F.col("line") + F.col("n")).withColumn("upto", F.coalesce(F.max("end").over(ahead), F.lit(-1)))
-    added = written(later.withColumn("from", F.greatest("line", "upto")).filter("from < end").select("rid", "from", "end", (F.col("line") > F.col("upto")).alias("new")), "lines-gone")
-    gone = added.select("rid", F.explode(F.sequence("from", F.col("end") - 1)).alias("line"))
-    sums = written(added.groupBy("rid").agg(F.sum(F.col("end") - F.col("from")).alias("n_deleted"), F.count_if("new").alias("n_runs")), "lines-touched")
-    ids = sums.select("rid")
-    if sums.limit(SEND_IDS + 1).count() <= SEND_IDS:
-        ids, sums = F.broadcast(ids), F.broadcast(sums)
+    added = later.withColumn("from", F.greatest("line", "upto")).filter("from < end").select("rid", F.col("from").cast("int"), F.col("end").cast("int"), (F.col("line") > F.col("upto")).alias("new"))
+    cuts = F.sort_array(F.collect_list(F.struct("from", "end"))).alias("cuts")
+    added = added.groupBy("rid").agg(cuts, F.sum(F.col("end") - F.col("from")).alias("n_deleted"), F.count_if("new").alias("n_runs"))
+    # rows with one id and text are alike but for their place: the first keeps what the others all lose, so a key has two kinds at most
+    kinds = heads.join(added, "rid", "left").groupBy("doc_id", "h", "cuts", "n_deleted", "n_runs").agg(F.count(F.lit(1)).alias("copies"))
+    kinds = kinds.groupBy("doc_id", "h").agg(F.collect_list(F.struct("cuts", "n_deleted", "n_runs", "copies")).alias("kinds")).filter(F.exists("kinds", lambda k: k["cuts"].isNotNull()))
+    kinds = written(kinds.withColumn("alone", (F.size("kinds") == 1) & (F.col("kinds")[0]["copies"] == 1)), "lines-cuts")
+    n_cuts = kinds.agg(F.sum(F.aggregate("kinds", F.lit(0), lambda n, k: n + F.coalesce(F.size(k["cuts"]), F.lit(0))))).first()[0] or 0
+    sent = F.broadcast if n_cuts <= SEND_IDS else lambda df: df
+
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     n_lines = F.coalesce(line_count(), F.lit(0)).cast("long")
-    whole = texts.join(ids, "rid", "left_anti").select("doc_id", "text", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_deleted"), F.lit(0).cast("long").alias("n_runs"))
-    # counted before the lines are taken apart, else each line would count them again
-    cut = texts.join(sums, "rid").select("rid", "doc_id", n_lines.alias("n_lines"), "n_deleted", "n_runs", "text")
-    cut = cut.select("rid", "doc_id", "n_lines", "n_deleted", "n_runs", F.posexplode(F.split("text", "\n", -1)).alias("line", "part"))
-    cut = cut.join(gone.withColumn("gone", F.lit(True)), ["rid", "line"], "left")
-    kept = F.sort_array(F.collect_list(F.when(F.col("gone").isNull(), F.struct("line", "part"))))
-    cut = cut.groupBy("rid").agg(*[F.first(c).alias(c) for c in ("doc_id", "n_lines", "n_deleted", "n_runs")], kept.alias("kept"))
-    return whole.unionByName(cut.select("doc_id", F.array_join(F.col("kept.part"), "\n").alias("text"), "n_lines", "n_deleted", "n_runs"))
+
+    def meet(by_key: DataFrame, how: str) -> DataFrame:
+        by_key = by_key.withColumnsRenamed({"doc_id": "k_id", "h": "k_h"})
+        return texts.join(sent(by_key), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h")), how)
+
+    def result(rows: DataFrame) -> DataFrame:
+        counts = [F.coalesce(F.col("kind")[c], F.lit(0)).cast("long").alias(c) for c in ("n_deleted", "n_runs")]
+        text = F.when(F.col("kind.cuts").isNull(), F.col("text")).otherwise(cut_text(F.col("text"), F.col("kind.cuts"), n_lines))
+        return rows.select("doc_id", text.alias("text"), n_lines.alias("n_lines"), *counts)
+
+    out = result(meet(kinds, "left").filter("alone is null or alone").withColumn("kind", F.col("kinds")[0]))
+    twice = kinds.filter("not alone")
+    if twice.isEmpty():
+        return out
+    once = meet(twice.select("doc_id", "h"), "left_semi").groupBy("doc_id", "h").agg(F.first("text").alias("text"))
+    once = once.join(twice.select(F.col("doc_id").alias("k_id"), F.col("h").alias("k_h"), "kinds"), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h")))
+    again = once.select("doc_id", "text", F.explode("kinds").alias("kind")).select("doc_id", "text", "kind", F.explode(F.sequence(F.lit(1), F.col("kind.copies").cast("int"))).alias("i"))
+    return out.unionByName(result(again))

@@ -231,7 +231,7 @@ def test_runs_by_words_against_brute_force(spark, min_lines, min_words):
 
 def test_common_lines_are_split(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_ROWS", 5)
-    monkeypatch.setattr(line_dedup, "SEND_IDS", 3)
+    monkeypatch.setattr(line_dedup, "SEND_IDS", 3)  # texts and deleted lines meet by a shuffle
     rng = random.Random(1)
     texts = ["\n".join(rng.choice(["common", "common", "b c", "d", f"own {i}"]) for _ in range(rng.randrange(1, 30))) for i in range(30)]
     got = sorted(line_dedup.dedup_lines(docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]), min_lines=None, min_words=6).collect(), key=lambda r: r.doc_id)
@@ -255,6 +255,17 @@ def test_line_runs_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), r.n_deleted) for r in got) == [("1", 2), ("1", 2), ("None", 0)]
 
 
+@pytest.mark.parametrize("send", [0, 100])
+def test_rows_with_one_id_and_text_lose_lines_by_place(spark, monkeypatch, send):
+    monkeypatch.setattr(line_dedup, "SEND_IDS", send)
+    rows = [(i, t, "e", "s", 0) for i, t in [(7, "p\nq\nr")] * 4 + [(None, "p\nq\ns")] * 3 + [(8, "p\nq"), (9, None), (9, None), (10, "")]]
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.text or "", r.text is None, r.n_lines, r.n_deleted, r.n_runs) for r in line_dedup.dedup_lines(docs_of(spark, rows), min_lines=2, min_words=None).collect()))
+    # the first row in order (no id) stays; its copies lose three lines, the others the two that they share with it, copies all three
+    want = [(False, 0, "p\nq\ns", False, 3, 0, 0)] + [(False, 0, "", False, 3, 3, 1)] * 2 + [(True, 7, "r", False, 3, 2, 1)] + [(True, 7, "", False, 3, 3, 1)] * 3
+    want += [(True, 8, "", False, 2, 2, 1)] + [(True, 9, "", True, 0, 0, 0)] * 2 + [(True, 10, "", False, 1, 0, 0)]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_against_sql(spark, sf, name):
     con = duckdb.connect()
