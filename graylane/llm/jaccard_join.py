@@ -106,12 +106,19 @@ def first_coordinates(n: int) -> tuple[int, int, int]:
 
 
 def _counts(held: list[np.ndarray]) -> pa.RecordBatch | None:
-    values, n = np.unique(np.concatenate(held), return_counts=True)
+    """The shingles of held that stand in BLOCK_COUNT sets or more; held is emptied and its shingles sorted in place, so that a worker holds the block once."""
+    values = np.concatenate(held)
+    held.clear()
+    values.sort()
+    same = np.zeros(len(values) + 1, bool)  # as the one before
+    np.equal(values[1:], values[:-1], out=same[1:-1])
+    edges = np.flatnonzero(same[1:] != same[:-1])  # a run's first place, its last place
+    first, n = edges[::2], edges[1::2] - edges[::2] + 1
     keep = n >= BLOCK_COUNT
     if not keep.any():
         return None
     k = int(keep.sum())
-    return pa.record_batch([*[pa.nulls(k, pa.int64())] * 4, pa.nulls(k, pa.binary()), pa.array(values[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], schema=_SIGNED)
+    return pa.record_batch([*[pa.nulls(k, pa.int64())] * 4, pa.nulls(k, pa.binary()), pa.array(values[first[keep]].view(np.int64)), pa.array(n[keep].astype(np.int64))], schema=_SIGNED)
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("point", pa.binary()), ("shingle", pa.int64()), ("seen", pa.int64())])
@@ -328,6 +335,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         known: set[int | None] = {None}
         for batch in batches:
             for _, sets in shingle_sets(batch.column("text")):
+                if len(known) > KNOWN:  # a class that comes again is verified once more
+                    known = {None}
                 sets = [s for s in sets if (name := class_of(s)) not in known and not known.add(name)]
                 yield pa.record_batch([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
