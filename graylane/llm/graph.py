@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from graylane.llm.common import written
@@ -19,16 +19,21 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
 
 
+def _counted(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The written edges, with their number and a sum of hashes observed as they are written: no job of its own."""
+    seen = Observation()
+    sums = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    return written(edges.observe(seen, *sums), "graph-edges"), seen.get
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): for every node of the edges (u, v), the smallest node that it reaches. Self edges and null ends are dropped."""
-    edges = written(edges.filter("u is not null and v is not null and u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "graph-edges")
+    edges, now = _counted(edges.filter("u is not null and v is not null and u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
-    while True:
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
+    while now != before:
         before = now
-        half = _stars(edges, True).filter("u != v").distinct()
-        edges = written(_stars(half, False).filter("u != v").select("u", "v").distinct(), "graph-edges")
+        # rows that both halves of a round make twice go in the distinct at its end
+        half = _stars(edges, True).filter("u != v")
+        edges, now = _counted(_stars(half, False).filter("u != v").select("u", "v").distinct())
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

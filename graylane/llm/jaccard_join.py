@@ -153,6 +153,28 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "rk", "text").mapInArrow(run, "doc_id long, rk long, n long, cls long, point binary, shingle long, seen long")
 
 
+def most_frequent(often: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles in ascending order, their counts) of the FREQUENT_MOST most frequent rows of the written often (shingle, seen).
+
+    How many shingles have each count tells the least count that fits; only the rows from there on go to the driver, as
+    Arrow batches, of those with the least count as many as there is room for by a hash.
+    """
+    sizes = often.groupBy("seen").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts, n = (sizes.column(c).to_numpy().astype(np.int64) for c in ("seen", "n"))
+    order = np.argsort(-counts)
+    counts, upto = counts[order], np.cumsum(n[order])
+    whole = int(np.searchsorted(upto, FREQUENT_MOST, "right"))
+    if whole < len(counts):
+        ties, room = int(np.diff(upto, prepend=0)[whole]), FREQUENT_MOST - int(upto[whole - 1] if whole else 0)
+        edge = int(counts[whole])
+        often = often.filter((F.col("seen") > edge) | ((F.col("seen") == edge) & (F.pmod(F.xxhash64("shingle"), F.lit(ties)) < room)))
+    found = often.toArrow()
+    shingles, seen = found.column("shingle").to_numpy().view(np.uint64), found.column("seen").to_numpy()
+    kept = np.lexsort((shingles, -seen))[:FREQUENT_MOST]
+    kept = kept[np.argsort(shingles[kept])]
+    return shingles[kept], seen[kept]
+
+
 def cells(docs: DataFrame, frequent: np.ndarray, seen: np.ndarray) -> DataFrame:
     """(cell, part, cls, asked, near): the first coordinates of each set; frequent (sorted) come last, the most frequent at the very end.
 
@@ -387,7 +409,7 @@ def _seeds(pairs: DataFrame, sized: DataFrame) -> DataFrame:
 
 
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: doc_id, rk, n, cls; classes: cls, rep, least_id, n; links: u, v between classes, enough to connect all that link).
+    """(rows: doc_id, rk, n, cls; classes: cls, rep, least_id, n; roots: node, root of the classes that link with others).
 
     rk is the hash of id and text; with null_ids rows without an id have a class as well.
     """
@@ -396,11 +418,7 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rk"), F.col(text_col).alias("text"))
     marks = C.written(signed(docs), "jaccard-signed")
     rows = marks.filter("n is not null").select("doc_id", "rk", "n", "cls", "point")
-    often = marks.filter("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT_LEAST)
-    often = often.orderBy(F.desc("seen"), "shingle").limit(FREQUENT_MOST).toPandas()
-    frequent, seen = often["shingle"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64)
-    order = np.argsort(frequent)
-    frequent, seen = frequent[order], seen[order]
+    frequent, seen = most_frequent(C.written(marks.filter("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT_LEAST), "jaccard-often"))
     named = rows.filter("cls is not null" if null_ids else "cls is not null and doc_id is not null")
     classes = C.written(named.groupBy("cls").agg(F.min("rk").alias("rep"), F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
 
@@ -416,11 +434,11 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = split.join(split.groupBy("cell").agg(F.min("pivot").alias("head")), "cell").select(F.col("head").alias("u"), F.col("pivot").alias("v"))
     sized = classes.select("cls", "n", "point")
     seeds = _seeds(groups.select(F.col("pivot").alias("u"), F.col("cls").alias("v")).unionByName(heads), sized)
-    links = C.written(verified(seeds, classes, docs), "jaccard-links")
+    roots = components(verified(seeds, classes, docs))
 
     for k in range(BEST_ROUNDS + 1):
         best = k < BEST_ROUNDS
-        placed = groups.select("cell", "cls").join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        placed = groups.select("cell", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         placed = C.written(placed, "jaccard-placed")
         open_rows = placed.join(_open_cells(placed), "cell")
         if best:
@@ -434,20 +452,23 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         open_rows = open_rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
         pairs = C.written(_cell_pairs(open_rows, best).distinct(), "jaccard-pairs")
         if not pairs.isEmpty():
-            links = C.written(links.unionByName(verified(pairs, classes, docs)), "jaccard-links")
-    return rows.select("doc_id", "rk", "n", "cls"), classes.select("cls", "rep", "least_id", "n"), links
+            # each class and its root stand for the links found before
+            links = C.written(verified(pairs, classes, docs), "jaccard-links")
+            if not links.isEmpty():
+                roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
+    return rows.select("doc_id", "rk", "n", "cls"), classes.select("cls", "rep", "least_id", "n"), roots
 
 
-def class_roots(classes: DataFrame, links: DataFrame) -> DataFrame:
+def class_roots(classes: DataFrame, roots: DataFrame) -> DataFrame:
     """(cls, least_id, root): the component of each class."""
-    of = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    of = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     return C.written(of.select("cls", "least_id", "root"), "jaccard-roots")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
-    rows, classes, links = join_classes(docs, id_col, text_col)
-    of = class_roots(classes, links)
+    rows, classes, roots = join_classes(docs, id_col, text_col)
+    of = class_roots(classes, roots)
     of = of.join(of.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("cls", "component_id")
     known = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.join(of, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), known.alias("component_id"))
@@ -458,8 +479,8 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rk = xxhash64(cast(id as long), text). Rows without an id count as documents here.
     """
-    rows, classes, links = join_classes(docs, id_col, text_col, null_ids=True)
-    of = class_roots(classes, links).select("cls", "root")
+    rows, classes, roots = join_classes(docs, id_col, text_col, null_ids=True)
+    of = class_roots(classes, roots).select("cls", "root")
     alike = rows.filter("cls is not null").groupBy("cls", "doc_id", "rk").agg(F.count(F.lit(1)).alias("rows")).join(of, "cls")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk"))["rk"]
     best = alike.groupBy("root").agg(first.alias("best"))

@@ -29,7 +29,7 @@ def bounded_sample(labelled: DataFrame, docs: DataFrame, per_label: int, id_col:
     picked = labelled.join(counts, "label").filter(F.col("h") * F.col("n") <= 1.2 * per_label + 20)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= FIT_BYTES)
     # about 1.2 * per_label ids of each label; of rows with one id the least text, so that ids bound the rows
-    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "h").agg(F.min("text").alias("text")).toPandas()
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "h").agg(F.min("text").alias("text")).toArrow().to_pandas()
     rows = rows.sort_values(["h", "doc_id"])
     return rows.groupby("label", group_keys=False).head(per_label).reset_index(drop=True)
 

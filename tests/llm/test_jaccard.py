@@ -92,3 +92,19 @@ def test_representatives(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) as rk").distinct().join(jaccard_join.representatives(docs), "rk").collect()
     assert sorted((str(r.doc_id), r.kept, r.rows) for r in got) == [("4", True, 1), ("9", False, 2), ("None", False, 1), ("None", True, 2)]
+
+
+@pytest.mark.parametrize(("most", "whole"), [(0, 0), (3, 3), (40, 3), (63, 63), (200, 63)])
+def test_the_driver_gets_the_most_frequent_shingles_alone(spark, monkeypatch, most, whole):
+    rows = [(k, 1000 + k) for k in range(3)] + [(100 + k, 9) for k in range(60)]
+    monkeypatch.setattr(jaccard_join, "FREQUENT_MOST", most)
+    shingles, seen = jaccard_join.most_frequent(spark.createDataFrame(rows, "shingle long, seen long"))
+    got = dict(zip(shingles.tolist(), seen.tolist(), strict=True))
+    assert shingles.dtype == np.uint64 and (np.diff(shingles.astype(np.int64)) > 0).all()
+    assert len(got) <= most and got.items() <= dict(rows).items() and sum(k < 100 for k in got) == min(3, whole)
+    assert len(got) == whole or 3 < len(got) <= most  # of equal counts some that a hash picks
+
+
+def test_no_frequent_shingles(spark):
+    shingles, seen = jaccard_join.most_frequent(spark.createDataFrame([], "shingle long, seen long"))
+    assert len(shingles) == len(seen) == 0 and shingles.dtype == np.uint64
