@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -45,10 +46,14 @@ class Encoder:
     The tokenizer's pattern begins a new piece at each single space between two other characters, and pieces are encoded
     one by one; so a text cut there has the ids of its parts. Texts with other white space next to a space, and
     tokenizers for which a probe shows another rule, are encoded whole. At most MEMO parts are kept.
+
+    A new part of ASCII letters and a mark, and maybe a line break and the like behind it, gets the ids of its pieces, so
+    that a word is encoded once whatever mark follows; not with tokenizers for which a probe of all marks shows another rule.
     """
 
     MEMO = 1_000_000
     PROBES = ("ab cd", "It's a   b, c\n d.", "é1 (x) y", "one two three")
+    MARKS, PIECES = ".,;:!?", re.compile(r"([A-Za-z]+)([.,;:!?]?)(?:\n([A-Za-z]+)([.,;:!?]?))?")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -59,7 +64,10 @@ class Encoder:
         self.spaced = np.array([(self.t.id_to_token(i) or "").startswith(chr(0x120)) for i in range(self.base)])
         self.memo: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
-        self.cuts = True
+        self.mark = {m: self.whole([m])[0] if m else b"" for m in ("", "\n", *self.MARKS)}
+        self.pieces, self.cuts = True, True
+        self.pieces = all(self.encode([x])[0] == self.whole([x])[0] for m in ("", *self.MARKS) for x in (f"x ab{m} Cd{m}\nEf{m} gh", f"x ab{m}\ncd i"))
+        self.memo.clear()
         self.cuts = all(self.encode([x])[0] == self.whole([x])[0] for x in self.PROBES)
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -67,6 +75,27 @@ class Encoder:
 
     def learn(self, parts: set[str], memo: dict[str, bytes], lead: str) -> None:
         new = [p for p in parts.difference(memo) if p and not p[0].isspace() and not p[-1].isspace()]
+        if not (lead and self.pieces):
+            self.learn_whole(new, memo, lead)
+            return
+        composed = [(p, m.groups("")) for p in new if not p.isalpha() and (m := self.PIECES.fullmatch(p))]
+        words = {g[0] for _, g in composed}.difference(memo)
+        self.learn_whole(list(words.union(new).difference([p for p, _ in composed])), memo, lead)
+        self.learn_lines(list({g[2] for _, g in composed if g[2]}.difference(self.heads)))
+        for p, (word, mark, below, its) in composed:
+            memo[p] = memo[word] + self.mark[mark] + (self.mark["\n"] + self.heads[below] + self.mark[its] if below else b"")
+
+    def learn_lines(self, new: list[str]) -> None:
+        """Words of letters at the beginning of a line: one text of all, a line each."""
+        ids = np.frombuffer(self.whole(["\n".join(new)])[0], "<u4")
+        at = np.flatnonzero(ids == np.frombuffer(self.mark["\n"], "<u4")[0])
+        if len(self.mark["\n"]) == 4 and len(at) == len(new) - 1:
+            raw, starts, ends = ids.tobytes(), [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]
+            self.heads.update(zip(new, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
+        else:
+            self.learn_whole(new, self.heads, "")
+
+    def learn_whole(self, new: list[str], memo: dict[str, bytes], lead: str) -> None:
         if not new:
             return
         if lead:  # one text of all parts: each begins with the only token that starts with its space
@@ -86,12 +115,14 @@ class Encoder:
             if len(memo) > self.MEMO:
                 memo.clear()
         parts = [x.split(" ") for x in texts]
-        self.learn(set().union(*[p[1:] for p in parts]), self.memo, " ")
         self.learn({p[0] for p in parts if len(p[0]) < 200}, self.heads, "")
+        found = [list(map(self.memo.get, p[1:])) for p in parts]
+        lacking = [None in f for f in found]
+        self.learn({x for p, f, lacks in zip(parts, found, lacking, strict=True) if lacks for x, ids in zip(p[1:], f, strict=True) if ids is None}, self.memo, " ")
         out: list[bytes | None] = []
-        for p in parts:
+        for p, f, lacks in zip(parts, found, lacking, strict=True):
             try:
-                out.append(self.heads[p[0]] + b"".join(map(self.memo.__getitem__, p[1:])))
+                out.append(self.heads[p[0]] + b"".join(map(self.memo.__getitem__, p[1:]) if lacks else f))
             except KeyError:
                 out.append(None)
         rest = [i for i, x in enumerate(out) if x is None]
@@ -116,16 +147,21 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
     seq, last, rules = ids.astype(np.uint32), last.copy(), []
     narrow, width = None, 2 if base <= 65536 else 4
     while len(seq) > 1:
-        key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        # while two bytes hold a symbol, four hold a pair
+        half, kind = (16, np.uint32) if base + len(rules) <= 65536 else (32, np.uint64)
+        key = seq[:-1].astype(kind) << kind(half) | seq[1:]
         ok = ~last[:-1]
         # in a row of one symbol every other place counts
         same = np.flatnonzero((seq[:-1] == seq[1:]) & ok)
         first = np.r_[True, np.diff(same) != 1] if len(same) else np.zeros(0, bool)
         at = np.arange(len(same))
         ok[same[(at - np.maximum.accumulate(np.where(first, at, 0))) % 2 == 1]] = False
-        pairs, counts = np.unique(key[ok], return_counts=True)
-        least = RULE_BYTES // width + 1
-        pairs, counts = pairs[counts >= least], counts[counts >= least]
+        places, least = key[ok], RULE_BYTES // width + 1
+        places.sort()
+        often = places[: max(0, len(places) - least + 1)]
+        often = often[often == places[least - 1 :]]  # of n places of a pair the first n - least + 1
+        edge = np.flatnonzero(np.r_[np.ones(min(1, len(often)), bool), often[1:] != often[:-1]])
+        pairs, counts = often[edge], np.diff(edge, append=len(often)) + least - 1
         if not len(pairs):
             break
         most = min(len(pairs), max(PAIRS_A_ROUND, len(pairs) // 4))
@@ -138,9 +174,10 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
         chosen, rank = pairs[top], np.empty(most, np.int64)
         rank[np.argsort(counts[top], kind="stable")] = np.arange(most)
         # a table of hashes leaves few places to look up
+        odd, shift = kind(_ODD & (1 << 2 * half) - 1), kind(2 * half - 18)
         mark = np.zeros(1 << 18, bool)
-        mark[chosen * np.uint64(_ODD) >> np.uint64(46)] = True
-        at = np.flatnonzero(mark[key * np.uint64(_ODD) >> np.uint64(46)] & ok)
+        mark[chosen * odd >> shift] = True
+        at = np.flatnonzero(mark[key * odd >> shift] & ok)
         slot = np.minimum(np.searchsorted(chosen, key[at]), most - 1)
         hit = chosen[slot] == key[at]
         at, slot = at[hit], slot[hit]
@@ -155,7 +192,8 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np
         number[used] = base + len(rules) + np.arange(len(used))
         new = number[slot]
         at, new = at[new >= 0], new[new >= 0]
-        rules += [(int(k >> np.uint64(32)), int(k & np.uint64(0xFFFFFFFF))) for k in chosen[used]]
+        picked = chosen[used].astype(np.int64)
+        rules += zip((picked >> half).tolist(), (picked & ((1 << half) - 1)).tolist(), strict=True)
         seq, last = seq.copy(), last.copy()
         seq[at] = new
         last[at] = last[at + 1]

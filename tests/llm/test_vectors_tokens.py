@@ -180,3 +180,27 @@ def test_look_ups_follow_only_what_they_need(spark):
     seconds = lambda f: min((t := time.perf_counter(), f(), time.perf_counter() - t)[2] for _ in range(5))
     one = seconds(lambda: token_output.expand_range(few, shard["base"], rules, spans, 2, 5))
     assert one < 0.1 * seconds(lambda: token_output.expand(body, shard["base"], rules, spans))
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows(monkeypatch):
+    encoder, asked = token_output.Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    assert encoder.cuts and encoder.pieces
+    plain = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: (asked.extend(texts), plain(texts))[1])
+    texts = [f"Ab zyxwvut{m} and Qponm{m}\nLkjih{m} gf" for m in ("", *".,;:!?")] + ["zyxwvut.. zyxwvut.\n\nLkjih zyxwvut's zyxwvut1, é, (zyxwvut) \nLkjih\n.", "", " ", "\n"]
+    assert encoder.encode(texts) == plain(texts)
+    asked.clear()
+    more = [x.replace("Ab", "Qponm! zyxwvut?\nLkjih: Ab") for x in texts[:7]]
+    assert encoder.encode(more) == plain(more) and not any("zyxwvut" in x for x in asked)
+
+
+def test_pairs_are_counted_alike_in_four_and_eight_bytes():
+    rng = np.random.default_rng(11)
+    ids = rng.zipf(1.2, 60_000).clip(0, 60_000).astype(np.uint32)
+    ids[1000:3000] = 7  # one symbol in a row
+    last = rng.random(len(ids)) < 0.01
+    last[-1] = True
+    for base in (60_001, 65_535, 65_536, 65_537):
+        seq, ends, rules = token_output.repair(ids, last, base)
+        assert ends.sum() == last.sum() and (rules < base + np.arange(len(rules))[:, None]).all()
+        assert (token_output.expand(seq, base, rules, token_output.spans_of(rules, base)) == ids).all()
