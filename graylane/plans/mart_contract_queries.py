@@ -97,9 +97,9 @@ def _revenue(t):
     roots = _expr(lines.filter("l_partkey % 9 != 0"), entity="'line'", id="line").unionByName(_expr(lines, entity="'place'", id="line")).unionByName(_expr(orders, entity="'freight'", id="o_orderkey"))
     parts = _expr(roots.filter("entity != 'freight'"), entity="entity", id="id", component="'i'")
     ends = l.sparkSession.createDataFrame([("FAT", "line", "freight", "r"), ("LOC", "place", "freight", "r")], "kind string, origin_entity string, target_entity string, root_target string")
-    found = storage.written(R.resolve_relations(fat.unionByName(loc), roots, parts, ends), "revenue-relations").select("kind", F.col("origin").alias("line"), F.col("target").alias("freight"), "disposition")
+    found = R.resolve_relations(fat.unionByName(loc), roots, parts, ends).select("kind", F.col("origin").alias("line"), F.col("target").alias("freight"), "disposition")
     facts = _expr(lines, line="line", invoice="l_suppkey", document="l_partkey % 3", conflict="l_partkey % 53 = 0", unresolved="l_partkey % 47 = 0", cte="if(l_linenumber % 2 = 0, 'cte', null)", fiscal="case when l_partkey % 43 = 0 then 'CT-e Cancelado' when l_partkey % 41 = 0 then 'CANCÉLLED' else 'ok' end")
-    invoiced = found.filter("kind = 'FAT' and disposition = 'RESOLVED'").join(facts, "line")
+    invoiced = storage.written(found.filter("kind = 'FAT' and disposition = 'RESOLVED'").select("line", "freight").join(facts, "line").drop("line"), "revenue-lines", free=True)
     places = found.filter("kind = 'LOC'").join(_expr(lines, line="line", volumes="l_suppkey"), "line").select("freight", F.col("line").alias("location"), "volumes", F.lit(True).alias("valid"))
     days = _expr(orders, day="to_date(o_orderdate)").distinct().filter("dayofweek(day) != 1").withColumn("billing", F.date_add("day", 1))
     assigned = _expr(t("nation").filter("n_nationkey % 6 != 0"), payer="cast(n_nationkey as bigint)", branch="concat('B', n_nationkey)", lo="date'1995-01-01'", hi="date'2001-01-01'")

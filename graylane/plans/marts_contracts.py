@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graylane import storage
 from graylane.functions import scalar as S
 from graylane.operators import aggregates as A
 from graylane.operators import intervals as I
@@ -84,14 +85,18 @@ def revenue(freights: DataFrame, terms: DataFrame, lines: DataFrame, locations:
     freights: freight, value, status, valid. terms: freight, state (READY or CONFLICT), day, classification, courtesy,
     eligible, active, volumes, payer. lines: freight, invoice, document, conflict, unresolved, cte, fiscal (texts) of the
     resolved relations of invoices; locations: freight, location, volumes, valid of those of locations. calendar: day,
-    billing. assignments: payer, branch, lo, hi. A zero is a decision against the freight, a null an open question.
+    billing. assignments: payer, branch, lo, hi. Lines and locations are counted and written before freights meet them, so
+    that their shuffle files don't stand on disk together. A zero is a decision against the freight, a null an open question.
     """
     says = lambda c, *tokens: S.contains_tokens(F.col(c), tokens)
-    per = lines.groupBy("freight").agg(
-        F.count_distinct("invoice").alias("invoices"), F.count_distinct("invoice", "document").alias("documents"), F.bool_or("conflict").alias("_conflict"), F.bool_or("unresolved").alias("_unresolved"),
-        F.bool_or(F.col("cte").isNotNull()).alias("_cte"), F.bool_or(says("fiscal", "cancelad") | says("fiscal", "cancell")).alias("_cancelled"),
-    )
+    flags = {"_conflict": F.col("conflict"), "_unresolved": F.col("unresolved"), "_cte": F.col("cte").isNotNull(), "_cancelled": says("fiscal", "cancelad") | says("fiscal", "cancell")}
+    kept = [F.bool_or(name).alias(name) for name in flags]
+    # distinct values are counted by groups of groups; two count_distinct at once would shuffle three copies of each line
+    per = lines.groupBy("freight", "invoice", "document").agg(*[F.bool_or(c).alias(name) for name, c in flags.items()])
+    per = per.groupBy("freight", "invoice").agg(F.when(F.col("invoice").isNotNull(), F.count("document")).alias("documents"), *kept)
+    per = per.groupBy("freight").agg(F.count("invoice").alias("invoices"), F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"), *kept)
     place = locations.groupBy("freight").agg(F.count_distinct("location").alias("_places"), F.when(F.count_distinct("location") == 1, F.min("volumes")).alias("_volumes"), F.bool_or(~F.coalesce("valid", F.lit(False))).alias("_bad_place"))
+    per, place = storage.written(per, "revenue-invoices", free=True), storage.written(place, "revenue-places", free=True)
     t = terms.select("freight", F.lit(True).alias("_terms"), F.col("state").alias("_state"), "day", "classification", "courtesy", "eligible", "active", F.col("volumes").alias("_own_volumes"), "payer")
     j = freights.join(t, "freight", "left").join(per, "freight", "left").join(place, "freight", "left").join(J.small(calendar.select("day", "billing")), "day", "left")
     j = I.interval_join(j, assignments.select("payer", "branch", "lo", "hi"), ["payer"], "day", "lo", "hi").drop("lo", "hi")
